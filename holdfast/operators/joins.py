@@ -1,63 +1,42 @@
-"""Joins that hold when a side grows or one key dominates."""
+"""Joins that hold when a side grows or one key dominates.
+
+Row-level joins here always meet a side with unique keys, so a hot key on the other
+side is split at run time by adaptive skew handling; what can be counted per key is
+counted before it travels.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.session import cut
 
 SMALL_ROWS = 100_000
-HOT_SHARE = 0.001  # at most 1,000 keys can each hold this share of the rows
-MIN_HOT_ROWS = 100_000  # a key below this many rows never needs its own plan
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint only when a bounded count proves the size; otherwise leave it to AQE."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def null_safe_join(left: DataFrame, right: DataFrame, names: list[str],
+                   how: str = "inner") -> DataFrame:
+    """Equi-join on natural keys where NULL equals NULL; the key comes from the left."""
+    renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
+    same = reduce(lambda a, b: a & b,
+                  [F.col(n).eqNullSafe(F.col(f"_right_{n}")) for n in names])
+    return left.join(renamed, same, how).drop(*[f"_right_{n}" for n in names])
 
 
 def join_small(big: DataFrame, small: DataFrame, names: list[str], how: str = "inner",
                max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Null-safe join to a side that is expected to be small.
+    """Null-safe join to a side with unique keys that is expected to be small.
 
-    The small side is fixed once, counted, and broadcast when it fits. Beyond the
-    bound the join runs as a skew-split shuffle join.
+    The small side is fixed once and counted; it is broadcast only when the count
+    proves it fits, and shuffled like any other table when it does not.
     """
     fixed = cut(small)
     if fixed.limit(max_rows + 1).count() <= max_rows:
-        return _null_safe(big, F.broadcast(fixed), names, how)
-    return skew_join(big, fixed, names, how)
-
-
-def _null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in names else F.col(c)
-                             for c in right.columns])
-    condition = None
-    for n in names:
-        same = F.col(n).eqNullSafe(F.col(f"_r_{n}"))
-        condition = same if condition is None else condition & same
-    return left.join(renamed, condition, how).drop(*[f"_r_{n}" for n in names])
-
-
-def skew_join(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner",
-              hot_share: float = HOT_SHARE) -> DataFrame:
-    """Null-safe join of a skewed left side to a right side with unique keys.
-
-    Keys holding more than ``hot_share`` of the left rows are at most 1/hot_share
-    in number, so their right rows are broadcast; the rest shuffle as usual.
-    """
-    limit = left.count() * hot_share
-    hot = cut(left.groupBy(*names).agg(F.count("*").alias("_n"))
-              .where(F.col("_n") > max(limit, MIN_HOT_ROWS)).select(*names))
-    if hot.isEmpty():
-        return _null_safe(left, right, names, how)
-    tag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    marked = _null_safe(left, tag, names, "left")
-    hot_right = _null_safe(right, tag, names, "inner").drop("_hot")
-    hot_part = _null_safe(marked.where("_hot").drop("_hot"), F.broadcast(hot_right), names, how)
-    rest = _null_safe(marked.where("_hot is null").drop("_hot"), right, names, how)
-    return hot_part.unionByName(rest)
+        fixed = F.broadcast(fixed)
+    return null_safe_join(big, fixed, names, how)
 
 
 def orphan_count(child: DataFrame, parent: DataFrame, key: str, name: str = "orphans") -> DataFrame:
@@ -72,5 +51,4 @@ def orphan_count(child: DataFrame, parent: DataFrame, key: str, name: str = "orp
 
 def matched_rows(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of ``child`` whose key exists in ``parent``."""
-    keys = parent.select(key).where(F.col(key).isNotNull()).distinct()
-    return skew_join(child, keys, [key])
+    return child.join(parent.select(key), key, "left_semi")

@@ -98,6 +98,4 @@ def box_summary(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 def rate_matrix(df: DataFrame, row: str, column: str, values: list[str],
                 label: str = "churn_flag") -> DataFrame:
     """Label rate with one result column per listed value."""
-    return df.groupBy(row).agg(*[
-        pct(F.sum(F.when(F.col(column) == v, F.col(label))),
-            F.count(F.when(F.col(column) == v, 1))).alias(v) for v in values])
+    return df.groupBy(row).pivot(column, values).agg(pct(F.sum(label), F.count(label)))

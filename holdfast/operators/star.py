@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.functions.columns import text_ordinal
-from holdfast.operators.joins import join_small, skew_join
+from holdfast.operators.joins import join_small
 from holdfast.operators.ordering import global_rank
 
 
@@ -54,7 +54,7 @@ def customer_fact(features: DataFrame, dim_customer: DataFrame, dim_contract: Da
 
 def monthly_fact(kpis: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Telemetry with its keys; rows of unknown customers or months are dropped."""
-    known = skew_join(kpis, dim_customer.select("customer_key", "customer_id"), ["customer_id"])
+    known = kpis.join(dim_customer.select("customer_key", "customer_id"), "customer_id")
     dated = join_small(known, dim_date.select("month_key", "month"), ["month"])
     return dated.select("customer_key", "month_key", *K.TELEMETRY_COLUMNS)
 
@@ -89,15 +89,15 @@ def network_monthly(t: dict[str, DataFrame]) -> DataFrame:
     """Monthly rows with the customer's label and technology.
 
     The label side is unique per customer and is assembled first, so the monthly
-    rows meet one join only; that join is split for customers with very many rows.
+    rows meet one large join only.
     """
     label = (t["fact_customer"].select("customer_key", "churn_flag", "services_key")
              .join(t["dim_services"].select("services_key", "internet_service"), "services_key")
              .drop("services_key"))
     dates = t["dim_date"].select("month_key", "month_start_date", "months_before_snapshot",
                                  F.col("month_index").alias("date_index"))
-    rows = skew_join(t["fact_network_monthly"], label, ["customer_key"])
-    return join_small(rows, dates, ["month_key"]).select(
+    rows = t["fact_network_monthly"].join(label, "customer_key").join(dates, "month_key")
+    return rows.select(
         "customer_key", "month_key", "month", "month_start_date",
         F.col("date_index").alias("month_index"), "months_before_snapshot", "churn_flag",
         "internet_service", "dropped_call_pct", "avg_download_mbps", "avg_latency_ms",
