@@ -12,9 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.session import cut
-
-SMALL_ROWS = 100_000
+from holdfast.session import SMALL_ROWS, cut_counted
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, names: list[str],
@@ -33,8 +31,8 @@ def join_small(big: DataFrame, small: DataFrame, names: list[str], how: str = "i
     The small side is fixed once and counted; it is broadcast only when the count
     proves it fits, and shuffled like any other table when it does not.
     """
-    fixed = cut(small)
-    if fixed.limit(max_rows + 1).count() <= max_rows:
+    fixed, rows = cut_counted(small)
+    if rows <= max_rows:
         fixed = F.broadcast(fixed)
     return null_safe_join(big, fixed, names, how)
 

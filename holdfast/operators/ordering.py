@@ -1,10 +1,10 @@
-"""Global order without a single-task window.
+"""Global order without an unbounded single-task window.
 
-``Window.orderBy`` with no partition moves every row to one task. Here the rows
-are range-sorted across tasks, fixed by a reliable checkpoint, and one small row
-per slice carries the running offsets. Order by enough columns to make the order
-total: a value that holds a third of the rows is then spread over many slices by
-the tie-break columns.
+``Window.orderBy`` with no partition moves every row to one task, which is fine only
+for a proven small number of rows. Beyond that the rows are range-sorted across
+tasks, fixed by a reliable checkpoint, and one small row per slice carries the running
+offsets. Order by enough columns to make the order total: a value that holds a third
+of the rows is then spread over many slices by the tie-break columns.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.columns import col
 from holdfast.operators.joins import join_small
-from holdfast.session import cut
+from holdfast.session import SMALL_ROWS, cut, cut_counted
 
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -40,19 +40,27 @@ def _offsets(slices: DataFrame, totals: list[str]) -> DataFrame:
 
 
 def global_rank(df: DataFrame, order: list[Column | str], rank: str = "global_rank",
-                total: str | None = None) -> DataFrame:
+                total: str | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add 1..n in the given total order, and optionally n itself."""
-    laid = _sliced(df, order)
+    fixed, rows = cut_counted(df)
+    extra = [F.lit(rows).cast("bigint").alias(total)] if total else []
+    if rows <= small_rows:
+        w = W.orderBy(*[col(c) for c in order])
+        return fixed.select("*", F.row_number().over(w).cast("bigint").alias(rank), *extra)
+    laid = _sliced(fixed, order)
     slices = laid.groupBy("_slice").agg(F.count("*").alias("_n"))
-    out = laid.join(F.broadcast(_offsets(slices, ["_n"])), "_slice")
-    extra = [F.col("_all_n").alias(total)] if total else []
-    return out.select(*df.columns, (F.col("_before_n") + F.col("_pos") + 1).alias(rank), *extra)
+    return laid.join(F.broadcast(_offsets(slices, ["_n"])), "_slice").select(
+        *df.columns, (F.col("_before_n") + F.col("_pos") + 1).alias(rank), *extra)
 
 
-def running_totals(df: DataFrame, order: list[Column | str],
-                   totals: dict[str, str]) -> DataFrame:
+def running_totals(df: DataFrame, order: list[Column | str], totals: dict[str, str],
+                   small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``totals[c]`` = sum of column ``c`` over all rows up to and including this one."""
-    laid = _sliced(df, order)
+    fixed, rows = cut_counted(df)
+    if rows <= small_rows:
+        w = W.orderBy(*[col(c) for c in order]).rowsBetween(W.unboundedPreceding, 0)
+        return fixed.select("*", *[F.sum(c).over(w).alias(t) for c, t in totals.items()])
+    laid = _sliced(fixed, order)
     local = W.partitionBy("_slice").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     slices = laid.groupBy("_slice").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
     offsets = _offsets(slices, [f"_{c}" for c in totals])
@@ -100,36 +108,43 @@ def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
-                    by: list[str] | None = None) -> DataFrame:
+                    by: list[str] | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Exact linear-interpolated quantiles, one row per group, without one task per group.
 
-    The value histogram is combined map-side, running counts over (group, value)
-    locate the two neighbours of each quantile, and only those rows survive.
+    The rows shrink to a value histogram before the shuffle. A histogram of proven
+    small size goes to the built-in ``percentile``; a larger one gets running counts
+    over (group, value), and only the neighbours of each quantile survive.
     """
     by = by or []
-    hist = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-            .agg(F.count("*").alias("_rows")))
-    run = running_totals(hist, [*by, value], {"_rows": "_upto"})
+    hist, rows = cut_counted(
+        df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_rows")))
+    if rows <= small_rows:
+        return hist.groupBy(*by).agg(*[
+            F.percentile(value, p, F.col("_rows")).alias(name) for name, p in probs.items()])
+    run = running_totals(hist, [*by, value], {"_rows": "_upto"}, small_rows)
     # the running count restarts per group: subtract the rows that sort before the group
     bounds = run.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_rows")).alias("_start"),
                                   F.max("_upto").alias("_end"))
     if by:
-        run = join_small(run, bounds, by)
+        run = join_small(run, bounds, by, max_rows=min(small_rows, SMALL_ROWS))
     else:
-        run = run.select("*", bounds.select(F.struct("*").alias("b")).scalar().alias("_b")).select(
+        run = run.withColumn("_b", bounds.select(F.struct("*")).scalar()).select(
             *run.columns, "_b.*")
     first, last = F.col("_upto") - F.col("_rows") - F.col("_start"), F.col("_upto") - F.col("_start")
     size = F.col("_end") - F.col("_start")
 
-    def neighbour(p: float, step: int) -> Column:
-        at = F.floor((size - 1) * p) if step == 0 else F.ceil((size - 1) * p)
+    def neighbour(p: float, up: bool) -> Column:
+        at = F.ceil((size - 1) * p) if up else F.floor((size - 1) * p)
         return F.max(F.when((first <= at) & (at < last), F.col(value)))
 
     picked = run.groupBy(*by).agg(
-        F.max(size).alias("_size"),
-        *[neighbour(p, step).alias(f"_{name}_{step}") for name, p in probs.items()
-          for step in (0, 1)])
-    n = F.col("_size") - 1
-    return picked.select(*by, *[
-        (F.col(f"_{name}_0") + (F.col(f"_{name}_1") - F.col(f"_{name}_0"))
-         * (n * p - F.floor(n * p))).alias(name) for name, p in probs.items()])
+        F.max(size - 1).alias("_n"),
+        *[neighbour(p, False).alias(f"_lo_{name}") for name, p in probs.items()],
+        *[neighbour(p, True).alias(f"_hi_{name}") for name, p in probs.items()])
+
+    def between(name: str, p: float) -> Column:
+        at, lo, hi = F.col("_n") * p, F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        return F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi)
+
+    return picked.select(*by, *[between(name, p).cast("double").alias(name)
+                                for name, p in probs.items()])

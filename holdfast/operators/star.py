@@ -9,6 +9,7 @@ from holdfast import contract as K
 from holdfast.functions.columns import text_ordinal
 from holdfast.operators.joins import join_small
 from holdfast.operators.ordering import global_rank
+from holdfast.session import together
 
 
 def surrogate_dim(df: DataFrame, columns: list[str], key: str) -> DataFrame:
@@ -60,14 +61,17 @@ def monthly_fact(kpis: DataFrame, dim_customer: DataFrame, dim_date: DataFrame)
 
 
 def build_star(features: DataFrame, kpis: DataFrame | None = None) -> dict[str, DataFrame]:
-    tables = {
-        "dim_customer": surrogate_dim(features, K.CUSTOMER_DIM, "customer_key"),
-        "dim_contract": surrogate_dim(features, K.CONTRACT_DIM, "contract_key"),
-        "dim_services": surrogate_dim(features, K.SERVICES_DIM, "services_key"),
+    dims = {
+        "dim_customer": lambda: surrogate_dim(features, K.CUSTOMER_DIM, "customer_key"),
+        "dim_contract": lambda: surrogate_dim(features, K.CONTRACT_DIM, "contract_key"),
+        "dim_services": lambda: surrogate_dim(features, K.SERVICES_DIM, "services_key"),
     }
-    tables["fact_customer"] = customer_fact(features, *tables.values())
-    if kpis is not None and not kpis.isEmpty():
-        tables["dim_date"] = date_dim(kpis)
+    if kpis is not None:
+        dims["dim_date"] = lambda: date_dim(kpis)
+    tables = together(features.sparkSession, dims)
+    tables["fact_customer"] = customer_fact(features, tables["dim_customer"],
+                                            tables["dim_contract"], tables["dim_services"])
+    if kpis is not None:
         tables["fact_network_monthly"] = monthly_fact(kpis, tables["dim_customer"],
                                                       tables["dim_date"])
     return tables

@@ -123,9 +123,9 @@ def peer_ratios(df: DataFrame, peer: str | None = "internet_service") -> DataFra
         ratio(F.col("avg_download_mbps"), F.col("median_avg_download_mbps")).alias("speed_ratio"))
 
 
-def quality_score(df: DataFrame,
-                  components: dict[str, tuple[float, float, bool]] = K.QUALITY_COMPONENTS,
+def quality_score(components: dict[str, tuple[float, float, bool]] = K.QUALITY_COMPONENTS,
                   ) -> Column:
+    """Mean of the bounded components a customer has, on a 0-100 scale."""
     parts = [minmax_score(F.col(c).cast("double"), lo, hi, up)
              for c, (lo, hi, up) in components.items()]
     return round_even(mean_skip_null(parts) * 100, 1)
@@ -135,7 +135,7 @@ def add_quality(df: DataFrame, peer: str | None = "internet_service",
                 components: dict[str, tuple[float, float, bool]] = K.QUALITY_COMPONENTS,
                 ) -> DataFrame:
     """0-100 score and band; customers without telemetry get NULL and their own band."""
-    scored = peer_ratios(df, peer).withColumn("network_quality_score", quality_score(df, components))
+    scored = peer_ratios(df, peer).withColumn("network_quality_score", quality_score(components))
     silent = F.coalesce(F.col("kpi_months"), F.lit(0)) == 0
     return scored.select(
         *df.columns,

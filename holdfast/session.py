@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 200_000  # proven row bound below which one task or a broadcast is fine
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -45,6 +52,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut`` plus the row count, from the same job."""
+    seen = Observation()
+    fixed = cut(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return fixed, seen.get["rows"]
+
+
+def together(spark: SparkSession, tasks: dict[str, Callable[[], Any]]) -> dict[str, Any]:
+    """Run independent actions at the same time, so that small jobs share the executors."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(task))
+                   for name, task in tasks.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{_shared_dir(spark).rstrip('/')}/holdfast/{label}-{uuid.uuid4().hex}"

@@ -6,19 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.operators.quality import quality_results, raise_on_fail
-from holdfast.session import cut
+from holdfast.session import cut, together
 
 SCORE_SINK = ["customer_id", "churn_flag", "churn_probability", "risk_band", "is_test_row"]
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Header, LF line ends, NULL as a blank cell."""
-    df.write.mode("overwrite").option("header", True).option("lineSep", "\n").csv(path)
+    """Header, LF line ends, NULL as a blank cell, text kept as it is."""
+    (df.write.mode("overwrite").option("header", True).option("lineSep", "\n")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
     return path
 
 
 def write_star_csv(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
-    return {name: write_csv(df, f"{root}/{name}") for name, df in tables.items()}
+    spark = next(iter(tables.values())).sparkSession
+    return together(spark, {name: lambda n=name, d=df: write_csv(d, f"{root}/{n}")
+                            for name, df in tables.items()})
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -29,16 +33,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
             partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_star(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Parquet star; the monthly fact is laid out by month so that month filters prune."""
-    stored = {}
-    for name, df in tables.items():
+    def task(name: str, df: DataFrame):
         month = "month_key" if name == "fact_network_monthly" else None
-        stored[name] = write_parquet(df, f"{root}/{name}", month).select(*df.columns)
-    return stored
+        return lambda: write_parquet(df, f"{root}/{name}", month).select(*df.columns)
+
+    spark = next(iter(tables.values())).sparkSession
+    return together(spark, {name: task(name, df) for name, df in tables.items()})
 
 
 def save_tables(tables: dict[str, DataFrame], root: str, prefix: str = "",
@@ -69,7 +74,7 @@ def write_scores(features: DataFrame, path: str) -> str:
 
 def write_results(results: dict[str, DataFrame], root: str) -> dict[str, str]:
     """Each query result under its own name."""
-    return {name: write_csv(df, f"{root}/{name}") for name, df in results.items()}
+    return write_star_csv(results, root)
 
 
 def append_audit(results: DataFrame, path: str) -> None:
