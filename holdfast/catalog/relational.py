@@ -185,15 +185,25 @@ add("g09_duplicate_count", lambda s: Q.duplicate_rows(
     s.t("lineitem"), ["l_orderkey", "l_linenumber"]), f"""
 SELECT {big('COALESCE(SUM(c - 1), 0)')} AS duplicates
 FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+
+
+def _quantile_sql(p: float) -> str:
+    at = f"((n - 1) * {p}e0)"
+    return (f"CASE WHEN l[CAST(floor({at}) AS BIGINT) + 1] = l[CAST(ceil({at}) AS BIGINT) + 1] "
+            f"THEN l[CAST(floor({at}) AS BIGINT) + 1] ELSE "
+            f"(ceil({at}) - {at}) * l[CAST(floor({at}) AS BIGINT) + 1] "
+            f"+ ({at} - floor({at})) * l[CAST(ceil({at}) AS BIGINT) + 1] END")
+
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+QUARTILE_SQL = f"""
+SELECT o_orderpriority, {", ".join(f"{_quantile_sql(p)} AS {n}" for n, p in QUARTILES.items())}
+FROM (SELECT o_orderpriority, COUNT(*) AS n, list_sort(list(o_totalprice)) AS l FROM orders
+      GROUP BY o_orderpriority)"""
 add("g10_exact_quantiles", lambda s: exact_quantiles(
-    s.t("orders"), "o_totalprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["o_orderpriority"]), """
-SELECT o_orderpriority, quantile_cont(o_totalprice, 0.25) AS q1, median(o_totalprice) AS median,
-  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders GROUP BY o_orderpriority""")
+    s.t("orders"), "o_totalprice", QUARTILES, ["o_orderpriority"]), QUARTILE_SQL)
 add("g10b_exact_quantiles_distributed", lambda s: exact_quantiles(
-    s.t("orders"), "o_totalprice", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["o_orderpriority"],
-    small_rows=1000), """
-SELECT o_orderpriority, quantile_cont(o_totalprice, 0.25) AS q1, median(o_totalprice) AS median,
-  quantile_cont(o_totalprice, 0.75) AS q3 FROM orders GROUP BY o_orderpriority""")
+    s.t("orders"), "o_totalprice", QUARTILES, ["o_orderpriority"], small_rows=1000), QUARTILE_SQL)
 add("g11_global_rate", lambda s: s.m.customers.agg(F.avg("churn_flag").alias("base_rate")),
     "SELECT AVG(churn_flag) AS base_rate FROM clean")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.columns import flag, round_even
 from holdfast.operators.ordering import position_tiles, running_totals
+from holdfast.session import literal_rows
 
 # The threshold grids
 SWEEP = [round(0.10 + 0.02 * i, 2) for i in range(41)]
@@ -48,8 +49,8 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     points = run.withColumn("_t", totals.scalar()).select(
         "score", (F.col("fp").cast("double") / F.col("_t.n")).alias("fpr"),
         (F.col("tp").cast("double") / F.col("_t.p")).alias("tpr"))
-    origin = df.sparkSession.createDataFrame([(None, 0.0, 0.0)],
-                                             "score double, fpr double, tpr double")
+    origin = literal_rows(df.sparkSession, [
+        {"score": F.lit(None).cast("double"), "fpr": F.lit(0.0), "tpr": F.lit(0.0)}])
     return origin.unionByName(points)
 
 

@@ -19,7 +19,7 @@ from holdfast import contract as K
 from holdfast.functions.columns import flag, percent_text, to_number
 from holdfast.operators.cleaning import unknown_values
 from holdfast.operators.joins import orphan_count
-from holdfast.session import cut
+from holdfast.session import cut, literal_rows
 
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 LISTED_VALUES = 10
@@ -210,11 +210,10 @@ def domain_checks(df: DataFrame, rules: list[tuple[int, OneOf]]) -> DataFrame:
     first = (bad.withColumn("_nth", F.row_number().over(
                 W.partitionBy("column").orderBy("value"))).where(f"_nth <= {LISTED_VALUES}")
              .groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("listed")))
-    spark = df.sparkSession
-    spec = spark.createDataFrame(
-        [(seq, r.check_name(), r.table, r.column, f"subset of {sorted(r.allowed)}")
-         for seq, r in rules],
-        "seq int, check_name string, table string, column string, expectation string")
+    spec = literal_rows(df.sparkSession, [
+        {"seq": F.lit(seq), "check_name": F.lit(r.check_name()), "table": F.lit(r.table),
+         "column": F.lit(r.column), "expectation": F.lit(f"subset of {sorted(r.allowed)}")}
+        for seq, r in rules])
     parts = (spec.unionByName(counts, allowMissingColumns=True)
              .unionByName(first, allowMissingColumns=True))
     n = F.coalesce(F.max("n"), F.lit(0))

@@ -5,8 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from holdfast.operators.cleaning import cleaning_report, conform, unknown_values
 from holdfast.operators.customer_features import customer_features
@@ -28,12 +27,10 @@ class BatchRun:
     steps: list[tuple] = field(default_factory=list)
 
 
-def _observed(df: DataFrame, path: str, partition_by: str | None = None):
-    """Write and count in one pass."""
-    seen = Observation()
-    stored = writers.write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path,
-                                   partition_by).select(*df.columns)
-    return stored, seen.get["rows"]
+def _stored(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Write, then count from the file footers."""
+    stored = writers.write_parquet(df, path)
+    return stored, stored.count()
 
 
 def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
@@ -50,7 +47,7 @@ def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
         steps.append((run_ts, step, round(time.perf_counter() - began, 2),
                       {k: str(v) for k, v in info.items()}))
 
-    customers, n = _observed(conform(raw, arrival), f"{out}/customers_clean")
+    customers, n = _stored(conform(raw, arrival), f"{out}/customers_clean")
     report = cleaning_report(raw, arrival).first().asDict()
     unknown = unknown_values(customers).groupBy("column").count()
     report["unknown_values"] = {r["column"]: r["count"] for r in unknown.collect()}
@@ -59,10 +56,10 @@ def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
     if kpis is not None and kpis.isEmpty():
         kpis = None
     if kpis is not None:
-        kpis, n = _observed(kpis, f"{out}/telemetry")
+        kpis, n = _stored(kpis, f"{out}/telemetry")
         mark("load_kpis", rows=n)
 
-    features, n = _observed(telemetry_features(customer_features(customers), kpis),
+    features, n = _stored(telemetry_features(customer_features(customers), kpis),
                             f"{out}/customers_features")
     mark("features", rows=n, columns=len(features.columns))
 
@@ -73,18 +70,15 @@ def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
     models: dict[str, propensity.ModelRun] = {}
     if with_model:
         models = propensity.train_all(features, kpis is not None)
-        features, _ = _observed(propensity.attach_scores(features, models["customer"]),
+        features, _ = _stored(propensity.attach_scores(features, models["customer"]),
                                 f"{out}/customers_scored")
         writers.write_model_artifacts(models, f"{out}/model")
         writers.write_scores(features, f"{out}/scores")
         mark("model", **{k: m.metrics.first()["roc_auc_test"] for k, m in models.items()})
 
-    star, sizes = {}, {}
-    for name, df in build_star(features, kpis).items():
-        month = "month_key" if name == "fact_network_monthly" else None
-        star[name], sizes[name] = _observed(df, f"{out}/star/{name}", month)
+    star = writers.write_star(build_star(features, kpis), f"{out}/star")
     writers.write_star_csv(star, f"{out}/star_csv")
-    mark("warehouse", **sizes)
+    mark("warehouse", **{name: df.count() for name, df in star.items()})
 
     answers = analytics.answer_all(star)
     writers.write_results(answers, f"{out}/analytics")

@@ -11,7 +11,7 @@ from holdfast.operators.customer_features import customer_features
 from holdfast.operators.star import build_star
 from holdfast.operators.telemetry import telemetry_features
 from holdfast.plans import bindings
-from holdfast.session import scratch_path
+from holdfast.session import scratch_path, together
 from holdfast.sources.writers import write_parquet, write_star
 
 
@@ -32,10 +32,11 @@ _built: dict[tuple[str, str], Mart] = {}
 def build(spark: SparkSession, sf_dir: str) -> Mart:
     """Bind the tables, store every stage as parquet below the shared folder."""
     t, root = bindings.tables_at(spark, sf_dir), scratch_path(spark, "mart")
-    raw = write_parquet(bindings.raw_feed(t), f"{root}/raw")
+    feeds = {"raw": bindings.raw_feed, "kpis": bindings.telemetry, "monthly": bindings.monthly}
+    stored = together(spark, {n: lambda n=n, feed=feed: write_parquet(feed(t), f"{root}/{n}")
+                              for n, feed in feeds.items()})
+    raw, kpis, monthly = stored["raw"], stored["kpis"], stored["monthly"]
     customers = write_parquet(conform(raw), f"{root}/customers")
-    kpis = write_parquet(bindings.telemetry(t), f"{root}/kpis")
-    monthly = write_parquet(bindings.monthly(t), f"{root}/monthly")
     features = write_parquet(telemetry_features(customer_features(customers), kpis),
                              f"{root}/features")
     scored = write_parquet(bindings.rule_scores(features), f"{root}/scored")

@@ -17,7 +17,7 @@ def _where(condition: Column, value: Column | None = None) -> Column:
 def customer_measures() -> dict[str, Column]:
     """Measures over ``fact_customer`` (or any frame with its columns)."""
     gone = F.col("churn_flag") == 1
-    n, lost = F.count("*"), F.count(_where(gone))
+    n, lost = F.count(F.lit(1)), F.count(_where(gone))
     mrr = exact_sum("monthly_charges", 2)
     mrr_lost = exact_sum(F.when(gone, F.col("monthly_charges")), 2)
     high = F.count(_where(F.col("risk_band") == "High"))

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
-from holdfast.functions.columns import feature_name, left_closed_band, round_even, to_number
+from holdfast.functions.columns import (feature_name, left_closed_band, logistic, round_even,
+                                        to_number)
 from holdfast.operators import evaluation as E
 from holdfast.operators.ordering import global_rank
-from holdfast.session import cut
+from holdfast.session import cut, literal_rows
 
 LABEL, KEY, P = "churn_flag", "customer_id", "p"
 MISSING_CATEGORY = "nan"
@@ -122,20 +123,52 @@ def boosted_model(rounds: int = 300, seed: int = 42) -> GBTClassifier:
                          maxDepth=4, seed=seed)
 
 
-def feature_names(model: PipelineModel, numeric: list[str],
-                  categorical: list[str]) -> list[tuple[str, str]]:
-    """(raw name, type) in vector order."""
-    names = [(c, "numeric (per 1 SD)") for c in numeric]
-    if categorical:
-        for c, labels in zip(categorical, model.stages[0].labelsArray):
-            names += [(f"{c}_{label}", "one-hot vs baseline") for label in list(labels)[:-1]]
-    return names
+@dataclass(frozen=True)
+class Input:
+    """One position of the feature vector: a number, or one category of a column."""
+
+    column: str
+    category: str | None = None
+
+    @property
+    def name(self) -> str:
+        return self.column if self.category is None else f"{self.column}_{self.category}"
+
+    @property
+    def kind(self) -> str:
+        return "numeric (per 1 SD)" if self.category is None else "one-hot vs baseline"
 
 
-def drivers(spark, names: list[tuple[str, str]], coefficients: list[float]) -> DataFrame:
+def vector_inputs(model: PipelineModel, numeric: list[str], categorical: list[str]) -> list[Input]:
+    """What each vector position stands for, in vector order."""
+    inputs = [Input(c) for c in numeric]
+    if categorical:
+        for c, labels in zip(categorical, model.stages[0].labelsArray):
+            inputs += [Input(c, label) for label in list(labels)[:-1]]
+    return inputs
+
+
+def linear_score(inputs: list[Input], coefficients: list[float], intercept: float) -> Column:
+    """The fitted linear model as one column expression over the prepared columns, so that
+    scoring all rows is a projection: no vectors are assembled and no Python runs."""
+    z, by_column = F.lit(float(intercept)), {}
+    for item, c in zip(inputs, coefficients):
+        if item.category is None:
+            z = z + F.col(item.column) * float(c)
+        else:
+            hit = F.col(item.column) == item.category
+            chain = by_column.get(item.column)
+            by_column[item.column] = (F.when(hit, float(c)) if chain is None
+                                      else chain.when(hit, float(c)))
+    for chain in by_column.values():
+        z = z + chain.otherwise(0.0)
+    return logistic(z)
+
+
+def drivers(spark, inputs: list[Input], coefficients: list[float]) -> DataFrame:
     """Coefficients by size. One row per model input."""
-    raw = spark.createDataFrame([(n, t, float(c)) for (n, t), c in zip(names, coefficients)],
-                                "name string, type string, c double")
+    raw = literal_rows(spark, [{"name": F.lit(i.name), "type": F.lit(i.kind),
+                                "c": F.lit(float(c))} for i, c in zip(inputs, coefficients)])
     coefficient = round_even("c", 4)
     return raw.orderBy(F.abs("c").desc(), "name").select(
         feature_name("name").alias("feature"), coefficient.alias("coefficient"),
@@ -166,19 +199,13 @@ def design(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     return Design(rows, numeric, two_valued(rows, categorical), sizes["train"], sizes["test"])
 
 
-def score_all(model: PipelineModel, d: Design) -> DataFrame:
-    """(key, label, p, is_test_row) for every row, fixed on shared storage."""
-    scored = model.transform(d.rows)
-    return cut(scored.select(KEY, LABEL, vector_to_array("probability")[1].alias(P),
-                             "is_test_row"))
-
-
 def boosted_metrics(d: Design, rounds: int = 300, seed: int = 42) -> DataFrame:
     """Hold-out metrics of the boosted-tree benchmark."""
     stages = design_stages(d.numeric, d.categorical)
     model = Pipeline(stages=[*stages, boosted_model(rounds, seed)]).fit(
         d.rows.where("is_test_row = 0"))
-    test = score_all(model, d).where("is_test_row = 1")
+    test = cut(model.transform(d.rows.where("is_test_row = 1")).select(
+        KEY, LABEL, vector_to_array("probability")[1].alias(P)))
     auc = E.roc_auc(test, LABEL, P).select("roc_auc").scalar()
     return E.threshold_metrics(test, LABEL, P, 0.5).withColumn("roc_auc_test", round_even(auc, 4))
 
@@ -192,9 +219,11 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     model = Pipeline(stages=[*stages, logistic_model(d.n_train)]).fit(
         d.rows.where("is_test_row = 0"))
     fitted = model.stages[-1]
-    scores = score_all(model, d)
+    inputs = vector_inputs(model, d.numeric, d.categorical)
+    weights = fitted.coefficients.toArray().tolist()
+    scores = cut(d.rows.select(KEY, LABEL, linear_score(inputs, weights, fitted.intercept).alias(P),
+                               "is_test_row"))
     test = scores.where("is_test_row = 1")
-    names = feature_names(model, d.numeric, d.categorical)
     best = E.best_f1_threshold(test, LABEL, P).first()["best_f1_threshold"]
 
     def packed(threshold: float) -> Column:
@@ -205,13 +234,13 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     metrics = cut(test.agg(F.avg(LABEL).alias("base")).select(
         F.lit(feature_set).alias("feature_set"), F.lit("mllib.LogisticRegression").alias("engine"),
         F.lit(d.n_train).alias("n_train"), F.lit(d.n_test).alias("n_test"),
-        F.lit(len(names)).alias("n_features"), round_even("base", 4).alias("base_churn_rate_test"),
+        F.lit(len(inputs)).alias("n_features"), round_even("base", 4).alias("base_churn_rate_test"),
         round_even(auc, 4).alias("roc_auc_test"), F.lit(best).alias("best_f1_threshold"),
         at_half.alias("at_0_50"), at_best.alias("at_best_f1")).select(
         "*", F.col("at_0_50.f1").alias("f1_at_050"), F.col("at_0_50.recall").alias("recall_at_050"),
         F.col("at_best_f1.f1").alias("f1_at_best")))
     return ModelRun(feature_set, model, metrics,
-                    drivers(spark, names, fitted.coefficients.toArray().tolist()),
+                    drivers(spark, inputs, weights),
                     E.decile_lift(test, LABEL, P, KEY), E.roc_points(test, LABEL, P), scores)
 
 
