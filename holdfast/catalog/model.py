@@ -34,7 +34,7 @@ def design_columns(s: Source) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     d = P.design(s.m.features)
-    rows = Pipeline(stages=P.design_stages(d.numeric, d.categorical)).fit(d.rows).transform(d.rows)
+    rows = Pipeline(stages=d.stages).fit(d.rows).transform(d.rows)
     return rows.select("customer_id", "is_test_row", vector_to_array("features").alias("features"))
 
 
@@ -57,7 +57,7 @@ def standardised(s: Source) -> DataFrame:
         "double").alias("tenure_months"), F.when(F.col("contract") == "Two year", 1).otherwise(0)
         .alias("is_test_row"))
     names = ["monthly_charges", "tenure_months"]
-    out = P.standardise(held, P.train_statistics(held, names))
+    out = P.standardise(held, P.train_statistics(held, names)[0])
     return out.select("customer_id", *[round_even(c, 6).alias(c) for c in names])
 
 

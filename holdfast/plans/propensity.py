@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (OneHotEncoder, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,24 +56,32 @@ def model_inputs(df: DataFrame, feature_set: str, keep: list[str]) -> DataFrame:
                        for c in categorical])
 
 
-def design_stages(numeric: list[str], categorical: list[str]) -> list:
-    """One-hot against the alphabetically first category, then one feature vector."""
-    stages = []
-    if categorical:
-        stages = [
-            StringIndexer(inputCols=categorical, outputCols=[f"{c}_ix" for c in categorical],
-                          stringOrderType="alphabetDesc", handleInvalid="error"),
-            OneHotEncoder(inputCols=[f"{c}_ix" for c in categorical],
-                          outputCols=[f"{c}_oh" for c in categorical], dropLast=True),
-        ]
-    return [*stages, VectorAssembler(inputCols=[*numeric, *[f"{c}_oh" for c in categorical]],
-                                     outputCol="features")]
+def index_categories(df: DataFrame, categorical: list[str]) -> StringIndexerModel | None:
+    """Categories of every column over all rows. The order makes the alphabetically
+    first category the last index, which the encoder drops."""
+    if not categorical:
+        return None
+    return StringIndexer(inputCols=categorical, outputCols=[f"{c}_ix" for c in categorical],
+                         stringOrderType="alphabetDesc", handleInvalid="error").fit(df)
+
 
+def encoded(indexer: StringIndexerModel | None, categorical: list[str]) -> dict[str, list[str]]:
+    """Column -> the categories that get a vector position. A column with one value has none."""
+    if indexer is None:
+        return {}
+    return {c: list(labels)[:-1] for c, labels in zip(categorical, indexer.labelsArray)
+            if len(labels) > 1}
 
-def two_valued(df: DataFrame, categorical: list[str]) -> list[str]:
-    """Categories with at least two values; one-valued ones add no column."""
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    return [c for c in categorical if counts[c] > 1]
+
+def design_stages(indexer: StringIndexerModel | None, numeric: list[str],
+                  positions: dict[str, list[str]]) -> list:
+    """One-hot against the alphabetically first category, then one feature vector."""
+    stages = [indexer] if indexer is not None else []
+    if positions:
+        stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in positions],
+                                    outputCols=[f"{c}_oh" for c in positions], dropLast=True))
+    return [*stages, VectorAssembler(inputCols=[*numeric, *[f"{c}_oh" for c in positions]],
+                                     outputCol="features")]
 
 
 def split_mark(key: str = KEY, seed: int = 42) -> Column:
@@ -100,12 +109,16 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, share: f
     return df.withColumn("is_test_row", F.when(test, 1).otherwise(0))
 
 
-def train_statistics(df: DataFrame, numeric: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation over the training rows; a zero deviation becomes 1."""
-    row = df.where("is_test_row = 0").agg(
-        *[F.avg(c).alias(f"m_{c}") for c in numeric],
-        *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).first()
-    return {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in numeric}
+def train_statistics(df: DataFrame, numeric: list[str]):
+    """Mean and population deviation of the training rows (a zero deviation becomes 1),
+    and the number of training and test rows, from one pass."""
+    train = F.col("is_test_row") == 0
+    row = df.agg(
+        F.count_if(train).alias("train"), F.count_if(~train).alias("test"),
+        *[F.avg(F.when(train, F.col(c))).alias(f"m_{c}") for c in numeric],
+        *[F.stddev_pop(F.when(train, F.col(c))).alias(f"s_{c}") for c in numeric]).first()
+    stats = {c: (row[f"m_{c}"], row[f"s_{c}"] or 1.0) for c in numeric}
+    return stats, (row["train"], row["test"])
 
 
 def standardise(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFrame:
@@ -139,13 +152,9 @@ class Input:
         return "numeric (per 1 SD)" if self.category is None else "one-hot vs baseline"
 
 
-def vector_inputs(model: PipelineModel, numeric: list[str], categorical: list[str]) -> list[Input]:
+def vector_inputs(numeric: list[str], positions: dict[str, list[str]]) -> list[Input]:
     """What each vector position stands for, in vector order."""
-    inputs = [Input(c) for c in numeric]
-    if categorical:
-        for c, labels in zip(categorical, model.stages[0].labelsArray):
-            inputs += [Input(c, label) for label in list(labels)[:-1]]
-    return inputs
+    return [Input(c) for c in numeric] + [Input(c, v) for c, vs in positions.items() for v in vs]
 
 
 def linear_score(inputs: list[Input], coefficients: list[float], intercept: float) -> Column:
@@ -178,11 +187,11 @@ def drivers(spark, inputs: list[Input], coefficients: list[float]) -> DataFrame:
 
 @dataclass
 class Design:
-    """Prepared rows and the column lists that describe their vector."""
+    """Prepared rows, the stages that make their vector, and what the vector means."""
 
     rows: DataFrame
-    numeric: list[str]
-    categorical: list[str]
+    stages: list
+    inputs: list[Input]
     n_train: int
     n_test: int
 
@@ -193,16 +202,17 @@ def design(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     inputs = model_inputs(df, feature_set, [KEY, LABEL])
     numeric, categorical = model_columns(df, feature_set)
     rows = stratified_split(inputs, share=share, seed=seed)
-    sizes = rows.agg(F.count_if(F.col("is_test_row") == 0).alias("train"),
-                     F.count_if(F.col("is_test_row") == 1).alias("test")).first()
-    rows = standardise(rows, train_statistics(rows, numeric))
-    return Design(rows, numeric, two_valued(rows, categorical), sizes["train"], sizes["test"])
+    stats, sizes = train_statistics(rows, numeric)
+    rows = standardise(rows, stats)
+    indexer = index_categories(rows, categorical)
+    positions = encoded(indexer, categorical)
+    return Design(rows, design_stages(indexer, numeric, positions),
+                  vector_inputs(numeric, positions), *sizes)
 
 
 def boosted_metrics(d: Design, rounds: int = 300, seed: int = 42) -> DataFrame:
     """Hold-out metrics of the boosted-tree benchmark."""
-    stages = design_stages(d.numeric, d.categorical)
-    model = Pipeline(stages=[*stages, boosted_model(rounds, seed)]).fit(
+    model = Pipeline(stages=[*d.stages, boosted_model(rounds, seed)]).fit(
         d.rows.where("is_test_row = 0"))
     test = cut(model.transform(d.rows.where("is_test_row = 1")).select(
         KEY, LABEL, vector_to_array("probability")[1].alias(P)))
@@ -215,13 +225,11 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     """Fit on the training rows, score all rows, evaluate on the held-out ones."""
     spark = df.sparkSession
     d = design(df, feature_set, share, seed)
-    stages = design_stages(d.numeric, d.categorical)
-    model = Pipeline(stages=[*stages, logistic_model(d.n_train)]).fit(
+    model = Pipeline(stages=[*d.stages, logistic_model(d.n_train)]).fit(
         d.rows.where("is_test_row = 0"))
     fitted = model.stages[-1]
-    inputs = vector_inputs(model, d.numeric, d.categorical)
     weights = fitted.coefficients.toArray().tolist()
-    scores = cut(d.rows.select(KEY, LABEL, linear_score(inputs, weights, fitted.intercept).alias(P),
+    scores = cut(d.rows.select(KEY, LABEL, linear_score(d.inputs, weights, fitted.intercept).alias(P),
                                "is_test_row"))
     test = scores.where("is_test_row = 1")
     best = E.best_f1_threshold(test, LABEL, P).first()["best_f1_threshold"]
@@ -234,13 +242,13 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     metrics = cut(test.agg(F.avg(LABEL).alias("base")).select(
         F.lit(feature_set).alias("feature_set"), F.lit("mllib.LogisticRegression").alias("engine"),
         F.lit(d.n_train).alias("n_train"), F.lit(d.n_test).alias("n_test"),
-        F.lit(len(inputs)).alias("n_features"), round_even("base", 4).alias("base_churn_rate_test"),
+        F.lit(len(d.inputs)).alias("n_features"), round_even("base", 4).alias("base_churn_rate_test"),
         round_even(auc, 4).alias("roc_auc_test"), F.lit(best).alias("best_f1_threshold"),
         at_half.alias("at_0_50"), at_best.alias("at_best_f1")).select(
         "*", F.col("at_0_50.f1").alias("f1_at_050"), F.col("at_0_50.recall").alias("recall_at_050"),
         F.col("at_best_f1.f1").alias("f1_at_best")))
     return ModelRun(feature_set, model, metrics,
-                    drivers(spark, inputs, weights),
+                    drivers(spark, d.inputs, weights),
                     E.decile_lift(test, LABEL, P, KEY), E.roc_points(test, LABEL, P), scores)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
@@ -31,18 +31,31 @@ def select_contract(df: DataFrame, expected: list[str], name: str) -> DataFrame:
     return df.select(*expected)
 
 
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    # without a schema columns are text named by the header; a schema would be applied
+    # by position and hide a reordered header
+    return spark.read.option("header", True).option("nullValue", "\u0000").csv(path)
+
+
+def _text(df: DataFrame, columns: list[str]) -> list[Column]:
+    """An unquoted empty cell reads as NULL; here blank cells are empty text."""
+    return [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
+
+
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     """Every cell as text, named by the header; blank cells stay empty text."""
-    df = spark.read.option("header", True).option("nullValue", "\u0000").csv(path)
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns],
-                     F.struct("_metadata.file_path", "_metadata.file_block_start",
-                              F.monotonically_increasing_id().alias("row")).alias("feed_seq"))
+    df = _scan(spark, path)
+    return df.select(*_text(df, df.columns))
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    """Raw customer feed plus ``feed_seq``, the arrival order (file, offset, row)."""
-    df = read_text_csv(spark, path)
-    return select_contract(df, K.RAW_COLUMNS, path).select("*", df["feed_seq"])
+    """Raw customer feed plus ``feed_seq``, the arrival order: file, offset of the file
+    block, row inside the block. It is the same however often a block is read again."""
+    df = _scan(spark, path)
+    check_columns(df.columns, K.RAW_COLUMNS, path)
+    return df.select(*_text(df, K.RAW_COLUMNS), F.struct(
+        "_metadata.file_path", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("row")).alias("feed_seq"))
 
 
 def coerce_telemetry(df: DataFrame) -> DataFrame:
