@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
 from holdfast.catalog.sqlbase import big, div, rhe
 from holdfast.functions.columns import round_even
@@ -30,15 +31,38 @@ def fitted(s: Source, feature_set: str) -> P.ModelRun:
 
 
 def design_columns(s: Source) -> DataFrame:
-    """The prepared vector as an array."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
+    """Numbers and one-hot columns under their feature names, before standardising."""
+    numeric, categorical = P.model_columns(s.m.features, "customer")
+    rows = P.model_inputs(s.m.features, "customer", ["customer_id"])
+    inputs = P.vector_inputs(numeric, P.categories(rows, categorical))
+    return rows.select("customer_id", *[i.value().alias(plain(i.name)) for i in inputs])
+
+
+def plain(name: str) -> str:
+    return name.replace(" ", "_").replace("(", "").replace(")", "")
+
+
+def _design_sql() -> str:
+    domains = {**K.DOMAINS, "payment_method": sorted([*K.DOMAINS["payment_method"],
+                                                      "Not specified"])}
+    cells = [f"COALESCE(CAST({c} AS DOUBLE), 0e0) AS {c}" for c in K.CUSTOMER_NUMERICS]
+    for c in K.CATEGORICAL_FEATURES:
+        cells += [f"CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS \"{plain(f'{c}_{v}')}\""
+                  for v in sorted(domains[c])[1:]]
+    return f"SELECT customer_id, {', '.join(cells)} FROM features"
+
+
+add("ml01_design_matrix", design_columns, _design_sql())
+
+
+def vectors(s: Source) -> DataFrame:
+    """The standardised vector of every row, as an array."""
     d = P.design(s.m.features)
-    rows = Pipeline(stages=d.stages).fit(d.rows).transform(d.rows)
-    return rows.select("customer_id", "is_test_row", vector_to_array("features").alias("features"))
+    return d.rows.select("customer_id", "is_test_row",
+                         F.array(*[i.value() for i in d.inputs]).alias("features"))
 
 
-add("ml01_design_matrix", design_columns)
+add("ml01b_prepared_vectors", vectors)
 
 
 def split_sizes(s: Source) -> DataFrame:

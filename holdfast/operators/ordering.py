@@ -60,14 +60,19 @@ def running_totals(df: DataFrame, order: list[Column | str], totals: dict[str, s
     if rows <= small_rows:
         w = W.orderBy(*[col(c) for c in order]).rowsBetween(W.unboundedPreceding, 0)
         return fixed.select("*", *[F.sum(c).over(w).alias(t) for c, t in totals.items()])
+    return _sliced_totals(fixed, order, totals)
+
+
+def _sliced_totals(fixed: DataFrame, order: list[Column | str],
+                   totals: dict[str, str]) -> DataFrame:
     laid = _sliced(fixed, order)
     local = W.partitionBy("_slice").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     slices = laid.groupBy("_slice").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
     offsets = _offsets(slices, [f"_{c}" for c in totals])
     return (laid.select("*", *[F.sum(c).over(local).alias(f"_local_{c}") for c in totals])
             .join(F.broadcast(offsets), "_slice")
-            .select(*df.columns, *[(F.col(f"_before_{c}") + F.col(f"_local_{c}")).alias(name)
-                                   for c, name in totals.items()]))
+            .select(*fixed.columns, *[(F.col(f"_before_{c}") + F.col(f"_local_{c}")).alias(name)
+                                      for c, name in totals.items()]))
 
 
 def ntile_of(rank: Column, n: Column, tiles: int) -> Column:
@@ -121,7 +126,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     if rows <= small_rows:
         return hist.groupBy(*by).agg(*[
             F.percentile(value, p, F.col("_rows")).alias(name) for name, p in probs.items()])
-    run = running_totals(hist, [*by, value], {"_rows": "_upto"}, small_rows)
+    run = _sliced_totals(hist, [*by, value], {"_rows": "_upto"})
     # the running count restarts per group: subtract the rows that sort before the group
     bounds = run.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_rows")).alias("_start"),
                                   F.max("_upto").alias("_end"))

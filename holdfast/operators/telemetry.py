@@ -10,6 +10,7 @@ from holdfast.functions.columns import (exact_avg, mean_skip_null, minmax_score,
                                         right_closed_band, round_even)
 from holdfast.operators.joins import join_small
 from holdfast.operators.ordering import exact_quantiles
+from holdfast.session import cut
 
 KPI_DECIMALS = {c: K.DECIMALS[c] for c in
                 ("dropped_call_pct", "avg_download_mbps", "avg_latency_ms", "data_usage_gb")}
@@ -147,10 +148,14 @@ def add_quality(df: DataFrame, peer: str | None = "internet_service",
 
 def telemetry_features(customers: DataFrame, kpis: DataFrame | None,
                        window: int = K.WINDOW_MONTHS, recent: int = K.RECENT_MONTHS) -> DataFrame:
-    """Telemetry is optional: without it the customer frame comes back unchanged."""
+    """Telemetry is optional: without it the customer frame comes back unchanged.
+
+    Peer medians and the final frame both need the aggregates, so these are fixed
+    once and the telemetry is read and shuffled a single time.
+    """
     if kpis is None or kpis.isEmpty():
         return customers
-    return add_quality(attach_telemetry(customers, telemetry_aggregates(kpis, window, recent)))
+    return add_quality(attach_telemetry(customers, cut(telemetry_aggregates(kpis, window, recent))))
 
 
 def month_spine(customers: DataFrame, window: int = K.WINDOW_MONTHS) -> DataFrame:

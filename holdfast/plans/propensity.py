@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import (OneHotEncoder, StringIndexer, StringIndexerModel,
-                                VectorAssembler)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
+                                       LogisticRegressionModel)
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from holdfast import contract as K
 from holdfast.functions.columns import (feature_name, left_closed_band, logistic, round_even,
                                         to_number)
 from holdfast.operators import evaluation as E
+from holdfast.operators.joins import join_small
 from holdfast.operators.ordering import global_rank
 from holdfast.session import cut, literal_rows
 
@@ -26,10 +26,10 @@ MISSING_CATEGORY = "nan"
 @dataclass
 class ModelRun:
     """Everything one fitted feature set leaves behind. All members are DataFrames
-    except the fitted pipeline."""
+    except the fitted model."""
 
     feature_set: str
-    model: PipelineModel
+    model: LogisticRegressionModel
     metrics: DataFrame
     drivers: DataFrame
     lift: DataFrame
@@ -56,32 +56,43 @@ def model_inputs(df: DataFrame, feature_set: str, keep: list[str]) -> DataFrame:
                        for c in categorical])
 
 
-def index_categories(df: DataFrame, categorical: list[str]) -> StringIndexerModel | None:
-    """Categories of every column over all rows. The order makes the alphabetically
-    first category the last index, which the encoder drops."""
-    if not categorical:
-        return None
-    return StringIndexer(inputCols=categorical, outputCols=[f"{c}_ix" for c in categorical],
-                         stringOrderType="alphabetDesc", handleInvalid="error").fit(df)
+def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted categories of every column over all rows, from one aggregate."""
+    if not columns:
+        return {}
+    indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}_ix" for c in columns],
+                            stringOrderType="alphabetAsc")
+    return {c: list(v) for c, v in zip(columns, indexer.fit(df).labelsArray)}
 
 
-def encoded(indexer: StringIndexerModel | None, categorical: list[str]) -> dict[str, list[str]]:
-    """Column -> the categories that get a vector position. A column with one value has none."""
-    if indexer is None:
-        return {}
-    return {c: list(labels)[:-1] for c, labels in zip(categorical, indexer.labelsArray)
-            if len(labels) > 1}
+@dataclass(frozen=True)
+class Input:
+    """One position of the feature vector: a number, or one category of a column."""
+
+    column: str
+    category: str | None = None
+
+    @property
+    def name(self) -> str:
+        return self.column if self.category is None else f"{self.column}_{self.category}"
+
+    @property
+    def kind(self) -> str:
+        return "numeric (per 1 SD)" if self.category is None else "one-hot vs baseline"
+
+    def value(self) -> Column:
+        if self.category is None:
+            return F.col(self.column)
+        return F.when(F.col(self.column) == self.category, 1.0).otherwise(0.0)
+
 
+def vector_inputs(numeric: list[str], values: dict[str, list[str]]) -> list[Input]:
+    """Numbers first, then every category but the alphabetically first, the baseline."""
+    return [Input(c) for c in numeric] + [Input(c, v) for c, vs in values.items() for v in vs[1:]]
 
-def design_stages(indexer: StringIndexerModel | None, numeric: list[str],
-                  positions: dict[str, list[str]]) -> list:
-    """One-hot against the alphabetically first category, then one feature vector."""
-    stages = [indexer] if indexer is not None else []
-    if positions:
-        stages.append(OneHotEncoder(inputCols=[f"{c}_ix" for c in positions],
-                                    outputCols=[f"{c}_oh" for c in positions], dropLast=True))
-    return [*stages, VectorAssembler(inputCols=[*numeric, *[f"{c}_oh" for c in positions]],
-                                     outputCol="features")]
+
+def with_vector(df: DataFrame, inputs: list[Input]) -> DataFrame:
+    return df.withColumn("features", array_to_vector(F.array(*[i.value() for i in inputs])))
 
 
 def split_mark(key: str = KEY, seed: int = 42) -> Column:
@@ -99,7 +110,7 @@ def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, share: f
     ranked = global_rank(marks, ["y", "m"], "rank")
     bounds = ranked.groupBy("y").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
     held = F.rint(F.col("n") * share).cast("bigint")
-    last = (ranked.join(F.broadcast(bounds.limit(1000)), "y")
+    last = (join_small(ranked, bounds, ["y"])
             .where((held > 0) & (F.col("rank") == F.col("first") + held - 1))
             .select("y", "m.h", "m.k").collect())  # one row per class
     test = F.lit(False)
@@ -136,27 +147,6 @@ def boosted_model(rounds: int = 300, seed: int = 42) -> GBTClassifier:
                          maxDepth=4, seed=seed)
 
 
-@dataclass(frozen=True)
-class Input:
-    """One position of the feature vector: a number, or one category of a column."""
-
-    column: str
-    category: str | None = None
-
-    @property
-    def name(self) -> str:
-        return self.column if self.category is None else f"{self.column}_{self.category}"
-
-    @property
-    def kind(self) -> str:
-        return "numeric (per 1 SD)" if self.category is None else "one-hot vs baseline"
-
-
-def vector_inputs(numeric: list[str], positions: dict[str, list[str]]) -> list[Input]:
-    """What each vector position stands for, in vector order."""
-    return [Input(c) for c in numeric] + [Input(c, v) for c, vs in positions.items() for v in vs]
-
-
 def linear_score(inputs: list[Input], coefficients: list[float], intercept: float) -> Column:
     """The fitted linear model as one column expression over the prepared columns, so that
     scoring all rows is a projection: no vectors are assembled and no Python runs."""
@@ -187,10 +177,9 @@ def drivers(spark, inputs: list[Input], coefficients: list[float]) -> DataFrame:
 
 @dataclass
 class Design:
-    """Prepared rows, the stages that make their vector, and what the vector means."""
+    """Prepared rows and what each position of their vector means."""
 
     rows: DataFrame
-    stages: list
     inputs: list[Input]
     n_train: int
     n_test: int
@@ -204,18 +193,19 @@ def design(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     rows = stratified_split(inputs, share=share, seed=seed)
     stats, sizes = train_statistics(rows, numeric)
     rows = standardise(rows, stats)
-    indexer = index_categories(rows, categorical)
-    positions = encoded(indexer, categorical)
-    return Design(rows, design_stages(indexer, numeric, positions),
-                  vector_inputs(numeric, positions), *sizes)
+    return Design(rows, vector_inputs(numeric, categories(rows, categorical)), *sizes)
+
+
+def training_rows(d: Design) -> DataFrame:
+    return with_vector(d.rows.where("is_test_row = 0"), d.inputs).select(LABEL, "features")
 
 
 def boosted_metrics(d: Design, rounds: int = 300, seed: int = 42) -> DataFrame:
     """Hold-out metrics of the boosted-tree benchmark."""
-    model = Pipeline(stages=[*d.stages, boosted_model(rounds, seed)]).fit(
-        d.rows.where("is_test_row = 0"))
-    test = cut(model.transform(d.rows.where("is_test_row = 1")).select(
-        KEY, LABEL, vector_to_array("probability")[1].alias(P)))
+    model = boosted_model(rounds, seed).fit(training_rows(d))
+    held = with_vector(d.rows.where("is_test_row = 1"), d.inputs)
+    test = cut(model.transform(held).select(KEY, LABEL,
+                                            vector_to_array("probability")[1].alias(P)))
     auc = E.roc_auc(test, LABEL, P).select("roc_auc").scalar()
     return E.threshold_metrics(test, LABEL, P, 0.5).withColumn("roc_auc_test", round_even(auc, 4))
 
@@ -225,9 +215,7 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     """Fit on the training rows, score all rows, evaluate on the held-out ones."""
     spark = df.sparkSession
     d = design(df, feature_set, share, seed)
-    model = Pipeline(stages=[*d.stages, logistic_model(d.n_train)]).fit(
-        d.rows.where("is_test_row = 0"))
-    fitted = model.stages[-1]
+    fitted = logistic_model(d.n_train).fit(training_rows(d))
     weights = fitted.coefficients.toArray().tolist()
     scores = cut(d.rows.select(KEY, LABEL, linear_score(d.inputs, weights, fitted.intercept).alias(P),
                                "is_test_row"))
@@ -247,7 +235,7 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
         at_half.alias("at_0_50"), at_best.alias("at_best_f1")).select(
         "*", F.col("at_0_50.f1").alias("f1_at_050"), F.col("at_0_50.recall").alias("recall_at_050"),
         F.col("at_best_f1.f1").alias("f1_at_best")))
-    return ModelRun(feature_set, model, metrics,
+    return ModelRun(feature_set, fitted, metrics,
                     drivers(spark, d.inputs, weights),
                     E.decile_lift(test, LABEL, P, KEY), E.roc_points(test, LABEL, P), scores)
 

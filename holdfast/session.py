@@ -22,6 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
+               .config("spark.sql.codegen.cache.maxEntries", "2000")
                .config("spark.ui.enabled", "false"))
     if master:
         builder = builder.master(master)

@@ -116,14 +116,14 @@ def test_fit_is_the_penalised_optimum(frame, run):
     for _ in range(50):
         p = 1 / (1 + np.exp(-X @ w))
         w -= np.linalg.solve((X * (p * (1 - p))[:, None]).T @ X + ridge, X.T @ (p - y) + ridge @ w)
-    fitted = run.model.stages[-1]
+    fitted = run.model
     assert np.allclose(fitted.coefficients.toArray(), w[1:], atol=1e-5)
     assert abs(fitted.intercept - w[0]) < 1e-5
 
 
 def test_column_scores_equal_the_model(frame, run):
     d = P.design(frame)
-    direct = run.model.transform(d.rows).select("customer_id", F.col("prediction").alias("hit"))
+    direct = run.model.transform(P.with_vector(d.rows, d.inputs)).select("customer_id", F.col("prediction").alias("hit"))
     both = run.scores.join(direct, "customer_id")
     assert both.where("cast(p > 0.5 as double) <> hit").count() == 0
 
