@@ -232,9 +232,8 @@ add("c04_text_to_number", lambda s: deduped(s).select(
 
 
 def total_classes(s: Source) -> DataFrame:
-    blank, bad = F.col("total_charges") == "", to_number("total_charges").isNull()
-    kind = F.when(blank, "blank").when(bad, "unparseable").otherwise("ok")
-    return deduped(s).groupBy(kind.alias("kind")).agg(F.count("*").alias("rows"))
+    return C.conform_tagged(s.m.raw).groupBy(F.col("total_class").alias("kind")).agg(
+        F.count("*").alias("rows"))
 
 
 add("c05_total_classes", total_classes, """

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.catalog.registry import Source, add

@@ -33,18 +33,16 @@ def impute_total(total: Column, monthly: Column, tenure: Column) -> Column:
                       monthly * tenure)
 
 
-def _deduped(raw: DataFrame, arrival: str) -> DataFrame:
-    columns = [c for c in raw.columns if c != arrival]
-    named = conform_names(trim_all(raw, columns))
-    return first_per_key(named, ["customer_id"], arrival)
-
+def total_class(text: Column | str) -> Column:
+    """What the total says before imputation: blank, unparseable or ok."""
+    return (F.when(F.col(text) == "", "blank")
+            .when(to_number(text).isNull(), "unparseable").otherwise("ok"))
 
-def conform(raw: DataFrame, arrival: str = "feed_seq") -> DataFrame:
-    """Raw text feed -> 22 typed columns, one row per customer.
 
-    ``arrival`` is the column that says which copy of a customer came first.
-    """
-    df = _deduped(raw, arrival)
+def conform_tagged(raw: DataFrame, arrival: str = "feed_seq") -> DataFrame:
+    """``conform`` plus ``total_class``, which the cleaning report counts."""
+    columns = [c for c in raw.columns if c != arrival]
+    df = first_per_key(conform_names(trim_all(raw, columns)), ["customer_id"], arrival)
     tenure, monthly = to_whole("tenure_months"), to_number("monthly_charges")
     typed = {
         "tenure_months": tenure,
@@ -54,7 +52,16 @@ def conform(raw: DataFrame, arrival: str = "feed_seq") -> DataFrame:
     }
     names = list(K.RAW_TO_CONFORMED.values())
     return df.select(*[typed[c].alias(c) if c in typed else F.col(c) for c in names],
-                     flag(F.col("churn") == "Yes").alias("churn_flag"))
+                     flag(F.col("churn") == "Yes").alias("churn_flag"),
+                     total_class("total_charges").alias("total_class"))
+
+
+def conform(raw: DataFrame, arrival: str = "feed_seq") -> DataFrame:
+    """Raw text feed -> 22 typed columns, one row per customer.
+
+    ``arrival`` is the column that says which copy of a customer came first.
+    """
+    return conform_tagged(raw, arrival).drop("total_class")
 
 
 def unknown_values(df: DataFrame, domains: dict[str, tuple[str, ...]] = K.DOMAINS) -> DataFrame:
@@ -69,24 +76,18 @@ def unknown_values(df: DataFrame, domains: dict[str, tuple[str, ...]] = K.DOMAIN
     return (cells.groupBy("cell.column", "cell.value").agg(F.count("*").alias("rows")))
 
 
-def cleaning_report(raw: DataFrame, arrival: str = "feed_seq") -> DataFrame:
-    """One row of counters over the whole feed."""
-    df = _deduped(raw, arrival)
-    blank = F.col("total_charges") == ""
-    total = to_number("total_charges")
+def cleaning_report(raw: DataFrame, arrival: str = "feed_seq",
+                    tagged: DataFrame | None = None) -> DataFrame:
+    """One row of counters over the whole feed. Pass the stored ``conform_tagged`` frame
+    where there is one, so that the feed is not cleaned again to count it."""
+    df = conform_tagged(raw, arrival) if tagged is None else tagged
+    kind = F.col("total_class")
     kept = df.agg(
         F.count("*").alias("rows_out"),
-        F.sum(flag(blank)).alias("total_charges_blank"),
-        F.sum(flag(total.isNull() & (to_whole("tenure_months") == 0))).alias(
+        F.count_if(kind == "blank").alias("total_charges_blank"),
+        F.count_if((kind != "ok") & (F.col("tenure_months") == 0)).alias(
             "total_charges_imputed_zero"),
-        F.sum(flag(total.isNull())).alias("_null_totals"))
-    seen = raw.agg(F.count("*").alias("rows_in"))
-    names = ["rows_in", "rows_out", "total_charges_blank", "total_charges_imputed_zero",
-             "_null_totals"]
-    both = seen.unionByName(kept, allowMissingColumns=True).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in names])
-    return both.select(
-        "rows_in", "rows_out",
-        (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"),
-        "total_charges_blank", "total_charges_imputed_zero",
-        (F.col("_null_totals") - F.col("total_charges_blank")).alias("total_charges_unparseable"))
+        F.count_if(kind == "unparseable").alias("total_charges_unparseable"))
+    return kept.withColumn("rows_in", raw.select(F.count("*")).scalar()).select(
+        "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"),
+        "total_charges_blank", "total_charges_imputed_zero", "total_charges_unparseable")

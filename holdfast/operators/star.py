@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
-from holdfast.functions.columns import text_ordinal
 from holdfast.operators.joins import join_small
 from holdfast.operators.ordering import global_rank
 from holdfast.session import together
@@ -106,11 +105,3 @@ def network_monthly(t: dict[str, DataFrame]) -> DataFrame:
         F.col("date_index").alias("month_index"), "months_before_snapshot", "churn_flag",
         "internet_service", "dropped_call_pct", "avg_download_mbps", "avg_latency_ms",
         "outage_minutes", "data_usage_gb", "complaints")
-
-
-def calendar_gap(df: DataFrame, month: str = "month") -> DataFrame:
-    """Months between two observed months that no row covers."""
-    seen = df.select(text_ordinal(month).alias("month_ordinal")).distinct()
-    span = seen.agg(F.sequence(F.min("month_ordinal"), F.max("month_ordinal")).alias("all"))
-    return span.select(F.explode("all").alias("month_ordinal")).join(
-        seen, "month_ordinal", "left_anti")

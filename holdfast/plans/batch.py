@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.operators.cleaning import cleaning_report, conform, unknown_values
+from holdfast.operators.cleaning import cleaning_report, conform_tagged, unknown_values
 from holdfast.operators.customer_features import customer_features
 from holdfast.operators.quality import status_counts, utc_stamp
 from holdfast.operators.star import build_star
@@ -47,8 +47,9 @@ def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
         steps.append((run_ts, step, round(time.perf_counter() - began, 2),
                       {k: str(v) for k, v in info.items()}))
 
-    customers, n = _stored(conform(raw, arrival), f"{out}/customers_clean")
-    report = cleaning_report(raw, arrival).first().asDict()
+    tagged, n = _stored(conform_tagged(raw, arrival), f"{out}/customers_clean")
+    report = cleaning_report(raw, arrival, tagged).first().asDict()
+    customers = tagged.drop("total_class")
     unknown = unknown_values(customers).groupBy("column").count()
     report["unknown_values"] = {r["column"]: r["count"] for r in unknown.collect()}
     mark("clean", rows=n, **report)

@@ -33,16 +33,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def _shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or a temp folder in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="holdfast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if sc.applicationId not in _local_folders:
+        _local_folders[sc.applicationId] = tempfile.mkdtemp(prefix="holdfast-")
+    return _local_folders[sc.applicationId]
 
 
 def cut(df: DataFrame) -> DataFrame:
