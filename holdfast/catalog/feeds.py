@@ -138,7 +138,7 @@ add("s08_typed_bulk_load", typed_bulk_load, "SELECT " + ", ".join(
 
 
 def scores_sink(s: Source) -> DataFrame:
-    held = s.m.scored.withColumn("is_test_row", flag(F.col("tenure_months") % 4 == 0))
+    held = s.m.scored.withColumn("is_test_row", flag(F.col("tenure_months") > 72))
     path = writers.write_scores(held, s.scratch("scores"))
     return s.spark.read.schema("customer_id string, churn_flag int, churn_probability double, "
                                "risk_band string, is_test_row int").option("header", True).csv(path)
@@ -146,7 +146,7 @@ def scores_sink(s: Source) -> DataFrame:
 
 add("s09_scores_sink", scores_sink, """
 SELECT customer_id, churn_flag, churn_probability, risk_band,
-  CASE WHEN tenure_months % 4 = 0 THEN 1 ELSE 0 END AS is_test_row FROM scored""")
+  CASE WHEN tenure_months > 72 THEN 1 ELSE 0 END AS is_test_row FROM scored""")
 
 
 def feature_sink(s: Source) -> DataFrame:

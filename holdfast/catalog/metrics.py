@@ -96,16 +96,16 @@ FROM {ORDINAL} a LEFT JOIN {ORDINAL} b ON b.o = a.o - 1""")
 
 def gap_in_calendar(s: Source) -> DataFrame:
     """Without the Februaries, March has no previous month."""
-    return M.month_over_month(s.m.monthly.where("month_key % 100 <> 2"), "lines")
+    return M.month_over_month(s.m.monthly.where("month not like '%-02'"), "lines")
 
 
 LINES = ("(SELECT month, CAST(SUM(lines) AS BIGINT) AS lines, substr(month, 1, 4)::INT * 12 "
-         "+ substr(month, 6, 2)::INT AS o FROM monthly WHERE month_key % 100 <> 2 GROUP BY month)")
+         "+ substr(month, 6, 2)::INT AS o FROM monthly WHERE month NOT LIKE '%-02' GROUP BY month)")
 add("m29b_mom_with_gaps", gap_in_calendar, f"""
 SELECT a.month, a.lines, b.lines AS previous, {div('a.lines - b.lines', 'b.lines')} AS mom_change
 FROM {LINES} a LEFT JOIN {LINES} b ON b.o = a.o - 1""")
 add("m30_outage_rolling_3m", lambda s: M.rolling_months(
-    s.m.monthly.where("month_key % 100 <> 2"), "lines"), f"""
+    s.m.monthly.where("month not like '%-02'"), "lines"), f"""
 SELECT month, lines, {big('SUM(lines) OVER (ORDER BY o RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)')}
   AS rolling_3m FROM {LINES}""")
 
@@ -187,10 +187,10 @@ def _matrix_sql() -> str:
 
 
 add("l05_risk_matrix", lambda s: R.risk_matrix(s.m.scored), _matrix_sql())
-add("l07_drill_through", lambda s: R.call_list(M.slice_by(s.m.scored, risk_band="High"), 50), """
+add("l07_drill_through", lambda s: R.call_list(M.slice_by(s.m.scored, risk_band="High")), """
 SELECT customer_id, contract, tenure_months, monthly_charges, churn_probability, risk_band,
   network_quality_band FROM scored WHERE risk_band = 'High'
-ORDER BY churn_probability DESC, customer_id LIMIT 50""")
+ORDER BY churn_probability DESC, customer_id""")
 add("l08_dq_page", lambda s: R.dq_page(dq(s)), f"""
 SELECT {div(passed, 'COUNT(*)')} AS dq_pass_rate, COUNT(*) AS dq_checks_total,
   MAX(run_ts) AS last_refresh FROM dq""")

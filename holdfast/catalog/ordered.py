@@ -162,10 +162,10 @@ SELECT network_quality_band, COUNT(*) AS n, CAST(CASE network_quality_band WHEN
   WHEN 'Fair' THEN 2 WHEN 'Good' THEN 3 WHEN 'Excellent' THEN 4 END AS INTEGER) AS position
 FROM features GROUP BY network_quality_band""")
 add("k05_sort_by_size", lambda s: s.m.features.where("latency_trend_pct is not null").orderBy(
-    F.abs("latency_trend_pct").desc(), "customer_id").limit(25).select(
+    F.abs("latency_trend_pct").desc(), "customer_id").select(
     "customer_id", "latency_trend_pct"), """
 SELECT customer_id, latency_trend_pct FROM features WHERE latency_trend_pct IS NOT NULL
-ORDER BY abs(latency_trend_pct) DESC, customer_id LIMIT 25""")
+ORDER BY abs(latency_trend_pct) DESC, customer_id""")
 add("k06_arg_max_with_ties", lambda s: s.t("orders").groupBy("o_orderpriority").agg(
     F.max(F.struct("o_totalprice", "o_orderkey")).alias("b")).select(
     "o_orderpriority", "b.o_totalprice", "b.o_orderkey"), """

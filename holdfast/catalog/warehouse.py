@@ -166,12 +166,12 @@ def _constraint_sql() -> str:
 
 add("q13_schema_constraints", schema_constraints, _constraint_sql())
 add("q14_load_reconciliation", lambda s: Q.load_reconciliation(
-    {**s.star, "dim_customer": s.star["dim_customer"].where("customer_key % 2 = 0")}), """
-SELECT 'dim_customer' AS tbl, COUNT(*) AS rows_ FROM dim_customer WHERE customer_key % 2 = 0
+    {**s.star, "dim_customer": s.star["dim_customer"].where("gender = 'Male'")}), """
+SELECT 'dim_customer' AS tbl, COUNT(*) AS rows_ FROM dim_customer WHERE gender = 'Male'
 UNION ALL SELECT 'fact_customer', COUNT(*) FROM fact_customer
 UNION ALL SELECT 'fact_network_monthly', COUNT(*) FROM fact_network_monthly
 UNION ALL SELECT 'orphan_network_rows', COUNT(*) FROM fact_network_monthly n
-  LEFT JOIN (SELECT * FROM dim_customer WHERE customer_key % 2 = 0) d
+  LEFT JOIN (SELECT * FROM dim_customer WHERE gender = 'Male') d
     ON d.customer_key = n.customer_key WHERE d.customer_key IS NULL""")
 
 # -- dimensional model ------------------------------------------------------------------
@@ -210,30 +210,30 @@ JOIN dim_services s ON s.services_key = f.services_key""")
 
 
 def stale_target(s: Source) -> DataFrame:
-    """Fact whose scores are partly missing and partly old."""
-    n = F.substring("customer_id", 2, 20).cast("bigint") % 3
-    p = F.col("churn_probability")
+    """Fact whose scores are missing for cheap customers, old for dear ones, else current."""
+    band, p = F.col("revenue_band"), F.col("churn_probability")
     return s.star["fact_customer"].withColumns({
-        "churn_probability": F.when(n == 1, round_even(p / 2, 4)).when(n == 2, p),
-        "risk_band": F.when(n == 1, F.lit("Low")).when(n == 2, F.col("risk_band"))})
+        "churn_probability": F.when(band == "Premium", round_even(p / 2, 4)).when(band != "Low", p),
+        "risk_band": F.when(band == "Premium", "Low").when(band != "Low", F.col("risk_band"))})
 
 
 def updates(s: Source) -> DataFrame:
-    even = F.substring("customer_id", 2, 20).cast("bigint") % 2 == 0
-    return s.m.scored.where(even).select("customer_id", "churn_probability", "risk_band")
+    """Scores of the customers who have internet."""
+    return s.m.scored.where("has_internet = 1").select("customer_id", "churn_probability",
+                                                       "risk_band")
 
 
-_n3 = "CAST(substr(customer_id, 2) AS BIGINT) % 3"
-_n2 = "CAST(substr(customer_id, 2) AS BIGINT) % 2"
-MERGED = f"""
+MERGED = """
 SELECT customer_id, CASE WHEN changed THEN new_p ELSE old_p END AS churn_probability,
   CASE WHEN changed THEN new_b ELSE old_b END AS risk_band, changed
 FROM (SELECT *, COALESCE(matched AND (old_p IS NULL OR old_p <> new_p OR old_b <> new_b), false)
         AS changed
-  FROM (SELECT customer_id, {_n2} = 0 AS matched, churn_probability AS new_p, risk_band AS new_b,
-          CASE {_n3} WHEN 1 THEN round_even(churn_probability / 2 * 1e4, 0) / 1e4
-                     WHEN 2 THEN churn_probability END AS old_p,
-          CASE {_n3} WHEN 1 THEN 'Low' WHEN 2 THEN risk_band END AS old_b FROM scored))"""
+  FROM (SELECT customer_id, has_internet = 1 AS matched, churn_probability AS new_p,
+          risk_band AS new_b,
+          CASE WHEN revenue_band = 'Premium' THEN round_even(churn_probability / 2 * 1e4, 0) / 1e4
+               WHEN revenue_band <> 'Low' THEN churn_probability END AS old_p,
+          CASE WHEN revenue_band = 'Premium' THEN 'Low'
+               WHEN revenue_band <> 'Low' THEN risk_band END AS old_b FROM scored))"""
 
 
 def merged(s: Source) -> DataFrame:

@@ -146,9 +146,10 @@ def payment_internet_matrix(df: DataFrame) -> DataFrame:
                        list(K.DOMAINS["internet_service"]))
 
 
-def call_list(df: DataFrame, n: int = 100) -> DataFrame:
-    """Customers to call first."""
-    return df.orderBy(F.col("churn_probability").desc_nulls_last(), "customer_id").limit(n).select(
+def call_list(df: DataFrame, n: int | None = None) -> DataFrame:
+    """Customers by falling risk; the first ``n`` of them where a number is given."""
+    ranked = df.orderBy(F.col("churn_probability").desc_nulls_last(), "customer_id")
+    return (ranked if n is None else ranked.limit(n)).select(
         "customer_id", "contract", "tenure_months", "monthly_charges", "churn_probability",
         "risk_band", "network_quality_band")
 
