@@ -97,12 +97,13 @@ QUALITY_COMPONENTS = {
     "network_complaints": (0.0, 4.0, False),
 }
 
-# declared decimal places; sums over these columns run on whole units of the
-# last place, so they do not depend on row order or partitioning
+# decimal places that count in sums: sums over these columns run on whole units of the
+# last place, so they do not depend on row order or partitioning. Telemetry readings
+# keep one place more than any feed declares; bigint sums hold for 10^12 rows.
 DECIMALS: dict[str, int] = {
     "monthly_charges": 2, "total_charges": 2, "lifetime_avg_monthly": 2, "charge_ratio": 3,
-    "dropped_call_pct": 3, "avg_download_mbps": 2, "avg_latency_ms": 2, "outage_minutes": 0,
-    "data_usage_gb": 2, "complaints": 0, "avg_dropped_call_pct": 2, "total_outage_minutes": 0,
+    "dropped_call_pct": 4, "avg_download_mbps": 4, "avg_latency_ms": 4, "outage_minutes": 0,
+    "data_usage_gb": 4, "complaints": 0, "avg_dropped_call_pct": 2, "total_outage_minutes": 0,
     "avg_data_usage_gb": 2, "network_complaints": 0, "l3m_dropped_call_pct": 2,
     "l3m_download_mbps": 2, "l3m_latency_ms": 2, "l3m_outage_minutes": 0, "l3m_complaints": 0,
     "dropped_call_trend_pp": 3, "latency_trend_pct": 1, "download_trend_pct": 1,

@@ -21,8 +21,13 @@ from holdfast.operators.cleaning import unknown_values
 from holdfast.operators.joins import orphan_count
 from holdfast.session import cut, literal_rows
 
+# Statuses and texts of the results table
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 LISTED_VALUES = 10
+NO_EXPECTED_COUNT = "no expected count configured"
+COUNT_DIFFERS = "row count differs from the published dataset size"
+TOTALS_NOTE = "large deviations usually mean plan changes, not bad data"
+ORPHAN_NOTE = "every KPI row must belong to a known customer"
 RESULT_COLUMNS = ["check_name", "table", "status", "observed", "expectation", "details"]
 
 
@@ -68,9 +73,9 @@ class RowCount(Check):
 
     def verdict(self, m):
         if self.expected is None:
-            return F.lit(PASS), m.cast("string"), "> 0", F.lit("no expected count configured")
+            return F.lit(PASS), m.cast("string"), "> 0", F.lit(NO_EXPECTED_COUNT)
         ok = m == self.expected
-        note = F.when(ok, "").otherwise("row count differs from the published dataset size")
+        note = F.when(ok, "").otherwise(COUNT_DIFFERS)
         return _status(ok, WARN), m.cast("string"), f"== {self.expected}", note
 
 
@@ -130,7 +135,7 @@ class TotalsReconcile(Check):
     def verdict(self, m):
         observed = F.concat(percent_text(m), F.lit(f" rows deviate > {self.tolerance:.0%}"))
         return (_status(m <= self.max_share, WARN), observed, f"<= {self.max_share:.0%} rows",
-                F.lit("large deviations usually mean plan changes, not bad data"))
+                F.lit(TOTALS_NOTE))
 
 
 @dataclass(frozen=True)
@@ -179,7 +184,7 @@ class ForeignKey:
     table: str
     key: str
     parent: str
-    note: str = "every KPI row must belong to a known customer"
+    note: str = ORPHAN_NOTE
 
     def check_name(self):
         return f"fk_{self.key}_exists"

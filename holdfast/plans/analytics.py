@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from holdfast import contract as K
 from holdfast.functions.columns import exact_avg, exact_sum, pct, round_up
 from holdfast.operators.ordering import ntile
 
@@ -30,8 +31,7 @@ def _cents() -> Column:
 
 
 def _mean(c: str, places: int) -> Column:
-    decimals = {"monthly_charges": 2, "dropped_call_pct": 3, "churn_probability": 4}
-    return round_up(exact_avg(c, decimals.get(c, 2)), places)
+    return round_up(exact_avg(c, K.DECIMALS[c]), places)
 
 
 def churn_by_contract(t: Star) -> DataFrame:
