@@ -1,8 +1,8 @@
-"""Stored mart per table folder: built once per application, read by every query."""
+"""Stored mart per table folder: each stage is built once per application, when first read."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,41 +11,53 @@ from holdfast.operators.customer_features import customer_features
 from holdfast.operators.star import build_star
 from holdfast.operators.telemetry import telemetry_features
 from holdfast.plans import bindings
-from holdfast.session import scratch_path, together
+from holdfast.session import scratch_path
 from holdfast.sources.writers import write_parquet, write_star
 
 
-@dataclass
 class Mart:
-    raw: DataFrame
-    customers: DataFrame
-    kpis: DataFrame
-    monthly: DataFrame
-    features: DataFrame
-    scored: DataFrame
-    star: dict[str, DataFrame]
+    """Every stage is parquet below the shared folder, so that later stages and queries
+    start from files and a lost executor costs at most the running step."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.tables = bindings.tables_at(spark, sf_dir)
+        self.root = scratch_path(spark, "mart")
 
-_built: dict[tuple[str, str], Mart] = {}
+    def _store(self, df: DataFrame, name: str) -> DataFrame:
+        return write_parquet(df, f"{self.root}/{name}")
 
+    @cached_property
+    def raw(self) -> DataFrame:
+        return self._store(bindings.raw_feed(self.tables), "raw")
 
-def build(spark: SparkSession, sf_dir: str) -> Mart:
-    """Bind the tables, store every stage as parquet below the shared folder."""
-    t, root = bindings.tables_at(spark, sf_dir), scratch_path(spark, "mart")
-    feeds = {"raw": bindings.raw_feed, "kpis": bindings.telemetry, "monthly": bindings.monthly}
-    stored = together(spark, {n: lambda n=n, feed=feed: write_parquet(feed(t), f"{root}/{n}")
-                              for n, feed in feeds.items()})
-    raw, kpis, monthly = stored["raw"], stored["kpis"], stored["monthly"]
-    customers = write_parquet(conform(raw), f"{root}/customers")
-    features = write_parquet(telemetry_features(customer_features(customers), kpis),
-                             f"{root}/features")
-    scored = write_parquet(bindings.rule_scores(features), f"{root}/scored")
-    star = write_star(build_star(scored, kpis), f"{root}/star")
-    return Mart(raw, customers, kpis, monthly, features, scored, star)
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._store(conform(self.raw), "customers")
+
+    @cached_property
+    def kpis(self) -> DataFrame:
+        return self._store(bindings.telemetry(self.tables), "kpis")
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return self._store(bindings.monthly(self.tables), "monthly")
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return self._store(telemetry_features(customer_features(self.customers), self.kpis),
+                           "features")
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return self._store(bindings.rule_scores(self.features), "scored")
+
+    @cached_property
+    def star(self) -> dict[str, DataFrame]:
+        return write_star(build_star(self.scored, self.kpis), f"{self.root}/star")
+
+
+_marts: dict[tuple[str, str], Mart] = {}
 
 
 def mart(spark: SparkSession, sf_dir: str) -> Mart:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        _built[key] = build(spark, sf_dir)
-    return _built[key]
+    return _marts.setdefault((spark.sparkContext.applicationId, sf_dir), Mart(spark, sf_dir))
