@@ -11,7 +11,7 @@ sequences each on average, which sorts no document or copy group into one task,
 a fixed order, so a packer that is run again gives the same rows.
 
 Tokenizing: the tokenizer drops white space and never joins characters over it, so ids of a text are the ids of
-its blank-separated chunks in turn. Chunks repeat; each worker keeps the ids of up to ``CACHED`` chunks.
+its blank-separated chunks in turn. Chunks repeat; each worker keeps the ids of twice ``CACHED`` chunks at most.
 
 Defined results: a NULL or empty text is the end id alone. Repeated rows are packed each. An empty
 table gives no rows. Other columns are ignored.
@@ -19,7 +19,9 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
+import struct
 import zlib
 from collections import defaultdict
 
@@ -33,45 +35,60 @@ from holdfast.llm.common import digest, map_arrow, on_workers, small_file, store
 LENGTH = 2048
 OPEN = 256
 PER_PACKER = 16384
-CACHED = 300_000
+CACHED = 400_000
 VOCABULARY = "word_bpe_49k.json"
 
 #: str.split() also splits at these, which are no white space to the tokenizer.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 _CHUNK = re.compile(r"[^ \t\n\r]+")
-_tokenizers: dict[str, tuple] = {}
+#: A chunk of Latin letters and marks after them: the tokenizer splits there as well.
+_WORD_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?#*$%&|]+)")
+_chunks: dict[str, Chunks] = {}
 
 
-def _tokenizer(vocabulary: bytes, key: str) -> tuple:
-    """The tokenizer and its chunk cache, kept by the worker process."""
-    if key not in _tokenizers:
-        import os
+class Chunks(dict):
+    """Ids of chunks as little-endian unsigned 32-bit integers, made when they are first asked for.
 
+    Holds two generations of at most ``CACHED`` chunks: a full one grows old, and what is asked for again
+    moves to the new one.
+    """
+
+    def __init__(self, vocabulary: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _tokenizers[key] = (Tokenizer.from_str(vocabulary.decode()), {})
-    return _tokenizers[key]
-
-
-def encoded(text: str | None, tokenizer, cache: dict[str, bytes]) -> bytes:
-    """Ids of the text as little-endian unsigned 32-bit integers."""
-    text = text or ""
-    chunks = _CHUNK.findall(text) if _CONTROLS.search(text) else text.split()
-    try:
-        return b"".join([cache[c] for c in chunks])
-    except KeyError:
-        new = [c for c in dict.fromkeys(chunks) if c not in cache]
-        own = {}
-        for chunk, found in zip(new, tokenizer.encode_batch(new, add_special_tokens=False)):
-            own[chunk] = b"".join(i.to_bytes(4, "little") for i in found.ids)
-        if len(cache) + len(own) > CACHED:
-            own |= {c: cache[c] for c in set(chunks) if c in cache}
-            cache.clear()
-        if len(own) <= CACHED:
-            cache.update(own)
-            return b"".join([cache[c] for c in chunks])
-        return b"".join([own[c] for c in chunks])
+        super().__init__()
+        self.encode = Tokenizer.from_str(vocabulary.decode()).encode
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            parts = _WORD_MARKS.fullmatch(chunk)
+            if parts:
+                ids = self[parts[1]] + self[parts[2]]
+            else:
+                found = self.encode(chunk, add_special_tokens=False).ids
+                ids = struct.pack(f"<{len(found)}I", *found)
+        if len(chunk) <= 64:
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+    def encoded(self, text: str | None) -> bytes:
+        """Ids of a whole text."""
+        text = text or ""
+        chunks = _CHUNK.findall(text) if _CONTROLS.search(text) else text.split()
+        return b"".join(map(self.__getitem__, chunks))
+
+
+def chunks_of(vocabulary: bytes, key: str) -> Chunks:
+    """Tokenizer and cache, kept by the worker process."""
+    if key not in _chunks:
+        _chunks[key] = Chunks(vocabulary)
+    return _chunks[key]
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -83,12 +100,12 @@ def pieces(docs: DataFrame, vocabulary: bytes, length: int = LENGTH, end: int =
     key = digest(vocabulary)
 
     def cut(batches):
-        tokenizer, cache = _tokenizer(sent.value, key)
+        chunks = chunks_of(sent.value, key)
         last = end.to_bytes(4, "little")
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = encoded(text.as_py(), tokenizer, cache) + last
+                ids = chunks.encoded(text.as_py()) + last
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at:at + 4 * length]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
