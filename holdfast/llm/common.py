@@ -65,3 +65,13 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this library on the workers' path."""
     on_workers(df.sparkSession)
     return df.mapInArrow(function, schema)
+
+
+def semi(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi",
+         most_rows: int = 1_000_000) -> DataFrame:
+    """``df`` with (or without, ``left_anti``) the keys in ``ids``, a stored table of one integer column.
+
+    Up to ``most_rows`` keys (counted) are broadcast, so that ``df`` needs no shuffle; more are joined.
+    """
+    few = ids.limit(most_rows + 1).count() <= most_rows
+    return df.join(F.broadcast(ids) if few else ids, key, how)

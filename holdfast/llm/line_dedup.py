@@ -24,13 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import BLANK, WORD, let, stored, table
+from holdfast.llm.common import BLANK, WORD, let, semi, stored, table
 from holdfast.llm.components import components
 
 SHINGLE = 7
 BANDS, ROWS = 10, 3
 BLOCK = 256
-SMALL_ROWS = 1_000_000  # ids that are broadcast at most (8 bytes each)
 
 
 def normal(line: Column) -> Column:
@@ -77,9 +76,8 @@ def buckets(different: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, line`` of the wanted ids; a small id list is broadcast after its rows are counted."""
-    few = ids.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
-    wanted = lines_of(docs).select("id", "line").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    """``id, line`` of the wanted ids."""
+    wanted = semi(lines_of(docs).select("id", "line"), ids, "id")
     return wanted.groupBy("id").agg(F.first("line").alias("line"))
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_arrow, on_workers, stored, table
+from holdfast.llm.common import map_arrow, on_workers, semi, stored, table
 from holdfast.llm.components import components
 
 WORDS = 5
@@ -235,9 +235,9 @@ def join(docs: DataFrame, n: int = WORDS, similarity: Fraction = SIMILARITY,
     buckets = (dealt.groupBy("bucket").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
                .filter("m > 1"))
     members = stored(dealt.join(buckets, "bucket"), "members")
-    wanted = members.select("doc_id").distinct()
+    wanted = stored(members.select("doc_id").distinct(), "wanted")
     held = reps.join(wanted, "doc_id", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = semi(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), wanted, "doc_id")
     sets = stored(_with_grams(texts.join(held, "doc_id"), n).dropDuplicates(["doc_id"]), "sets")
 
     p, q = similarity.numerator, similarity.denominator
@@ -282,7 +282,7 @@ def firsts(docs: DataFrame, **options) -> DataFrame:
     """The documents without those that belong to the class of a smaller doc_id."""
     found = join(docs, **options)
     rest = stored(found.filter("doc_id != class_id").select("doc_id").distinct(), "repeats")
-    return docs.join(rest, "doc_id", "left_anti").select(docs.columns)
+    return semi(docs, rest, "doc_id", "left_anti").select(docs.columns)
 
 
 # ---------------------------------------------------------------- query
