@@ -27,9 +27,10 @@ MIN_WINDOWS = 6
 LITERAL_PCT = 60  # a window says something if this share of its tokens are words
 MOST_WINDOWS = 500_000
 #: A word that begins a sentence, a name of capitalised words, a number, another word.
-TOKEN = (r"[.!?…\n][^\p{L}\p{N}]*\p{L}+|\p{Lu}\p{L}*(?:\x20\p{Lu}\p{L}*)*"
+TOKEN = (r"[.!?…\n][^\p{L}\p{N}]*\p{L}+|\p{Lu}\p{Ll}\p{L}*(?:\x20\p{Lu}\p{Ll}\p{L}*)*"
          r"|[0-9]+(?:[.,][0-9]+)*|\p{L}+")
 SENTENCE = ".!?…\n"
+NAME = r"^\p{Lu}\p{Ll}"  # words in capitals and single capitals are no names
 #: Fixed list of units.
 UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres "
          "kilometer kilometers mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces "
@@ -53,7 +54,7 @@ def template(raw: Column) -> Column:
         return let(_first(token), lambda c: (
             F.when(c.between("0", "9"), "<num>")
             .when(c.isin(*SENTENCE), F.lower(F.regexp_extract(token, r"\p{L}+$", 0)))
-            .when((c != F.lower(c)) & (i > 0), "<name>")
+            .when((c != F.lower(c)) & (i > 0) & token.rlike(NAME), "<name>")
             .when(token.isin(*UNITS) & (i > 0) & _first(F.get(raw, i - 1)).between("0", "9"), "<unit>")
             .otherwise(F.lower(token))))
 
@@ -171,7 +172,7 @@ def leaks_sql(docs: str, benchmark: str = "benchmark") -> str:
         return rf"""list_transform(range(len({raw})), lambda i: case
           when {c} between '0' and '9' then '<num>'
           when {c} in ('.', '!', '?', '…', chr(10)) then lower(regexp_extract({raw}[i + 1], '\p{{L}}+$'))
-          when {c} <> lower({c}) and i > 0 then '<name>'
+          when {c} <> lower({c}) and i > 0 and regexp_matches({raw}[i + 1], '{NAME}') then '<name>'
           when {raw}[i + 1] in ({units}) and i > 0 and ({raw}[i])[1] between '0' and '9' then '<unit>'
           else lower({raw}[i + 1]) end)"""
 
