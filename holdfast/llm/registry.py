@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from holdfast.llm import line_dedup, line_rules, ngram_join, packing, pii, templates, token_counts, url_rules
+from holdfast.llm import line_dedup, line_rules, ngram_join, packing, pii, templates, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op2_line_rules": line_rules.op2_line_rules,
     "op3_pii_spans": pii.op3_pii_spans,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_url_rules": url_rules.op5_url_rules,
+    "op6_toxicity_cnn": toxicity.op6_toxicity_cnn,
     "op7_template_decontamination": templates.op7_template_decontamination,
     "op8_ngram_jaccard_join": ngram_join.op8_ngram_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
@@ -17,6 +18,7 @@ QUERIES = {
 
 ORACLES = {
     "op2_line_rules": line_rules.SQL,
+    "op6_toxicity_cnn": toxicity.op6_toxicity_cnn,
     "op7_template_decontamination": templates.SQL,
 }
 
