@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from holdfast.llm import line_dedup, line_rules, ngram_join, packing, pii, templates, token_counts, toxicity, url_rules
+from holdfast.llm import line_dedup, line_rules, ngram_join, packing, pii, templates, token_counts, tool_calls, toxicity, url_rules
 
 QUERIES = {
+    "op1_tool_call_linking": tool_calls.op1_tool_call_linking,
     "op2_line_rules": line_rules.op2_line_rules,
     "op3_pii_spans": pii.op3_pii_spans,
     "op4_token_counts": token_counts.op4_token_counts,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_tool_call_linking": tool_calls.SQL,
     "op2_line_rules": line_rules.SQL,
     "op6_toxicity_cnn": toxicity.op6_toxicity_cnn,
     "op7_template_decontamination": templates.SQL,
