@@ -41,8 +41,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: str.split() also splits at these, which are no white space to the tokenizer.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 _CHUNK = re.compile(r"[^ \t\n\r]+")
-#: A chunk of Latin letters and marks after them: the tokenizer splits there as well.
-_WORD_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([.,;:!?#*$%&|]+)")
+#: A chunk of Latin letters and marks after them: the tokenizer splits there as well. (Not with U+0130, whose
+#: small form ends in a mark.)
+_WORD_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,;:!?#*$%&|]+)")
 _chunks: dict[str, Chunks] = {}
 
 
