@@ -27,7 +27,7 @@ FURNITURE = (
     "subscribe to", "skip to content", "share this", "licensed under", "released under the",
     "this work is licensed",
 )
-ENDINGS = ".!?:;…\"'”’»)]"
+SENTENCE_MARK = "[.!?;:…]"  # a line of prose has one
 
 
 @dataclass(frozen=True)
@@ -65,8 +65,7 @@ def bad_line(line: Column, rules: LineRules) -> Column:
     chars, symbols, seps = solid(line), _without(line, SYMBOLS), _without(line, SEPARATORS)
     phrases = "|".join(FURNITURE)
     cheap = ((symbols * 100 > chars * rules.symbol_pct)
-             | ~F.rtrim(F.translate(line, BLANK, " ")).rlike(
-                 "[" + "".join("\\" + c if c in "]" else c for c in ENDINGS) + "]$")
+             | ~line.rlike(SENTENCE_MARK)
              | ((chars >= rules.shout_chars) & line.rlike(r"\p{Lu}{2}") & ~line.rlike(r"\p{Ll}"))
              | ((F.length(line) <= rules.furniture_chars) & F.lower(line).rlike(phrases)))
     by_words = let(words_of(line), lambda w: (
@@ -171,7 +170,6 @@ def lines_sql(docs: str, rules: LineRules = LineRules()) -> str:
     """CTEs ``ln`` (lines with verdict) and ``cleaned`` (clean text) over the relation ``docs``."""
     ws, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]+"
     phrases = "|".join(FURNITURE)
-    quote = lambda s: s.replace("'", "''")
     return rf"""
 ln0 as (select doc_id, coalesce(text, '') as whole,
           unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -183,7 +181,7 @@ ln1 as (select doc_id, k, line, regexp_matches(line, '{word}') as worded,
           regexp_extract_all(line, '{word}') as w from ln0),
 ln as (select doc_id, k, line, worded, worded and (
           symbols * 100 > chars * {rules.symbol_pct}
-          or not regexp_matches(line, '{quote(_sql_class(ENDINGS))}{ws}*$')
+          or not regexp_matches(line, '{SENTENCE_MARK}')
           or (chars >= {rules.shout_chars} and regexp_matches(line, '\p{{Lu}}{{2}}')
               and not regexp_matches(line, '\p{{Ll}}'))
           or (len(line) <= {rules.furniture_chars} and regexp_matches(lower(line), '{phrases}'))
