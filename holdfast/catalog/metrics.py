@@ -104,7 +104,11 @@ LINES = ("(SELECT month, CAST(SUM(lines) AS BIGINT) AS lines, substr(month, 1, 4
 add("m29b_mom_with_gaps", gap_in_calendar, f"""
 SELECT a.month, a.lines, b.lines AS previous, {div('a.lines - b.lines', 'b.lines')} AS mom_change
 FROM {LINES} a LEFT JOIN {LINES} b ON b.o = a.o - 1""")
-add("m30_outage_rolling_3m", lambda s: M.rolling_months(
+add("m30_outage_rolling_3m", lambda s: M.rolling_months(s.m.monthly), f"""
+SELECT month, outage_minutes,
+  {big('SUM(outage_minutes) OVER (ORDER BY o RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)')} AS rolling_3m
+FROM {ORDINAL}""")
+add("m30b_rolling_with_gaps", lambda s: M.rolling_months(
     s.m.monthly.where("month not like '%-02'"), "lines"), f"""
 SELECT month, lines, {big('SUM(lines) OVER (ORDER BY o RANGE BETWEEN 2 PRECEDING AND CURRENT ROW)')}
   AS rolling_3m FROM {LINES}""")

@@ -236,33 +236,67 @@ add("g15_band_summary", lambda s: s.m.scored.groupBy("risk_band").agg(
 SELECT risk_band, COUNT(*) AS customers, AVG(churn_flag) AS actual_churn,
   {xavg('churn_probability', 4)} AS avg_prob, {xsum('monthly_charges', 2)} AS mrr
 FROM scored GROUP BY risk_band""")
-add("g16_column_profile", lambda s: P.profile(s.m.features))
-TOP = ["contract", "internet_service", "payment_method", "gender"]
-add("g16b_top_values", lambda s: P.top_values(s.m.customers, TOP), " UNION ALL ".join(
-    f"SELECT * FROM (SELECT '{c}' AS \"column\", {c} AS top, COUNT(*) AS freq FROM clean "
-    f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY freq DESC, top LIMIT 1)" for c in TOP))
-_bin = "CAST(least(floor((CAST(tenure_months AS DOUBLE) - 0) / 2e0) + 1, 36) AS BIGINT)"
-add("g17_histogram", lambda s: P.histogram(s.m.customers, "tenure_months", "churn", 0.0, 72.0, 36),
-    f"""
-SELECT bin, (bin - 1) * 2e0 AS bin_start, churn, COUNT(*) AS rows
-FROM (SELECT {_bin} AS bin, churn FROM clean WHERE tenure_months BETWEEN 0 AND 72)
-GROUP BY bin, churn""")
+EVERY = [*K.RAW_TO_CONFORMED.values(), "churn_flag"]
+NUMBERS = ["tenure_months", "monthly_charges", "total_charges", "churn_flag"]
+
+
+def column_profile(s: Source) -> DataFrame:
+    p = P.profile(s.m.customers)
+    return p.select(*[round_even(c, 6).alias(c) if c in ("mean", "std") else F.col(c) for c in p.columns])
+
+
+def _profile_sql(c: str) -> str:
+    number, none = c in NUMBERS, "CAST(NULL AS DOUBLE)"
+    v = f"CAST({c} AS DOUBLE)"
+    stats = ([rhe(f"AVG({v})", 6), rhe(f"STDDEV({v})", 6), f"MIN({v})", f"quantile_cont({v}, 0.25)",
+              f"median({v})", f"quantile_cont({v}, 0.75)", f"MAX({v})"] if number else [none] * 7)
+    top = ("CAST(NULL AS VARCHAR)", "CAST(NULL AS BIGINT)") if number else tuple(
+        f"(SELECT {x} FROM (SELECT {c} AS v, COUNT(*) AS n FROM clean WHERE {c} IS NOT NULL "
+        f"GROUP BY {c} ORDER BY n DESC, v LIMIT 1))" for x in ("v", "n"))
+    names = ("mean", "std", "min", "q1", "median", "q3", "max")
+    return (f"SELECT '{c}' AS \"column\", COUNT({c}) AS non_null, COUNT(DISTINCT {c}) AS \"distinct\", "
+            f"{top[0]} AS top, {top[1]} AS freq, "
+            + ", ".join(f"{x} AS \"{n}\"" for x, n in zip(stats, names)) + " FROM clean")
+
+
+add("g16_column_profile", column_profile, " UNION ALL ".join(map(_profile_sql, EVERY)))
+add("g16b_top_values", lambda s: P.top_values(s.m.customers, EVERY), " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS top, COUNT(*) AS freq FROM clean "
+    f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY freq DESC, top LIMIT 1)" for c in EVERY))
+
+
+def _binned(c: str, bins: int) -> str:
+    """Rows of the clean feed with their bin over the observed range."""
+    return (f"(SELECT CAST(least(floor((v - lo) / ((hi - lo) / {bins}e0)) + 1, {bins}) AS BIGINT) AS bin, "
+            f"churn, v, lo, hi FROM (SELECT CAST({c} AS DOUBLE) AS v, churn, "
+            f"(SELECT CAST(MIN({c}) AS DOUBLE) FROM clean) AS lo, "
+            f"(SELECT CAST(MAX({c}) AS DOUBLE) FROM clean) AS hi FROM clean) WHERE v IS NOT NULL)")
+
+
+add("g17_histogram", lambda s: P.histogram(s.m.customers, "tenure_months", "churn", 36), f"""
+SELECT bin, lo + (bin - 1) * ((hi - lo) / 36e0) AS bin_start, churn, COUNT(*) AS rows
+FROM {_binned('tenure_months', 36)} GROUP BY bin, churn, lo, hi""")
 
 
 def density_rounded(s: Source) -> DataFrame:
-    d = P.density(s.m.customers, "monthly_charges", "churn", 0.0, 200.0, 50, 41, 10.0)
-    return d.select("churn", "point", "x", round_even("density", 9).alias("density"))
+    d = P.density(s.m.customers, "monthly_charges", "churn")
+    return d.select("churn", "point", round_even("x", 6).alias("x"),
+                    round_even("density", 9).alias("density"))
 
 
 add("g18_density_curve", density_rounded, f"""
-SELECT churn, CAST(point AS INTEGER) AS point, 0e0 + point * 5e0 AS x,
-  {rhe('''SUM(exp(-0.5e0 * pow((point * 5e0 - ((bin - 1) * 4e0 + 2e0)) / 10e0, 2))
-       / (10e0 * 2.5066282746310002e0) * rows) / SUM(rows)''', 9)} AS density
-FROM (SELECT CAST(least(floor(monthly_charges / 4e0) + 1, 50) AS BIGINT) AS bin, churn,
-             COUNT(*) AS rows
-      FROM clean WHERE monthly_charges BETWEEN 0 AND 200 GROUP BY 1, 2),
-     (SELECT unnest(range(0, 41)) AS point)
-GROUP BY churn, point""")
+SELECT churn, CAST(point AS INTEGER) AS point, {rhe('x', 6)} AS x,
+  {rhe('SUM(exp(-0.5e0 * pow((x - centre) / width, 2)) / (width * 2.5066282746310002e0) * rows) / SUM(rows)', 9)}
+    AS density
+FROM (SELECT h.churn, point, width, rows, lo0 + (bin - 1) * ((hi0 - lo0) / 512e0) + (hi0 - lo0) / 512e0 / 2
+          AS centre, o.lo - 3 * width + point * ((o.hi - o.lo + 6 * width) / 199e0) AS x
+      FROM (SELECT bin, churn, lo AS lo0, hi AS hi0, COUNT(*) AS rows
+            FROM {_binned('monthly_charges', 512)} GROUP BY ALL) h
+      JOIN (SELECT churn, MIN(monthly_charges) AS lo, MAX(monthly_charges) AS hi,
+              {rhe('STDDEV(monthly_charges) * pow(COUNT(*), -0.2e0)', 6)} AS width
+            FROM clean GROUP BY churn) o ON o.churn = h.churn,
+      (SELECT unnest(range(0, 200)) AS point) WHERE width > 0)
+GROUP BY churn, point, x""")
 add("g19_box_summary", lambda s: P.box_summary(
     s.m.features, "avg_latency_ms", ["internet_service", "churn"]), """
 SELECT internet_service, churn, MIN(avg_latency_ms) AS min,

@@ -374,7 +374,7 @@ def checks_sql(customers: str = "features", kpis: str = "kpis", run_ts: str = ""
             "'no expected count configured'", f"(SELECT COUNT(*) AS n FROM {customers})")
     else:
         add("row_count", t, f"CASE WHEN n = {expected} THEN 'PASS' ELSE 'WARN' END",
-            "CAST(n AS VARCHAR)", f"'== {expected}'",
+            "CAST(n AS VARCHAR)", f"'== ' || CAST({expected} AS VARCHAR)",
             f"CASE WHEN n = {expected} THEN '' ELSE 'row count differs from the published dataset size' END",
             f"(SELECT COUNT(*) AS n FROM {customers})")
 

@@ -36,8 +36,11 @@ def of_kind(kind: type) -> list:
     return [r for r in Q.customer_rules() + Q.telemetry_rules() if isinstance(r, kind)]
 
 
-add("q01_row_count", lambda s: checks(s, [Q.RowCount("customers", 7043)]), f"""
-SELECT {COLS} FROM ({checks_sql(expected='7043')}) WHERE check_name = 'row_count'""")
+add("q01_row_count", lambda s: checks(s, [Q.RowCount("customers", s.t("customer").count())]), f"""
+SELECT {COLS} FROM ({checks_sql(expected='(SELECT COUNT(*) FROM customer)')}) WHERE check_name = 'row_count'""")
+add("q01b_row_count_warns", lambda s: checks(s, [Q.RowCount("customers", s.t("customer").count() + 1)]), f"""
+SELECT {COLS} FROM ({checks_sql(expected='(SELECT COUNT(*) + 1 FROM customer)')})
+WHERE check_name = 'row_count'""")
 add("q02_unique_key", lambda s: checks(s, of_kind(Q.UniqueKey)), named("unique%"))
 
 
@@ -165,14 +168,20 @@ def _constraint_sql() -> str:
 
 
 add("q13_schema_constraints", schema_constraints, _constraint_sql())
-add("q14_load_reconciliation", lambda s: Q.load_reconciliation(
-    {**s.star, "dim_customer": s.star["dim_customer"].where("gender = 'Male'")}), """
-SELECT 'dim_customer' AS tbl, COUNT(*) AS rows_ FROM dim_customer WHERE gender = 'Male'
+def _reconciled_sql(where: str) -> str:
+    return f"""
+SELECT 'dim_customer' AS tbl, COUNT(*) AS rows_ FROM dim_customer WHERE {where}
 UNION ALL SELECT 'fact_customer', COUNT(*) FROM fact_customer
 UNION ALL SELECT 'fact_network_monthly', COUNT(*) FROM fact_network_monthly
 UNION ALL SELECT 'orphan_network_rows', COUNT(*) FROM fact_network_monthly n
-  LEFT JOIN (SELECT * FROM dim_customer WHERE gender = 'Male') d
-    ON d.customer_key = n.customer_key WHERE d.customer_key IS NULL""")
+  LEFT JOIN (SELECT * FROM dim_customer WHERE {where}) d
+    ON d.customer_key = n.customer_key WHERE d.customer_key IS NULL"""
+
+
+add("q14_load_reconciliation", lambda s: Q.load_reconciliation(s.star), _reconciled_sql("true"))
+add("q14b_reconciliation_finds_orphans", lambda s: Q.load_reconciliation(
+    {**s.star, "dim_customer": s.star["dim_customer"].where("gender = 'Male'")}),
+    _reconciled_sql("gender = 'Male'"))
 
 # -- dimensional model ------------------------------------------------------------------
 

@@ -28,22 +28,32 @@ def rate_by_columns(df: DataFrame, columns: list[str], label: str = "churn_flag"
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: non-null count, distinct estimate, mean, sd, min, max.
+    """One row per column: non-null and distinct count; mean, sd, minimum, quartiles and maximum of numbers;
+    most frequent value of texts and how often it occurs.
 
-    Numeric and text columns share a single aggregate.
+    Counts per value are taken once for all columns (combined before the shuffle), so that no column's
+    values meet in one task; quartiles interpolate between neighbours.
     """
-    numeric = {c for c, t in df.dtypes if t not in ("string", "date", "timestamp_ntz")}
-
-    def stats(c: str) -> Column:
-        v = F.col(c)
-        number = v.cast("double") if c in numeric else F.lit(None).cast("double")
-        return F.struct(
-            F.lit(c).alias("column"), F.count(v).alias("non_null"),
-            F.approx_count_distinct(v).alias("distinct_estimate"),
-            F.avg(number).alias("mean"), F.stddev(number).alias("std"),
-            F.min(v).cast("string").alias("min"), F.max(v).cast("string").alias("max"))
-
-    return df.agg(F.array(*[stats(c) for c in df.columns]).alias("s")).select(F.inline("s"))
+    numeric = [c for c, t in df.dtypes if t not in ("string", "date", "timestamp_ntz")]
+    moments = df.agg(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.avg(F.col(c).cast("double")).alias("mean"),
+        F.stddev(F.col(c).cast("double")).alias("std")) for c in numeric]).alias("s")).select(F.inline("s"))
+    cells = df.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+        (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("v"))
+        for c in df.columns])).alias("cell")).select("cell.*")
+    counted = cells.groupBy("column", "value").agg(F.count("*").alias("n"))
+    filled = F.col("value").isNotNull()
+    text = filled & ~F.col("column").isin(*numeric)
+    counts = counted.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(filled, F.col("n"))), F.lit(0)).alias("non_null"),
+        F.count("value").alias("distinct"),
+        F.min(F.when(text, F.struct((-F.col("n")).alias("n"), "value"))).alias("top"))
+    spread = exact_quantiles(cells.where("v is not null"), "v",
+                             {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}, ["column"])
+    return (counts.join(moments, "column", "left").join(spread, "column", "left")
+            .select("column", "non_null", "distinct", F.col("top.value").alias("top"),
+                    (-F.col("top.n")).alias("freq"), "mean", "std", "min", "q1", "median", "q3", "max"))
 
 
 def top_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,31 +72,46 @@ def top_values(df: DataFrame, columns: list[str]) -> DataFrame:
             .select("column", F.col("t.value").alias("top"), F.col("t.freq").alias("freq")))
 
 
-def histogram(df: DataFrame, value: str, by: str, lo: float, hi: float, bins: int) -> DataFrame:
-    """Row counts in equal bins of [lo, hi], stacked by a label; hi belongs to the last bin."""
+def _edges(df: DataFrame, value: str) -> Column:
+    """Observed minimum and maximum, as one struct for all rows."""
     v = F.col(value).cast("double")
-    bin_no = F.least(F.floor((v - lo) / ((hi - lo) / bins)) + 1, F.lit(bins)).cast("bigint")
-    return (df.where(v.between(lo, hi)).groupBy(bin_no.alias("bin"), F.col(by))
+    return df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+
+
+def histogram(df: DataFrame, value: str, by: str, bins: int) -> DataFrame:
+    """Row counts in equal bins of the observed range, stacked by a label. The maximum belongs to the last bin;
+    where all values are equal they fill the first one. Rows without a value are not counted."""
+    v, edges = F.col(value).cast("double"), _edges(df, value)
+    lo, hi = edges["lo"], edges["hi"]
+    bin_no = F.when(hi > lo, F.least(F.floor((v - lo) / ((hi - lo) / bins)) + 1, F.lit(bins))).otherwise(1)
+    return (df.where(v.isNotNull()).groupBy(bin_no.cast("bigint").alias("bin"), F.col(by))
             .agg(F.count("*").alias("rows"))
-            .select("bin", (lo + (F.col("bin") - 1) * ((hi - lo) / bins)).alias("bin_start"), by,
-                    "rows"))
+            .select("bin", (lo + (F.col("bin") - 1) * ((hi - lo) / bins)).alias("bin_start"), by, "rows"))
 
 
-def density(df: DataFrame, value: str, by: str, lo: float, hi: float, bins: int,
-            points: int, bandwidth: float) -> DataFrame:
-    """Gaussian density per label on a fixed grid, from the binned counts.
+def density(df: DataFrame, value: str, by: str, bins: int = 512, points: int = 200,
+            reach: float = 3.0) -> DataFrame:
+    """Gaussian density per label, from binned counts, with a bandwidth from the label's own rows: their deviation
+    times the fifth root of one over their number. The grid reaches ``reach`` bandwidths beyond their values.
 
-    The rows shrink to one per bin first; each bin then meets the grid points.
+    The rows shrink to one per bin first; each bin then meets the grid points. Labels whose values are all
+    equal have no density.
     """
-    width, step = (hi - lo) / bins, (hi - lo) / (points - 1)
-    hist = histogram(df, value, by, lo, hi, bins)
-    cells = hist.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    x = lo + F.col("point") * step
-    u = (x - (F.col("bin_start") + width / 2)) / bandwidth
-    kernel = F.exp(-0.5 * u * u) / (bandwidth * 2.5066282746310002)  # sqrt(2 pi)
-    return cells.groupBy(by, "point").agg(
-        (F.sum(kernel * F.col("rows")) / F.sum("rows")).alias("density")).select(
-        by, "point", x.alias("x"), "density")
+    v, edges = F.col(value).cast("double"), _edges(df, value)
+    width = (edges["hi"] - edges["lo"]) / bins
+    own = (df.where(v.isNotNull()).groupBy(by).agg(
+        F.min(v).alias("lo"), F.max(v).alias("hi"),
+        round_even(F.stddev(v) * F.pow(F.count("*"), F.lit(-0.2)), 6).alias("width"))
+        .where("width > 0"))
+    start, span = F.col("lo") - reach * F.col("width"), F.col("hi") - F.col("lo") + 2 * reach * F.col("width")
+    cells = (histogram(df, value, by, bins).withColumn("centre", F.col("bin_start") + width / 2)
+             .join(own, by)
+             .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+             .withColumn("x", start + F.col("point") * (span / (points - 1))))
+    u = (F.col("x") - F.col("centre")) / F.col("width")
+    kernel = F.exp(-0.5 * u * u) / (F.col("width") * 2.5066282746310002)  # sqrt(2 pi)
+    return cells.groupBy(by, "point", "x").agg(
+        (F.sum(kernel * F.col("rows")) / F.sum("rows")).alias("density"))
 
 
 def box_summary(df: DataFrame, value: str, by: list[str]) -> DataFrame:
