@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
-from holdfast.catalog.sqlbase import _late_avg, _late_sum, rhe, xavg
-from holdfast.functions.columns import minmax_score
+from holdfast.catalog.sqlbase import _late_avg, _late_sum, ravg, rhe
+from holdfast.functions.columns import minmax_score, round_even
 from holdfast.operators import customer_features as CF
 from holdfast.operators import telemetry as T
 
@@ -68,8 +68,8 @@ add("f11_aggregate_join", lambda s: T.raw_aggregates(s.m.kpis).select(
     "customer_id", "kpi_months", "avg_latency_ms", "l3m_latency_ms", "l3m_outage_minutes"), f"""
 SELECT a.customer_id, a.kpi_months, a.avg_latency_ms, b.l3m_latency_ms, b.l3m_outage_minutes
 FROM (SELECT customer_id, COUNT(month_index) AS kpi_months,
-             {xavg('avg_latency_ms', 2)} AS avg_latency_ms FROM kpis GROUP BY customer_id) a
-LEFT JOIN (SELECT customer_id, {xavg('avg_latency_ms', 2)} AS l3m_latency_ms,
+             {ravg('avg_latency_ms')} AS avg_latency_ms FROM kpis GROUP BY customer_id) a
+LEFT JOIN (SELECT customer_id, {ravg('avg_latency_ms')} AS l3m_latency_ms,
                   CAST(COALESCE(SUM(outage_minutes), 0) AS BIGINT) AS l3m_outage_minutes
            FROM kpis WHERE month_index > 9 GROUP BY customer_id) b
   ON a.customer_id = b.customer_id""")
@@ -83,14 +83,32 @@ def shorter_window(s: Source) -> DataFrame:
 
 def _parametric_sql() -> str:
     out = f"""SELECT customer_id, COUNT(month_index) AS kpi_months,
-  {_late_avg('dropped_call_pct', 3)} AS l3m_dropped_call_pct,
-  {_late_avg('avg_download_mbps', 2)} AS l3m_download_mbps,
-  {_late_avg('avg_latency_ms', 2)} AS l3m_latency_ms,
+  {_late_avg('dropped_call_pct')} AS l3m_dropped_call_pct,
+  {_late_avg('avg_download_mbps')} AS l3m_download_mbps,
+  {_late_avg('avg_latency_ms')} AS l3m_latency_ms,
   {_late_sum('outage_minutes')} AS l3m_outage_minutes, {_late_sum('complaints')} AS l3m_complaints
 FROM kpis WHERE month_index <= 6 GROUP BY customer_id"""
     return out.replace("month_index > 9", "month_index > 4")
 
 
+def fractional(s: Source) -> DataFrame:
+    """Telemetry with fractions of outage minutes and finer readings than any feed declares."""
+    return s.m.kpis.select("customer_id", "month", "month_index",
+                           (F.col("dropped_call_pct") + F.col("month_index") * 0.0012347).alias("dropped_call_pct"),
+                           "avg_download_mbps", "avg_latency_ms",
+                           (F.col("outage_minutes") * 0.9 + 0.125).alias("outage_minutes"),
+                           "data_usage_gb", "complaints")
+
+
+# the oracle adds plain doubles; both sides are rounded after the aggregation only
+_FRACTIONS = ("(SELECT customer_id, month_index, dropped_call_pct + month_index * 0.0012347e0 AS d, "
+              "outage_minutes * 0.9e0 + 0.125e0 AS o FROM kpis)")
+add("f09c_fractional_readings", lambda s: T.raw_aggregates(fractional(s)).select(
+    "customer_id", *[round_even(c, 6).alias(c) for c in (
+        "avg_dropped_call_pct", "total_outage_minutes", "l3m_dropped_call_pct", "l3m_outage_minutes")]), f"""
+SELECT customer_id, {rhe('AVG(d)', 6)} AS avg_dropped_call_pct, {rhe('SUM(o)', 6)} AS total_outage_minutes,
+  {rhe('AVG(d) FILTER (month_index > 9)', 6)} AS l3m_dropped_call_pct,
+  {rhe('SUM(o) FILTER (month_index > 9)', 6)} AS l3m_outage_minutes FROM {_FRACTIONS} GROUP BY customer_id""")
 add("f10b_recent_aggregates_other_window", shorter_window, _parametric_sql())
 
 add("f12_trend_points", lambda s: T.telemetry_aggregates(s.m.kpis).select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
-from holdfast.catalog.sqlbase import big, div, units, xavg, xsum
+from holdfast.catalog.sqlbase import big, div, ravg, units, xavg, xsum
 from holdfast.operators import quality as Q
 from holdfast.operators import star as S
 from holdfast.plans import measures as M
@@ -59,9 +59,9 @@ SELECT tech_support, {div('SUM(churn_flag)', '(SELECT SUM(churn_flag) FROM score
 FROM scored WHERE internet_service IN ('DSL', 'Fiber optic') GROUP BY tech_support""")
 
 MONTHLY = {
-    "m20": ("avg_dropped_call_pct", xavg("dropped_call_pct", 3)),
-    "m21": ("avg_latency_ms", xavg("avg_latency_ms", 2)),
-    "m22": ("avg_download_mbps", xavg("avg_download_mbps", 2)),
+    "m20": ("avg_dropped_call_pct", ravg("dropped_call_pct")),
+    "m21": ("avg_latency_ms", ravg("avg_latency_ms")),
+    "m22": ("avg_download_mbps", ravg("avg_download_mbps")),
     "m23": ("outage_minutes", big("SUM(outage_minutes)")),
     "m24": ("complaints", big("SUM(complaints)")),
     "m25": ("complaints_per_1k_customer_months", f"{div('SUM(complaints)', 'COUNT(*)')} * 1000"),
@@ -78,10 +78,10 @@ for key, name, flag_value in (("m26", "avg_latency_churned", 1), ("m27", "avg_la
     case = f"CASE WHEN churn_flag = {flag_value} THEN avg_latency_ms END"
     add(f"{key}_{name}", lambda s, name=name: M.evaluate(
         S.network_monthly(s.star), M.labelled_monthly_measures(), [name], ["month_index"]),
-        f"SELECT CAST(month_index AS BIGINT) AS month_index, {xavg(case, 2)} AS {name} "
+        f"SELECT CAST(month_index AS BIGINT) AS month_index, {ravg(case)} AS {name} "
         f"FROM {LABELLED} GROUP BY month_index")
-after = xavg("CASE WHEN months_before_snapshot < 3 THEN avg_latency_ms END", 2)
-before = xavg("CASE WHEN months_before_snapshot >= 3 THEN avg_latency_ms END", 2)
+after = ravg("CASE WHEN months_before_snapshot < 3 THEN avg_latency_ms END")
+before = ravg("CASE WHEN months_before_snapshot >= 3 THEN avg_latency_ms END")
 add("m28_latency_trend", lambda s: M.evaluate(
     S.network_monthly(s.star), M.latency_trend(), by=["churn_flag"]), f"""
 SELECT churn_flag, {div(f'{after} - {before}', before)} AS latency_trend FROM {LABELLED}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
-from holdfast.catalog.sqlbase import big, pct, rhu, units, xavg, xsum
+from holdfast.catalog.sqlbase import big, pct, ravg, rhu, units, xavg, xsum
 from holdfast.operators import quality as Q
 from holdfast.operators.cleaning import cleaning_report
 from holdfast.plans import analytics as A
@@ -21,6 +21,10 @@ def mean(c: str, places: int, decimals: int = 2) -> str:
     return f"{rhu(xavg(c, decimals), places)}"
 
 
+def reading(c: str, places: int) -> str:
+    return rhu(ravg(c), places)
+
+
 SQL_BY_QUESTION: dict[str, str] = {
     "churn_by_contract": f"""
 SELECT c.contract, COUNT(*) AS customers, {big('SUM(churn_flag)')} AS churned,
@@ -57,9 +61,9 @@ WHERE s.has_internet = 1 GROUP BY s.tech_support""",
     "network_quality_vs_churn": f"""
 SELECT network_quality_band, COUNT(*) AS customers, {big('SUM(churn_flag)')} AS churned,
   {RATE} AS churn_rate_pct, {mean('network_quality_score', 1)} AS avg_quality_score,
-  {mean('avg_dropped_call_pct', 2)} AS avg_dropped_call_pct,
-  {mean('avg_latency_ms', 1)} AS avg_latency_ms,
-  {mean('total_outage_minutes', 0)} AS avg_outage_minutes,
+  {reading('avg_dropped_call_pct', 2)} AS avg_dropped_call_pct,
+  {reading('avg_latency_ms', 1)} AS avg_latency_ms,
+  {reading('total_outage_minutes', 0)} AS avg_outage_minutes,
   {mean('network_complaints', 2)} AS avg_complaints
 FROM fact_customer WHERE kpi_months > 0 GROUP BY network_quality_band""",
     "revenue_at_risk_by_decile": f"""
@@ -72,10 +76,10 @@ FROM (SELECT *, NTILE(10) OVER (ORDER BY monthly_charges ASC NULLS FIRST, custom
     "network_trend_churned_vs_retained": f"""
 SELECT d.month, d.month_index,
   CASE WHEN f.churn_flag = 1 THEN 'Churned' ELSE 'Retained' END AS customer_group,
-  COUNT(*) AS customer_months, {mean('n.dropped_call_pct', 3, 3)} AS avg_dropped_call_pct,
-  {mean('n.avg_latency_ms', 1)} AS avg_latency_ms,
-  {mean('n.avg_download_mbps', 1)} AS avg_download_mbps,
-  {mean('n.outage_minutes', 1)} AS avg_outage_minutes, {mean('n.complaints', 3)} AS avg_complaints
+  COUNT(*) AS customer_months, {reading('n.dropped_call_pct', 3)} AS avg_dropped_call_pct,
+  {reading('n.avg_latency_ms', 1)} AS avg_latency_ms,
+  {reading('n.avg_download_mbps', 1)} AS avg_download_mbps,
+  {reading('n.outage_minutes', 1)} AS avg_outage_minutes, {reading('n.complaints', 3)} AS avg_complaints
 FROM fact_network_monthly n JOIN dim_date d ON d.month_key = n.month_key
 JOIN fact_customer f ON f.customer_key = n.customer_key GROUP BY 1, 2, 3""",
     "risk_segments": f"""

@@ -48,6 +48,12 @@ def xavg(c: str, places: int) -> str:
             f"NULLIF(CAST(COUNT({u}) * {10 ** places} AS DOUBLE), 0e0))")
 
 
+def ravg(c: str) -> str:
+    """Mean of readings as decimals of nine places."""
+    return (f"(CAST(SUM(CAST({c} AS DECIMAL(29,9))) AS DOUBLE) / "
+            f"NULLIF(CAST(COUNT({c}) AS DOUBLE), 0e0))")
+
+
 def big(x: str) -> str:
     return f"CAST({x} AS BIGINT)"
 
@@ -235,8 +241,8 @@ FROM service_feat s CROSS JOIN charge_edges"""
 _late = "month_index > 9"
 
 
-def _late_avg(c: str, d: int) -> str:
-    return xavg(f"CASE WHEN {_late} THEN {c} END", d)
+def _late_avg(c: str) -> str:
+    return ravg(f"CASE WHEN {_late} THEN {c} END")
 
 
 def _late_sum(c: str) -> str:
@@ -246,14 +252,14 @@ def _late_sum(c: str) -> str:
 
 CTES["kpi_raw"] = f"""
 SELECT customer_id, COUNT(month_index) AS kpi_months,
-  {xavg('dropped_call_pct', 3)} AS avg_dropped_call_pct,
-  {xavg('avg_download_mbps', 2)} AS avg_download_mbps, {xavg('avg_latency_ms', 2)} AS avg_latency_ms,
+  {ravg('dropped_call_pct')} AS avg_dropped_call_pct,
+  {ravg('avg_download_mbps')} AS avg_download_mbps, {ravg('avg_latency_ms')} AS avg_latency_ms,
   CAST(COALESCE(SUM(outage_minutes), 0) AS BIGINT) AS total_outage_minutes,
-  {xavg('data_usage_gb', 2)} AS avg_data_usage_gb,
+  {ravg('data_usage_gb')} AS avg_data_usage_gb,
   CAST(COALESCE(SUM(complaints), 0) AS BIGINT) AS network_complaints,
-  {_late_avg('dropped_call_pct', 3)} AS l3m_dropped_call_pct,
-  {_late_avg('avg_download_mbps', 2)} AS l3m_download_mbps,
-  {_late_avg('avg_latency_ms', 2)} AS l3m_latency_ms,
+  {_late_avg('dropped_call_pct')} AS l3m_dropped_call_pct,
+  {_late_avg('avg_download_mbps')} AS l3m_download_mbps,
+  {_late_avg('avg_latency_ms')} AS l3m_latency_ms,
   {_late_sum('outage_minutes')} AS l3m_outage_minutes, {_late_sum('complaints')} AS l3m_complaints
 FROM kpis GROUP BY customer_id"""
 

@@ -98,15 +98,11 @@ QUALITY_COMPONENTS = {
 }
 
 # decimal places that count in sums: sums over these columns run on whole units of the
-# last place, so they do not depend on row order or partitioning. Telemetry readings
-# keep one place more than any feed declares; bigint sums hold for 10^12 rows.
+# last place, so they do not depend on row order or partitioning; bigint sums hold for
+# 10^12 rows. Telemetry has no declared places: it is summed as it was read.
 DECIMALS: dict[str, int] = {
     "monthly_charges": 2, "total_charges": 2, "lifetime_avg_monthly": 2, "charge_ratio": 3,
-    "dropped_call_pct": 4, "avg_download_mbps": 4, "avg_latency_ms": 4, "outage_minutes": 0,
-    "data_usage_gb": 4, "complaints": 0, "avg_dropped_call_pct": 2, "total_outage_minutes": 0,
-    "avg_data_usage_gb": 2, "network_complaints": 0, "l3m_dropped_call_pct": 2,
-    "l3m_download_mbps": 2, "l3m_latency_ms": 2, "l3m_outage_minutes": 0, "l3m_complaints": 0,
-    "dropped_call_trend_pp": 3, "latency_trend_pct": 1, "download_trend_pct": 1,
+    "network_complaints": 0, "l3m_complaints": 0, "dropped_call_trend_pp": 3, "latency_trend_pct": 1, "download_trend_pct": 1,
     "network_quality_score": 1, "churn_probability": 4, "tenure_months": 0,
     "num_addon_services": 0, "churn_flag": 0,
 }
@@ -171,10 +167,10 @@ TYPED_LOAD: dict[str, dict[str, str]] = {
         "charge_ratio": "decimal(9,3)", "revenue_band": "string", "churn": "string",
         "churn_flag": "int", "kpi_months": "int", "avg_dropped_call_pct": "decimal(9,3)",
         "avg_download_mbps": "decimal(9,2)", "avg_latency_ms": "decimal(9,2)",
-        "total_outage_minutes": "int", "avg_data_usage_gb": "decimal(9,2)",
+        "total_outage_minutes": "decimal(12,3)", "avg_data_usage_gb": "decimal(9,2)",
         "network_complaints": "int", "l3m_dropped_call_pct": "decimal(9,3)",
         "l3m_download_mbps": "decimal(9,2)", "l3m_latency_ms": "decimal(9,2)",
-        "l3m_outage_minutes": "int", "l3m_complaints": "int",
+        "l3m_outage_minutes": "decimal(12,3)", "l3m_complaints": "int",
         "dropped_call_trend_pp": "decimal(9,3)", "latency_trend_pct": "decimal(9,1)",
         "download_trend_pct": "decimal(9,1)", "network_quality_score": "decimal(5,1)",
         "network_quality_band": "string", "churn_probability": "decimal(6,4)",
@@ -184,7 +180,7 @@ TYPED_LOAD: dict[str, dict[str, str]] = {
         "customer_key": "bigint", "month_key": "int", "customer_id": "string",
         "month": "string", "month_index": "int", "dropped_call_pct": "decimal(9,3)",
         "avg_download_mbps": "decimal(9,1)", "avg_latency_ms": "decimal(9,1)",
-        "outage_minutes": "int", "data_usage_gb": "decimal(9,1)", "complaints": "int",
+        "outage_minutes": "decimal(12,3)", "data_usage_gb": "decimal(9,1)", "complaints": "int",
     },
     "dq_results": {
         "run_ts": "string", "check_name": "string", "table": "string", "status": "string",

@@ -150,10 +150,7 @@ def order_index(c: Column | str, labels: list[str]) -> Column:
 
 def units(c: Column | str, places: int) -> Column:
     """Whole units of the last declared decimal place."""
-    value = col(c)
-    if places == 0:
-        return value.cast("bigint")
-    return F.rint(value * float(10 ** places)).cast("bigint")
+    return F.rint(col(c) * float(10 ** places)).cast("bigint")
 
 
 def exact_sum(c: Column | str, places: int) -> Column:
@@ -167,6 +164,19 @@ def exact_avg(c: Column | str, places: int) -> Column:
             / F.nullif((F.count(value) * (10 ** places)).cast("double"), F.lit(0.0)))
 
 
+# readings are summed as decimals of this many places, finer than any feed states them
+READING = "decimal(29,9)"
+
+
+def read_sum(c: Column | str) -> Column:
+    """Sum of readings as they were read, in an order that cannot matter."""
+    return F.sum(col(c).cast(READING)).cast("double")
+
+
+def read_avg(c: Column | str) -> Column:
+    return read_sum(c) / F.nullif(F.count(col(c)).cast("double"), F.lit(0.0))
+
+
 # -- months ------------------------------------------------------------------------
 
 def month_ordinal(d: Column | str) -> Column:

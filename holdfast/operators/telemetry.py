@@ -6,37 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
-from holdfast.functions.columns import (exact_avg, mean_skip_null, minmax_score, ratio,
+from holdfast.functions.columns import (mean_skip_null, minmax_score, ratio, read_avg, read_sum,
                                         right_closed_band, round_even)
 from holdfast.operators.joins import join_small
 from holdfast.operators.ordering import exact_quantiles
 from holdfast.session import cut
 
-KPI_DECIMALS = {c: K.DECIMALS[c] for c in
-                ("dropped_call_pct", "avg_download_mbps", "avg_latency_ms", "data_usage_gb")}
-
-
 def raw_aggregates(kpis: DataFrame, window: int = K.WINDOW_MONTHS,
                    recent: int = K.RECENT_MONTHS) -> DataFrame:
     """Whole-window and recent-window aggregates in one pass, means not yet rounded.
 
     A customer without recent rows gets NULL recent sums; one whose recent values
-    are all NULL gets 0.
+    are all NULL gets 0. Counts stay whole numbers if the feed has whole numbers.
     """
+    whole = {c for c, t in kpis.dtypes if t in ("tinyint", "smallint", "int", "bigint")}
     late = F.col("month_index") > window - recent
 
     def mean(c: str) -> Column:
-        return exact_avg(c, KPI_DECIMALS[c])
+        return read_avg(c)
 
     def late_mean(c: str) -> Column:
-        return exact_avg(F.when(late, F.col(c)), KPI_DECIMALS[c])
+        return read_avg(F.when(late, F.col(c)))
+
+    def _sum(c: str, value: Column) -> Column:
+        return F.coalesce(F.sum(value).cast("bigint") if c in whole else read_sum(value), F.lit(0))
 
     def total(c: str) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+        return _sum(c, F.col(c))
 
     def late_total(c: str) -> Column:
-        return F.when(F.count(F.when(late, 1)) > 0,
-                      F.coalesce(F.sum(F.when(late, F.col(c))), F.lit(0))).cast("bigint")
+        return F.when(F.count(F.when(late, 1)) > 0, _sum(c, F.when(late, F.col(c))))
 
     return kpis.groupBy("customer_id").agg(
         F.count("month_index").alias("kpi_months"),

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
-from holdfast.functions.columns import exact_avg, exact_sum, pct, round_up
+from holdfast.functions.columns import exact_avg, exact_sum, pct, read_avg, round_up
 from holdfast.operators.ordering import ntile
 
 Star = dict[str, DataFrame]
@@ -31,7 +31,9 @@ def _cents() -> Column:
 
 
 def _mean(c: str, places: int) -> Column:
-    return round_up(exact_avg(c, K.DECIMALS[c]), places)
+    """Money and scores have declared decimals; telemetry counts as it was read."""
+    declared = K.DECIMALS.get(c)
+    return round_up(read_avg(c) if declared is None else exact_avg(c, declared), places)
 
 
 def churn_by_contract(t: Star) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
-from holdfast.functions.columns import exact_avg, exact_sum, order_index, ratio, text_ordinal
+from holdfast.functions.columns import (exact_avg, exact_sum, order_index, ratio, read_avg,
+                                        text_ordinal)
 
-LATENCY = K.DECIMALS["avg_latency_ms"]
 
 
 def _where(condition: Column, value: Column | None = None) -> Column:
@@ -53,9 +53,9 @@ def tenure_measures() -> dict[str, Column]:
 def monthly_measures() -> dict[str, Column]:
     """Measures over the monthly fact."""
     return {
-        "avg_dropped_call_pct": exact_avg("dropped_call_pct", K.DECIMALS["dropped_call_pct"]),
-        "avg_latency_ms": exact_avg("avg_latency_ms", LATENCY),
-        "avg_download_mbps": exact_avg("avg_download_mbps", K.DECIMALS["avg_download_mbps"]),
+        "avg_dropped_call_pct": read_avg("dropped_call_pct"),
+        "avg_latency_ms": read_avg("avg_latency_ms"),
+        "avg_download_mbps": read_avg("avg_download_mbps"),
         "outage_minutes": F.sum("outage_minutes"),
         "complaints": F.sum("complaints"),
         "complaints_per_1k_customer_months": ratio(F.sum("complaints"), F.count("*")) * 1000,
@@ -66,16 +66,16 @@ def labelled_monthly_measures() -> dict[str, Column]:
     """Measures over monthly rows that carry the customer's label (network_monthly view)."""
     latency = F.col("avg_latency_ms")
     return {
-        "avg_latency_churned": exact_avg(F.when(F.col("churn_flag") == 1, latency), LATENCY),
-        "avg_latency_retained": exact_avg(F.when(F.col("churn_flag") == 0, latency), LATENCY),
+        "avg_latency_churned": read_avg(F.when(F.col("churn_flag") == 1, latency)),
+        "avg_latency_retained": read_avg(F.when(F.col("churn_flag") == 0, latency)),
     }
 
 
 def latency_trend(recent: int = K.RECENT_MONTHS) -> dict[str, Column]:
     """Last months against the months before them. Needs ``months_before_snapshot``."""
     late = F.col("months_before_snapshot") < recent
-    after = exact_avg(F.when(late, F.col("avg_latency_ms")), LATENCY)
-    before = exact_avg(F.when(~late, F.col("avg_latency_ms")), LATENCY)
+    after = read_avg(F.when(late, F.col("avg_latency_ms")))
+    before = read_avg(F.when(~late, F.col("avg_latency_ms")))
     return {"latency_trend": ratio(after - before, before)}
 
 
