@@ -20,7 +20,6 @@ QUERIES = {
 ORACLES = {
     "op1_tool_call_linking": tool_calls.SQL,
     "op2_line_rules": line_rules.SQL,
-    "op6_toxicity_cnn": toxicity.op6_toxicity_cnn,
     "op7_template_decontamination": templates.SQL,
 }
 
