@@ -64,15 +64,60 @@ SELECT customer_id, month, month_index, dropped_call_pct, avg_download_mbps,
   CAST(complaints AS INTEGER) AS complaints FROM kpis""")
 
 
+def two_headers(s: Source) -> DataFrame:
+    """Files with their columns in two orders, one of them with a column more."""
+    root, male = s.scratch("two-headers"), F.col("gender") == "Male"
+    writers.write_csv(s.m.raw.where(male).select(*K.RAW_COLUMNS), f"{root}/a")
+    writers.write_csv(s.m.raw.where(~male).select(
+        "Churn", F.lit("x").alias("note"), *reversed(K.RAW_COLUMNS[:-1])), f"{root}/b")
+    return readers.read_text_csv(s.spark, f"{root}/*", K.RAW_COLUMNS)
+
+
+add("s01b_header_of_each_file", two_headers, f"SELECT {raw_cols} FROM raw_feed")
+
+
+def quoted_cells(s: Source) -> DataFrame:
+    odd = s.m.raw.select("customerID", F.concat(F.lit('He said "'), "Contract", F.lit('", twice\nand "" so on'))
+                         .alias("said"), F.concat("gender", F.lit(",")).alias("listed"), "TotalCharges")
+    return readers.read_text_csv(s.spark, writers.write_csv(odd, s.scratch("quoted")),
+                                 ["customerID", "said", "listed", "TotalCharges"], multi_line=True)
+
+
+add("s01c_quoted_cells", quoted_cells, """
+SELECT customerID, 'He said "' || Contract || '", twice' || chr(10) || 'and "" so on' AS said,
+  gender || ',' AS listed, TotalCharges FROM raw_feed""")
+
+
+def bad_file(s: Source) -> DataFrame:
+    """One file without a required column among good ones: refused by name."""
+    root = s.scratch("bad-file")
+    writers.write_csv(s.m.raw.select(*K.RAW_COLUMNS), f"{root}/a")
+    writers.write_csv(s.m.raw.select(*K.RAW_COLUMNS[:-1]), f"{root}/b")
+    try:
+        return readers.read_customers(s.spark, f"{root}/*")
+    except K.SchemaError as error:
+        return s.m.raw.agg(F.count("*").alias("rows"), F.lit("Churn" in str(error)).alias("names_it"))
+
+
+add("s02b_bad_file_among_good", bad_file, "SELECT COUNT(*) AS rows, true AS names_it FROM raw_feed")
+
+
 def intake(s: Source) -> DataFrame:
-    files = readers.verify_intake(s.spark, raw_csv(s), K.RAW_COLUMNS, s.m.raw.count())
-    return files.agg(F.bool_and("header_ok").alias("header_ok"), F.max("rows").alias("rows"),
+    """Two files; the digest of their rows is that of the feed, which another engine can take as well."""
+    root = s.scratch("intake")
+    writers.write_csv(s.m.raw.where("gender = 'Male'").select(*K.RAW_COLUMNS), f"{root}/a")
+    writers.write_csv(s.m.raw.where("gender <> 'Male'").select(*K.RAW_COLUMNS), f"{root}/b")
+    files = readers.verify_intake(s.spark, f"{root}/*", K.RAW_COLUMNS, s.m.raw.count())
+    return files.agg(F.bool_and("header_ok").alias("header_ok"), F.sum("rows").alias("rows"),
                      F.bool_and("rows_ok").alias("rows_ok"),
-                     F.bool_and((F.length("sha256") == 64) & (F.col("length") > 0)).alias("hashed"))
+                     F.sum(F.col("digest").cast("decimal(38,0)")).cast("string").alias("digest"),
+                     F.bool_and(F.col("length") > 0).alias("has_length"))
 
 
-add("s04_intake_verification", intake, """
-SELECT true AS header_ok, COUNT(*) AS rows, true AS rows_ok, true AS hashed FROM raw_feed""")
+add("s04_intake_verification", intake, f"""
+SELECT true AS header_ok, COUNT(*) AS rows, true AS rows_ok, true AS has_length,
+  CAST(SUM(CAST('0x' || substr(md5(concat_ws(chr(1), {raw_cols})), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest
+FROM raw_feed""")
 
 
 def optional_source(s: Source) -> DataFrame:

@@ -14,6 +14,7 @@ from holdfast.operators import star as S
 from holdfast.operators import upsert as U
 from holdfast.plans import bindings
 from holdfast.plans.measures import dq_measures, evaluate
+from holdfast.sources import readers, writers
 from holdfast.streaming import score_refresh
 
 RUN_TS = "2001-08-01T00:00:00Z"
@@ -168,6 +169,18 @@ def _constraint_sql() -> str:
 
 
 add("q13_schema_constraints", schema_constraints, _constraint_sql())
+def blank_months(s: Source) -> DataFrame:
+    """A blank cell of a column with a default takes the default on load."""
+    fact = s.star["fact_customer"].withColumn("kpi_months", F.when(F.col("churn_flag") == 0, F.col("kpi_months")))
+    path = writers.write_csv(fact, s.scratch("defaults"))
+    return readers.typed_load(s.spark, path, "fact_customer").select("customer_id", "kpi_months")
+
+
+add("q13b_default_on_load", blank_months, """
+SELECT customer_id, CAST(CASE WHEN churn_flag = 0 THEN COALESCE(kpi_months, 0) ELSE 0 END AS INTEGER) AS kpi_months
+FROM fact_customer""")
+
+
 def _reconciled_sql(where: str) -> str:
     return f"""
 SELECT 'dim_customer' AS tbl, COUNT(*) AS rows_ FROM dim_customer WHERE {where}

@@ -187,6 +187,8 @@ TYPED_LOAD: dict[str, dict[str, str]] = {
         "observed": "string", "expectation": "string", "details": "string",
     },
 }
+# value of a blank cell on a typed load
+LOAD_DEFAULTS: dict[str, dict[str, int]] = {"fact_customer": {"kpi_months": 0}}
 # --------------------------------------------------------------------------
 # end of fixed values
 # --------------------------------------------------------------------------

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 import logging
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast import contract as K
 from holdfast.functions.columns import strip, to_number, to_whole
+from holdfast.session import literal_rows
 
 log = logging.getLogger(__name__)
 
@@ -31,31 +36,72 @@ def select_contract(df: DataFrame, expected: list[str], name: str) -> DataFrame:
     return df.select(*expected)
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    # without a schema columns are text named by the header; a schema would be applied
-    # by position and hide a reordered header
-    return spark.read.option("header", True).option("nullValue", "\u0000").csv(path)
+def _csv(spark: SparkSession, multi_line: bool = False):
+    """Reader of quoted CSV: a doubled quote is a quote, a row with too many or too few cells fails. Cells with
+    line breaks need ``multi_line``, which keeps files from being split."""
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line).option("mode", "FAILFAST").option("columnPruning", False))
 
 
-def _text(df: DataFrame, columns: list[str]) -> list[Column]:
+def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header, as column names. One row per file comes to the driver; empty files have none."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n")).where("at = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.collect():
+        names = tuple(next(csv.reader([row["header"].removeprefix("\ufeff")]), ()))
+        found.setdefault(names, []).append(unquote(row["file"]))
+    return {names: sorted(files) for names, files in sorted(found.items())}
+
+
+def _scans(spark: SparkSession, path: str, expected: list[str] | None,
+           multi_line: bool = False) -> list[DataFrame]:
+    """One scan per header, so that every file's cells are named by its own header; each header has to hold
+    the ``expected`` columns."""
+    scans = []
+    for names, files in headers(spark, path).items():
+        if expected is not None:
+            check_columns(list(names), expected, f"{path} ({len(files)} files, first {files[0]})")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        scans.append(_csv(spark, multi_line).schema(schema).option("enforceSchema", False)
+                     .option("nullValue", "\u0000").csv(files))
+    return scans
+
+
+def _together(parts: list[DataFrame], spark: SparkSession, columns: list[str]) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _text(columns: list[str]) -> list[Column]:
     """An unquoted empty cell reads as NULL; here blank cells are empty text."""
     return [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
 
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every cell as text, named by the header; blank cells stay empty text."""
-    df = _scan(spark, path)
-    return df.select(*_text(df, df.columns))
+def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
+                  multi_line: bool = False) -> DataFrame:
+    """Every cell as text, named by the header of its file; blank cells stay empty text.
+
+    With ``columns`` each file has to have them, in any order, and only they are returned.
+    """
+    scans = _scans(spark, path, columns, multi_line)
+    return _together([d.select(*_text(columns or d.columns)) for d in scans], spark, columns or [])
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
+def read_customers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw customer feed plus ``feed_seq``, the arrival order: file, offset of the file
     block, row inside the block. It is the same however often a block is read again."""
-    df = _scan(spark, path)
-    check_columns(df.columns, K.RAW_COLUMNS, path)
-    return df.select(*_text(df, K.RAW_COLUMNS), F.struct(
-        "_metadata.file_path", "_metadata.file_block_start",
-        F.monotonically_increasing_id().alias("row")).alias("feed_seq"))
+    scans = _scans(spark, path, K.RAW_COLUMNS, multi_line)
+    seq = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                   F.monotonically_increasing_id().alias("row")).alias("feed_seq")
+    if not scans:
+        empty = ", ".join(f"`{c}` string" for c in K.RAW_COLUMNS)
+        return spark.createDataFrame(
+            [], empty + ", feed_seq struct<file_path:string,file_block_start:bigint,row:bigint>")
+    return reduce(DataFrame.unionByName, [d.select(*_text(K.RAW_COLUMNS), seq) for d in scans])
 
 
 def coerce_telemetry(df: DataFrame) -> DataFrame:
@@ -71,8 +117,7 @@ def coerce_telemetry(df: DataFrame) -> DataFrame:
 
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    df = read_text_csv(spark, path)
-    return coerce_telemetry(select_contract(df, K.TELEMETRY_COLUMNS, path))
+    return coerce_telemetry(read_text_csv(spark, path, K.TELEMETRY_COLUMNS))
 
 
 def read_optional_telemetry(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -87,25 +132,64 @@ def read_optional_telemetry(spark: SparkSession, path: str | None) -> DataFrame
         raise
 
 
+def content_digest(columns: list[str]) -> Column:
+    """Digest of many rows that does not depend on their order or on how they are split into files: the sum of
+    60 bits of each row's MD5. Sums of parts add up, so tasks share the work on a large file."""
+    row = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]))
+    return F.sum(F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(20,0)")).cast("string")
+
+
 def verify_intake(spark: SparkSession, path: str, expected: list[str] = K.RAW_COLUMNS,
-                  expected_rows: int | None = None) -> DataFrame:
-    """One row per file: length and SHA-256; header and row count of the whole feed."""
-    feed = spark.read.option("header", True).csv(path)
-    header_ok = feed.columns == expected
-    rows = feed.agg(F.count("*")).scalar()
-    files = spark.read.format("binaryFile").load(path)
-    rows_ok = F.lit(None).cast("boolean") if expected_rows is None else rows == expected_rows
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"),
-                        F.lit(header_ok).alias("header_ok"), rows.alias("rows"),
-                        rows_ok.alias("rows_ok"))
+                  expected_rows: int | None = None, expected_digest: str | None = None,
+                  sha256_up_to: int = 0) -> DataFrame:
+    """One row per file: length, rows, content digest, whether its header is exactly the expected one, and whether
+    rows and digest of the whole feed are as expected (NULL: nothing expected).
+
+    SHA-256 reads a file as one row, so it is taken only where ``sha256_up_to`` bytes are allowed, at most 1 GB, and
+    a larger file is refused.
+    """
+    parts = []
+    for names, files in headers(spark, path).items():
+        scan = (_csv(spark).schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+                .option("enforceSchema", False).option("nullValue", "\u0000").csv(files))
+        ok = list(names) == expected
+        known = [c for c in expected if c in names]
+        parts.append(scan.groupBy(F.url_decode("_metadata.file_path").alias("path")).agg(
+            F.count("*").alias("rows"), (content_digest(known) if known else F.lit(None).cast("string"))
+            .alias("digest")).withColumn("header_ok", F.lit(ok)))
+        parts.append(literal_rows(spark, [{"path": F.lit(f), "rows": F.lit(0).cast("bigint"),
+                                           "digest": F.lit(None).cast("string"), "header_ok": F.lit(ok)}
+                                          for f in files]))  # a file may hold its header alone
+    if not parts:
+        raise FileNotFoundError(f"{path}: no file with a header")
+    seen = reduce(DataFrame.unionByName, parts).groupBy("path").agg(
+        F.sum("rows").alias("rows"), F.max("digest").alias("digest"), F.min("header_ok").alias("header_ok"))
+    files, name = spark.read.format("binaryFile").load(path), F.url_decode("_metadata.file_path").alias("path")
+    if sha256_up_to:
+        limit = min(sha256_up_to, 1 << 30)
+        digest = F.when(F.col("length") <= limit, F.sha2("content", 256)).otherwise(
+            F.raise_error(F.concat("path", F.lit(f": longer than {limit} bytes, no SHA-256"))))
+        files = files.select(name, "length", digest.alias("sha256"))
+    else:
+        files = files.select(name, "length", F.lit(None).cast("string").alias("sha256"))
+    total = seen.agg(F.struct(F.sum("rows").alias("rows"), F.sum(F.col("digest").cast("decimal(38,0)"))
+                              .cast("string").alias("digest"))).scalar()
+
+    def same(value: Column, wanted) -> Column:
+        return F.lit(None).cast("boolean") if wanted is None else value == F.lit(wanted)
+
+    return (seen.join(files, "path", "left")
+            .select("path", "length", "sha256", "header_ok", "rows", "digest",
+                    same(total["rows"], expected_rows).alias("rows_ok"),
+                    same(total["digest"], expected_digest).alias("digest_ok")))
 
 
 def typed_load(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV straight into the declared column types. Blank cells are NULL; a cell that
-    does not fit its type, or a header that does not match, fails the load."""
+    """CSV straight into the declared column types. Blank cells are NULL, or the column's declared default; a
+    cell that does not fit its type, or a header that does not match, fails the load."""
     schema = ", ".join(f"`{c}` {t}" for c, t in K.TYPED_LOAD[table].items())
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("mode", "FAILFAST").csv(path))
+    loaded = _csv(spark).schema(schema).option("enforceSchema", False).csv(path)
+    return loaded.fillna(K.LOAD_DEFAULTS[table]) if table in K.LOAD_DEFAULTS else loaded
 
 
 def load_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -13,7 +13,7 @@ SCORE_SINK = ["customer_id", "churn_flag", "churn_probability", "risk_band", "is
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Header, LF line ends, NULL as a blank cell, text kept as it is."""
-    (df.write.mode("overwrite").option("header", True).option("lineSep", "\n")
+    (df.write.mode("overwrite").option("header", True).option("lineSep", "\n").option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
     return path

@@ -51,10 +51,45 @@ def test_optional_telemetry(spark, tmp_path):
 
 
 def test_intake(spark, tmp_path):
-    text = ",".join(K.RAW_COLUMNS) + "\n" + ",".join("1" for _ in K.RAW_COLUMNS) + "\n"
-    row = readers.verify_intake(spark, csv(tmp_path / "raw.csv", text), expected_rows=2).first()
-    assert row["sha256"] == hashlib.sha256(text.encode()).hexdigest()
-    assert (row["header_ok"], row["rows"], row["rows_ok"]) == (True, 1, False)
+    head = ",".join(K.RAW_COLUMNS)
+    text = head + "\n" + ",".join("1" for _ in K.RAW_COLUMNS) + "\n"
+    (tmp_path / "in").mkdir()
+    csv(tmp_path / "in" / "a.csv", text)
+    csv(tmp_path / "in" / "b c.csv", head.replace("gender", "sex") + "\n")
+    rows = readers.verify_intake(spark, str(tmp_path / "in"), expected_rows=2, expected_digest="7",
+                                 sha256_up_to=10_000).orderBy("path").collect()
+    assert [(r["header_ok"], r["rows"], r["rows_ok"], r["digest_ok"]) for r in rows] == [
+        (True, 1, False, False), (False, 0, False, False)]
+    assert rows[0]["sha256"] == hashlib.sha256(text.encode()).hexdigest() and rows[0]["length"] == len(text)
+    again = readers.verify_intake(spark, str(tmp_path / "in" / "a.csv"), expected_rows=1,
+                                  expected_digest=rows[0]["digest"]).first()
+    assert again["rows_ok"] and again["digest_ok"] and again["sha256"] is None
+    with pytest.raises(Exception, match="no SHA-256"):
+        readers.verify_intake(spark, str(tmp_path / "in"), sha256_up_to=5).collect()
+
+
+def test_two_headers_quotes_and_bad_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    csv(tmp_path / "in" / "a.csv", 'k,v\n1,"He said ""hi"", ok"\n')
+    csv(tmp_path / "in" / "b.csv", "v,k\nx,2\n")
+    csv(tmp_path / "in" / "empty.csv", "")
+    rows = readers.read_text_csv(spark, str(tmp_path / "in"), ["k", "v"]).collect()
+    assert sorted(map(tuple, rows)) == [("1", 'He said "hi", ok'), ("2", "x")]
+    broken = readers.read_text_csv(spark, csv(tmp_path / "c.csv", 'k,v\n1,"a\nb"\n'), multi_line=True)
+    assert [tuple(r) for r in broken.collect()] == [("1", "a\nb")]
+    for text in ("k,v,w\n1,2,3,4\n", "k,v,w\n1,2\n"):
+        with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+            readers.read_text_csv(spark, csv(tmp_path / "d.csv", text), ["k"]).collect()
+    csv(tmp_path / "in" / "z.csv", "k\n3\n")
+    with pytest.raises(K.SchemaError, match="z.csv"):
+        readers.read_text_csv(spark, str(tmp_path / "in"), ["k", "v"])
+
+
+def test_blank_default_on_typed_load(spark, tmp_path):
+    head = ",".join(K.TYPED_LOAD["fact_customer"])
+    cells = ",".join("" for _ in K.TYPED_LOAD["fact_customer"])
+    row = readers.typed_load(spark, csv(tmp_path / "f.csv", f"{head}\n{cells}\n"), "fact_customer").first()
+    assert row["kpi_months"] == 0 and row["total_outage_minutes"] is None
 
 
 def test_typed_load_fails_on_a_bad_cell(spark, tmp_path):
