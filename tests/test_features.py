@@ -27,11 +27,11 @@ def test_tenure_buckets(spark):
 
 def test_customer_features(clean):
     f = by_id(customer_features(clean))
-    assert f["0001-AAAAA"]["num_addon_services"] == 2 and f["0003-CCCCC"]["num_addon_services"] == 0
-    assert f["0003-CCCCC"]["has_internet"] == 0 and f["0003-CCCCC"]["is_auto_payment"] == 1
-    assert f["0001-AAAAA"]["is_month_to_month"] == 1
-    assert f["0003-CCCCC"]["lifetime_avg_monthly"] == 90.0 and f["0003-CCCCC"]["charge_ratio"] == 1.0
-    assert f["0002-BBBBB"]["lifetime_avg_monthly"] == 89.1
+    assert f["K-17"]["num_addon_services"] == 4 and f["K-58"]["num_addon_services"] == 0
+    assert f["K-58"]["has_internet"] == 0 and f["K-58"]["is_auto_payment"] == 1
+    assert f["K-17"]["is_auto_payment"] == 0 and f["K-23"]["is_month_to_month"] == 1
+    assert f["K-58"]["lifetime_avg_monthly"] == 19.65 and f["K-58"]["charge_ratio"] == 0.992
+    assert f["K-23"]["lifetime_avg_monthly"] == 54.35
 
 
 def test_equal_quartile_edges_give_one_band(spark):
@@ -46,14 +46,14 @@ def test_quartile_bands_are_right_closed(spark):
 
 
 def test_telemetry_aggregates_and_score(clean, kpi_frame):
-    f = by_id(telemetry_features(customer_features(clean), kpi_frame(["0001-AAAAA", "0003-CCCCC"])))
-    a, b = f["0001-AAAAA"], f["0002-BBBBB"]
+    f = by_id(telemetry_features(customer_features(clean), kpi_frame(["K-17", "K-58"])))
+    a, b = f["K-17"], f["K-23"]
     assert a["kpi_months"] == 12 and b["kpi_months"] == 0 and len(a) == 49
-    assert (a["avg_dropped_call_pct"], a["l3m_dropped_call_pct"]) == (1.15, 1.6)
-    assert a["dropped_call_trend_pp"] == 0.45 and a["latency_trend_pct"] == 17.0
-    assert a["download_trend_pct"] == 0.0 and a["avg_latency_ms"] == 26.5
-    assert (a["total_outage_minutes"], a["l3m_outage_minutes"]) == (60, 15)
-    assert (a["network_complaints"], a["l3m_complaints"]) == (1, 1)
+    assert (a["avg_dropped_call_pct"], a["l3m_dropped_call_pct"]) == (1.71, 1.44)
+    assert a["dropped_call_trend_pp"] == -0.27 and a["latency_trend_pct"] == 13.6
+    assert a["download_trend_pct"] == -5.4 and a["avg_latency_ms"] == 49.75
+    assert (a["total_outage_minutes"], a["l3m_outage_minutes"]) == (42, 22)
+    assert (a["network_complaints"], a["l3m_complaints"]) == (3, 0)
     assert b["network_quality_band"] == "No telemetry" and b["network_quality_score"] is None
     assert b["network_complaints"] == 0 and b["total_outage_minutes"] is None
     assert 0 <= a["network_quality_score"] <= 100
@@ -77,6 +77,18 @@ def test_null_zero_and_absent_recent_values(spark):
     assert got == {"old": (0, None), "nulls": (0, 0), "mixed": (4, 4)}
 
 
+def test_fractions_of_minutes_and_fine_readings_count(spark):
+    rows = [("a", 11, 0.9, 0.123456), ("a", 12, 0.9, 0.1), ("b", 1, 0.25, None)]
+    kpis = spark.createDataFrame(rows, "customer_id string, month_index int, outage_minutes double, "
+                                       "dropped_call_pct double").withColumns(
+        {c: F.lit(None).cast("double") for c in ("avg_download_mbps", "avg_latency_ms", "data_usage_gb")}) \
+        .withColumn("complaints", F.lit(0))
+    got = by_id(raw_aggregates(kpis))
+    assert got["a"]["total_outage_minutes"] == got["a"]["l3m_outage_minutes"] == 1.8
+    assert got["a"]["avg_dropped_call_pct"] == 0.111728 and got["b"]["avg_dropped_call_pct"] is None
+    assert got["b"]["total_outage_minutes"] == 0.25 and got["b"]["l3m_outage_minutes"] is None
+
+
 def test_score_without_peer_column_uses_one_group(spark, kpi_frame):
     base = spark.createDataFrame([("a",), ("b",)], "customer_id string")
     scored = telemetry_features(base, kpi_frame(["a"])).collect()

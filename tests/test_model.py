@@ -15,35 +15,54 @@ def scored(spark, y, p):
                                  "id string, y int, p double")
 
 
-@pytest.mark.parametrize("p,want", [((.1, .2, .8, .9), 1.0), ((.9, .8, .2, .1), 0.0),
-                                    ((.5, .5, .5, .5), 0.5)])
-def test_auc(spark, p, want):
-    assert E.roc_auc(scored(spark, (0, 0, 1, 1), p), "y", "p").first()["roc_auc"] == want
-
-
-def test_auc_of_one_class_is_null(spark):
-    assert E.roc_auc(scored(spark, (1, 1), (.1, .2)), "y", "p").first()["roc_auc"] is None
-
-
-def test_confusion(spark):
-    m = E.threshold_metrics(scored(spark, (1, 0, 1, 0), (.9, .8, .2, .1)), "y", "p").first()
-    assert (m["tp"], m["fp"], m["fn"], m["tn"], m["accuracy"]) == (1, 1, 1, 1, 0.5)
-    none = E.threshold_metrics(scored(spark, (1, 0), (.1, .2)), "y", "p").first()
-    assert (none["precision"], none["recall"], none["f1"]) == (0.0, 0.0, 0.0)
-
-
-def test_lift_table(spark):
-    rng = np.random.default_rng(0)
-    p = rng.random(1000)
-    lift = E.decile_lift(scored(spark, rng.random(1000) < p, p), "y", "p", "id").orderBy("decile").collect()
-    assert len(lift) == 10 and lift[-1]["cumulative_churners_pct"] == 100.0
-    assert lift[0]["lift"] > lift[-1]["lift"] and {r["customers"] for r in lift} == {100}
-
-
-def test_risk_bands(spark):
-    df = spark.createDataFrame([(0.0,), (0.2,), (0.5,), (1.0,), (None,)], "p double")
-    got = [r[0] for r in df.select(left_closed_band("p", K.RISK_BANDS)).collect()]
-    assert got == ["Low", "Medium", "High", "High", None]
+def pairs_won(y, p):
+    """Share of (positive, negative) pairs that the positive wins; ties count half."""
+    won = [1.0 if a > b else 0.5 if a == b else 0.0
+           for a, u in zip(p, y) if u for b, v in zip(p, y) if not v]
+    return sum(won) / len(won)
+
+
+def test_auc_counts_pairs(spark):
+    y = (1, 0, 0, 1, 0, 0, 1, 0, 0)
+    for p in ((.3, .3, .1, .7, .7, .2, .05, .3, .6), (.4,) * 9, tuple(.1 * v for v in range(9))):
+        got = E.roc_auc(scored(spark, y, p), "y", "p").first()
+        assert (got["positives"], got["negatives"]) == (3, 6)
+        assert got["roc_auc"] == pytest.approx(pairs_won(y, p), abs=1e-12)
+    assert E.roc_auc(scored(spark, (0, 0, 0), (.1, .2, .2)), "y", "p").first()["roc_auc"] is None
+
+
+def test_threshold_belongs_to_the_positives(spark):
+    df = scored(spark, (1, 1, 0, 0, 0), (.35, .34, .6, .1, .35))
+    m = E.threshold_metrics(df, "y", "p", 0.35).first()
+    assert (m["tp"], m["fp"], m["fn"], m["tn"]) == (1, 2, 1, 1)
+    assert (m["accuracy"], m["precision"], m["recall"], m["f1"]) == (0.4, 0.3333, 0.5, 0.4)
+    nothing = E.threshold_metrics(df, "y", "p", 0.99).first()
+    assert (nothing["tp"], nothing["precision"], nothing["recall"], nothing["f1"]) == (0, 0.0, 0.0, 0.0)
+
+
+def test_lift_with_ties_over_a_decile_edge(spark):
+    """23 rows: deciles of two and three rows, six of them with one score."""
+    p = [round(.97 - .03 * i, 2) for i in range(7)] + [.7] * 6 + [round(.6 - .05 * i, 2) for i in range(10)]
+    y = [int(i % 3 == 0 or i < 5) for i in range(23)]
+    order = sorted(range(23), key=lambda i: (-p[i], f"c{i}"))
+    want = {}
+    for place, i in enumerate(order):
+        want.setdefault(place * 10 // 23 + 1, []).append(i)
+    lift = E.decile_lift(scored(spark, y, p), "y", "p", "id").orderBy("decile").collect()
+    assert [(r["decile"], r["customers"], r["churners"], r["min_probability"], r["max_probability"])
+            for r in lift] == [(d, len(m), sum(y[i] for i in m), min(p[i] for i in m), max(p[i] for i in m))
+                               for d, m in sorted(want.items())]
+    assert lift[-1]["cumulative_churners_pct"] == lift[-1]["cumulative_customers_pct"] == 100.0
+    first = want[1]
+    rate = round(sum(y[i] for i in first) / len(first), 4)
+    assert lift[0]["lift"] == round(rate / (sum(y) / 23), 2)
+
+
+def test_risk_bands_are_closed_below(spark):
+    cases = {0.1999: "Low", 0.2001: "Medium", 0.4999: "Medium", 0.5: "High", 1.005: "High", 1.5: "High"}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()] + [(None, None)], "p double, want string")
+    assert df.select("want", left_closed_band("p", K.RISK_BANDS).alias("got")).where(
+        "not want <=> got").count() == 0
 
 
 def test_best_threshold_takes_the_larger_of_equal_ones(spark):

@@ -6,7 +6,7 @@ from holdfast.operators.cleaning import conform
 from holdfast.operators.customer_features import customer_features
 from holdfast.operators.joins import matched_rows, orphan_count
 
-IDS = ["0001-AAAAA", "0002-BBBBB", "0003-CCCCC"]
+IDS = ["K-17", "K-23", "K-58"]
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +35,7 @@ def test_row_count_differs_is_a_warning(customers, kpi_frame):
 
 
 def test_orphan_telemetry_fails(customers, kpi_frame):
-    broken = kpi_frame([*IDS, "9999-ZZZZZ"])
+    broken = kpi_frame([*IDS, "K-99"])
     with pytest.raises(Q.DataQualityError, match="fk_customer_id_exists"):
         Q.quality_gate(customers, broken)
     dq = Q.quality_gate(customers, broken, fail_on_error=False)
