@@ -42,8 +42,8 @@ class Training:
     text that is learned from. least_texts: words of fewer sample texts count as unknown.
     """
 
-    most_toxic: int = 3000
-    most_clean: int = 6000
+    most_toxic: int = 2500
+    most_clean: int = 5000
     most_words: int = 5000
     least_texts: int = 5
     epochs: int = 12
@@ -250,17 +250,21 @@ def held_out(doc_id="doc_id"):
 
 
 def sample(docs: DataFrame, labels: DataFrame, how: Training = Training()):
-    """Labelled rows to learn from, at most ``most_toxic + most_clean``, and what each stands for."""
+    """Labelled rows to learn from, at most ``most_toxic + most_clean``, and how many labels each stands for.
+
+    The rows are chosen from the labels alone; their ids are few by that bound and are broadcast, so texts are
+    neither shuffled nor gathered beyond the sample. Chosen texts over ``most_words`` are left out.
+    """
     marked = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
               .select("doc_id", "toxic").dropDuplicates(["doc_id"]))
-    sized = (docs.select("doc_id", "text", "lang").filter("text is not null")
-             .filter(F.size(F.split("text", " ")) <= how.most_words).join(marked, "doc_id"))
-    counts = {r["toxic"]: r["count"] for r in sized.groupBy("toxic").count().collect()}
-    rows = []
-    for label, most in ((0, how.most_clean), (1, how.most_toxic)):
-        rows += (sized.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-                 .select("doc_id", "text", "toxic", "lang").collect())
-    rows.sort(key=lambda r: r["doc_id"])
+    chosen = [marked.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+              for label, most in ((0, how.most_clean), (1, how.most_toxic))]
+    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    rows = (docs.select("doc_id", "text", "lang").filter("text is not null")
+            .join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+            .filter(F.size(F.split("text", " ")) <= how.most_words)
+            .select("doc_id", "text", "toxic", "lang").collect())
+    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     share = tuple(counts.get(y, 0) / max(1, sum(r["toxic"] == y for r in rows)) for y in (0, 1))
     return [(r["text"], int(r["toxic"]), r["lang"]) for r in rows], share
 
