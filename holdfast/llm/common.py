@@ -31,12 +31,13 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: fixes the rows, cuts the
-    lineage and outlives lost executors."""
+    lineage and outlives lost executors. ``rows``, if about known, keeps a small table from being written as very
+    many files: one for each million, eight at least."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(8, -(-rows // 1_000_000)))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -73,5 +74,10 @@ def semi(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi",
 
     Up to ``most_rows`` keys (counted) are broadcast, so that ``df`` needs no shuffle; more are joined.
     """
-    few = ids.limit(most_rows + 1).count() <= most_rows
-    return df.join(F.broadcast(ids) if few else ids, key, how)
+    return df.join(small(ids, most_rows), key, how)
+
+
+def small(rows: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """A stored table of a few integer columns, to be broadcast if it has at most ``most_rows`` (counted)."""
+    few = rows.limit(most_rows + 1).count() <= most_rows
+    return F.broadcast(rows) if few else rows

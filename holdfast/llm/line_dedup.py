@@ -1,22 +1,23 @@
 """Fuzzy line dedup: MinHash over character shingles, exact Jaccard, union-find, one line per component.
 
-1. Equal lines (small letters, no blanks at the ends) become one row, known by a 64-bit hash.
-2. MinHash: the shingles that begin at a word are a sample of a line's shingles that depends on its content
-   only; their smallest hashes make ``BANDS`` bands of ``ROWS``. Similarity in the sample is that of all
-   shingles up to chance, so the bands are chosen for high recall.
-3. Within a bucket each line is compared with the smallest line, on the full shingle sets. Components follow from
-   these links. Lines of a bucket that are then still in different components are compared with each other, in
+1. A line is known by a 64-bit hash of what is compared (small letters, no blanks at the ends). Its shingles are the
+   character runs from the start of a word to the ``PREFIX``-th character of the next; so they follow
+   the content, and a line has as many as words.
+2. MinHash: under the k-th permutation a shingle's hash is XORed with the k-th mask. ``BANDS`` bands of ``ROWS`` smallest
+   values put lines into buckets.
+3. In a bucket each line is compared with one of them, another one in another bucket, on the full shingle sets.
+   Components follow from these links. Lines of a bucket that are then still in different components are compared with each other, in
    blocks, so that every pair of a bucket is compared unless it hangs together anyway.
 4. Of each component the first line (by doc_id, then place) stays.
 
-Only DataFrame expressions. Hot lines are combined before they are shuffled; a hot bucket is split
-into blocks of ``BLOCK`` lines; joins are on keys that are unique on one side. No pairs are emitted but those with
-a bucket's smallest line and those that are similar.
+Only DataFrame expressions. Texts are not shuffled: equal lines are combined into one row of smallest values before the
+first shuffle. Joins are on keys that are unique on one side; a hot bucket is split into blocks of
+``BLOCK`` lines. No pairs are emitted but those with a bucket's chosen line and those that are similar.
 
-Defined results: a NULL or empty text has no lines. Lines without a word are no duplicates and stay. Lines shorter
-than a shingle are a shingle themselves. Rows with one doc_id are one document for the order, and lose the same
-lines. Rows without a doc_id come last in the order. An empty table gives no rows. 64-bit hashes stand for
-different lines: among 10^9 of them the chance that any two share one is about 3 %.
+Defined results: a NULL or empty text has no lines. Lines without a word are no duplicates and stay. Rows with one
+doc_id are one document for the order, and lose the same lines. Rows without a doc_id come last in the order. An
+empty table gives no rows. 64-bit hashes stand for different lines: among 10^9 of them the chance that any two share
+one is about 3 %.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import BLANK, WORD, let, semi, stored, table
+from holdfast.llm.common import BLANK, WORD, let, small, stored, table
 from holdfast.llm.components import components
 
-SHINGLE = 7
-BANDS, ROWS = 10, 3
+PREFIX = 4
+BANDS, ROWS = 8, 3
+PCT = 80
 BLOCK = 256
+MOST_SENT = 2_000_000  # ids (8 bytes each) that are broadcast at most, counted before
 
 
 def normal(line: Column) -> Column:
@@ -37,25 +40,6 @@ def normal(line: Column) -> Column:
     return F.lower(F.btrim(line, F.lit(BLANK)))
 
 
-def shingles(line: Column, n: int = SHINGLE) -> Column:
-    """Different character n-grams of a line; a shorter line is one."""
-    found = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
-    return F.when(F.length(line) <= n, F.array(line)).otherwise(F.array_distinct(found))
-
-
-def word_shingles(line: Column, n: int = SHINGLE) -> Column:
-    """The n-grams that begin at a word; the whole line if there is none."""
-    return F.when(F.length(line) <= n, F.array(line)).otherwise(
-        F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{n}}}))[^\x20\x09-\x0D]+"), F.lit(1)))
-
-
-def similar(a: Column, b: Column, pct: int, n: int = SHINGLE) -> Column:
-    """Whether the shingle sets of two lines have a Jaccard similarity of at least ``pct`` percent."""
-    return let(F.struct(shingles(a, n).alias("a"), shingles(b, n).alias("b")), lambda s: (
-        F.size(F.array_intersect(s["a"], s["b"])) * (100 + pct)
-        >= (F.size(s["a"]) + F.size(s["b"])) * pct))
-
-
 def lines_of(docs: DataFrame) -> DataFrame:
     """``doc_id, place, line, id`` of each line with a word."""
     return (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "raw"))
@@ -64,71 +48,114 @@ def lines_of(docs: DataFrame) -> DataFrame:
             .withColumn("id", F.xxhash64("line")))
 
 
-def buckets(different: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """``bucket, id`` for each band of each line of ``different`` (``id``, ``line``)."""
-    grams = (different.select("id", F.explode(word_shingles(F.col("line"), n)).alias("gram"))
-             .select("id", F.xxhash64("gram").alias("gram")))
-    low = grams.groupBy("id").agg(*[F.min(F.xxhash64("gram", F.lit(k))).alias(f"m{k}")
-                                    for k in range(bands * rows)])
-    return low.select("id", F.explode(F.array(*[
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]))
-        .alias("bucket"))
+def _pairs_of(words: Column) -> Column:
+    """Each word with the next one (NULL after the last)."""
+    return F.arrays_zip(words.alias("word"), F.slice(words, 2, F.size(words)).alias("next"))
+
+
+def _gram(word: Column, after: Column) -> Column:
+    return F.xxhash64(word, F.substring(after, 1, PREFIX))
+
+
+def grams(line: Column) -> Column:
+    """Hashes of the different shingles of a line."""
+    return let(F.split(line, " "), lambda words: F.array_distinct(
+        F.transform(_pairs_of(words), lambda x: _gram(x["word"], x["next"]))))
+
+
+def similar(a: Column, b: Column, pct: int) -> Column:
+    """Whether two shingle sets have a Jaccard similarity of at least ``pct`` percent."""
+    m, n = F.size(a), F.size(b)
+    return ((m * 100 >= n * pct) & (n * 100 >= m * pct)
+            & (F.size(F.array_intersect(a, b)) * (100 + pct) >= (m + n) * pct))
+
+
+def _mask(k: int) -> int:
+    """Masks that lie far from each other: multiples of 2^64 over the golden ratio, as signed numbers."""
+    value = (k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``id, bands``: one row per different line with a hash for each band."""
+    words = lines.select("id", F.split("line", " ").alias("words"))
+    spread = (words.select("id", F.inline(_pairs_of(F.col("words"))).alias("word", "next"))
+              .select("id", _gram(F.col("word"), F.col("next")).alias("gram")))
+    low = spread.groupBy("id").agg(*[F.min(F.col("gram").bitwiseXOR(F.lit(_mask(k)))).alias(f"m{k}")
+                                     for k in range(bands * rows)])
+    return low.select("id", F.array(*[
+        F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)])
+        for b in range(bands)]).alias("bands"))
+
+
+def _least(salt: Column) -> Column:
+    """A line of each bucket, another one for another bucket or salt: the one whose id is the smallest after an XOR
+    with both, which the same XOR gives back."""
+    turn = F.col("bucket").bitwiseXOR(salt.cast("bigint"))
+    return F.min(F.col("id").bitwiseXOR(turn)).bitwiseXOR(turn)
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``id, line`` of the wanted ids."""
-    wanted = semi(lines_of(docs).select("id", "line"), ids, "id")
-    return wanted.groupBy("id").agg(F.first("line").alias("line"))
+def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+    """Members of the buckets with several lines (``bucket, id, least, m``), and all lines (``doc_id, place, id``, and
+    ``grams`` where the line is such a member)."""
+    lines = lines_of(docs)
+    signed = stored(signatures(lines, bands, rows), "line-signatures")
+    dealt = signed.select("id", F.explode("bands").alias("bucket"))
+    shared = stored(dealt.groupBy("bucket").agg(_least(F.lit(0)).alias("least"), F.count("*").alias("m"))
+                    .filter("m > 1"), "line-buckets")
+    members = stored(dealt.join(small(shared), "bucket"), "line-members", 8 * shared.count())
+    wanted = members.select("id").distinct().withColumn("wanted", F.lit(True))
+    if members.count() <= MOST_SENT:  # more rows than different ids
+        wanted = F.broadcast(wanted)
+    found = lines.join(wanted, "id", "left").select(
+        "doc_id", "place", "id", F.when(F.col("wanted"), grams(F.col("line"))).alias("grams"))
+    return members, stored(found, "lines")
 
 
-def classes(docs: DataFrame, pct: int = 80, n: int = SHINGLE, bands: int = BANDS,
-            rows: int = ROWS) -> DataFrame:
+def classes(members: DataFrame, lines: DataFrame, pct: int = PCT) -> DataFrame:
     """``node, root``: the component of every line (by id) that is similar to another line."""
-    different = lines_of(docs).groupBy("id").agg(F.first("line").alias("line"))
-    dealt = buckets(different, bands, rows, n)
-    shared = (dealt.groupBy("bucket").agg(F.min("id").alias("least"), F.count("*").alias("m"))
-              .filter("m > 1"))
-    members = stored(dealt.join(shared, "bucket"), "line-buckets")
-    ids = stored(members.select("id").distinct(), "line-ids")
-    texts = stored(_texts(docs, ids), "line-texts")
+    most = members.count()  # no table below has more rows, but for the links found late
+    sets = stored(lines.filter("grams is not null").dropDuplicates(["id"]).select("id", "grams"),
+                  "line-sets", 8 * most)  # long rows
 
-    def named(name: str, line: str) -> DataFrame:
-        return texts.select(F.col("id").alias(name), F.col("line").alias(line))
+    def named(name: str, grams: str) -> DataFrame:
+        return sets.select(F.col("id").alias(name), F.col("grams").alias(grams))
 
     with_least = members.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
     links = stored(with_least.distinct().join(named("a", "x"), "a").join(named("b", "y"), "b")
-                   .filter(similar(F.col("x"), F.col("y"), pct, n)).select("a", "b"), "line-links")
-    found = components(links)
+                   .filter(similar(F.col("x"), F.col("y"), pct)).select("a", "b"), "line-links", most)
+    found = components(links, links.count())
 
-    # what a bucket still holds in different components, its smallest line aside (that one is compared)
+    # what a bucket still holds in different components, its chosen line aside (that one is compared)
     labelled = (members.filter("m > 2 and id != least")
                 .join(found.withColumnRenamed("node", "id"), "id", "left")
                 .select("bucket", "id", F.coalesce("root", "id").alias("label")))
     open_ = (labelled.groupBy("bucket")
              .agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k"))
              .filter("l0 != l1").select("bucket", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")))
-    rest = stored(labelled.join(open_, "bucket").join(texts, "id")
-                  .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "line-rest")
+    rest = (labelled.join(open_, "bucket").join(sets, "id")
+            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     at = lambda low, high: F.explode(F.sequence(low, high))
     a = rest.select("bucket", F.col("block").alias("low"), at(F.col("block"), F.col("blocks") - 1)
                     .alias("high"), F.col("id").alias("a"), F.col("label").alias("la"),
-                    F.col("line").alias("x"))
+                    F.col("grams").alias("x"))
     b = rest.select("bucket", at(F.lit(0), F.col("block")).alias("low"), F.col("block").alias("high"),
-                    F.col("id").alias("b"), F.col("label").alias("lb"), F.col("line").alias("y"))
-    longer, shorter = F.greatest(F.length("x"), F.length("y")), F.least(F.length("x"), F.length("y"))
+                    F.col("id").alias("b"), F.col("label").alias("lb"), F.col("grams").alias("y"))
     late = (a.join(b, ["bucket", "low", "high"])
             .filter((F.col("la") != F.col("lb"))
-                    & ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))))
-            .filter(similar(F.col("x"), F.col("y"), pct, n)).select("a", "b"))
+                    & ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
+                    & similar(F.col("x"), F.col("y"), pct)).select("a", "b"))
     late = stored(late.distinct(), "line-links")
-    return components(links.union(late))
+    # the classes so far are edges to their roots
+    return found if late.isEmpty() else components(
+        found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
 
 
-def repeats(docs: DataFrame, pct: int = 80, n: int = SHINGLE, bands: int = BANDS,
-            rows: int = ROWS) -> DataFrame:
+def repeats(docs: DataFrame, pct: int = PCT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, removed``: places (from 0) of the lines that are not the first of their component."""
-    found = classes(docs, pct, n, bands, rows)
-    occ = (lines_of(docs).select("doc_id", "place", "id")
+    members, lines = occurrences(docs, bands, rows)
+    found = classes(members, lines, pct)
+    occ = (lines.select("doc_id", "place", "id")
            .join(found.withColumnRenamed("node", "id"), "id", "left")
            .select("doc_id", "place", F.coalesce("root", "id").alias("root")))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "place")

@@ -248,7 +248,7 @@ def join(docs: DataFrame, n: int = WORDS, similarity: Fraction = SIMILARITY,
                    & (F.col("a.n") * q >= F.col("b.n") * p) & (F.col("b.n") * q >= F.col("a.n") * p)
                    & (F.get(F.array_intersect("a.bands", "b.bands"), 0) == F.col("a.bucket")))
     pairs = stored(_verified(pairs.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")),
-                             sets, similarity), "pairs")
+                             sets, similarity), "pairs", members.count())
 
     blocks = F.ceil(F.col("total") / BLOCK).cast("int")
     hot = (members.filter(F.col("m") > SMALL)
@@ -260,12 +260,13 @@ def join(docs: DataFrame, n: int = WORDS, similarity: Fraction = SIMILARITY,
                    F.greatest("block", "other").alias("high")))
     met = stored(hot.join(sets.select("doc_id", "bands", "grams"), "doc_id")
                  .groupBy("bucket", "low", "high")
-                 .applyInArrow(_compare(similarity), "doc_id bigint, links bigint, root bigint"), "met")
+                 .applyInArrow(_compare(similarity), "doc_id bigint, links bigint, root bigint"), "met", members.count())
 
     links = (pairs.select(F.col("a").alias("doc_id"), F.lit(1).alias("links"))
              .union(pairs.select("b", F.lit(1))).union(met.select("doc_id", "links"))
              .groupBy("doc_id").agg(F.sum("links").cast("bigint").alias("n_links")))
-    classes = components(pairs.union(met.select("doc_id", "root")))
+    edges = pairs.union(met.select("doc_id", "root"))
+    classes = components(edges, edges.count())
     by_key = (copies.join(links.withColumnRenamed("doc_id", "rep"), "rep", "left")
               .join(classes.select(F.col("node").alias("rep"), "root"), "rep", "left")
               .select("key", "rep", "n_copies", F.coalesce("root", "rep").alias("root"),
