@@ -3,6 +3,7 @@
 Feeds are bound to the tables and stored once, outside the timings, as the
 reference's input files are. Each step then runs three times: the first run warms the
 session up, the faster of the other two counts. Steps mirror the batch: clean, features, gate, model, star, questions.
+The boosted benchmark runs once.
 """
 
 from __future__ import annotations
@@ -44,7 +45,10 @@ def main() -> None:
         "features": lambda: store(telemetry_features(customer_features(m.customers), m.kpis),
                                   "features"),
         "quality_gate": lambda: quality_results(m.features, m.kpis).collect(),
-        "model_customer": lambda: propensity.train(m.features, "customer").metrics.collect(),
+        "model_customer": lambda: propensity.train(m.features, "customer",
+                                                   boosted_rounds=0).metrics.collect(),
+        "model_both_sets": lambda: [r.metrics.collect() for r in propensity.train_all(
+            m.features, True, boosted_rounds=0).values()],
         "star": lambda: write_star(build_star(m.scored, m.kpis), scratch_path(spark, "star")),
         **{f"a{i:02d}_{name}": lambda ask=ask: ask(m.star).collect()
            for i, (name, ask) in enumerate(analytics.QUESTIONS.items(), start=1)},
@@ -58,6 +62,8 @@ def main() -> None:
         "lineitem_duplicates": lambda: duplicate_rows(
             t("lineitem"), ["l_orderkey", "l_linenumber"]).collect(),
     }
+    # the boosted benchmark takes several jobs for each of its 300 rounds: one run, after the others
+    boosted = {"model_boosted_300": lambda: propensity.train(m.features, "customer").boosted.collect()}
     seconds = {}
     for name, step in steps.items():
         step()
@@ -67,6 +73,10 @@ def main() -> None:
             step()
             runs.append(time.perf_counter() - began)
         seconds[name] = round(min(runs), 3)
+    for name, step in boosted.items():
+        began = time.perf_counter()
+        step()
+        seconds[name] = round(time.perf_counter() - began, 3)
     print(json.dumps({"metric": "total warm seconds of the headline steps",
                       "value": round(sum(seconds.values()), 3), "unit": "sec",
                       "queries": seconds, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1]}))

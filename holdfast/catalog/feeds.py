@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
-from holdfast.catalog.sqlbase import CTES, big
+from holdfast.catalog.sqlbase import CTES, big, unknown_sql
 from holdfast.functions.columns import flag, strip, to_number, to_whole, yes_no
 from holdfast.operators import cleaning as C
 from holdfast.operators.customer_features import customer_features
@@ -243,12 +243,27 @@ add("s12_audit_sink_on_failure", audit_sink,
 
 
 def run_manifest(s: Source) -> DataFrame:
-    run = batch.run(s.spark, s.m.raw, s.m.kpis, s.scratch("batch"), with_model=False,
-                    fail_on_dq=False)
-    return run.manifest
-
-
-add("s14_run_manifest", run_manifest)
+    """The whole batch, model included; everything in the manifest but the clock."""
+    run = batch.run(s.spark, s.m.raw, s.m.kpis, s.scratch("batch"), fail_on_dq=False)
+    info = F.col("info")
+    return run.manifest.select(
+        "step", (F.col("elapsed_s") >= 0).alias("timed"), F.element_at(info, "rows").alias("rows"),
+        F.element_at(info, "duplicates_removed").alias("duplicates_removed"),
+        F.element_at(info, "fact_customer").alias("fact_customer"), F.element_at(info, "questions").alias("questions"))
+
+
+_manifest = {"clean": ("CAST((SELECT COUNT(*) FROM clean) AS VARCHAR)",
+                       "CAST((SELECT COUNT(*) FROM raw_feed) - (SELECT COUNT(*) FROM clean) AS VARCHAR)"),
+             "load_kpis": ("CAST((SELECT COUNT(*) FROM kpis) AS VARCHAR)", "NULL"),
+             "features": ("CAST((SELECT COUNT(*) FROM features) AS VARCHAR)", "NULL"),
+             "quality_gate": ("NULL", "NULL"), "model": ("NULL", "NULL"), "warehouse": ("NULL", "NULL"),
+             "analytics": ("NULL", "NULL")}
+add("s14_run_manifest", run_manifest, " UNION ALL ".join(
+    f"SELECT '{step}' AS step, true AS timed, CAST({rows} AS VARCHAR) AS rows, CAST({gone} AS VARCHAR) AS "
+    f"duplicates_removed, " + ("CAST((SELECT COUNT(*) FROM fact_customer) AS VARCHAR)" if step == "warehouse"
+                               else "CAST(NULL AS VARCHAR)") + " AS fact_customer, "
+    + ("'8'" if step == "analytics" else "CAST(NULL AS VARCHAR)") + " AS questions"
+    for step, (rows, gone) in _manifest.items()))
 
 # -- cleaning --------------------------------------------------------------------
 
@@ -309,20 +324,17 @@ add("c09_binary_label", lambda s: s.m.customers.select("customer_id", "churn", "
     "SELECT customer_id, churn, churn_flag FROM clean")
 
 
-def _unknown_sql() -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS rows FROM clean WHERE {c} NOT IN ("
-        + ", ".join(f"'{a}'" for a in allowed) + f") GROUP BY {c}"
-        for c, allowed in K.DOMAINS.items())
-
-
-add("c10_domain_audit", lambda s: C.unknown_values(s.m.customers), _unknown_sql())
+add("c10_domain_audit", lambda s: C.unknown_values(s.m.customers), unknown_sql())
 add("c11_cleaning_report", lambda s: C.cleaning_report(s.m.raw), """
 SELECT (SELECT COUNT(*) FROM raw_feed) AS rows_in, COUNT(*) AS rows_out,
   (SELECT COUNT(*) FROM raw_feed) - COUNT(*) AS duplicates_removed,
   COUNT(*) FILTER (total_text = '') AS total_charges_blank,
   COUNT(*) FILTER (total_number IS NULL AND tenure_months = 0) AS total_charges_imputed_zero,
   COUNT(*) FILTER (total_number IS NULL) - COUNT(*) FILTER (total_text = '')
-    AS total_charges_unparseable FROM typed""")
+    AS total_charges_unparseable, (SELECT COUNT(*) FROM (""" + unknown_sql() + """)) AS unknown_category_values
+FROM typed""")
+add("c11b_unknown_value_lists", lambda s: C.unknown_lists(C.unknown_values(s.m.customers)).select(
+    "column", F.array_join("values", "|").alias("values")),
+    'SELECT "column", string_agg(value, \'|\' ORDER BY value) AS "values" FROM (' + unknown_sql() + ') GROUP BY ALL')
 
 add("raw_customer_feed", lambda s: s.m.raw, CTES["raw_feed"])

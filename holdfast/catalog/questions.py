@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
-from holdfast.catalog.sqlbase import big, pct, ravg, rhu, units, xavg, xsum
+from holdfast.catalog.sqlbase import big, pct, ravg, rhu, units, unknown_sql, xavg, xsum
 from holdfast.operators import quality as Q
 from holdfast.operators.cleaning import cleaning_report
 from holdfast.plans import analytics as A
@@ -113,13 +113,14 @@ def run_summary(s: Source) -> DataFrame:
     return R.run_summary(cleaning_report(s.m.raw), dq)
 
 
-add("r02_run_summary", run_summary, """
+add("r02_run_summary", run_summary, f"""
 SELECT (SELECT COUNT(*) FROM raw_feed) AS rows_in, COUNT(*) AS rows_out,
   (SELECT COUNT(*) FROM raw_feed) - COUNT(*) AS duplicates_removed,
   COUNT(*) FILTER (total_text = '') AS total_charges_blank,
   COUNT(*) FILTER (total_number IS NULL AND tenure_months = 0) AS total_charges_imputed_zero,
   COUNT(*) FILTER (total_number IS NULL) - COUNT(*) FILTER (total_text = '')
     AS total_charges_unparseable,
+  (SELECT COUNT(*) FROM ({unknown_sql()})) AS unknown_category_values,
   (SELECT COUNT(*) FROM dq WHERE status = 'PASS') AS checks_pass,
   (SELECT COUNT(*) FROM dq WHERE status = 'WARN') AS checks_warn,
   (SELECT COUNT(*) FROM dq WHERE status = 'FAIL') AS checks_fail,

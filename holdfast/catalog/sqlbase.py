@@ -87,6 +87,14 @@ def _score(x: str, lo: float, hi: float, up: bool) -> str:
     return f"(CASE WHEN {x} IS NOT NULL THEN {scaled} END)"
 
 
+def unknown_sql() -> str:
+    """Values outside their domain in the clean feed, with their rows."""
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS rows FROM clean WHERE {c} NOT IN ("
+        + ", ".join(f"'{a}'" for a in allowed) + f") GROUP BY {c}"
+        for c, allowed in K.DOMAINS.items())
+
+
 # -- stages ----------------------------------------------------------------------------
 
 _ADDON_COUNT = {"online_security": "1-URGENT", "online_backup": "2-HIGH",

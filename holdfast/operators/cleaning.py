@@ -76,10 +76,16 @@ def unknown_values(df: DataFrame, domains: dict[str, tuple[str, ...]] = K.DOMAIN
     return (cells.groupBy("cell.column", "cell.value").agg(F.count("*").alias("rows")))
 
 
+def unknown_lists(unknown: DataFrame) -> DataFrame:
+    """(column, values): the sorted unknown values of each column, from ``unknown_values``."""
+    return unknown.groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("values"))
+
+
 def cleaning_report(raw: DataFrame, arrival: str = "feed_seq",
                     tagged: DataFrame | None = None) -> DataFrame:
     """One row of counters over the whole feed. Pass the stored ``conform_tagged`` frame
-    where there is one, so that the feed is not cleaned again to count it."""
+    where there is one, so that the feed is not cleaned again to count it. The last counter is how many different
+    unknown values the columns hold; ``unknown_values`` lists them."""
     df = conform_tagged(raw, arrival) if tagged is None else tagged
     kind = F.col("total_class")
     kept = df.agg(
@@ -88,6 +94,8 @@ def cleaning_report(raw: DataFrame, arrival: str = "feed_seq",
         F.count_if((kind != "ok") & (F.col("tenure_months") == 0)).alias(
             "total_charges_imputed_zero"),
         F.count_if(kind == "unparseable").alias("total_charges_unparseable"))
+    unknown = unknown_values(df).agg(F.count("*")).scalar()
     return kept.withColumn("rows_in", raw.select(F.count("*")).scalar()).select(
         "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed"),
-        "total_charges_blank", "total_charges_imputed_zero", "total_charges_unparseable")
+        "total_charges_blank", "total_charges_imputed_zero", "total_charges_unparseable",
+        unknown.alias("unknown_category_values"))

@@ -32,7 +32,12 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Mann-Whitney AUC with tied scores counted half; NULL when a class is missing."""
-    run = running_totals(score_histogram(df, label, score), ["score"], {"neg": "neg_upto"})
+    return auc_of(score_histogram(df, label, score))
+
+
+def auc_of(hist: DataFrame, rows: int | None = None) -> DataFrame:
+    """``roc_auc`` from a score histogram (of ``rows`` rows, if it is stored)."""
+    run = running_totals(hist, ["score"], {"neg": "neg_upto"}, rows=rows)
     below = F.col("neg_upto") - F.col("neg")
     wins = F.sum(_big(F.col("pos")) * _big(2 * below + F.col("neg")))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
@@ -42,14 +47,18 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """One point per distinct score, highest first, after the origin (NULL score)."""
-    hist = score_histogram(df, label, score)
-    run = running_totals(hist, [F.col("score").desc()], {"pos": "tp", "neg": "fp"})
+    return points_of(score_histogram(df, label, score))
+
+
+def points_of(hist: DataFrame, rows: int | None = None) -> DataFrame:
+    """``roc_points`` from a score histogram."""
+    run = running_totals(hist, [F.col("score").desc()], {"pos": "tp", "neg": "fp"}, rows=rows)
     totals = hist.agg(F.struct(F.greatest(F.sum("pos"), F.lit(1)).alias("p"),
                                F.greatest(F.sum("neg"), F.lit(1)).alias("n")).alias("t"))
     points = run.withColumn("_t", totals.scalar()).select(
         "score", (F.col("fp").cast("double") / F.col("_t.n")).alias("fpr"),
         (F.col("tp").cast("double") / F.col("_t.p")).alias("tpr"))
-    origin = literal_rows(df.sparkSession, [
+    origin = literal_rows(hist.sparkSession, [
         {"score": F.lit(None).cast("double"), "fpr": F.lit(0.0), "tpr": F.lit(0.0)}])
     return origin.unionByName(points)
 
@@ -70,13 +79,22 @@ def _rates(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
 
 def threshold_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
     """Confusion counts, rates, log loss and Brier score in one aggregate."""
-    y, p = F.col(label), F.col(score)
-    hit, actual = p >= threshold, y == 1
-    loss = y * F.log(p + EPS) + (1 - y) * F.log(1 - p + EPS)
-    counts = df.agg(
-        F.count_if(hit & actual).alias("tp"), F.count_if(hit & ~actual).alias("fp"),
-        F.count_if(~hit & actual).alias("fn"), F.count_if(~hit & ~actual).alias("tn"),
-        F.avg(loss).alias("_ll"), F.avg((p - y) * (p - y)).alias("_brier"))
+    return metrics_of(score_histogram(df, label, score), threshold)
+
+
+def metrics_of(hist: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``threshold_metrics`` from a score histogram."""
+    p, pos, neg = F.col("score"), F.col("pos"), F.col("neg")
+    hit, n = p >= threshold, F.sum(pos + neg)
+
+    def total(where: Column, c: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, c)), F.lit(0))
+
+    counts = hist.agg(
+        total(hit, pos).alias("tp"), total(hit, neg).alias("fp"),
+        total(~hit, pos).alias("fn"), total(~hit, neg).alias("tn"),
+        (F.sum(pos * F.log(p + EPS) + neg * F.log(1 - p + EPS)) / n).alias("_ll"),
+        (F.sum(pos * (p - 1) * (p - 1) + neg * p * p) / n).alias("_brier"))
     rates = _rates(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])
     return counts.select(
         F.lit(float(threshold)).alias("threshold"), *[c.alias(n) for n, c in rates.items()],
@@ -88,9 +106,14 @@ def threshold_sweep(df: DataFrame, label: str, score: str,
                     thresholds: list[float] = SWEEP) -> DataFrame:
     """Rates at every threshold from one pass: each row falls between two thresholds,
     so only the counts per gap meet the grid."""
-    reached = sum((F.col(score) >= t).cast("int") for t in thresholds)
-    gaps = df.groupBy(reached.alias("reached")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    return sweep_of(df.select(F.col(score).alias("score"), flag(F.col(label) == 1).alias("pos"),
+                              flag(F.col(label) != 1).alias("neg")), thresholds)
+
+
+def sweep_of(hist: DataFrame, thresholds: list[float] = SWEEP) -> DataFrame:
+    """``threshold_sweep`` from counts per score."""
+    reached = sum((F.col("score") >= t).cast("int") for t in thresholds)
+    gaps = hist.groupBy(reached.alias("reached")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     grid = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(t).alias("threshold"))
                      for i, t in enumerate(thresholds, start=1)])
     cells = gaps.select("*", F.explode(grid).alias("g"))
@@ -108,8 +131,11 @@ def threshold_sweep(df: DataFrame, label: str, score: str,
 def best_f1_threshold(df: DataFrame, label: str, score: str,
                       thresholds: list[float] = SWEEP) -> DataFrame:
     """Threshold with the highest f1; ties go to the larger threshold."""
-    best = F.max(F.struct("f1", "threshold"))
-    return threshold_sweep(df, label, score, thresholds).agg(best.alias("b")).select(
+    return best_of(threshold_sweep(df, label, score, thresholds))
+
+
+def best_of(sweep: DataFrame) -> DataFrame:
+    return sweep.agg(F.max(F.struct("f1", "threshold")).alias("b")).select(
         F.col("b.threshold").alias("best_f1_threshold"), F.col("b.f1").alias("f1"))
 
 

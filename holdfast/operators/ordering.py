@@ -54,9 +54,10 @@ def global_rank(df: DataFrame, order: list[Column | str], rank: str = "global_ra
 
 
 def running_totals(df: DataFrame, order: list[Column | str], totals: dict[str, str],
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Add ``totals[c]`` = sum of column ``c`` over all rows up to and including this one."""
-    fixed, rows = cut_counted(df)
+                   small_rows: int = SMALL_ROWS, rows: int | None = None) -> DataFrame:
+    """Add ``totals[c]`` = sum of column ``c`` over all rows up to and including this one. ``rows`` is the row count
+    of a ``df`` that is stored already."""
+    fixed, rows = cut_counted(df) if rows is None else (df, rows)
     if rows <= small_rows:
         w = W.orderBy(*[col(c) for c in order]).rowsBetween(W.unboundedPreceding, 0)
         return fixed.select("*", *[F.sum(c).over(w).alias(t) for c, t in totals.items()])

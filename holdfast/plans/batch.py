@@ -35,7 +35,8 @@ def _stored(df: DataFrame, path: str) -> tuple[DataFrame, int]:
 
 def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
         arrival: str = "feed_seq", with_model: bool = True, fail_on_dq: bool = True,
-        expected_rows: int | None = None) -> BatchRun:
+        expected_rows: int | None = None,
+        boosted_rounds: int = propensity.BOOSTED_ROUNDS) -> BatchRun:
     """Run every step and store its output below ``out``.
 
     Each step's result is written once and read back by the later steps, so nothing
@@ -50,8 +51,9 @@ def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
     tagged, n = _stored(conform_tagged(raw, arrival), f"{out}/customers_clean")
     report = cleaning_report(raw, arrival, tagged).first().asDict()
     customers = tagged.drop("total_class")
-    unknown = unknown_values(customers).groupBy("column").count()
-    report["unknown_values"] = {r["column"]: r["count"] for r in unknown.collect()}
+    unknown, _ = _stored(unknown_values(customers), f"{out}/unknown_values")  # whole, however many
+    report["unknown_category_values"] = {r["column"]: r["count"] for r in
+                                         unknown.groupBy("column").count().collect()}
     mark("clean", rows=n, **report)
 
     if kpis is not None and kpis.isEmpty():
@@ -70,7 +72,7 @@ def run(spark: SparkSession, raw: DataFrame, kpis: DataFrame | None, out: str,
 
     models: dict[str, propensity.ModelRun] = {}
     if with_model:
-        models = propensity.train_all(features, kpis is not None)
+        models = propensity.train_all(features, kpis is not None, boosted_rounds)
         features, _ = _stored(propensity.attach_scores(features, models["customer"]),
                                 f"{out}/customers_scored")
         writers.write_model_artifacts(models, f"{out}/model")

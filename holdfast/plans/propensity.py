@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel)
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.functions.columns import (feature_name, left_closed_band, logistic, round_even,
                                         to_number)
 from holdfast.operators import evaluation as E
-from holdfast.operators.joins import join_small
-from holdfast.operators.ordering import global_rank
-from holdfast.session import cut, literal_rows
+from holdfast.session import cut, cut_counted, literal_rows
 
 LABEL, KEY, P = "churn_flag", "customer_id", "p"
+MAX_CATEGORIES = 200  # different values of a categorical input; more are refused
+BOOSTED_ROUNDS = 300
+ROWS_PER_TREE_TASK = 100_000
 MISSING_CATEGORY = "nan"
 
 
@@ -35,6 +37,7 @@ class ModelRun:
     lift: DataFrame
     roc: DataFrame
     scores: DataFrame
+    boosted: DataFrame | None = None
 
 
 def model_columns(df: DataFrame, feature_set: str) -> tuple[list[str], list[str]]:
@@ -56,13 +59,20 @@ def model_inputs(df: DataFrame, feature_set: str, keep: list[str]) -> DataFrame:
                        for c in categorical])
 
 
-def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted categories of every column over all rows, from one aggregate."""
+def categories(df: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted categories of every column over all rows. They are made different on the executors; a column with more
+    than ``most`` is refused, so that a corrupt one neither fills the driver nor the plan."""
     if not columns:
         return {}
-    indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}_ix" for c in columns],
-                            stringOrderType="alphabetAsc")
-    return {c: list(v) for c, v in zip(columns, indexer.fit(df).labelsArray)}
+    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))
+                                          for c in columns])).alias("cell")).select("cell.*").distinct()
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in cells.limit(most * len(columns) + 1).collect():
+        found[row["column"]].append(row["value"])
+    wide = [c for c, values in found.items() if len(values) > most]
+    if wide:
+        raise ValueError(f"more than {most} categories in {', '.join(wide)}; clean the column or raise the bound")
+    return {c: sorted(values) for c, values in found.items()}
 
 
 @dataclass(frozen=True)
@@ -95,28 +105,36 @@ def with_vector(df: DataFrame, inputs: list[Input]) -> DataFrame:
     return df.withColumn("features", array_to_vector(F.array(*[i.value() for i in inputs])))
 
 
-def split_mark(key: str = KEY, seed: int = 42) -> Column:
-    return F.struct(F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(key).alias("k"))
+def split_hash(key: str = KEY, seed: int = 42) -> Column:
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
 
 
 def stratified_split(df: DataFrame, label: str = LABEL, key: str = KEY, share: float = 0.25,
                      seed: int = 42) -> DataFrame:
     """Add ``is_test_row``: exactly round(n * share) rows per class, by seeded hash order.
 
-    Only (label, hash, key) is ordered; the wide rows then compare themselves with
-    the last held-out row of their class, one literal per class.
+    Rows are counted per class and leading 16 bits of the hash; only the range that holds the last held-out row of
+    its class is ordered. The wide rows then compare themselves with that row, one literal per class.
     """
-    marks = df.select(F.col(label).alias("y"), split_mark(key, seed).alias("m"))
-    ranked = global_rank(marks, ["y", "m"], "rank")
-    bounds = ranked.groupBy("y").agg(F.min("rank").alias("first"), F.count("*").alias("n"))
-    held = F.rint(F.col("n") * share).cast("bigint")
-    last = (join_small(ranked, bounds, ["y"])
-            .where((held > 0) & (F.col("rank") == F.col("first") + held - 1))
-            .select("y", "m.h", "m.k").collect())  # one row per class
+    marks = df.select(F.col(label).alias("y"), split_hash(key, seed).alias("h"), F.col(key).alias("k"))
+    start = F.substring("h", 1, 4)
+    ranges = marks.groupBy("y", start.alias("start")).agg(F.count("*").alias("n"))
+    upto = W.partitionBy("y").orderBy("start").rowsBetween(W.unboundedPreceding, 0)
+    counted = ranges.select("y", "start", "n", F.sum("n").over(upto).alias("upto"),
+                            F.rint(F.sum("n").over(W.partitionBy("y")) * share).cast("bigint").alias("held"))
+    edges = counted.where("held > 0 and upto >= held and upto - n < held").select(
+        "y", "start", (F.col("held") - F.col("upto") + F.col("n")).alias("take")).collect()  # one row per class
     test = F.lit(False)
-    for row in last:
-        edge = F.struct(F.lit(row["h"]).alias("h"), F.lit(row["k"]).alias("k"))
-        test = test | ((F.col(label) == row["y"]) & (split_mark(key, seed) <= edge))
+    if edges:
+        at = [(F.col("y") == e["y"]) & (start == e["start"]) for e in edges]
+        inside = marks.where(reduce(lambda a, b: a | b, at)).withColumn(
+            "nth", F.row_number().over(W.partitionBy("y").orderBy("h", "k")))
+        last = inside.where(reduce(lambda a, b: a | b, [
+            c & (F.col("nth") == e["take"]) for c, e in zip(at, edges)])).collect()
+        for row in last:
+            edge = F.struct(F.lit(row["h"]).alias("h"), F.lit(row["k"]).alias("k"))
+            test = test | ((F.col(label) == row["y"]) & (F.struct(
+                split_hash(key, seed).alias("h"), F.col(key).alias("k")) <= edge))
     return df.withColumn("is_test_row", F.when(test, 1).otherwise(0))
 
 
@@ -142,7 +160,7 @@ def logistic_model(n_train: int) -> LogisticRegression:
                               elasticNetParam=0.0, standardization=False, tol=1e-10, maxIter=500)
 
 
-def boosted_model(rounds: int = 300, seed: int = 42) -> GBTClassifier:
+def boosted_model(rounds: int = BOOSTED_ROUNDS, seed: int = 42) -> GBTClassifier:
     return GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=rounds, stepSize=0.05,
                          maxDepth=4, seed=seed)
 
@@ -187,10 +205,11 @@ class Design:
 
 def design(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
            seed: int = 42) -> Design:
-    """Split, standardise on training statistics, and keep only what the model needs."""
-    inputs = model_inputs(df, feature_set, [KEY, LABEL])
+    """Split (unless ``df`` has ``is_test_row``), standardise on training statistics, and keep only what the model
+    needs."""
+    marked = df if "is_test_row" in df.columns else stratified_split(df, share=share, seed=seed)
+    rows = model_inputs(marked, feature_set, [KEY, LABEL, "is_test_row"])
     numeric, categorical = model_columns(df, feature_set)
-    rows = stratified_split(inputs, share=share, seed=seed)
     stats, sizes = train_statistics(rows, numeric)
     rows = standardise(rows, stats)
     return Design(rows, vector_inputs(numeric, categories(rows, categorical)), *sizes)
@@ -200,19 +219,26 @@ def training_rows(d: Design) -> DataFrame:
     return with_vector(d.rows.where("is_test_row = 0"), d.inputs).select(LABEL, "features")
 
 
-def boosted_metrics(d: Design, rounds: int = 300, seed: int = 42) -> DataFrame:
-    """Hold-out metrics of the boosted-tree benchmark."""
-    model = boosted_model(rounds, seed).fit(training_rows(d))
+def boosted_metrics(d: Design, rounds: int = BOOSTED_ROUNDS, seed: int = 42) -> DataFrame:
+    """Hold-out metrics of the boosted-tree benchmark. Trees take several jobs each, so the rows are dealt to as many
+    tasks as they need."""
+    rows = with_vector(d.rows.where("is_test_row = 0"), d.inputs).select(KEY, LABEL, "features")
+    dealt = rows.repartition(-(-d.n_train // ROWS_PER_TREE_TASK) or 1, KEY)
+    model = boosted_model(rounds, seed).fit(dealt.select(LABEL, "features"))
     held = with_vector(d.rows.where("is_test_row = 1"), d.inputs)
-    test = cut(model.transform(held).select(KEY, LABEL,
-                                            vector_to_array("probability")[1].alias(P)))
-    auc = E.roc_auc(test, LABEL, P).select("roc_auc").scalar()
-    return E.threshold_metrics(test, LABEL, P, 0.5).withColumn("roc_auc_test", round_even(auc, 4))
+    hist, n = cut_counted(E.score_histogram(
+        model.transform(held).select(LABEL, vector_to_array("probability")[1].alias(P)), LABEL, P))
+    auc = E.auc_of(hist, n).select("roc_auc").scalar()
+    return cut(E.metrics_of(hist, 0.5).withColumn("roc_auc_test", round_even(auc, 4)))
 
 
 def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
-          seed: int = 42) -> ModelRun:
-    """Fit on the training rows, score all rows, evaluate on the held-out ones."""
+          seed: int = 42, boosted_rounds: int = BOOSTED_ROUNDS) -> ModelRun:
+    """Fit on the training rows, score all rows, evaluate on the held-out ones.
+
+    Everything but the lift follows from one histogram of the held-out scores. ``boosted_rounds`` 0 leaves the
+    boosted benchmark out.
+    """
     spark = df.sparkSession
     d = design(df, feature_set, share, seed)
     fitted = logistic_model(d.n_train).fit(training_rows(d))
@@ -220,24 +246,29 @@ def train(df: DataFrame, feature_set: str = "customer", share: float = 0.25,
     scores = cut(d.rows.select(KEY, LABEL, linear_score(d.inputs, weights, fitted.intercept).alias(P),
                                "is_test_row"))
     test = scores.where("is_test_row = 1")
-    best = E.best_f1_threshold(test, LABEL, P).first()["best_f1_threshold"]
+    hist, n = cut_counted(E.score_histogram(test, LABEL, P))
+    best = E.best_of(E.sweep_of(hist)).first()["best_f1_threshold"]
 
     def packed(threshold: float) -> Column:
-        return E.threshold_metrics(test, LABEL, P, threshold).select(F.struct("*")).scalar()
+        return E.metrics_of(hist, threshold).select(F.struct("*")).scalar()
 
-    auc = E.roc_auc(test, LABEL, P).select("roc_auc").scalar()
-    at_half, at_best = packed(0.5), packed(best)
-    metrics = cut(test.agg(F.avg(LABEL).alias("base")).select(
+    auc = E.auc_of(hist, n).select("roc_auc").scalar()
+    base = F.sum("pos").cast("double") / F.sum(F.col("pos") + F.col("neg"))
+    metrics = cut(hist.agg(base.alias("base")).select(
         F.lit(feature_set).alias("feature_set"), F.lit("mllib.LogisticRegression").alias("engine"),
         F.lit(d.n_train).alias("n_train"), F.lit(d.n_test).alias("n_test"),
         F.lit(len(d.inputs)).alias("n_features"), round_even("base", 4).alias("base_churn_rate_test"),
         round_even(auc, 4).alias("roc_auc_test"), F.lit(best).alias("best_f1_threshold"),
-        at_half.alias("at_0_50"), at_best.alias("at_best_f1")).select(
+        packed(0.5).alias("at_0_50"), packed(best).alias("at_best_f1")).select(
         "*", F.col("at_0_50.f1").alias("f1_at_050"), F.col("at_0_50.recall").alias("recall_at_050"),
         F.col("at_best_f1.f1").alias("f1_at_best")))
+    boosted = None
+    if boosted_rounds:
+        boosted = boosted_metrics(d, boosted_rounds, seed).select(
+            F.lit(feature_set).alias("feature_set"), F.lit("mllib.GBTClassifier").alias("engine"), "*")
     return ModelRun(feature_set, fitted, metrics,
                     drivers(spark, d.inputs, weights),
-                    E.decile_lift(test, LABEL, P, KEY), E.roc_points(test, LABEL, P), scores)
+                    E.decile_lift(test, LABEL, P, KEY), E.points_of(hist, n), scores, boosted)
 
 
 def add_risk_band(df: DataFrame) -> DataFrame:
@@ -251,6 +282,9 @@ def attach_scores(features: DataFrame, run: ModelRun) -> DataFrame:
     return add_risk_band(features.join(rounded, KEY, "left"))
 
 
-def train_all(features: DataFrame, with_network: bool) -> dict[str, ModelRun]:
+def train_all(features: DataFrame, with_network: bool,
+              boosted_rounds: int = BOOSTED_ROUNDS) -> dict[str, ModelRun]:
+    """Every feature set on one split."""
     sets = ["customer", "customer_network"] if with_network else ["customer"]
-    return {name: train(features, name) for name in sets}
+    marked = stratified_split(features)
+    return {name: train(marked, name, boosted_rounds=boosted_rounds) for name in sets}

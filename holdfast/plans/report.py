@@ -43,10 +43,15 @@ def run_summary(cleaning: DataFrame, dq: DataFrame) -> DataFrame:
     return cleaning.withColumn("_g", gate.scalar()).select(*cleaning.columns, "_g.*")
 
 
-def model_comparison(metrics: DataFrame) -> DataFrame:
-    """One row per feature set and engine."""
-    return metrics.select("feature_set", "engine", "roc_auc_test", "f1_at_050", "recall_at_050",
-                          "best_f1_threshold", "f1_at_best")
+def model_comparison(runs: list) -> DataFrame:
+    """One row per feature set and engine; the boosted benchmark has no best threshold."""
+    none = F.lit(None).cast("double")
+    rows = [run.metrics.select("feature_set", "engine", "roc_auc_test", "f1_at_050", "recall_at_050",
+                               "best_f1_threshold", "f1_at_best") for run in runs]
+    rows += [run.boosted.select("feature_set", "engine", "roc_auc_test", F.col("f1").alias("f1_at_050"),
+                                F.col("recall").alias("recall_at_050"), none.alias("best_f1_threshold"),
+                                none.alias("f1_at_best")) for run in runs if run.boosted is not None]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def billed_tenure_curve(curve: DataFrame) -> DataFrame:

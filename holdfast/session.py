@@ -23,6 +23,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.codegen.cache.maxEntries", "2000")
+               # checkpoints go when nothing refers to them any more
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.ui.enabled", "false"))
     if master:
         builder = builder.master(master)
@@ -33,7 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}  # gone when the program ends
 
 
 def _shared_dir(spark: SparkSession) -> str:
@@ -45,8 +47,9 @@ def _shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if sc.applicationId not in _local_folders:
-        _local_folders[sc.applicationId] = tempfile.mkdtemp(prefix="holdfast-")
-    return _local_folders[sc.applicationId]
+        _local_folders[sc.applicationId] = tempfile.TemporaryDirectory(
+            prefix="holdfast-", ignore_cleanup_errors=True)
+    return _local_folders[sc.applicationId].name
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -78,5 +81,16 @@ def together(spark: SparkSession, tasks: dict[str, Callable[[], Any]]) -> dict[s
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{_shared_dir(spark).rstrip('/')}/holdfast/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the application's part of the shared folder."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{_shared_dir(spark).rstrip('/')}/holdfast/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored between steps. Call it when no result is read any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

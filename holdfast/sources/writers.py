@@ -99,9 +99,11 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_model_artifacts(runs: dict, root: str) -> None:
-    """Metrics as JSON rows, driver and lift tables as CSV."""
+    """Metrics (and those of the boosted benchmark) as JSON rows, driver and lift tables as CSV."""
     for name, run in runs.items():
         run.metrics.coalesce(1).write.mode("overwrite").json(f"{root}/metrics_{name}")
+        if run.boosted is not None:
+            run.boosted.coalesce(1).write.mode("overwrite").json(f"{root}/boosted_{name}")
         write_csv(run.drivers.coalesce(1), f"{root}/drivers_{name}")
         write_csv(run.lift.coalesce(1), f"{root}/lift_{name}")
 

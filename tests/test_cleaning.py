@@ -2,7 +2,8 @@ from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.functions.columns import to_number, to_whole
-from holdfast.operators.cleaning import cleaning_report, conform, first_per_key, unknown_values
+from holdfast.operators.cleaning import (cleaning_report, conform, first_per_key, unknown_lists,
+                                         unknown_values)
 
 
 def one(df, customer):
@@ -46,6 +47,13 @@ def test_unknown_category_is_reported_and_kept(raw_frame):
     assert [tuple(r) for r in unknown_values(clean).collect()] == [("contract", "Weekly", 1)]
 
 
+def test_unknown_values_are_listed_whole(raw_frame):
+    raw = raw_frame([{"customerID": f"u{i}", "Contract": f"c{i % 30:02d}", "gender": "X"} for i in range(60)])
+    assert cleaning_report(raw).first()["unknown_category_values"] == 31
+    lists = {r["column"]: r["values"] for r in unknown_lists(unknown_values(conform(raw))).collect()}
+    assert lists == {"contract": [f"c{i:02d}" for i in range(30)], "gender": ["X"]}
+
+
 def test_unparseable_total_is_estimated(raw_frame):
     raw = raw_frame([{"TotalCharges": "n/a", "tenure": "10", "MonthlyCharges": "50"}])
     assert one(conform(raw), "K-17")["total_charges"] == 500.0

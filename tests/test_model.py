@@ -8,6 +8,7 @@ from holdfast.functions.columns import left_closed_band
 from holdfast import contract as K
 from holdfast.operators import evaluation as E
 from holdfast.plans import propensity as P
+from holdfast.plans import report as R
 
 
 def scored(spark, y, p):
@@ -109,7 +110,7 @@ def test_split_is_exact_and_repeatable(frame):
 
 @pytest.fixture(scope="module")
 def run(frame):
-    return P.train(frame)
+    return P.train(frame, boosted_rounds=4)
 
 
 def test_training(frame, run):
@@ -147,6 +148,26 @@ def test_column_scores_equal_the_model(frame, run):
     assert both.where("cast(p > 0.5 as double) <> hit").count() == 0
 
 
-def test_boosted_benchmark(frame):
-    m = P.boosted_metrics(P.design(frame), rounds=5).first()
-    assert m["roc_auc_test"] > 0.55
+def test_boosted_benchmark_is_part_of_the_run(run):
+    m, other = run.boosted.first(), run.metrics.first()
+    assert m["roc_auc_test"] > 0.55 and m["tp"] + m["fp"] + m["fn"] + m["tn"] == other["n_test"]
+    both = R.model_comparison([run]).collect()
+    assert [r["engine"] for r in both] == ["mllib.LogisticRegression", "mllib.GBTClassifier"]
+    assert P.train.__defaults__[-1] == P.boosted_model().getMaxIter() == 300
+
+
+def test_metrics_of_the_histogram_equal_those_of_the_rows(run):
+    test = run.scores.where("is_test_row = 1")
+    y, p = np.array(test.select("churn_flag", "p").collect()).T
+    m = run.metrics.first()
+    assert m["roc_auc_test"] == pytest.approx(pairs_won(y, p), abs=6e-5)
+    at = m["at_0_50"]
+    assert (at["tp"], at["fp"]) == (((p >= .5) & (y == 1)).sum(), ((p >= .5) & (y == 0)).sum())
+    assert at["brier"] == pytest.approx(((p - y) ** 2).mean(), abs=6e-5)
+    assert at["log_loss"] == pytest.approx(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean(), abs=6e-5)
+
+
+def test_corrupt_category_column_is_refused(frame):
+    bad = frame.withColumn("payment_method", F.concat(F.lit("x"), "customer_id"))
+    with pytest.raises(ValueError, match="payment_method"):
+        P.design(bad)

@@ -81,3 +81,44 @@ def test_quantile_property(spark, values):
     a = O.exact_quantiles(df, "v", {"q": 0.25, "m": 0.5}, small_rows=0).first()
     b = df.agg(F.percentile("v", 0.25).alias("q"), F.percentile("v", 0.5).alias("m")).first()
     assert (a["q"], a["m"]) == (b["q"], b["m"])
+
+
+@pytest.fixture
+def sliced(monkeypatch):
+    """Every operator on its path for large inputs: range-sorted slices, shuffled joins."""
+    from functools import partial
+
+    from holdfast.operators import joins, star, telemetry
+    rank, totals, quantiles, small = O.global_rank, O.running_totals, O.exact_quantiles, joins.join_small
+
+    def use():
+        for module in (O, star):
+            monkeypatch.setattr(module, "global_rank", partial(rank, small_rows=0))
+        monkeypatch.setattr(O, "running_totals", partial(totals, small_rows=0))
+        for module in (O, telemetry):
+            monkeypatch.setattr(module, "exact_quantiles", partial(quantiles, small_rows=0))
+        for module in (O, star, telemetry):
+            monkeypatch.setattr(module, "join_small", partial(small, max_rows=0))
+    return use
+
+
+def test_large_path_equals_small_path(spark, sliced):
+    from holdfast.operators import evaluation as E
+    from holdfast.operators.star import surrogate_dim
+    from holdfast.operators.telemetry import peer_ratios
+    df = spark.range(300).selectExpr("id", "cast(id * 7 % 11 as double) as v", "if(id % 3 = 0, 'hot', 'x') as g",
+                                     "cast(id % 5 = 0 as int) as y", "id * 13 % 17 / 17.0D as p",
+                                     "cast(id % 23 as double) as avg_latency_ms",
+                                     "cast(id % 29 as double) as avg_download_mbps")
+
+    def results():
+        return [sorted(map(tuple, d.collect())) for d in (
+            O.position_tiles(df.select("id", "v"), ["v", "id"], 7, "t"), O.ntile(df.select("id"), ["id"], 7, "t"),
+            O.average_rank(df, "v", "r"), surrogate_dim(df, ["g", "v"], "k"),
+            O.exact_quantiles(df, "v", {"a": 0.1, "b": 0.5, "c": 0.93}, ["g"]),
+            E.decile_lift(df, "y", "p", "id"), E.roc_points(df, "y", "p").fillna(-1.0), E.roc_auc(df, "y", "p"),
+            peer_ratios(df, "g").select("id", "latency_ratio", "speed_ratio").fillna(-1.0))]
+
+    small = results()
+    sliced()
+    assert results() == small

@@ -17,6 +17,16 @@ from holdfast.catalog import registry  # noqa: E402
 CHECKED = sorted(registry.oracle_sql())
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_rounds():
+    """The registered queries boost 300 rounds; here four are enough to follow their paths."""
+    from holdfast.plans import propensity
+    whole = propensity.boosted_model
+    propensity.boosted_model = lambda rounds=300, seed=42: whole(min(rounds, 4), seed)
+    yield
+    propensity.boosted_model = whole
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     con = duckdb.connect()

@@ -137,7 +137,7 @@ def test_whole_batch(spark, tmp_path, raw_frame, kpi_frame):
              "Contract": ["Month-to-month", "One year", "Two year"][i % 3],
              "PaymentMethod": ["Electronic check", "Mailed check"][i % 2]} for i in range(120)]
     run = batch.run(spark, raw_frame(rows), kpi_frame([f"c{i:03d}" for i in range(40)]),
-                    str(tmp_path / "out"), expected_rows=120)
+                    str(tmp_path / "out"), expected_rows=120, boosted_rounds=2)
     assert [s[1] for s in run.steps] == ["clean", "load_kpis", "features", "quality_gate", "model",
                                          "warehouse", "analytics"]
     assert len(run.features.columns) == 52 and len(run.answers) == 8
@@ -146,3 +146,18 @@ def test_whole_batch(spark, tmp_path, raw_frame, kpi_frame):
     assert set(run.models) == {"customer", "customer_network"}
     loaded = readers.typed_load(spark, str(tmp_path / "out/star_csv/fact_customer"), "fact_customer")
     assert loaded.count() == 120 and dict(loaded.dtypes)["churn_probability"] == "decimal(6,4)"
+
+
+def test_stored_steps_go_with_drop_scratch(spark, tmp_path):
+    from pathlib import Path
+
+    from holdfast.session import drop_scratch, scratch_path, scratch_root
+    other = spark.newSession()
+    writers.write_parquet(other.range(3), scratch_path(other, "step"))
+    root = Path(scratch_root(other))
+    kept = root.rename(root.with_name("kept"))  # other tests of this session still read theirs
+    writers.write_parquet(other.range(3), scratch_path(other, "step"))
+    assert any(root.iterdir())
+    drop_scratch(other)
+    assert not root.exists()
+    kept.rename(root)
