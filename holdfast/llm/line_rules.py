@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import BLANK, WORD, let, words_of
+from holdfast.llm.common import let, words_of
 
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›•"
@@ -51,32 +51,40 @@ class LineRules:
     lost_pct: int = 50
 
 
-def solid(text: Column) -> Column:
-    """Number of non-blank characters."""
-    return F.length(F.translate(text, BLANK, ""))
+def _count(text: Column, chars: str) -> Column:
+    """How many of ``chars`` a text has."""
+    return F.length(text) - F.length(F.regexp_replace(text, _class(chars), ""))
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def _class(chars: str) -> str:
+    return "[" + "".join("\\" + c if c in "]|" else c for c in chars) + "]"
 
 
-def bad_line(line: Column, rules: LineRules) -> Column:
-    """True for a line that a punctuation, navigation or boilerplate rule removes."""
-    chars, symbols, seps = solid(line), _without(line, SYMBOLS), _without(line, SEPARATORS)
-    phrases = "|".join(FURNITURE)
-    cheap = ((symbols * 100 > chars * rules.symbol_pct)
-             | ~line.rlike(SENTENCE_MARK)
-             | ((chars >= rules.shout_chars) & line.rlike(r"\p{Lu}{2}") & ~line.rlike(r"\p{Ll}"))
-             | ((F.length(line) <= rules.furniture_chars) & F.lower(line).rlike(phrases)))
-    by_words = let(words_of(line), lambda w: (
-        ((seps >= rules.separators) & (seps * 4 >= F.size(w)))
-        | ((F.size(w) >= rules.repeat_words)
-           & (F.size(F.array_distinct(w)) * 100 < F.size(w) * rules.distinct_pct))))
-    return cheap | by_words
+def _total(parts: Column, value) -> Column:
+    """Sum of ``value(part)`` over an array."""
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a + value(x))
+
 
+def judged_line(line: Column, rules: LineRules) -> Column:
+    """A line with its words, non-blank characters, symbols, and whether a punctuation, navigation or boilerplate
+    rule removes it."""
+    def with_words(words: Column) -> Column:
+        return let(F.struct(F.length(F.array_join(words, "")).alias("chars"),
+                            _count(line, SYMBOLS).alias("symbols")), lambda n: F.struct(
+            line.alias("line"), words.alias("words"), n["chars"].alias("chars"), n["symbols"].alias("symbols"),
+            ((F.size(words) > 0) & bad(words, n["chars"], n["symbols"])).alias("bad")))
 
-def _has_word(line: Column) -> Column:
-    return line.rlike(WORD)
+    def bad(words: Column, chars: Column, symbols: Column) -> Column:
+        seps = _count(line, SEPARATORS)
+        return ((symbols * 100 > chars * rules.symbol_pct)
+                | ~line.rlike(SENTENCE_MARK)
+                | ((chars >= rules.shout_chars) & ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}{2}"))
+                | ((F.length(line) <= rules.furniture_chars) & F.lower(line).rlike("|".join(FURNITURE)))
+                | (line.rlike(_class(SEPARATORS)) & (seps >= rules.separators) & (seps * 4 >= F.size(words)))
+                | ((F.size(words) >= rules.repeat_words)
+                   & (F.size(F.array_distinct(words)) * 100 < F.size(words) * rules.distinct_pct)))
+
+    return let(words_of(line), with_words)
 
 
 def repeated_words(words: Column, n: int = 5) -> Column:
@@ -86,8 +94,9 @@ def repeated_words(words: Column, n: int = 5) -> Column:
     a repeated window need.
     """
     def count(w: Column) -> Column:
-        windows = F.transform(F.sequence(F.lit(0), F.size(w) - n),
-                              lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(n)]))
+        hashes = F.transform(w, lambda x: F.xxhash64(x))
+        windows = let(hashes, lambda h: F.transform(
+            F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(n)])))
         return let(windows, covered)
 
     def covered(h: Column) -> Column:
@@ -106,40 +115,35 @@ def repeated_words(words: Column, n: int = 5) -> Column:
 
 
 def judge(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
-    """``docs`` with the counts, the verdicts and ``clean_text`` (failing lines removed)."""
-    whole = F.coalesce(F.col(text), F.lit(""))
-    judged = let(words_of(whole), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"),
-        repeated_words(w).cast("long").alias("n_repeat_words")))
-    lines = F.split(whole, "\n")
-    by_line = let(lines, lambda ls: F.transform(ls, lambda x: F.struct(
-        x.alias("line"), _has_word(x).alias("worded"),
-        F.when(_has_word(x), bad_line(x, rules)).otherwise(F.lit(False)).alias("bad"))))
-    summary = let(by_line, lambda ls: let(
-        F.filter(ls, lambda x: x["worded"]), lambda worded: F.struct(
-            (F.size(worded) - F.size(F.array_distinct(F.transform(worded, lambda x: x["line"]))))
-            .cast("long").alias("n_dup_lines"),
-            F.size(worded).cast("long").alias("n_lines"),
-            F.size(F.filter(worded, lambda x: x["bad"])).cast("long").alias("n_bad_lines"),
-            F.array_join(F.transform(F.filter(ls, lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
-            .alias("clean_text"))))
-    n = F.col("n_words")
-    return (docs.withColumns({"_words": judged, "_lines": summary})
-            .withColumns({
-                "n_words": F.col("_words.n_words"),
-                "word_chars": solid(whole).cast("long"),
-                "n_symbols": _without(whole, SYMBOLS).cast("long"),
-                "n_dup_lines": F.col("_lines.n_dup_lines"),
-                "n_repeat_words": F.col("_words.n_repeat_words"),
-                "n_lines": F.col("_lines.n_lines"),
-                "n_bad_lines": F.col("_lines.n_bad_lines"),
-                "clean_text": F.col("_lines.clean_text")})
-            .drop("_words", "_lines")
-            .withColumn("clean_chars", solid(F.col("clean_text")).cast("long"))
+    """``docs`` with the counts, the verdicts and ``clean_text`` (failing lines removed).
+
+    Every line is split into words once; all counts of the document follow from its lines.
+    """
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: judged_line(x, rules))
+    counts = let(lines, lambda ls: let(F.filter(ls, lambda x: F.size(x["words"]) > 0), lambda worded: F.struct(
+        let(F.flatten(F.transform(worded, lambda x: x["words"])), lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")))
+        .alias("words"),
+        _total(worded, lambda x: x["chars"]).alias("word_chars"),
+        _total(ls, lambda x: x["symbols"]).alias("n_symbols"),
+        (F.size(worded) - F.size(F.array_distinct(F.transform(worded, lambda x: x["line"]))))
+        .cast("long").alias("n_dup_lines"),
+        F.size(worded).cast("long").alias("n_lines"),
+        F.size(F.filter(worded, lambda x: x["bad"])).cast("long").alias("n_bad_lines"),
+        _total(F.filter(worded, lambda x: ~x["bad"]), lambda x: x["chars"]).alias("clean_chars"),
+        F.array_join(F.transform(F.filter(ls, lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
+        .alias("clean_text"))))
+    n, chars = F.col("n_words"), F.col("word_chars")
+    return (docs.withColumn("_counts", counts)
+            .withColumns({"n_words": F.col("_counts.words.n_words"),
+                          "n_repeat_words": F.col("_counts.words.n_repeat_words"),
+                          **{c: F.col(f"_counts.{c}") for c in (
+                              "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_bad_lines", "clean_text",
+                              "clean_chars")}})
+            .drop("_counts")
             .withColumn("base_failed", (n < 10) | (F.col("n_repeat_words") * 100 > n * 20))
             .withColumn("kept", ~F.col("base_failed")
-                        & ((F.col("word_chars") - F.col("clean_chars")) * 100
-                           <= F.col("word_chars") * rules.lost_pct)))
+                        & ((chars - F.col("clean_chars")) * 100 <= chars * rules.lost_pct)))
 
 
 def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
@@ -162,10 +166,6 @@ def op2_line_rules(spark, sf_dir) -> DataFrame:
         F.md5("clean_text").alias("clean_md5"))
 
 
-def _sql_class(chars: str) -> str:
-    return "[" + "".join("\\" + c if c in "]|" else c for c in chars) + "]"
-
-
 def lines_sql(docs: str, rules: LineRules = LineRules()) -> str:
     """CTEs ``ln`` (lines with verdict) and ``cleaned`` (clean text) over the relation ``docs``."""
     ws, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]+"
@@ -176,8 +176,8 @@ ln0 as (select doc_id, coalesce(text, '') as whole,
           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as k from {docs}),
 ln1 as (select doc_id, k, line, regexp_matches(line, '{word}') as worded,
           len(regexp_replace(line, '{ws}', '', 'g')) as chars,
-          len(line) - len(regexp_replace(line, '{_sql_class(SYMBOLS)}', '', 'g')) as symbols,
-          len(line) - len(regexp_replace(line, '{_sql_class(SEPARATORS)}', '', 'g')) as seps,
+          len(line) - len(regexp_replace(line, '{_class(SYMBOLS)}', '', 'g')) as symbols,
+          len(line) - len(regexp_replace(line, '{_class(SEPARATORS)}', '', 'g')) as seps,
           regexp_extract_all(line, '{word}') as w from ln0),
 ln as (select doc_id, k, line, worded, worded and (
           symbols * 100 > chars * {rules.symbol_pct}
@@ -209,7 +209,7 @@ wt as (select doc_id, sum(got) as n_repeat_words from wr group by doc_id),
 counted as (select d.doc_id, len(wd.w) as n_words,
          len(regexp_replace(coalesce(text, ''), '{ws}', '', 'g')) as word_chars,
          len(coalesce(text, '')) - len(regexp_replace(coalesce(text, ''),
-           '{_sql_class(SYMBOLS)}', '', 'g')) as n_symbols,
+           '{_class(SYMBOLS)}', '', 'g')) as n_symbols,
          cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
          from {docs} d join wd on wd.doc_id = d.doc_id left join wt on wt.doc_id = d.doc_id)"""
 
