@@ -279,7 +279,7 @@ def streamed_refresh(s: Source) -> DataFrame:
     root, feed = s.scratch("versions"), s.scratch("updates")
     stale_target(s).select("customer_id", *U.SCORE_COLUMNS).write.parquet(
         score_refresh.version_path(root, 0))
-    updates(s).withColumn("scored_at", F.lit(1)).coalesce(1).write.parquet(feed)
+    updates(s).withColumn("scored_at", F.lit(1)).write.parquet(feed)
     stream = s.spark.readStream.schema(
         "customer_id string, churn_probability double, risk_band string, scored_at int").parquet(feed)
     run = score_refresh.refresh(stream, root, s.scratch("progress")).start()

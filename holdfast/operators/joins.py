@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.session import SMALL_ROWS, cut_counted
+from holdfast.session import SMALL_ROWS, cut, fits_broadcast
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, names: list[str],
@@ -28,11 +28,11 @@ def join_small(big: DataFrame, small: DataFrame, names: list[str], how: str = "i
                max_rows: int = SMALL_ROWS) -> DataFrame:
     """Null-safe join to a side with unique keys that is expected to be small.
 
-    The small side is fixed once and counted; it is broadcast only when the count
-    proves it fits, and shuffled like any other table when it does not.
+    The small side is fixed once; it is broadcast only when its rows and bytes prove
+    that it fits, and shuffled like any other table when it does not.
     """
-    fixed, rows = cut_counted(small)
-    if rows <= max_rows:
+    fixed = cut(small)
+    if max_rows and fits_broadcast(fixed, max_rows):
         fixed = F.broadcast(fixed)
     return null_safe_join(big, fixed, names, how)
 

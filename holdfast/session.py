@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 200_000  # proven row bound below which one task or a broadcast is fine
+SMALL_BYTES = 64 << 20  # and the bound on their text form for a broadcast
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -23,8 +24,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
                .config("spark.sql.codegen.cache.maxEntries", "2000")
-               # checkpoints go when nothing refers to them any more
-               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.ui.enabled", "false"))
     if master:
         builder = builder.master(master)
@@ -53,11 +52,11 @@ def _shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: fixes the rows of ``df`` on shared storage and drops its lineage."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(_shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Fix the rows of ``df`` on shared storage and drop its lineage: Parquet below the shared folder, so that later
+    reads take only the columns they need and ``drop_scratch`` finds it."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
@@ -66,6 +65,13 @@ def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return fixed, fixed.count()
 
 
+def fits_broadcast(fixed: DataFrame, most_rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> bool:
+    """Whether stored rows are few and short enough to be sent to every task. No more than ``most_rows`` are read."""
+    size = F.sum(F.length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})))
+    rows, size = fixed.limit(most_rows + 1).agg(F.count("*"), size).first()
+    return rows <= most_rows and (size or 0) <= most_bytes
+
+
 def literal_rows(spark: SparkSession, rows: list[dict[str, Column]]) -> DataFrame:
     """A few constant rows, without shipping Python objects."""
     structs = [F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]

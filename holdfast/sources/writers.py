@@ -46,12 +46,17 @@ def write_star(tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     return together(spark, {name: task(name, df) for name, df in tables.items()})
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
 def save_tables(tables: dict[str, DataFrame], root: str, prefix: str = "",
-                buckets: int = 8) -> list[str]:
+                buckets: int | None = None) -> list[str]:
     """Replace catalog tables. Tables with one row per customer are bucketed by
     ``customer_key``, so joins among them need no shuffle; the monthly fact is not,
-    because one customer may hold very many rows."""
+    because one customer may hold very many rows. The number of buckets follows the customers."""
     names = []
+    if buckets is None:
+        buckets = max(8, -(-tables["fact_customer"].count() // ROWS_PER_BUCKET))
     for name, df in tables.items():
         writer = df.write.mode("overwrite").option("path", f"{root}/{name}")
         if name in ("dim_customer", "fact_customer"):

@@ -10,9 +10,10 @@ from holdfast.operators.upsert import SCORE_COLUMNS, merge_scores
 
 
 def latest_scores(updates: DataFrame, key: str, order: str) -> DataFrame:
-    """One update per key: the last one in ``order``."""
-    return updates.groupBy(key).agg(
-        *[F.max_by(F.struct(*SCORE_COLUMNS), order).alias("_s")]).select(key, "_s.*")
+    """One update per key: the last one in ``order``; of equally late ones the one with the highest score, so that a
+    repeated batch gives the same rows."""
+    return updates.groupBy(key).agg(F.max(F.struct(order, *SCORE_COLUMNS)).alias("_s")).select(
+        key, *[f"_s.{c}" for c in SCORE_COLUMNS])
 
 
 def version_path(root: str, version: int) -> str:

@@ -45,6 +45,14 @@ def test_band_order_check(spark):
     assert not all(r["monotonic"] for r in band_monotonicity(bad).collect())
 
 
+def test_equally_late_updates_have_one_winner(spark):
+    rows = [("a", 0.2, "Medium", 5), ("a", 0.7, "High", 5), ("a", 0.9, "High", 1), ("b", None, None, 2)]
+    df = spark.createDataFrame(rows, SCHEMA + ", scored_at int")
+    for frame in (df, df.orderBy("churn_probability"), df.repartition(3)):
+        got = {tuple(r) for r in score_refresh.latest_scores(frame, "customer_id", "scored_at").collect()}
+        assert got == {("a", 0.7, "High"), ("b", None, None)}
+
+
 def test_stream_merges_each_batch_once(spark, target, tmp_path):
     root, feed, progress = (str(tmp_path / n) for n in ("versions", "feed", "progress"))
     target.write.parquet(score_refresh.version_path(root, 0))
