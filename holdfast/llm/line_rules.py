@@ -114,43 +114,59 @@ def repeated_words(words: Column, n: int = 5) -> Column:
     return F.when(F.size(words) < n + 1, F.lit(0)).otherwise(let(words, count))
 
 
-def judge(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
-    """``docs`` with the counts, the verdicts and ``clean_text`` (failing lines removed).
+FIELDS = ("n_words", "n_repeat_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_bad_lines",
+          "clean_chars", "clean_text", "base_failed", "kept")
+
+
+def verdict(text: Column, rules: LineRules = LineRules()) -> Column:
+    """Struct of ``FIELDS`` for a text: the counts, the verdicts and the text without its failing lines.
 
     Every line is split into words once; all counts of the document follow from its lines.
     """
-    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: judged_line(x, rules))
-    counts = let(lines, lambda ls: let(F.filter(ls, lambda x: F.size(x["words"]) > 0), lambda worded: F.struct(
-        let(F.flatten(F.transform(worded, lambda x: x["words"])), lambda w: F.struct(
-            F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")))
-        .alias("words"),
-        _total(worded, lambda x: x["chars"]).alias("word_chars"),
-        _total(ls, lambda x: x["symbols"]).alias("n_symbols"),
-        (F.size(worded) - F.size(F.array_distinct(F.transform(worded, lambda x: x["line"]))))
-        .cast("long").alias("n_dup_lines"),
-        F.size(worded).cast("long").alias("n_lines"),
-        F.size(F.filter(worded, lambda x: x["bad"])).cast("long").alias("n_bad_lines"),
-        _total(F.filter(worded, lambda x: ~x["bad"]), lambda x: x["chars"]).alias("clean_chars"),
-        F.array_join(F.transform(F.filter(ls, lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
-        .alias("clean_text"))))
-    n, chars = F.col("n_words"), F.col("word_chars")
-    return (docs.withColumn("_counts", counts)
-            .withColumns({"n_words": F.col("_counts.words.n_words"),
-                          "n_repeat_words": F.col("_counts.words.n_repeat_words"),
-                          **{c: F.col(f"_counts.{c}") for c in (
-                              "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_bad_lines", "clean_text",
-                              "clean_chars")}})
-            .drop("_counts")
-            .withColumn("base_failed", (n < 10) | (F.col("n_repeat_words") * 100 > n * 20))
-            .withColumn("kept", ~F.col("base_failed")
-                        & ((chars - F.col("clean_chars")) * 100 <= chars * rules.lost_pct)))
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: judged_line(x, rules))
+
+    def counts(ls: Column, worded: Column) -> Column:
+        return F.struct(
+            let(F.flatten(F.transform(worded, lambda x: x["words"])), lambda w: F.struct(
+                F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")))
+            .alias("words"),
+            _total(worded, lambda x: x["chars"]).alias("word_chars"),
+            _total(ls, lambda x: x["symbols"]).alias("n_symbols"),
+            (F.size(worded) - F.size(F.array_distinct(F.transform(worded, lambda x: x["line"]))))
+            .cast("long").alias("n_dup_lines"),
+            F.size(worded).cast("long").alias("n_lines"),
+            F.size(F.filter(worded, lambda x: x["bad"])).cast("long").alias("n_bad_lines"),
+            _total(F.filter(worded, lambda x: ~x["bad"]), lambda x: x["chars"]).alias("clean_chars"),
+            F.array_join(F.transform(F.filter(ls, lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
+            .alias("clean_text"))
+
+    def judged(c: Column) -> Column:
+        n, again, chars = c["words"]["n_words"], c["words"]["n_repeat_words"], c["word_chars"]
+        failed = (n < 10) | (again * 100 > n * 20)
+        kept = ~failed & ((chars - c["clean_chars"]) * 100 <= chars * rules.lost_pct)
+        return F.struct(n.alias("n_words"), again.alias("n_repeat_words"),
+                        *[c[f].alias(f) for f in FIELDS[2:-2]], failed.alias("base_failed"), kept.alias("kept"))
+
+    return let(lines, lambda ls: let(F.filter(ls, lambda x: F.size(x["words"]) > 0),
+                                     lambda worded: let(counts(ls, worded), judged)))
+
+
+def judge(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
+    """``docs`` with the ``FIELDS`` of each text's verdict."""
+    return (docs.withColumn("_verdict", verdict(F.col(text), rules))
+            .withColumns({f: F.col(f"_verdict.{f}") for f in FIELDS}).drop("_verdict"))
 
 
 def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """The documents that are kept, with their clean text; same columns as ``docs``."""
-    verdict = judge(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                                F.col("text")), rules).filter("kept")
-    return verdict.select(*[
+    """The documents that are kept, with their clean text; same columns as ``docs``.
+
+    A rejected document's verdict is filtered inside its row, so that each text is judged once.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = docs.select(row, F.inline(F.transform(
+        F.filter(F.array(verdict(F.col("text"), rules)), lambda v: v["kept"]),
+        lambda v: F.struct(v["clean_text"].alias("clean_text")))))
+    return kept.select(*[
         F.col("clean_text").alias("text") if c == "text"
         else F.length("clean_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
         else F.col("row").getField(c).alias(c) for c in docs.columns])
