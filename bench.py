@@ -77,8 +77,9 @@ def main() -> None:
         began = time.perf_counter()
         step()
         seconds[name] = round(time.perf_counter() - began, 3)
-    print(json.dumps({"metric": "total warm seconds of the headline steps",
-                      "value": round(sum(seconds.values()), 3), "unit": "sec",
+    warm = sum(v for k, v in seconds.items() if k not in boosted)
+    print(json.dumps({"metric": "total warm seconds of the headline steps, without the single boosted run",
+                      "value": round(warm, 3), "unit": "sec",
                       "queries": seconds, "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1]}))
 
 
