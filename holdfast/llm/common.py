@@ -53,6 +53,18 @@ def digest(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+_held: list = []  # the cache that this worker process keeps
+
+
+def hold(cache: dict) -> None:
+    """Keep ``cache`` in this worker process and empty the one of another operator, so that a worker that serves
+    several operators holds one at a time."""
+    if not any(c is cache for c in _held):
+        for other in _held:
+            other.clear()
+        _held[:] = [cache]
+
+
 def on_workers(spark: SparkSession) -> None:
     """Let Python workers import this library where it lies at the same path as on the driver. Elsewhere
     it has to be installed or sent with ``--py-files``."""

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_arrow, on_workers, semi, stored, table
+from holdfast.llm.common import hold, map_arrow, on_workers, semi, stored, table
 from holdfast.llm.components import components
 
 WORDS = 5
@@ -118,6 +118,7 @@ SETS = "doc_id bigint, n int, bands array<bigint>, grams binary"
 def signed(docs: DataFrame, bands: int, rows: int, n: int = WORDS) -> DataFrame:
     """Set fingerprint, set size and band hashes of each document; key is NULL without n-grams."""
     def sign(batches):
+        hold(_hashes)
         factors = _odd(bands * rows, 11)
         for batch in batches:
             keys, sizes, hashes = [], [], []
@@ -141,6 +142,7 @@ def signed(docs: DataFrame, bands: int, rows: int, n: int = WORDS) -> DataFrame:
 def _with_grams(docs: DataFrame, n: int) -> DataFrame:
     """``doc_id, n, bands, grams`` from documents that carry ``n`` and ``bands``."""
     def add(batches):
+        hold(_hashes)
         for batch in batches:
             grams = [shingles(t.as_py(), n).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(

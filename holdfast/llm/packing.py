@@ -30,7 +30,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import digest, map_arrow, on_workers, small_file, stored, table
+from holdfast.llm.common import digest, hold, map_arrow, on_workers, small_file, stored, table
 
 LENGTH = 2048
 OPEN = 256
@@ -62,6 +62,10 @@ class Chunks(dict):
         self.encode = Tokenizer.from_str(vocabulary.decode()).encode
         self.old: dict[str, bytes] = {}
 
+    def clear(self) -> None:
+        super().clear()
+        self.old = {}
+
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
@@ -73,8 +77,9 @@ class Chunks(dict):
                 ids = struct.pack(f"<{len(found)}I", *found)
         if len(chunk) <= 64:
             if len(self) >= CACHED:
-                self.old = dict(self)
+                full = dict(self)
                 self.clear()
+                self.old = full
             self[chunk] = ids
         return ids
 
@@ -89,6 +94,7 @@ def chunks_of(vocabulary: bytes, key: str) -> Chunks:
     """Tokenizer and cache, kept by the worker process."""
     if key not in _chunks:
         _chunks[key] = Chunks(vocabulary)
+    hold(_chunks[key])
     return _chunks[key]
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from holdfast.llm.common import digest, map_arrow, small_file, table
+from holdfast.llm.common import digest, hold, map_arrow, small_file, table
 
 VOCABULARY = "piece_bpe_32k.model"
 BEGINS = "▁"  # marks a piece that begins a word
@@ -135,6 +135,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str | None = None) -> DataFra
 
     def count(batches):
         automaton, cache = _automaton(sent.value, key)
+        hold(cache)
         for batch in batches:
             rows = [tally(t.as_py(), automaton, cache) for t in batch.column("text")]
             columns = list(zip(*rows)) or [()] * 4

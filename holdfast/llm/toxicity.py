@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import map_arrow, table
+from holdfast.llm.common import hold, map_arrow, table
 
 BUCKETS = 1 << 16
 DIM, FILTERS, WIDTHS = 16, 12, (1, 2, 3)  # FILTERS of each width, at most DIM
@@ -279,6 +279,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         model = sent.value
+        hold(_buckets)
         for batch in batches:
             score = np.array([model.score(t.as_py()) for t in batch.column("text")], np.float64)
             cut = np.array([model.thresholds.get(x or "", model.threshold)
