@@ -1,8 +1,7 @@
-"""Fuzzy line dedup: MinHash over character shingles, exact Jaccard, union-find, one line per component.
+"""Fuzzy line dedup: MinHash over character n-grams, exact Jaccard, union-find, one line per component.
 
-1. A line is known by a 64-bit hash of what is compared (small letters, no blanks at the ends). Its shingles are the
-   character runs from the start of a word to the ``PREFIX``-th character of the next; so they follow
-   the content, and a line has as many as words.
+1. A line is known by a 64-bit hash of what is compared (small letters, no blanks at the ends). Its shingles are all
+   its overlapping runs of ``SHINGLE`` characters, blanks and marks included; a shorter line is one shingle.
 2. MinHash: under the k-th permutation a shingle's hash is XORed with the k-th mask. ``BANDS`` bands of ``ROWS`` smallest
    values put lines into buckets.
 3. In a bucket each line is compared with one of them, another one in another bucket, on the full shingle sets.
@@ -10,9 +9,10 @@
    blocks, so that every pair of a bucket is compared unless it hangs together anyway.
 4. Of each component the first line (by doc_id, then place) stays.
 
-Only DataFrame expressions. Texts are not shuffled: equal lines are combined into one row of smallest values before the
-first shuffle. Joins are on keys that are unique on one side; a hot bucket is split into blocks of
-``BLOCK`` lines. No pairs are emitted but those with a bucket's chosen line and those that are similar.
+Shingles are rolling hashes in Arrow batches inside the tasks, for the signatures and for the comparison; all else is
+DataFrame expressions. Texts of lines are shuffled only where a line shares a bucket: equal lines are combined into one
+row of smallest values before the first shuffle. Joins are on keys that are unique on one side; a hot bucket is split into
+blocks of ``BLOCK`` lines. No pairs are emitted but those with a bucket's chosen line and those that are similar.
 
 Defined results: a NULL or empty text has no lines. Lines without a word are no duplicates and stay. Rows with one
 doc_id are one document for the order, and lose the same lines. Rows without a doc_id come last in the order. An
@@ -22,13 +22,16 @@ one is about 3 %.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import BLANK, WORD, let, small, stored, table
+from holdfast.llm.common import BLANK, WORD, let, map_arrow, small, stored, table
 from holdfast.llm.components import components
 
-PREFIX = 4
+SHINGLE = 7
+PAD = "\U0010ffff"  # fills lines shorter than a shingle
 BANDS, ROWS = 8, 3
 PCT = 80
 BLOCK = 256
@@ -48,44 +51,112 @@ def lines_of(docs: DataFrame) -> DataFrame:
             .withColumn("id", F.xxhash64("line")))
 
 
-def _pairs_of(words: Column) -> Column:
-    """Each word with the next one (NULL after the last)."""
-    return F.arrays_zip(words.alias("word"), F.slice(words, 2, F.size(words)).alias("next"))
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Bit mixer (a bijection of 64-bit numbers)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _gram(word: Column, after: Column) -> Column:
-    return F.xxhash64(word, F.substring(after, 1, PREFIX))
+def rolling(lines: list[str], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all lines, one behind the other, and where each line's begin (and the last end)."""
+    full = [x if len(x) >= n else x + PAD * (n - len(x)) for x in lines]
+    chars = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    total = np.zeros(max(0, len(chars) - n + 1), np.uint64)
+    for k in range(n):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + chars[k:k + len(total)]
+    sizes = np.array([len(x) for x in full], np.int64)
+    ends = np.cumsum(sizes)
+    own = np.ones(len(total), bool)  # not those that run into the next line
+    for k in range(1, n):
+        own[ends[:-1] - k] = False
+    return _mixed(total[own]), np.concatenate([[0], np.cumsum(sizes - n + 1)])
 
 
-def grams(line: Column) -> Column:
-    """Hashes of the different shingles of a line."""
-    return let(F.split(line, " "), lambda words: F.array_distinct(
-        F.transform(_pairs_of(words), lambda x: _gram(x["word"], x["next"]))))
+def grams(lines: list[str], n: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted hashes of the different shingles of each line."""
+    found, at = rolling(lines, n)
+    return [np.unique(found[i:j]) for i, j in zip(at[:-1], at[1:])]
 
 
-def similar(a: Column, b: Column, pct: int) -> Column:
+def similar(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
     """Whether two shingle sets have a Jaccard similarity of at least ``pct`` percent."""
-    m, n = F.size(a), F.size(b)
-    return ((m * 100 >= n * pct) & (n * 100 >= m * pct)
-            & (F.size(F.array_intersect(a, b)) * (100 + pct) >= (m + n) * pct))
+    m, n = len(a), len(b)
+    if m * 100 < n * pct or n * 100 < m * pct:
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    return int((both[1:] == both[:-1]).sum()) * (100 + pct) >= (m + n) * pct
 
 
-def _mask(k: int) -> int:
-    """Masks that lie far from each other: multiples of 2^64 over the golden ratio, as signed numbers."""
-    value = (k + 1) * 0x9E3779B97F4A7C15 % (1 << 64)
-    return value - (1 << 64) if value >> 63 else value
+def _in_parts(sizes: list[int], most_chars: int):
+    """Ranges of lines of about ``most_chars`` characters, or one longer line."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= most_chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _masks(count: int) -> np.ndarray:
+    """Masks that lie far from each other: multiples of 2^64 over the golden ratio."""
+    return np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def lowest(lines: list[str], count: int) -> np.ndarray:
+    """Smallest hash of each line's shingles under each of ``count`` permutations (a row per permutation)."""
+    masks, low = _masks(count), np.empty((count, len(lines)), np.uint64)
+    for start, end in _in_parts([len(x) for x in lines], 1 << 16):
+        found, at = rolling(lines[start:end])
+        for k, mask in enumerate(masks):
+            low[k, start:end] = np.minimum.reduceat(found ^ mask, at[:-1])
+    return low
+
+
+def band_hashes(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One 64-bit hash per band and line, different bands apart."""
+    total = np.arange(1, bands + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+    for part in low.reshape(bands, rows, -1).transpose(1, 0, 2):
+        total = _mixed(total ^ part) + np.uint64(1)
+    return total.view(np.int64)
 
 
 def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
     """``id, bands``: one row per different line with a hash for each band."""
-    words = lines.select("id", F.split("line", " ").alias("words"))
-    spread = (words.select("id", F.inline(_pairs_of(F.col("words"))).alias("word", "next"))
-              .select("id", _gram(F.col("word"), F.col("next")).alias("gram")))
-    low = spread.groupBy("id").agg(*[F.min(F.col("gram").bitwiseXOR(F.lit(_mask(k)))).alias(f"m{k}")
-                                     for k in range(bands * rows)])
-    return low.select("id", F.array(*[
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)])
-        for b in range(bands)]).alias("bands"))
+    names = [f"b{k}" for k in range(bands)]
+
+    def run(batches):
+        for batch in batches:
+            ids, first = np.unique(batch.column("id").to_numpy(zero_copy_only=False), return_index=True)
+            texts = batch.column("line").take(pa.array(first)).to_pylist()
+            made = band_hashes(lowest(texts, bands * rows), bands, rows)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), *map(pa.array, made)], names=["id", *names])
+
+    found = map_arrow(lines.select("id", "line"), run, "id bigint, " + ", ".join(f"{c} bigint" for c in names))
+    one = found.groupBy("id").agg(*[F.min(c).alias(c) for c in names])  # equal lines have equal hashes
+    return one.select("id", F.array(*names).alias("bands"))
+
+
+def similar_pairs(pairs: DataFrame, pct: int) -> DataFrame:
+    """``a, b`` of the pairs (``a, b`` with their lines ``x, y``) that are similar."""
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in "ab")
+            x, y = batch.column("x"), batch.column("y")
+            keep = np.zeros(len(a), bool)
+            sizes = [len(t) + len(u) for t, u in zip(x.to_pylist(), y.to_pylist())]
+            for start, end in _in_parts(sizes, 1 << 20):
+                ids = np.concatenate([a[start:end], b[start:end]])
+                _, first, at = np.unique(ids, return_index=True, return_inverse=True)
+                both = x.slice(start, end - start).to_pylist() + y.slice(start, end - start).to_pylist()
+                sets = grams([both[i] for i in first])
+                n = end - start
+                keep[start:end] = [similar(sets[i], sets[j], pct) for i, j in zip(at[:n], at[n:])]
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
+    return map_arrow(pairs.select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
 
 def _least(salt: Column) -> Column:
@@ -97,7 +168,7 @@ def _least(salt: Column) -> Column:
 
 def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Members of the buckets with several lines (``bucket, id, least, m``), and all lines (``doc_id, place, id``, and
-    ``grams`` where the line is such a member)."""
+    ``line`` where it is such a member)."""
     lines = lines_of(docs)
     signed = stored(signatures(lines, bands, rows), "line-signatures")
     dealt = signed.select("id", F.explode("bands").alias("bucket"))
@@ -108,22 +179,22 @@ def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[
     if members.count() <= MOST_SENT:  # more rows than different ids
         wanted = F.broadcast(wanted)
     found = lines.join(wanted, "id", "left").select(
-        "doc_id", "place", "id", F.when(F.col("wanted"), grams(F.col("line"))).alias("grams"))
+        "doc_id", "place", "id", F.when(F.col("wanted"), F.col("line")).alias("line"))
     return members, stored(found, "lines")
 
 
 def classes(members: DataFrame, lines: DataFrame, pct: int = PCT) -> DataFrame:
     """``node, root``: the component of every line (by id) that is similar to another line."""
     most = members.count()  # no table below has more rows, but for the links found late
-    sets = stored(lines.filter("grams is not null").dropDuplicates(["id"]).select("id", "grams"),
-                  "line-sets", 8 * most)  # long rows
+    texts = stored(lines.filter("line is not null").dropDuplicates(["id"]).select("id", "line"),
+                   "line-texts", 8 * most)  # long rows
 
-    def named(name: str, grams: str) -> DataFrame:
-        return sets.select(F.col("id").alias(name), F.col("grams").alias(grams))
+    def named(name: str, line: str) -> DataFrame:
+        return texts.select(F.col("id").alias(name), F.col("line").alias(line))
 
     with_least = members.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    links = stored(with_least.distinct().join(named("a", "x"), "a").join(named("b", "y"), "b")
-                   .filter(similar(F.col("x"), F.col("y"), pct)).select("a", "b"), "line-links", most)
+    links = stored(similar_pairs(with_least.distinct().join(named("a", "x"), "a").join(named("b", "y"), "b"), pct),
+                   "line-links", most)
     found = components(links, links.count())
 
     # what a bucket still holds in different components, its chosen line aside (that one is compared)
@@ -133,19 +204,18 @@ def classes(members: DataFrame, lines: DataFrame, pct: int = PCT) -> DataFrame:
     open_ = (labelled.groupBy("bucket")
              .agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k"))
              .filter("l0 != l1").select("bucket", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")))
-    rest = (labelled.join(open_, "bucket").join(sets, "id")
+    rest = (labelled.join(open_, "bucket").join(texts, "id")
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
     at = lambda low, high: F.explode(F.sequence(low, high))
     a = rest.select("bucket", F.col("block").alias("low"), at(F.col("block"), F.col("blocks") - 1)
                     .alias("high"), F.col("id").alias("a"), F.col("label").alias("la"),
-                    F.col("grams").alias("x"))
+                    F.col("line").alias("x"))
     b = rest.select("bucket", at(F.lit(0), F.col("block")).alias("low"), F.col("block").alias("high"),
-                    F.col("id").alias("b"), F.col("label").alias("lb"), F.col("grams").alias("y"))
+                    F.col("id").alias("b"), F.col("label").alias("lb"), F.col("line").alias("y"))
     late = (a.join(b, ["bucket", "low", "high"])
             .filter((F.col("la") != F.col("lb"))
-                    & ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
-                    & similar(F.col("x"), F.col("y"), pct)).select("a", "b"))
-    late = stored(late.distinct(), "line-links")
+                    & ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))))
+    late = stored(similar_pairs(late, pct).distinct(), "line-links")
     # the classes so far are edges to their roots
     return found if late.isEmpty() else components(
         found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
