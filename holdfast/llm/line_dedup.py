@@ -2,8 +2,9 @@
 
 1. A line is known by a 64-bit hash of what is compared (small letters, no blanks at the ends). Its shingles are all
    its overlapping runs of ``SHINGLE`` characters, blanks and marks included; a shorter line is one shingle.
-2. MinHash: under the k-th permutation a shingle's hash is XORed with the k-th mask. ``BANDS`` bands of ``ROWS`` smallest
-   values put lines into buckets.
+2. MinHash: the k-th permutation XORs a shingle's hash with a number and multiplies it by an odd one, both its own.
+   Bands of smallest values put lines into buckets; how many bands of how many rows follows from ``RECALL``, the
+   chance that a pair at ``PCT`` percent meets in a bucket, and ``MOST_HASHES``.
 3. In a bucket each line is compared with one of them, another one in another bucket, on the full shingle sets.
    Components follow from these links. Lines of a bucket that are then still in different components are compared with each other, in
    blocks, so that every pair of a bucket is compared unless it hangs together anyway.
@@ -29,11 +30,14 @@ from pyspark.sql import functions as F
 
 from holdfast.llm.common import BLANK, WORD, let, map_arrow, small, stored, table
 from holdfast.llm.components import components
+from holdfast.llm.ngram_join import _mixed, _odd, banding
 
 SHINGLE = 7
 PAD = "\U0010ffff"  # fills lines shorter than a shingle
-BANDS, ROWS = 8, 3
 PCT = 80
+RECALL = 0.9995
+MOST_HASHES = 36
+BANDS, ROWS = banding(PCT / 100, RECALL, MOST_HASHES)
 BLOCK = 256
 MOST_SENT = 2_000_000  # ids (8 bytes each) that are broadcast at most, counted before
 
@@ -51,13 +55,6 @@ def lines_of(docs: DataFrame) -> DataFrame:
             .withColumn("id", F.xxhash64("line")))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Bit mixer (a bijection of 64-bit numbers)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def rolling(lines: list[str], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all lines, one behind the other, and where each line's begin (and the last end)."""
     full = [x if len(x) >= n else x + PAD * (n - len(x)) for x in lines]
@@ -76,7 +73,12 @@ def rolling(lines: list[str], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
 def grams(lines: list[str], n: int = SHINGLE) -> list[np.ndarray]:
     """Sorted hashes of the different shingles of each line."""
     found, at = rolling(lines, n)
-    return [np.unique(found[i:j]) for i, j in zip(at[:-1], at[1:])]
+    made = []
+    for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+        one = np.sort(found[i:j])
+        new = one[1:] != one[:-1]
+        made.append(one if new.all() else np.concatenate([one[:1], one[1:][new]]))
+    return made
 
 
 def similar(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
@@ -100,18 +102,13 @@ def _in_parts(sizes: list[int], most_chars: int):
         yield start, len(sizes)
 
 
-def _masks(count: int) -> np.ndarray:
-    """Masks that lie far from each other: multiples of 2^64 over the golden ratio."""
-    return np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-
-
 def lowest(lines: list[str], count: int) -> np.ndarray:
     """Smallest hash of each line's shingles under each of ``count`` permutations (a row per permutation)."""
-    masks, low = _masks(count), np.empty((count, len(lines)), np.uint64)
+    low = np.empty((count, len(lines)), np.uint64)
     for start, end in _in_parts([len(x) for x in lines], 1 << 16):
         found, at = rolling(lines[start:end])
-        for k, mask in enumerate(masks):
-            low[k, start:end] = np.minimum.reduceat(found ^ mask, at[:-1])
+        for k, (other, odd) in enumerate(zip(_odd(count, 13), _odd(count, 29))):
+            low[k, start:end] = np.minimum.reduceat((found ^ other) * odd, at[:-1])
     return low
 
 

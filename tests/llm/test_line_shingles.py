@@ -67,3 +67,21 @@ def test_short_and_long_lines_against_brute_force(spark):
     # enough bands that no pair is left to chance
     got = {r.doc_id: list(r.removed) for r in line_dedup.repeats(H.docs_frame(spark, texts), bands=60, rows=2).collect()}
     assert got == brute_removed(texts)
+
+
+def test_recall_of_short_lines():
+    """Pairs just similar enough meet as often as independent permutations promise, however few their shingles."""
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(0x4E00, 0x9000)]
+    bands, rows = line_dedup.BANDS, line_dedup.ROWS
+    assert 1 - (1 - 0.8 ** rows) ** bands >= line_dedup.RECALL
+    for shared, own in ((8, 1), (9, 1), (16, 2)):
+        pairs = []
+        for _ in range(4000):  # the last letters differ, so that the last shingles do
+            line = "".join(rng.sample(letters, shared + own + line_dedup.SHINGLE - 1))
+            pairs += [line, line[:len(line) - own] + "".join(rng.sample(letters, own))]
+        sets = [chars(x) for x in pairs[:2]]
+        assert len(sets[0] & sets[1]) == shared and len(sets[0]) == shared + own
+        hashes = line_dedup.band_hashes(line_dedup.lowest(pairs, bands * rows), bands, rows)
+        missed = int((~(hashes[:, ::2] == hashes[:, 1::2]).any(axis=0)).sum())
+        assert missed <= 10, (shared, own, missed)  # 2 are expected at 0.9995
