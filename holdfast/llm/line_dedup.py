@@ -16,7 +16,8 @@ row of smallest values before the first shuffle. Joins are on keys that are uniq
 blocks of ``BLOCK`` lines. No pairs are emitted but those with a bucket's chosen line and those that are similar.
 
 Defined results: a NULL or empty text has no lines. Lines without a word are no duplicates and stay. Rows with one
-doc_id are one document for the order, and lose the same lines. Rows without a doc_id come last in the order. An
+doc_id and one text (known by its 64-bit hash) are one document and lose the same lines; other rows lose their own.
+Rows without a doc_id come last in the order. An
 empty table gives no rows. 64-bit hashes stand for different lines: among 10^9 of them the chance that any two share
 one is about 3 %.
 """
@@ -48,10 +49,11 @@ def normal(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, place, line, id`` of each line with a word."""
-    return (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "raw"))
+    """``doc_id, text_id, place, line, id`` of each line with a word."""
+    return (docs.select("doc_id", F.xxhash64("text").alias("text_id"),
+                        F.posexplode(F.split("text", "\n")).alias("place", "raw"))
             .filter(F.col("raw").rlike(WORD))
-            .select("doc_id", "place", normal(F.col("raw")).alias("line"))
+            .select("doc_id", "text_id", "place", normal(F.col("raw")).alias("line"))
             .withColumn("id", F.xxhash64("line")))
 
 
@@ -164,8 +166,8 @@ def _least(salt: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Members of the buckets with several lines (``bucket, id, least, m``), and all lines (``doc_id, place, id``, and
-    ``line`` where it is such a member)."""
+    """Members of the buckets with several lines (``bucket, id, least, m``), and all lines (``doc_id, text_id, place, id``,
+    and ``line`` where it is such a member)."""
     lines = lines_of(docs)
     signed = stored(signatures(lines, bands, rows), "line-signatures")
     dealt = signed.select("id", F.explode("bands").alias("bucket"))
@@ -176,7 +178,7 @@ def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[
     if members.count() <= MOST_SENT:  # more rows than different ids
         wanted = F.broadcast(wanted)
     found = lines.join(wanted, "id", "left").select(
-        "doc_id", "place", "id", F.when(F.col("wanted"), F.col("line")).alias("line"))
+        "doc_id", "text_id", "place", "id", F.when(F.col("wanted"), F.col("line")).alias("line"))
     return members, stored(found, "lines")
 
 
@@ -219,17 +221,17 @@ def classes(members: DataFrame, lines: DataFrame, pct: int = PCT) -> DataFrame:
 
 
 def repeats(docs: DataFrame, pct: int = PCT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, removed``: places (from 0) of the lines that are not the first of their component."""
+    """``doc_id, text_id, removed``: places (from 0) of the lines that are not the first of their component."""
     members, lines = occurrences(docs, bands, rows)
     found = classes(members, lines, pct)
-    occ = (lines.select("doc_id", "place", "id")
+    occ = (lines.select("doc_id", "text_id", "place", "id")
            .join(found.withColumnRenamed("node", "id"), "id", "left")
-           .select("doc_id", "place", F.coalesce("root", "id").alias("root")))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "place")
+           .select("doc_id", "text_id", "place", F.coalesce("root", "id").alias("root")))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "place", "text_id")
     first = (occ.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("k"))
              .filter("k > 1").select("root", "first"))
     gone = occ.join(first, "root").filter(order != F.col("first"))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("place")).alias("removed"))
+    return gone.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("place")).alias("removed"))
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
@@ -237,14 +239,14 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 
     Same columns; ``n_chars``, if there, is that of the new text.
     """
-    gone = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), "removed")
+    gone = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text_id"), "removed")
     lines = F.split("text", "\n")
     kept = let(lines, lambda ls: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "removed"), lambda k: F.get(ls, k)), "\n"))
     new = F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)
     joined = (docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
               .select("_row", "text", "doc_id")
-              .join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+              .join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text_id")), "left")
               .select("_row", "removed", new.alias("_text"))
               .filter(F.col("removed").isNull() | F.col("_text").rlike(WORD)))
     return joined.select(*[
@@ -258,9 +260,9 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 def op9_line_dedup(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     gone = repeats(docs).withColumnRenamed("doc_id", "d")
-    sizes = docs.select("doc_id", F.size(F.filter(
+    sizes = docs.select("doc_id", F.xxhash64("text").alias("t"), F.size(F.filter(
         F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD))).cast("long").alias("n_lines"))
-    return (sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("d")), "left")
+    return (sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("text_id")), "left")
             .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long")
                     .alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>"))
                     .alias("removed")))

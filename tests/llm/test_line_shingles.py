@@ -85,3 +85,23 @@ def test_recall_of_short_lines():
         hashes = line_dedup.band_hashes(line_dedup.lowest(pairs, bands * rows), bands, rows)
         missed = int((~(hashes[:, ::2] == hashes[:, 1::2]).any(axis=0)).sum())
         assert missed <= 10, (shared, own, missed)  # 2 are expected at 0.9995
+
+
+def test_rows_without_id_or_with_one_id_lose_only_their_own_lines(spark):
+    rows = [(1, "the first line of all the texts"),
+            (None, "the first line of all the texts\nonly the second row holds this one"),
+            (None, "only the third row starts with this\nthe first line of all the texts"),
+            (2, "the first line of all the texts\nwritten in one text under the number two"),
+            (2, "another text under the number two begins\nthe first line of all the texts"),
+            (None, "no other row\nis like this")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id or 0), r.text) for r in line_dedup.deduplicated(frame).collect())
+    first = rows[0][1]
+    assert got == sorted(((i or 0), "\n".join(x for x in t.split("\n") if i == 1 or x != first)) for i, t in rows)
+
+
+def test_one_line_of_rows_without_id_stays_once(spark):
+    frame = spark.createDataFrame([(None, f"a line that two rows hold\nbut this is row {'abc' * k} alone {k}")
+                                   for k in (1, 9)], "doc_id bigint, text string")
+    left = [r.text for r in line_dedup.deduplicated(frame).collect()]
+    assert len(left) == 2 and sum("two rows" in t for t in left) == 1
