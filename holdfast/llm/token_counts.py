@@ -1,7 +1,8 @@
 """Token counts by a linear longest-match automaton.
 
 Greedy word pieces: a word takes the longest piece that begins it, then the longest piece that continues
-it, and so on; a word that cannot be covered counts as one unknown token. The automaton is a trie of
+it, and so on; a word that cannot be covered counts as one unknown token. If the bare mark is a piece, it begins a word
+that no longer piece begins. The automaton is a trie of
 the vocabulary with a failure link at each node. The link stands for the pieces that greedy matching has
 settled when no edge fits, and how many those are is computed beforehand, so a word's length in pieces comes
 from one pass over its characters, without building a piece and without stepping back.
@@ -48,6 +49,8 @@ class Automaton:
             if node > 1:
                 piece_ends.add(node)
         self.link, self.settled = [-1] * len(self.edges), [0] * len(self.edges)
+        if BEGINS in pieces:  # the bare mark, then pieces that continue
+            self.link[0], self.settled[0] = 1, 1
         level = [0, 1]
         while level:  # breadth first: links of shorter strings are known
             deeper = []
