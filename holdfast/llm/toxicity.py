@@ -3,7 +3,9 @@
 Words (small letters, no punctuation at the ends) are hashed to embeddings; filters of several widths run over the
 whole text, each keeps its largest response (max pooling), and a logistic layer reads those. Trained by
 gradient steps on a bounded sample of labelled rows; a part of the sample calibrates the scores (a logistic
-map onto the share of toxic rows) and picks a threshold per language.
+map onto the share of toxic rows). Thresholds are picked on all labelled rows that are not held out, from counts
+by language, score bin and label: one for all languages, and one for each language with both labels and
+``least_language_rows`` rows.
 
 A filter's response is a sum over its words, and a word's share does not depend on its neighbours. So each word's
 shares are computed once per word of the vocabulary, and a text is scored by look-ups, sums and maxima, in
@@ -26,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import hold, map_arrow, table
+from holdfast.llm.common import hold, map_arrow, stored, table
 
 BUCKETS = 1 << 16
 DIM, FILTERS, WIDTHS = 16, 12, (1, 2, 3)  # FILTERS of each width, at most DIM
 CACHED = 400_000
+BINS = 1000  # of the scores, for the thresholds
 _PUNCTUATION = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum()) + "…“”‘’«»¿¡–—"
 
 
@@ -192,6 +195,15 @@ def _best_threshold(score: np.ndarray, toxic: np.ndarray) -> float:
     return float(cuts[best[np.argmin(abs(cuts[best] - 0.5))]])
 
 
+def _best_cut(counts: np.ndarray) -> float:
+    """Threshold with the best F1 at an edge of a bin, nearest to 0.5 among equals. counts: clean and toxic rows by bin."""
+    clean, toxic = counts[:, ::-1].cumsum(axis=1)[:, ::-1]  # rows from the bin on
+    f1 = 2 * toxic / np.maximum(clean + toxic + counts[1].sum(), 1)
+    best = np.flatnonzero(f1 >= f1.max() - 1e-12)
+    cuts = best / BINS
+    return float(cuts[np.argmin(abs(cuts - 0.5))])
+
+
 def train(rows: list[tuple[str, int, str | None]], shares: tuple[float, float],
           how: Training = Training()) -> Model:
     """Model from (text, label, language) rows; ``shares``: how many table rows a clean and a toxic sample row
@@ -234,13 +246,6 @@ def train(rows: list[tuple[str, int, str | None]], shares: tuple[float, float],
     raw = np.array([result.pooled(words[i]) @ result.weights + result.intercept for i in judge])
     weight = np.where(toxic[judge] == 1, shares[1], shares[0])
     result.slope, result.shift = _calibrated(raw, toxic[judge], weight / weight.mean())
-    score = 1 / (1 + np.exp(-np.clip(result.slope * raw + result.shift, -30, 30)))
-    result.threshold = _best_threshold(score, toxic[judge])
-    langs = np.array([rows[i][2] or "" for i in judge])
-    for lang in sorted(set(langs)):
-        own = langs == lang
-        if own.sum() >= how.least_language_rows and 0 < toxic[judge][own].sum() < own.sum():
-            result.thresholds[lang] = _best_threshold(score[own], toxic[judge][own])
     return result
 
 
@@ -255,8 +260,7 @@ def sample(docs: DataFrame, labels: DataFrame, how: Training = Training()):
     The rows are chosen from the labels alone; their ids are few by that bound and are broadcast, so texts are
     neither shuffled nor gathered beyond the sample. Chosen texts over ``most_words`` are left out.
     """
-    marked = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-              .select("doc_id", "toxic").dropDuplicates(["doc_id"]))
+    marked = marked_labels(labels)
     chosen = [marked.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
               for label, most in ((0, how.most_clean), (1, how.most_toxic))]
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
@@ -269,12 +273,34 @@ def sample(docs: DataFrame, labels: DataFrame, how: Training = Training()):
     return [(r["text"], int(r["toxic"]), r["lang"]) for r in rows], share
 
 
-SCORED = ("doc_id bigint, held_out boolean, score double, predicted int, threshold double, "
-          "flagged boolean")
+def marked_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of each document that may be learned from, one row each."""
+    return (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+            .groupBy("doc_id").agg(F.min("toxic").cast("int").alias("toxic")))
+
+
+def set_thresholds(model: Model, scores: DataFrame, labels: DataFrame, how: Training = Training()) -> Model:
+    """Thresholds from all labelled rows of ``scores`` (``doc_id, lang, score``) that are not held out."""
+    rows = (scores.filter("doc_id is not null").join(marked_labels(labels), "doc_id")
+            .groupBy(F.coalesce("lang", F.lit("")).alias("lang"),
+                     F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"), "toxic")
+            .count().collect())  # at most 2 x BINS a language
+    by: dict[str, np.ndarray] = {}
+    for r in rows:
+        by.setdefault(r["lang"], np.zeros((2, BINS)))[r["toxic"], r["bin"]] += r["count"]
+    total = sum(by.values(), np.zeros((2, BINS)))
+    if total.sum(axis=1).all():
+        model.threshold = _best_cut(total)
+    model.thresholds = {lang: _best_cut(n) for lang, n in sorted(by.items())
+                        if n.sum() >= how.least_language_rows and n.sum(axis=1).all()}
+    return model
+
+
+SCORED = "doc_id bigint, lang string, held_out boolean, score double"
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, score, predicted, threshold, flagged`` of every document."""
+    """``doc_id, lang, held_out, score`` of every document."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -282,20 +308,29 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         hold(_buckets)
         for batch in batches:
             score = np.array([model.score(t.as_py()) for t in batch.column("text")], np.float64)
-            cut = np.array([model.thresholds.get(x or "", model.threshold)
-                            for x in batch.column("lang").to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(score),
-                 pa.array((score >= 0.5).astype(np.int32)), pa.array(cut), pa.array(score >= cut)],
-                names=["doc_id", "held_out", "score", "predicted", "threshold", "flagged"])
+                [batch.column("doc_id").cast(pa.int64()), batch.column("lang").cast(pa.string()),
+                 batch.column("held_out"), pa.array(score)], names=["doc_id", "lang", "held_out", "score"])
 
     return map_arrow(docs.select("doc_id", "text", "lang", held_out().alias("held_out")), run, SCORED)
 
 
+def judged(scores: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, held_out, score, predicted, threshold, flagged`` of every scored document."""
+    cut = F.lit(model.threshold)
+    if model.thresholds:
+        known = F.create_map(*[F.lit(x) for pair in model.thresholds.items() for x in pair])
+        cut = F.coalesce(known[F.coalesce("lang", F.lit(""))], cut)
+    return scores.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         cut.alias("threshold"), (F.col("score") >= cut).alias("flagged"))
+
+
 def classify(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> DataFrame:
-    """Train on the labelled rows that are not held out, score all."""
+    """Train on a sample of the labelled rows that are not held out, pick thresholds on all of them, score all."""
     rows, share = sample(docs, labels, how)
-    return scored(docs, train(rows, share, how))
+    model = train(rows, share, how)
+    scores = stored(scored(docs, model), "toxicity-scores")
+    return judged(scores, set_thresholds(model, scores, labels, how))
 
 
 # ---------------------------------------------------------------- query
