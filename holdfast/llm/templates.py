@@ -9,8 +9,12 @@ Only DataFrame expressions. The benchmark's windows are broadcast if they are at
 (counted), so that documents are neither shuffled nor expanded beyond the task; else they are joined by shuffle.
 Only aligned documents are read a second time.
 
-Defined results: documents and items without id or text match nothing, and so do items of fewer than
-``MIN_TOKENS`` template tokens. Items shorter than a window count as one window. Repeated rows of a document
+Items without a window that says something, and those of at most ``MIN_WINDOWS`` windows, are also found whole: all
+template tokens but the first, the first word however it is written, and consistent slots; equal tokens where few are
+words or under ``MIN_TOKENS``, and then the same text too. Such an agreement counts as one window.
+
+Defined results: documents and items without id or text, or without a token, match nothing. Items shorter than a window
+count as one window. Repeated rows of a document
 are one document. Equal items are each found. Other columns are ignored. Empty tables give no rows.
 """
 
@@ -96,6 +100,79 @@ def _item_windows(items: DataFrame, sizes: list[int]) -> DataFrame:
     return out
 
 
+def _bare(token: Column) -> Column:
+    """A token in small letters without the marks before it."""
+    return F.regexp_replace(F.lower(token), r"^[^\p{L}\p{N}]+", "")
+
+
+def _last(raw: Column) -> Column:
+    """The last word of each token, so that a name merged with capitals before it is known by its end."""
+    return F.transform(raw, lambda t: F.regexp_extract(_bare(t), r"[^\x20]*$", 0))
+
+
+def _spaced(text: Column) -> Column:
+    return F.btrim(F.regexp_replace(F.lower(text), r"\s+", " "))
+
+
+def _whole(texts: DataFrame, benchmark: DataFrame, windows: DataFrame) -> DataFrame | None:
+    """Documents that hold a whole item that is short or has none of ``windows``; rows as those of ``leaks``. None if
+    there is no such item."""
+    texts_of = benchmark.filter("item_id is not null and text is not null").select("item_id", "text")
+    forms = None
+    for before in ("", "\n"):  # inside a line, and as the beginning of a sentence
+        form = (texts_of.select("item_id", "text", tokens(F.concat(F.lit(before), F.ltrim("text"))).alias("raw"))
+                .select("item_id", "text", "raw", let(F.col("raw"), template).alias("canon")))
+        forms = form if forms is None else forms.union(form)
+    n = F.size("raw")
+    few = ((F.size(F.filter("canon", lambda t: ~_is_slot(t))) * 100 < n * LITERAL_PCT) | (n < MIN_TOKENS))
+    forms = (forms.filter(n > 0).withColumn("equal", few)
+             .join(windows.select("item_id").distinct().withColumn("has", F.lit(True)), "item_id", "left")
+             .filter(F.col("has").isNull() | (n < WINDOW + MIN_WINDOWS)).drop("has")
+             .withColumn("size", F.least(F.when(F.col("equal"), n).otherwise(n - 1), F.lit(WINDOW))).distinct())
+    forms = stored(forms.withColumn("form", F.xxhash64("item_id", "raw")), "whole-items")
+    kinds = sorted(tuple(r) for r in forms.select("equal", "size").distinct().collect())  # at most 2 x WINDOW
+    found = None
+    for equal, size in kinds:
+        key = (lambda raw, canon: _last(raw)) if equal else (lambda raw, canon: F.slice(canon, 2, F.size(canon)))
+        one = lambda raw: _hashes(key(raw, template(raw)), size)  # noqa: B023, E731
+        spread = texts.select("doc_id", F.posexplode(let(tokens(F.col("text")), one)).alias("at", "h"))
+        wanted = forms.filter((F.col("equal") == equal) & (F.col("size") == size)).select(
+            F.get(_hashes(key(F.col("raw"), F.col("canon")), size), 0).alias("h"), "form")
+        few_rows = wanted.limit(MOST_WINDOWS + 1).count() <= MOST_WINDOWS
+        hit = spread.join(F.broadcast(wanted) if few_rows else wanted, "h").select("doc_id", "form", "at")
+        found = hit if found is None else found.union(hit)
+    if found is None:
+        return None
+    found = stored(found.distinct(), "whole-hits")
+    own = (semi(texts, stored(found.select("doc_id").distinct(), "whole-ids"), "doc_id")
+           .select("doc_id", F.col("text").alias("dtext"), tokens(F.col("text")).alias("draw"))
+           .withColumn("dcanon", let(F.col("draw"), template)))
+    met = found.join(forms, "form").join(own, "doc_id").filter(F.size("draw") >= F.col("at") + n)
+    part = lambda c: F.slice(c, F.col("at") + 1, n)
+    met = met.select("doc_id", "item_id", "at", "equal", "raw", "canon", "text", "dtext",
+                     part("draw").alias("draw"), part("dcanon").alias("dcanon"))
+    rest = lambda c: F.slice(c, 2, F.size(c))
+    bare = lambda c: F.transform(rest(c), _bare)
+    mine, theirs = _bare(F.get("raw", 0)), _bare(F.get("draw", 0))
+    first = ((theirs == mine) | theirs.endswith(F.concat(F.lit(" "), mine))
+             | (~F.col("equal") & _is_slot(F.get("canon", 0)) & (F.get("canon", 0) == F.get("dcanon", 0))))
+    same = F.when(F.col("equal"), bare("raw") == bare("draw")).otherwise(rest("canon") == rest("dcanon"))
+    text = (n >= MIN_TOKENS) | F.contains(_spaced(F.col("dtext")), _spaced(F.col("text")))
+    slots = F.transform(
+        F.filter(F.sequence(F.lit(0), n - 1), lambda i: (
+            _is_slot(F.get("canon", i)) & (F.get("canon", i) == F.get("dcanon", i)))),
+        lambda i: F.struct(F.concat(F.get("canon", i), _bare(F.get("raw", i))).alias("item"),
+                           F.concat(F.get("canon", i), _bare(F.get("draw", i))).alias("doc")))
+    judged = (met.filter(first & same & text).select("doc_id", "item_id", "at", slots.alias("slots"))
+              .filter(F.size(F.array_distinct("slots")) == F.size(F.array_distinct("slots.item")))
+              .groupBy("doc_id", "item_id").agg(F.min(F.struct(
+                  F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("n_changed"), "at",
+                  F.size("slots").alias("n_slots"))).alias("best")))
+    return judged.select("doc_id", "item_id", F.lit(1).cast("long").alias("n_windows"),
+                         F.lit(1).cast("long").alias("item_windows"), F.col("best.n_slots").cast("long").alias("n_slots"),
+                         F.col("best.n_changed").cast("long").alias("n_changed"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, n_slots, n_changed`` of each document and item that agree.
 
@@ -145,9 +222,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS)
                       F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("n_changed")))
     best = F.max(F.struct("n_windows", (-F.col("n_changed")).alias("same"), (-F.col("shift")).alias("at"),
                           "item_windows", "n_slots", "n_changed")).alias("best")
-    return (judged.groupBy("doc_id", "item_id").agg(best)
-            .select("doc_id", "item_id", *[F.col(f"best.{c}").cast("long").alias(c) for c in (
-                "n_windows", "item_windows", "n_slots", "n_changed")]))
+    by_windows = (judged.groupBy("doc_id", "item_id").agg(best)
+                  .select("doc_id", "item_id", *[F.col(f"best.{c}").cast("long").alias(c) for c in (
+                      "n_windows", "item_windows", "n_slots", "n_changed")]))
+    whole = _whole(texts, benchmark, windows)
+    if whole is None:
+        return by_windows
+    by_windows = stored(by_windows, "by-windows")
+    return by_windows.union(whole.join(by_windows.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_anti"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS) -> DataFrame:
