@@ -46,6 +46,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]++((?:\.[0-9]++){3})")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Length of an account number by country; others end at any group.
+_IBAN_LENGTHS = {
+    code: int(size) for size, codes in (
+        ("15", "NO"), ("16", "BE"), ("18", "DK FI FO GL NL FK"), ("19", "MK SI"), ("20", "AT BA EE KZ LT LU XK MN"),
+        ("21", "CH HR LI LV"), ("22", "BG BH CR DE GB GE IE ME RS VA"), ("23", "AE GI IL IQ OM TL SO"),
+        ("24", "AD CZ ES MD PK RO SA SE SK TN VG"), ("25", "LY PT ST"), ("26", "IS TR"),
+        ("27", "BI DJ FR GR IT MC MR SM"), ("28", "AL AZ BY CY DO GT HU LB NI PL SV"), ("29", "BR EG PS QA UA"),
+        ("30", "JO KW MU YE"), ("31", "MT SC"), ("32", "LC"), ("33", "RU")) for code in codes.split()}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _AADHAAR = re.compile(r"(?<![0-9+-])[2-9][0-9]{3}\x20[0-9]{4}\x20[0-9]{4}(?![\x20-]?[0-9])")
 _DIGITS = re.compile(r"[^0-9]")
@@ -95,6 +103,22 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", at + 1)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers; what follows one, over a blank, may look like its next group, so ends are tried, longest first."""
+    m = _IBAN.search(text)
+    while m:
+        size, end = _IBAN_LENGTHS.get(m[0][:2]), m.end()
+        while end > m.start():
+            own = text[m.start():end]
+            if (size is None or len(own.replace(" ", "")) == size) and mod97(own):
+                break
+            end = max(text.rfind(" ", m.start(), end), m.start())
+        if end > m.start():
+            yield m.start(), end
+        # at most 64 characters are read again
+        m = _IBAN.search(text, end if end > m.start() else m.start() + 1)
+
+
 def _octet(part: str) -> bool:
     return len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255
 
@@ -112,7 +136,7 @@ def _plain(kind: str, text: str) -> Iterator[tuple[int, int]]:
     elif kind == "phone":
         yield from (m.span() for m in _PHONE.finditer(text) if 10 <= len(_DIGITS.sub("", m[0])) <= 15)
     elif kind == "iban":
-        yield from (m.span() for m in _IBAN.finditer(text) if mod97(m[0]))
+        yield from _ibans(text)
     elif kind == "ssn":
         yield from (m.span() for m in _SSN.finditer(text))
     else:
