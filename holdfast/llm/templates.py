@@ -13,6 +13,8 @@ Items without a window that says something, and those of at most ``MIN_WINDOWS``
 template tokens but the first, the first word however it is written, and consistent slots; equal tokens where few are
 words or under ``MIN_TOKENS``, and then the same text too. Such an agreement counts as one window.
 
+The documents are read once for all sizes of windows, and once more if there are items to be found whole.
+
 Defined results: documents and items without id or text, or without a token, match nothing. Items shorter than a window
 count as one window. Repeated rows of a document
 are one document. Equal items are each found. Other columns are ignored. Empty tables give no rows.
@@ -33,6 +35,10 @@ MOST_WINDOWS = 500_000
 #: A word that begins a sentence, a name of capitalised words, a number, another word.
 TOKEN = (r"[.!?…\n][^\p{L}\p{N}]*\p{L}+|\p{Lu}\p{Ll}\p{L}*(?:\x20\p{Lu}\p{Ll}\p{L}*)*"
          r"|[0-9]+(?:[.,][0-9]+)*|\p{L}+")
+#: The same in one pass without going back, which Java runs as a loop and not as one call per repetition. Marks that
+#: no word follows are found too, so that a run of them is read once; ``tokens`` drops them.
+TOKEN_RUN = (r"[.!?…\n][^\p{L}\p{N}]*+\p{L}*+|\p{Lu}\p{Ll}\p{L}*+(?:\x20\p{Lu}\p{Ll}\p{L}*+)*+"
+             r"|[0-9]++(?:[.,][0-9]++)*+|\p{L}++")
 SENTENCE = ".!?…\n"
 NAME = r"^\p{Lu}\p{Ll}"  # words in capitals and single capitals are no names
 #: Fixed list of units.
@@ -45,7 +51,8 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
 
 def tokens(text: Column) -> Column:
     """Tokens as they stand in the text."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN_RUN), F.lit(0))
+    return F.filter(found, lambda t: t.rlike(r"[\p{L}0-9]\z"))
 
 
 def _first(token: Column) -> Column:
@@ -131,18 +138,32 @@ def _whole(texts: DataFrame, benchmark: DataFrame, windows: DataFrame) -> DataFr
              .withColumn("size", F.least(F.when(F.col("equal"), n).otherwise(n - 1), F.lit(WINDOW))).distinct())
     forms = stored(forms.withColumn("form", F.xxhash64("item_id", "raw")), "whole-items")
     kinds = sorted(tuple(r) for r in forms.select("equal", "size").distinct().collect())  # at most 2 x WINDOW
-    found = None
-    for equal, size in kinds:
-        key = (lambda raw, canon: _last(raw)) if equal else (lambda raw, canon: F.slice(canon, 2, F.size(canon)))
-        one = lambda raw: _hashes(key(raw, template(raw)), size)  # noqa: B023, E731
-        spread = texts.select("doc_id", F.posexplode(let(tokens(F.col("text")), one)).alias("at", "h"))
-        wanted = forms.filter((F.col("equal") == equal) & (F.col("size") == size)).select(
-            F.get(_hashes(key(F.col("raw"), F.col("canon")), size), 0).alias("h"), "form")
-        few_rows = wanted.limit(MOST_WINDOWS + 1).count() <= MOST_WINDOWS
-        hit = spread.join(F.broadcast(wanted) if few_rows else wanted, "h").select("doc_id", "form", "at")
-        found = hit if found is None else found.union(hit)
-    if found is None:
+    if not kinds:
         return None
+
+    def key(equal: bool, raw: Column, canon: Column) -> Column:
+        return _last(raw) if equal else F.slice(canon, 2, F.size(canon))
+
+    def by_kind(raw: Column, canon: Column) -> Column:
+        """The hashes of each kind, in the order of ``kinds``."""
+        sides = {equal: [size for e, size in kinds if e == equal] for equal in sorted({e for e, _ in kinds})}
+        def of(sizes: list[int]):
+            return lambda k: F.array(*[_hashes(k, size) for size in sizes])
+
+        return F.concat(*[let(key(equal, raw, canon), of(sizes)) for equal, sizes in sides.items()])
+
+    wanted = None
+    for k, (equal, size) in enumerate(kinds):
+        part = forms.filter((F.col("equal") == equal) & (F.col("size") == size)).select(
+            F.lit(k).alias("kind"),
+            F.get(let(key(equal, F.col("raw"), F.col("canon")), lambda c: _hashes(c, size)), 0).alias("h"), "form")  # noqa: B023
+        wanted = part if wanted is None else wanted.union(part)
+    wanted = stored(wanted, "whole-wanted")
+    few_rows = wanted.limit(MOST_WINDOWS + 1).count() <= MOST_WINDOWS
+    hashed = let(tokens(F.col("text")), lambda raw: let(template(raw), lambda canon: by_kind(raw, canon)))
+    spread = (texts.select("doc_id", F.posexplode(hashed).alias("kind", "hs"))
+              .select("doc_id", "kind", F.posexplode("hs").alias("at", "h")))
+    found = spread.join(F.broadcast(wanted) if few_rows else wanted, ["kind", "h"]).select("doc_id", "form", "at")
     found = stored(found.distinct(), "whole-hits")
     own = (semi(texts, stored(found.select("doc_id").distinct(), "whole-ids"), "doc_id")
            .select("doc_id", F.col("text").alias("dtext"), tokens(F.col("text")).alias("draw"))
@@ -190,15 +211,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, min_windows: int = MIN_WINDOWS)
     texts = docs.filter("doc_id is not null").select("doc_id", "text")
     hashed = let(tokens(F.col("text")), lambda raw: let(template(raw), lambda canon: F.array(
         *[_hashes(canon, size) for size in sizes])))
-    hits = []
-    for k, size in enumerate(sizes):
-        wanted = windows.filter(F.col("size") == size).select("h", "item_id", "bpos")
-        spread = (texts.select("doc_id", F.posexplode(F.get(hashed, k)).alias("pos", "h")))
-        hits.append(spread.join(F.broadcast(wanted) if few else wanted, "h")
-                    .select("doc_id", "item_id", "bpos", (F.col("pos") - F.col("bpos")).alias("shift")))
-    found = hits[0]
-    for part in hits[1:]:
-        found = found.union(part)
+    if len(sizes) == 1:
+        spread = texts.select("doc_id", F.lit(sizes[0]).alias("size"), F.posexplode(F.get(hashed, 0)).alias("pos", "h"))
+    else:
+        spread = (texts.select("doc_id", F.posexplode(hashed).alias("k", "hs"))
+                  .select("doc_id", F.get(F.array(*map(F.lit, sizes)), F.col("k")).alias("size"),
+                          F.posexplode("hs").alias("pos", "h")))
+    found = (spread.join(F.broadcast(windows) if few else windows, ["h", "size"])
+             .select("doc_id", "item_id", "bpos", (F.col("pos") - F.col("bpos")).alias("shift")))
     aligned = (found.distinct().groupBy("doc_id", "item_id", "shift")
                .agg(F.count("*").alias("n_windows"), F.min("bpos").alias("lo"), F.max("bpos").alias("hi")))
     per_item = known.select("item_id", "item_windows").distinct()

@@ -61,3 +61,22 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch, sf):
     want = sorted(map(tuple, T.leaks(docs, items).collect()))
     monkeypatch.setattr(T, "MOST_WINDOWS", 0)
     assert sorted(map(tuple, T.leaks(docs, items).collect())) == want
+
+
+def test_long_runs(spark):
+    """Repetitions that a recursive matcher would not survive, and a long document beside a short item."""
+    texts = ["Anna Berta " * 20_000, "1." * 50_000, "." * 300_000 + "5", "! " * 100_000,
+             "word 7 " * 10_000 + "They ask. Name the capital of Spain. Then go on.", "x. " + ITEM]
+    got = found(spark, texts, SHORT, ITEM)
+    assert set(got) == {(4, 0), (5, 1)}
+
+
+def test_tokens_equal_the_plain_expression(spark, sf):
+    import duckdb
+
+    token = T.TOKEN.replace("'", "''")
+    want = duckdb.sql(f"""select doc_id, md5(array_to_string(regexp_extract_all(coalesce(text, ''), '{token}'), '|')) as h
+                          from '{sf}/documents.parquet'""").fetchall()
+    got = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text")
+    got = got.select("doc_id", T.F.md5(T.F.array_join(T.tokens(T.F.col("text")), "|")).alias("h")).collect()
+    assert dict(want) == {r.doc_id: r.h for r in got}
