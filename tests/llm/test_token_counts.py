@@ -7,14 +7,14 @@ from tests.llm.helpers import EDGES, edge_frame
 
 
 def greedy(word, begin, later):
-    """Pieces of a word by trying every length, longest first; 0 if it cannot be covered."""
+    """Pieces of a word by trying every length, longest first, the bare mark last; 0 if it cannot be covered."""
     count, at = 0, 0
     while at < len(word):
-        pieces = begin if at == 0 else later
+        pieces = begin if count == 0 else later
         end = next((e for e in range(len(word), at, -1) if word[at:e] in pieces), None)
-        if end is None:
+        if end is None and (count or "" not in begin):
             return 0
-        at, count = end, count + 1
+        at, count = end or at, count + 1
     return count
 
 
