@@ -34,10 +34,10 @@ def words_of(text: Column) -> Column:
 def stored(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back: fixes the rows, cuts the
     lineage and outlives lost executors. ``rows``, if about known, keeps a small table from being written as very
-    many files: one for each million, eight at least."""
+    many files: one for each million, eight at least, dealt anew behind what computes them."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    (df if rows is None else df.coalesce(max(8, -(-rows // 1_000_000)))).write.parquet(path)
+    (df if rows is None else df.repartition(max(8, -(-rows // 1_000_000)))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -65,6 +65,18 @@ def hold(cache: dict) -> None:
         _held[:] = [cache]
 
 
+def in_parts(sizes: list[int], most: int):
+    """Ranges of rows whose sizes add up to about ``most``, or one larger row."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= most:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def on_workers(spark: SparkSession) -> None:
     """Let Python workers import this library where it lies at the same path as on the driver. Elsewhere
     it has to be installed or sent with ``--py-files``."""

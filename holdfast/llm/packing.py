@@ -11,7 +11,9 @@ sequences each on average, which sorts no document or copy group into one task,
 a fixed order, so a packer that is run again gives the same rows.
 
 Tokenizing: the tokenizer drops white space and never joins characters over it, so ids of a text are the ids of
-its blank-separated chunks in turn. Chunks repeat; each worker keeps the ids of twice ``CACHED`` chunks at most.
+its blank-separated chunks in turn. Texts are split and their chunks numbered as Arrow columns; each different chunk is
+looked up once for some megabytes of text, and the ids are gathered by number. Each worker keeps the ids of twice
+``CACHED`` words (chunks in small letters without the marks behind them) at most.
 
 Defined results: a NULL or empty text is the end id alone. Repeated rows are packed each. An empty
 table gives no rows. Other columns are ignored.
@@ -20,37 +22,38 @@ table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import digest, hold, map_arrow, on_workers, small_file, stored, table
+from holdfast.llm.common import digest, hold, in_parts, map_arrow, on_workers, small_file, stored, table
 
 LENGTH = 2048
 OPEN = 256
 PER_PACKER = 16384
 CACHED = 400_000
+TOGETHER = 500  # words that are encoded as one text
+MOST_BYTES = 8 << 20  # of text that are worked on at once, or one longer text
 VOCABULARY = "word_bpe_49k.json"
 
-#: str.split() also splits at these, which are no white space to the tokenizer.
-_CONTROLS = re.compile("[\x1c-\x1f]")
-_CHUNK = re.compile(r"[^ \t\n\r]+")
 #: A chunk of Latin letters and marks after them: the tokenizer splits there as well. (Not with U+0130, whose
 #: small form ends in a mark.)
-_WORD_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([.,;:!?#*$%&|]+)")
+_WORD_MARKS = ("^(?P<word>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)"
+               "(?P<marks>[.,;:!?#*$%&|]*)$")
 _chunks: dict[str, Chunks] = {}
 
 
 class Chunks(dict):
-    """Ids of chunks as little-endian unsigned 32-bit integers, made when they are first asked for.
+    """Ids of words as little-endian unsigned 32-bit integers, made when they are first asked for.
 
-    Holds two generations of at most ``CACHED`` chunks: a full one grows old, and what is asked for again
+    Holds two generations of at most ``CACHED`` words: a full one grows old, and what is asked for again
     moves to the new one.
     """
 
@@ -59,35 +62,85 @@ class Chunks(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.encode = Tokenizer.from_str(vocabulary.decode()).encode
+        self.tokenizer = Tokenizer.from_str(vocabulary.decode())
         self.old: dict[str, bytes] = {}
 
     def clear(self) -> None:
         super().clear()
         self.old = {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:
-            parts = _WORD_MARKS.fullmatch(chunk)
-            if parts:
-                ids = self[parts[1]] + self[parts[2]]
-            else:
-                found = self.encode(chunk, add_special_tokens=False).ids
-                ids = struct.pack(f"<{len(found)}I", *found)
-        if len(chunk) <= 64:
-            if len(self) >= CACHED:
-                full = dict(self)
-                self.clear()
-                self.old = full
-            self[chunk] = ids
-        return ids
+    def _coded(self, words: list[str], latin: list[bool]) -> list[bytes]:
+        """Ids of words that are not held. Small Latin words are encoded many in one text, as the tokenizer makes each
+        a word of its own; others alone."""
+        out: list[bytes | None] = [None] * len(words)
+        plain = [k for k, yes in enumerate(latin) if yes]
+        parts = [plain[a:a + TOGETHER] for a in range(0, len(plain), TOGETHER)]
+        coded = self.tokenizer.encode_batch([" ".join([words[k] for k in part]) for part in parts],
+                                            add_special_tokens=False)
+        for part, found in zip(parts, coded):
+            raw = np.array(found.ids, "<u4").tobytes()
+            at = (4 * np.searchsorted(found.word_ids, np.arange(len(part) + 1))).tolist()
+            for k, a, b in zip(part, at, at[1:]):
+                out[k] = raw[a:b]
+        others = [k for k, yes in enumerate(latin) if not yes]
+        coded = self.tokenizer.encode_batch_fast([words[k] for k in others], add_special_tokens=False)
+        for k, found in zip(others, coded):
+            out[k] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+        return out
+
+    def of(self, words: list[str], latin: list[bool]) -> list[bytes]:
+        """Ids of different words; those that are not held are encoded together."""
+        found = list(map(self.get, words))
+        held = [k for k, ids in enumerate(found) if ids is None]
+        for k in held:
+            found[k] = self.old.get(words[k])
+        missing = [k for k in held if found[k] is None]
+        for k, ids in zip(missing, self._coded([words[k] for k in missing], [latin[k] for k in missing])):
+            found[k] = ids
+        for k in held:
+            if len(words[k]) <= 64:
+                if len(self) >= CACHED:
+                    full = dict(self)
+                    self.clear()
+                    self.old = full
+                self[words[k]] = found[k]
+        return found
+
+    def of_chunks(self, chunks: pa.Array) -> list[bytes]:
+        """Ids of different chunks: those of the word in small letters, then those of the marks behind it."""
+        split = pc.extract_regex(chunks, _WORD_MARKS)
+        latin = split.is_valid()
+        word = pc.if_else(latin, pc.utf8_lower(split.field("word")), chunks).dictionary_encode()
+        marks = pc.if_else(latin, split.field("marks"), "").dictionary_encode()
+        texts = word.dictionary.to_numpy(zero_copy_only=False).tolist()
+        is_latin = np.zeros(len(texts), bool)
+        at = word.indices.to_numpy()
+        is_latin[at] = latin.to_numpy(zero_copy_only=False)
+        by_word = self.of(texts, is_latin.tolist())
+        tails = marks.dictionary.to_pylist()
+        by_marks = self.of(tails, [False] * len(tails))
+        return [by_word[k] + by_marks[m] for k, m in zip(at.tolist(), marks.indices.to_numpy().tolist())]
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts (no NULL), one text behind the other, and how many each has."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        own = self.of_chunks(coded.dictionary)
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        start = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(own), "<u4")
+        chunk = coded.indices.to_numpy()
+        n = size[chunk]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        out = ids[np.repeat(start[chunk] - (ends - n), n) + np.arange(total)] if total else ids[:0]
+        before = np.concatenate([[0], ends])
+        at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return out, np.diff(before[at])
 
     def encoded(self, text: str | None) -> bytes:
         """Ids of a whole text."""
-        text = text or ""
-        chunks = _CHUNK.findall(text) if _CONTROLS.search(text) else text.split()
-        return b"".join(map(self.__getitem__, chunks))
+        return self.ids_of(pa.array([text or ""], pa.large_string()))[0].tobytes()
 
 
 def chunks_of(vocabulary: bytes, key: str) -> Chunks:
@@ -98,6 +151,24 @@ def chunks_of(vocabulary: bytes, key: str) -> Chunks:
     return _chunks[key]
 
 
+def _pieces(docs: pa.Array, ids: np.ndarray, n: np.ndarray, length: int, end: int) -> pa.RecordBatch:
+    """The pieces of some documents: ``ids`` holds those of all, ``n`` of each."""
+    ends = np.cumsum(n)
+    whole = np.insert(ids, ends, end)  # the end id behind each document
+    n = n + 1
+    count = -(-n // length)
+    doc = np.repeat(np.arange(len(n)), count)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    start = piece * length
+    size = np.minimum(n[doc] - start, length)
+    at = (np.cumsum(n) - n)[doc] + start
+    held = memoryview(whole.astype("<u4", copy=False)).cast("B")
+    sums = [zlib.crc32(held[4 * a:4 * (a + s)]) for a, s in zip(at.tolist(), size.tolist())]
+    return pa.RecordBatch.from_arrays(
+        [docs.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()),
+         pa.array(sums, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -108,19 +179,11 @@ def pieces(docs: DataFrame, vocabulary: bytes, length: int = LENGTH, end: int =
 
     def cut(batches):
         chunks = chunks_of(sent.value, key)
-        last = end.to_bytes(4, "little")
         for batch in batches:
-            rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = chunks.encoded(text.as_py()) + last
-                for k, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at:at + 4 * length]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            columns = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             names=names)
+            texts = batch.column("text").cast(pa.large_string()).fill_null("")
+            for at, to in in_parts(pc.binary_length(texts).to_pylist(), MOST_BYTES):
+                ids, n = chunks.ids_of(texts.slice(at, to - at))
+                yield _pieces(batch.column("doc_id").cast(pa.int64()).slice(at, to - at), ids, n, length, end)
 
     return map_arrow(docs.select("doc_id", "text"), cut, PIECES)
 
