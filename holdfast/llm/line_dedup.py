@@ -1,25 +1,25 @@
 """Fuzzy line dedup: MinHash over character n-grams, exact Jaccard, union-find, one line per component.
 
-1. A line is known by a 64-bit hash of what is compared (small letters, no blanks at the ends). Its shingles are all
-   its overlapping runs of ``SHINGLE`` characters, blanks and marks included; a shorter line is one shingle.
-2. MinHash: the k-th permutation XORs a shingle's hash with a number and multiplies it by an odd one, both its own.
-   Bands of smallest values put lines into buckets; how many bands of how many rows follows from ``RECALL``, the
-   chance that a pair at ``PCT`` percent meets in a bucket, and ``MOST_HASHES``.
-3. In a bucket each line is compared with one of them, another one in another bucket, on the full shingle sets.
-   Components follow from these links. Lines of a bucket that are then still in different components are compared with each other, in
-   blocks, so that every pair of a bucket is compared unless it hangs together anyway.
-4. Of each component the first line (by doc_id, then place) stays.
+1. A line is known by a 64-bit hash of what is compared (small letters, no blanks at the ends); a second hash finds
+   different lines with one first hash, and those get another. Its shingles are all its overlapping runs of ``SHINGLE``
+   characters, blanks and marks included; a shorter line is one shingle.
+2. MinHash: the k-th permutation XORs a shingle's 32-bit hash with a number and multiplies it by an odd one, both its own.
+   ``ROWS`` smallest values make a band; how many bands follows from ``RECALL``, the chance that a pair at ``PCT`` percent
+   meets in a bucket. Many rows keep strangers apart: a pair at 40 percent meets with a chance of 0.19.
+3. Lines that share a bucket are read again, for their number of shingles and four bits of each smallest value. In a bucket
+   each line meets one of them, first on these columns; texts are joined only for pairs of like size that agree in as many
+   values as a pair at ``PCT`` percent does (but for one in 100,000), and the full shingle sets decide.
+4. Components follow from these links. Lines of a bucket that are then still in different components are compared in
+   place, in pairs of blocks of about ``BLOCK`` shingles, which give back links that join components, never pairs.
+5. Of each component the first line (by doc_id, then place) stays.
 
 Shingles are rolling hashes in Arrow batches inside the tasks, for the signatures and for the comparison; all else is
-DataFrame expressions. Texts of lines are shuffled only where a line shares a bucket: equal lines are combined into one
-row of smallest values before the first shuffle. Joins are on keys that are unique on one side; a hot bucket is split into
-blocks of ``BLOCK`` lines. No pairs are emitted but those with a bucket's chosen line and those that are similar.
+DataFrame expressions. Equal lines are combined into one row of band hashes before the first shuffle. Joins are on keys that
+are unique on one side. A bucket of m lines costs at most m rows a pair of blocks and m * m comparisons of some bytes.
 
 Defined results: a NULL or empty text has no lines. Lines without a word are no duplicates and stay. Rows with one
 doc_id and one text (known by its 64-bit hash) are one document and lose the same lines; other rows lose their own.
-Rows without a doc_id come last in the order. An
-empty table gives no rows. 64-bit hashes stand for different lines: among 10^9 of them the chance that any two share
-one is about 3 %.
+Rows without a doc_id come last in the order. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import BLANK, WORD, let, map_arrow, small, stored, table
+from holdfast.llm.common import BLANK, WORD, in_parts, let, map_arrow, on_workers, small, stored, table
 from holdfast.llm.components import components
 from holdfast.llm.ngram_join import _mixed, _odd, banding
 
@@ -37,10 +37,12 @@ SHINGLE = 7
 PAD = "\U0010ffff"  # fills lines shorter than a shingle
 PCT = 80
 RECALL = 0.9995
-MOST_HASHES = 36
+MOST_HASHES = 100
 BANDS, ROWS = banding(PCT / 100, RECALL, MOST_HASHES)
-BLOCK = 256
-MOST_SENT = 2_000_000  # ids (8 bytes each) that are broadcast at most, counted before
+BLOCK = 400_000
+HUBS = 4  # orders of the lines by which a bucket's chosen line is the first
+MOST_SENT = 2_000_000  # ids or places (8 bytes each) that are broadcast at most, counted before
+PLANES = 4  # bits of each smallest value that are compared before texts are
 
 
 def normal(line: Column) -> Column:
@@ -49,27 +51,36 @@ def normal(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_id, place, line, id`` of each line with a word."""
+    """``doc_id, text_id, place, line, id, other`` of each line with a word; two hashes of the line."""
     return (docs.select("doc_id", F.xxhash64("text").alias("text_id"),
                         F.posexplode(F.split("text", "\n")).alias("place", "raw"))
-            .filter(F.col("raw").rlike(WORD))
+            .filter(F.btrim("raw", F.lit(BLANK)) != "")
             .select("doc_id", "text_id", "place", normal(F.col("raw")).alias("line"))
-            .withColumn("id", F.xxhash64("line")))
+            .withColumns({"id": F.xxhash64("line"), "other": F.xxhash64(F.lit(1), "line")}))
 
 
-def rolling(lines: list[str], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def rolling(lines: list[str], n: int = SHINGLE, kind=np.uint64) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all lines, one behind the other, and where each line's begin (and the last end)."""
     full = [x if len(x) >= n else x + PAD * (n - len(x)) for x in lines]
-    chars = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    total = np.zeros(max(0, len(chars) - n + 1), np.uint64)
+    chars = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32).astype(kind, copy=False)
+    total = np.zeros(max(0, len(chars) - n + 1), kind)
+    factor = kind(0x9E3779B97F4A7C15 & int(np.iinfo(kind).max))
     for k in range(n):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + chars[k:k + len(total)]
+        total *= factor
+        total += chars[k:k + len(total)]
     sizes = np.array([len(x) for x in full], np.int64)
     ends = np.cumsum(sizes)
     own = np.ones(len(total), bool)  # not those that run into the next line
     for k in range(1, n):
         own[ends[:-1] - k] = False
-    return _mixed(total[own]), np.concatenate([[0], np.cumsum(sizes - n + 1)])
+    return (_mixed if kind is np.uint64 else _mixed32)(total[own]), np.concatenate([[0], np.cumsum(sizes - n + 1)])
+
+
+def _mixed32(x: np.ndarray) -> np.ndarray:
+    """Bit mixer (a bijection of 32-bit numbers)."""
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    x = (x ^ (x >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return x ^ (x >> np.uint32(16))
 
 
 def grams(lines: list[str], n: int = SHINGLE) -> list[np.ndarray]:
@@ -92,25 +103,18 @@ def similar(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
     return int((both[1:] == both[:-1]).sum()) * (100 + pct) >= (m + n) * pct
 
 
-def _in_parts(sizes: list[int], most_chars: int):
-    """Ranges of lines of about ``most_chars`` characters, or one longer line."""
-    start = held = 0
-    for i, size in enumerate(sizes):
-        held += size
-        if held >= most_chars:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(sizes):
-        yield start, len(sizes)
-
-
 def lowest(lines: list[str], count: int) -> np.ndarray:
     """Smallest hash of each line's shingles under each of ``count`` permutations (a row per permutation)."""
-    low = np.empty((count, len(lines)), np.uint64)
-    for start, end in _in_parts([len(x) for x in lines], 1 << 16):
-        found, at = rolling(lines[start:end])
-        for k, (other, odd) in enumerate(zip(_odd(count, 13), _odd(count, 29))):
-            low[k, start:end] = np.minimum.reduceat((found ^ other) * odd, at[:-1])
+    low = np.empty((count, len(lines)), np.uint32)
+    others, odds = ((_odd(count, seed) >> np.uint64(16)).astype(np.uint32) for seed in (13, 29))
+    odds |= np.uint32(1)
+    for start, end in in_parts([len(x) for x in lines], 1 << 16):
+        found, at = rolling(lines[start:end], kind=np.uint32)
+        turned = np.empty_like(found)
+        for k in range(count):
+            np.bitwise_xor(found, others[k], out=turned)
+            np.multiply(turned, odds[k], out=turned)
+            low[k, start:end] = np.minimum.reduceat(turned, at[:-1])
     return low
 
 
@@ -122,20 +126,99 @@ def band_hashes(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+def _planes(low: np.ndarray) -> np.ndarray:
+    """``PLANES`` bits of each smallest value, 64 values to a signed word: a row per word, bits of one place together."""
+    count, m = low.shape
+    words = -(-count // 64)
+    bits = _mixed(low.astype(np.uint64))
+    out = np.zeros((PLANES, words, m), np.uint64)
+    for k in range(count):
+        for p in range(PLANES):
+            out[p, k // 64] |= (bits[k] >> np.uint64(p) & np.uint64(1)) << np.uint64(k % 64)
+    return out.reshape(PLANES * words, m).view(np.int64)
+
+
+def least_equal(count: int, pct: int) -> int:
+    """In how many of ``count`` values, by ``PLANES`` bits, a pair at ``pct`` percent agrees but for one in 100,000."""
+    same = pct / 100 + (1 - pct / 100) / 2 ** PLANES
+    return max(0, int(count * same - 4.3 * (count * same * (1 - same)) ** 0.5))
+
+
+def _words(count: int) -> list[str]:
+    return [f"w{k}" for k in range(PLANES * -(-count // 64))]
+
+
+def agree(a: str, b: str, count: int, pct: int) -> Column:
+    """Whether two rows of ``held`` can be similar: like sizes and enough equal values."""
+    names, per = _words(count), -(-count // 64)
+    differ = None
+    for w in range(per):
+        bits = None
+        for name in names[w::per]:
+            one = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
+            bits = one if bits is None else bits.bitwiseOR(one)
+        differ = F.bit_count(bits) if differ is None else differ + F.bit_count(bits)
+    m, n = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (m * 100 >= n * pct) & (n * 100 >= m * pct) & (differ <= count - least_equal(count, pct))
+
+
 def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``id, bands``: one row per different line with a hash for each band."""
+    """``id, bands, times, low, high``: one row per line hash with a hash for each band, how often the line stands (in
+    batches), and the least and greatest of its second hashes."""
     names = [f"b{k}" for k in range(bands)]
 
     def run(batches):
         for batch in batches:
-            ids, first = np.unique(batch.column("id").to_numpy(zero_copy_only=False), return_index=True)
+            ids, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "other"))
+            order = np.lexsort((other, ids))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(ids[order]) != 0) | (np.diff(other[order]) != 0)
+            first, times = order[new], np.diff(np.append(np.flatnonzero(new), len(order)))
             texts = batch.column("line").take(pa.array(first)).to_pylist()
             made = band_hashes(lowest(texts, bands * rows), bands, rows)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), *map(pa.array, made)], names=["id", *names])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(other[first]), pa.array(times, pa.int64()),
+                                              *map(pa.array, made)], names=["id", "other", "times", *names])
+
+    found = map_arrow(lines.select("id", "other", "line"), run,
+                      "id bigint, other bigint, times bigint, " + ", ".join(f"{c} bigint" for c in names))
+    one = found.groupBy("id").agg(F.sum("times").alias("times"), F.min("other").alias("low"), F.max("other").alias("high"),
+                                  *[F.min(c).alias(c) for c in names])  # equal lines have equal hashes
+    return one.select("id", F.array(*names).alias("bands"), "times", "low", "high")
+
 
-    found = map_arrow(lines.select("id", "line"), run, "id bigint, " + ", ".join(f"{c} bigint" for c in names))
-    one = found.groupBy("id").agg(*[F.min(c).alias(c) for c in names])  # equal lines have equal hashes
-    return one.select("id", F.array(*names).alias("bands"))
+def apart(lines: DataFrame, clashes: DataFrame) -> DataFrame:
+    """``lines`` with another id where different lines have one id (``clashes``)."""
+    return (lines.join(small(clashes.withColumn("clash", F.lit(True))), "id", "left")
+            .withColumn("id", F.when(F.col("clash"), F.xxhash64("other", "id")).otherwise(F.col("id"))).drop("clash"))
+
+
+def signed_lines(docs: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Lines, and ``id, bands, times`` of each different line, stored."""
+    lines = lines_of(docs)
+    signed = stored(signatures(lines, bands, rows), "line-signatures")
+    clashes = signed.filter("low != high").select("id")
+    if clashes.isEmpty():
+        return lines, signed.drop("low", "high")
+    clashes = stored(clashes, "line-clashes")
+    anew = signatures(apart(lines.join(small(clashes), "id", "left_semi"), clashes), bands, rows)
+    return apart(lines, clashes), stored(signed.join(small(clashes), "id", "left_anti").union(anew).drop("low", "high"),
+                                         "line-signatures")
+
+
+def measured(texts: DataFrame, count: int) -> DataFrame:
+    """``id, n, w0.., line``: number of shingles and bits of the smallest values of lines."""
+    names = _words(count)
+
+    def run(batches):
+        for batch in batches:
+            lines = batch.column("line").to_pylist()
+            n = [len(g) for start, end in in_parts([len(x) for x in lines], 1 << 18) for g in grams(lines[start:end])]
+            planes = _planes(lowest(lines, count))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int32()), *map(pa.array, planes),
+                                              batch.column("line")], names=["id", "n", *names, "line"])
+
+    return map_arrow(texts.select("id", "line"), run,
+                     "id bigint, n int, " + ", ".join(f"{c} bigint" for c in names) + ", line string")
 
 
 def similar_pairs(pairs: DataFrame, pct: int) -> DataFrame:
@@ -146,7 +229,7 @@ def similar_pairs(pairs: DataFrame, pct: int) -> DataFrame:
             x, y = batch.column("x"), batch.column("y")
             keep = np.zeros(len(a), bool)
             sizes = [len(t) + len(u) for t, u in zip(x.to_pylist(), y.to_pylist())]
-            for start, end in _in_parts(sizes, 1 << 20):
+            for start, end in in_parts(sizes, 1 << 20):
                 ids = np.concatenate([a[start:end], b[start:end]])
                 _, first, at = np.unique(ids, return_index=True, return_inverse=True)
                 both = x.slice(start, end - start).to_pylist() + y.slice(start, end - start).to_pylist()
@@ -158,63 +241,103 @@ def similar_pairs(pairs: DataFrame, pct: int) -> DataFrame:
     return map_arrow(pairs.select("a", "b", "x", "y"), run, "a bigint, b bigint")
 
 
-def _least(salt: Column) -> Column:
-    """A line of each bucket, another one for another bucket or salt: the one whose id is the smallest after an XOR
-    with both, which the same XOR gives back."""
-    turn = F.col("bucket").bitwiseXOR(salt.cast("bigint"))
+def _joining(pct: int, count: int):
+    """Links within a pair of blocks that join different components."""
+    names, per, least = _words(count), -(-count // 64), least_equal(count, pct)
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        ids, block, n, label = (group.column(c).to_numpy() for c in ("id", "block", "n", "label"))
+        n = n.astype(np.int64)
+        one_block = group.column("low")[0].as_py() == group.column("high")[0].as_py()
+        words = np.stack([group.column(c).to_numpy() for c in names]).view(np.uint64).reshape(PLANES, per, -1)
+        texts = group.column("line").to_pylist()
+        sets = [g for start, end in in_parts([len(x) for x in texts], 1 << 18) for g in grams(texts[start:end])]
+        _, code = np.unique(np.concatenate(sets), return_inverse=True)
+        codes = np.split(code.reshape(-1), np.cumsum(n)[:-1])
+        flag = np.zeros(int(code.max()) + 1, np.int32)
+        _, label = np.unique(label, return_inverse=True)
+        links = []
+        for i in range(len(ids) - 1):
+            rest = slice(i + 1, None)
+            can = (label[rest] != label[i]) & (n[rest] * 100 >= n[i] * pct) & (n[i] * 100 >= n[rest] * pct)
+            if not one_block:
+                can &= block[rest] != block[i]
+            at = i + 1 + np.flatnonzero(can)
+            if len(at):
+                differ = np.bitwise_count(np.bitwise_or.reduce(words[:, :, at] ^ words[:, :, i, None], axis=0)).sum(axis=0)
+                at = at[differ <= count - least]
+            if not len(at):
+                continue
+            flag[codes[i]] = 1
+            starts = np.cumsum(n[at]) - n[at]
+            shared = np.add.reduceat(flag[np.concatenate([codes[k] for k in at])], starts)
+            flag[codes[i]] = 0
+            for k in at[shared * (100 + pct) >= (n[at] + n[i]) * pct]:
+                if label[k] != label[i]:
+                    links.append((ids[i], ids[k]))
+                    label[label == label[k]] = label[i]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
+def _least(bucket: Column) -> Column:
+    """A line of each bucket: the one whose id is the smallest after an XOR with one of ``HUBS`` numbers."""
+    turn = F.xxhash64(F.pmod(bucket, F.lit(HUBS)))
     return F.min(F.col("id").bitwiseXOR(turn)).bitwiseXOR(turn)
 
 
-def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """Members of the buckets with several lines (``bucket, id, least, m``), and all lines (``doc_id, text_id, place, id``,
-    and ``line`` where it is such a member)."""
-    lines = lines_of(docs)
-    signed = stored(signatures(lines, bands, rows), "line-signatures")
+def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members of the buckets with several lines (``bucket, id, least, m``), these lines measured, and where all lines stand
+    that are members or stand several times (``doc_id, text_id, place, id``)."""
+    lines, signed = signed_lines(docs, bands, rows)
     dealt = signed.select("id", F.explode("bands").alias("bucket"))
-    shared = stored(dealt.groupBy("bucket").agg(_least(F.lit(0)).alias("least"), F.count("*").alias("m"))
+    shared = stored(dealt.groupBy("bucket").agg(_least(F.col("bucket")).alias("least"), F.count("*").alias("m"))
                     .filter("m > 1"), "line-buckets")
     members = stored(dealt.join(small(shared), "bucket"), "line-members", 8 * shared.count())
-    wanted = members.select("id").distinct().withColumn("wanted", F.lit(True))
-    if members.count() <= MOST_SENT:  # more rows than different ids
-        wanted = F.broadcast(wanted)
-    found = lines.join(wanted, "id", "left").select(
-        "doc_id", "text_id", "place", "id", F.when(F.col("wanted"), F.col("line")).alias("line"))
-    return members, stored(found, "lines")
+    wanted = (members.select("id", F.lit(True).alias("member"))
+              .union(signed.filter("times > 1").select("id", F.lit(False)))
+              .groupBy("id").agg(F.max("member").alias("member")))
+    wanted = stored(wanted, "line-wanted")
+    found = stored(lines.join(small(wanted, MOST_SENT), "id").select(
+        "doc_id", "text_id", "place", "id", F.when(F.col("member"), F.col("line")).alias("line")), "lines")
+    texts = found.filter("line is not null").dropDuplicates(["id"]).select("id", "line")
+    return members, stored(measured(texts, bands * rows), "line-texts"), found.drop("line")
 
 
-def classes(members: DataFrame, lines: DataFrame, pct: int = PCT) -> DataFrame:
+def classes(members: DataFrame, held: DataFrame, pct: int = PCT, count: int = BANDS * ROWS) -> DataFrame:
     """``node, root``: the component of every line (by id) that is similar to another line."""
-    most = members.count()  # no table below has more rows, but for the links found late
-    texts = stored(lines.filter("line is not null").dropDuplicates(["id"]).select("id", "line"),
-                   "line-texts", 8 * most)  # long rows
+    short = held.drop("line")
+    pairs = (members.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
+             .join(short.alias("x"), F.col("a") == F.col("x.id")).join(short.alias("y"), F.col("b") == F.col("y.id"))
+             .filter(agree("x", "y", count, pct)).select("a", "b"))
+    pairs = stored(pairs, "line-pairs")
 
-    def named(name: str, line: str) -> DataFrame:
-        return texts.select(F.col("id").alias(name), F.col("line").alias(line))
+    def line(name: str, text: str) -> DataFrame:
+        return held.select(F.col("id").alias(name), F.col("line").alias(text))
 
-    with_least = members.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-    links = stored(similar_pairs(with_least.distinct().join(named("a", "x"), "a").join(named("b", "y"), "b"), pct),
-                   "line-links", most)
+    links = stored(similar_pairs(pairs.join(line("a", "x"), "a").join(line("b", "y"), "b"), pct),
+                   "line-links", pairs.count())
     found = components(links, links.count())
 
     # what a bucket still holds in different components, its chosen line aside (that one is compared)
     labelled = (members.filter("m > 2 and id != least")
                 .join(found.withColumnRenamed("node", "id"), "id", "left")
-                .select("bucket", "id", F.coalesce("root", "id").alias("label")))
+                .join(held.select("id", "n"), "id")
+                .select("bucket", "id", "n", F.coalesce("root", "id").alias("label")))
     open_ = (labelled.groupBy("bucket")
-             .agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k"))
-             .filter("l0 != l1").select("bucket", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")))
-    rest = (labelled.join(open_, "bucket").join(texts, "id")
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
-    at = lambda low, high: F.explode(F.sequence(low, high))
-    a = rest.select("bucket", F.col("block").alias("low"), at(F.col("block"), F.col("blocks") - 1)
-                    .alias("high"), F.col("id").alias("a"), F.col("label").alias("la"),
-                    F.col("line").alias("x"))
-    b = rest.select("bucket", at(F.lit(0), F.col("block")).alias("low"), F.col("block").alias("high"),
-                    F.col("id").alias("b"), F.col("label").alias("lb"), F.col("line").alias("y"))
-    late = (a.join(b, ["bucket", "low", "high"])
-            .filter((F.col("la") != F.col("lb"))
-                    & ((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))))
-    late = stored(similar_pairs(late, pct).distinct(), "line-links")
+             .agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.sum("n").alias("total"))
+             .filter("l0 != l1").select("bucket", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks")))
+    spread = (labelled.join(open_, "bucket").select("bucket", "id", "label", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks"))
+                                                    .cast("int").alias("block"))
+              .select("bucket", "id", "label", "block",
+                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+              .select("bucket", "id", "label", "block", F.least("block", "other").alias("low"),
+                      F.greatest("block", "other").alias("high")))
+    on_workers(members.sparkSession)
+    late = stored(spread.join(held, "id").groupBy("bucket", "low", "high")
+                  .applyInArrow(_joining(pct, count), "a bigint, b bigint").distinct(), "line-links")
     # the classes so far are edges to their roots
     return found if late.isEmpty() else components(
         found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
@@ -222,24 +345,31 @@ def classes(members: DataFrame, lines: DataFrame, pct: int = PCT) -> DataFrame:
 
 def repeats(docs: DataFrame, pct: int = PCT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, text_id, removed``: places (from 0) of the lines that are not the first of their component."""
-    members, lines = occurrences(docs, bands, rows)
-    found = classes(members, lines, pct)
-    occ = (lines.select("doc_id", "text_id", "place", "id")
-           .join(found.withColumnRenamed("node", "id"), "id", "left")
+    members, held, lines = occurrences(docs, bands, rows)
+    found = classes(members, held, pct, bands * rows)
+    occ = (lines.join(small(found.withColumnRenamed("node", "id"), MOST_SENT), "id", "left")
            .select("doc_id", "text_id", "place", F.coalesce("root", "id").alias("root")))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "place", "text_id")
-    first = (occ.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("k"))
-             .filter("k > 1").select("root", "first"))
-    gone = occ.join(first, "root").filter(order != F.col("first"))
+    first = stored(occ.groupBy("root").agg(F.min(order).alias("first"), F.count("*").alias("k"))
+                   .filter("k > 1").select("root", "first"), "line-firsts")
+    gone = occ.join(small(first, MOST_SENT // 4), "root").filter(order != F.col("first"))
     return gone.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set("place")).alias("removed"))
 
 
+def few_places(gone: DataFrame) -> DataFrame:
+    """``gone`` stored, to be broadcast if it holds at most ``MOST_SENT`` places (counted)."""
+    gone = stored(gone, "line-gone")
+    n = gone.agg(F.sum(F.size("removed") + F.lit(4))).first()[0] or 0
+    return F.broadcast(gone) if n <= MOST_SENT else gone
+
+
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the repeated lines; a document that had words and has none left is dropped.
 
     Same columns; ``n_chars``, if there, is that of the new text.
     """
-    gone = repeats(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text_id"), "removed")
+    gone = few_places(repeats(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text_id"),
+                                                      "removed"))
     lines = F.split("text", "\n")
     kept = let(lines, lambda ls: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "removed"), lambda k: F.get(ls, k)), "\n"))
@@ -259,7 +389,7 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 
 def op9_line_dedup(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    gone = repeats(docs).withColumnRenamed("doc_id", "d")
+    gone = few_places(repeats(docs).withColumnRenamed("doc_id", "d"))
     sizes = docs.select("doc_id", F.xxhash64("text").alias("t"), F.size(F.filter(
         F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD))).cast("long").alias("n_lines"))
     return (sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("text_id")), "left")

@@ -105,3 +105,28 @@ def test_one_line_of_rows_without_id_stays_once(spark):
                                    for k in (1, 9)], "doc_id bigint, text string")
     left = [r.text for r in line_dedup.deduplicated(frame).collect()]
     assert len(left) == 2 and sum("two rows" in t for t in left) == 1
+
+
+def test_different_lines_with_one_hash_are_told_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    plain = line_dedup.lines_of
+    monkeypatch.setattr(line_dedup, "lines_of", lambda docs: plain(docs).withColumn(
+        "id", F.when(F.col("line").startswith("first"), F.lit(7)).otherwise(F.col("id"))))
+    texts = ["first of all a line about rivers", "first of all, but this one is about mountains",
+             "first of all a line about rivers\nand another line", "first things that nobody says twice"]
+    got = {r.doc_id: list(r.removed) for r in line_dedup.repeats(H.docs_frame(spark, texts)).collect()}
+    assert got == brute_removed(texts) == {2: [0]}
+
+
+def test_few_bits_agree_where_sets_do():
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefghij ") for _ in range(400))
+    lines = [base] + [edited(rng, edited(rng, base)) for _ in range(40)] + ["".join(rng.choice("klmnop ") for _ in range(400))]
+    planes = line_dedup._planes(line_dedup.lowest(lines, 100)).view(np.uint64).reshape(line_dedup.PLANES, 2, -1)
+    differ = np.bitwise_count(np.bitwise_or.reduce(planes ^ planes[:, :, :1], axis=0)).sum(axis=0)
+    least = line_dedup.least_equal(100, 80)
+    for k, line in enumerate(lines):
+        if H.near(chars(base), chars(line)):
+            assert 100 - differ[k] >= least
+    assert 100 - differ[-1] < least

@@ -156,7 +156,7 @@ def test_lines_against_brute_force(spark):
 
 
 def test_blocks_of_lines(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "BLOCK", 2500)
     texts = near_copies(random.Random(8), 120, 50, 8)
     got = {r.doc_id for r in line_dedup.repeats(H.docs_frame(spark, texts)).collect()}
     assert got == set(brute_lines(dict(enumerate(texts))))
