@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from holdfast.llm import line_dedup, line_rules, ngram_join, packing, pii, templates, token_counts, tool_calls, toxicity, url_rules
+from holdfast.llm import (conversation_repair, hamming_index, line_dedup, line_rules, ngram_join, packing, pii, spelling,
+                          templates, token_counts, tool_calls, toxicity, url_rules)
 
 QUERIES = {
     "op1_tool_call_linking": tool_calls.op1_tool_call_linking,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_join.op8_ngram_jaccard_join,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_multi_index_hashing": hamming_index.op12_multi_index_hashing,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLES = {

@@ -15,4 +15,4 @@ def test_query_equals_its_sql(spark, sf, name):
 
 
 def test_all_operators_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.queries()} == set(range(1, 14))
