@@ -9,8 +9,9 @@
 3. Lines that share a bucket are read again, for their number of shingles and four bits of each smallest value. In a bucket
    each line meets one of them, first on these columns; texts are joined only for pairs of like size that agree in as many
    values as a pair at ``PCT`` percent does (but for one in 100,000), and the full shingle sets decide.
-4. Components follow from these links. Lines of a bucket that are then still in different components are compared in
-   place, in pairs of blocks of about ``BLOCK`` shingles, which give back links that join components, never pairs.
+4. Components follow from these links. Lines of a bucket that are then still in different components are compared: up to
+   ``FEW`` by the same columns and texts, more of them in place, in pairs of blocks of about ``BLOCK`` shingles, which give
+   back links that join components, never pairs.
 5. Of each component the first line (by doc_id, then place) stays.
 
 Shingles are rolling hashes in Arrow batches inside the tasks, for the signatures and for the comparison; all else is
@@ -40,6 +41,7 @@ RECALL = 0.9995
 MOST_HASHES = 100
 BANDS, ROWS = banding(PCT / 100, RECALL, MOST_HASHES)
 BLOCK = 400_000
+FEW = 16  # lines of a bucket whose pairs are compared by a join on columns
 HUBS = 4  # orders of the lines by which a bucket's chosen line is the first
 MOST_SENT = 2_000_000  # ids or places (8 bytes each) that are broadcast at most, counted before
 PLANES = 4  # bits of each smallest value that are compared before texts are
@@ -326,10 +328,18 @@ def classes(members: DataFrame, held: DataFrame, pct: int = PCT, count: int = BA
                 .join(found.withColumnRenamed("node", "id"), "id", "left")
                 .join(held.select("id", "n"), "id")
                 .select("bucket", "id", "n", F.coalesce("root", "id").alias("label")))
-    open_ = (labelled.groupBy("bucket")
-             .agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.sum("n").alias("total"))
-             .filter("l0 != l1").select("bucket", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks")))
-    spread = (labelled.join(open_, "bucket").select("bucket", "id", "label", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks"))
+    open_ = stored(labelled.groupBy("bucket")
+                   .agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("k"), F.sum("n").alias("total"))
+                   .filter("l0 != l1").select("bucket", "k", F.ceil(F.col("total") / BLOCK).cast("int").alias("blocks")),
+                   "line-open")
+    few = (labelled.join(small(open_.filter(F.col("k") <= FEW).select("bucket")), "bucket").drop("n")
+           .join(short, "id"))
+    met = (few.alias("x").join(few.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id"))
+                               & (F.col("x.label") != F.col("y.label")) & agree("x", "y", count, pct))
+           .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
+    met = stored(met, "line-pairs")
+    met = similar_pairs(met.join(line("a", "x"), "a").join(line("b", "y"), "b"), pct)
+    spread = (labelled.join(open_.filter(F.col("k") > FEW), "bucket").select("bucket", "id", "label", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks"))
                                                     .cast("int").alias("block"))
               .select("bucket", "id", "label", "block",
                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -337,7 +347,7 @@ def classes(members: DataFrame, held: DataFrame, pct: int = PCT, count: int = BA
                       F.greatest("block", "other").alias("high")))
     on_workers(members.sparkSession)
     late = stored(spread.join(held, "id").groupBy("bucket", "low", "high")
-                  .applyInArrow(_joining(pct, count), "a bigint, b bigint").distinct(), "line-links")
+                  .applyInArrow(_joining(pct, count), "a bigint, b bigint").union(met).distinct(), "line-links")
     # the classes so far are edges to their roots
     return found if late.isEmpty() else components(
         found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(late))
