@@ -52,7 +52,7 @@ UNITS = ("mm cm m km in ft yd mi inch inches foot feet yard yards mile miles met
 def tokens(text: Column) -> Column:
     """Tokens as they stand in the text."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN_RUN), F.lit(0))
-    return F.filter(found, lambda t: t.rlike(r"[\p{L}0-9]\z"))
+    return F.filter(found, lambda t: ~_first(t).isin(*SENTENCE) | t.rlike(r"\p{L}\z"))
 
 
 def _first(token: Column) -> Column:
