@@ -15,6 +15,7 @@ from holdfast.operators.quality import DataQualityError
 from holdfast.operators.star import with_measures
 from holdfast.operators.telemetry import telemetry_features
 from holdfast.plans import analytics, batch
+from holdfast.session import literal_rows
 from holdfast.sources import readers, writers
 
 RUN_TS = "2001-08-01T00:00:00Z"
@@ -88,6 +89,38 @@ SELECT customerID, 'He said "' || Contract || '", twice' || chr(10) || 'and "" s
   gender || ',' AS listed, TotalCharges FROM raw_feed""")
 
 
+def split_cells(s: Source) -> DataFrame:
+    """Cells with line breaks, commas and quotes in every row; each file is shared among tasks, and the arrival order of
+    the rows is that of the files."""
+    broken = s.m.raw.select(*[F.concat(F.col(c), F.lit(',\n"'), F.col(c), F.lit('"\n')).alias(c) if c == "Contract" else F.col(c)
+                              for c in K.RAW_COLUMNS])
+    rows = readers.read_customers(s.spark, writers.write_csv(broken, s.scratch("split-cells")), multi_line=True)
+    return rows.groupBy("Contract").agg(F.count("*").alias("rows"), F.countDistinct("feed_seq").alias("places"),
+                                        F.countDistinct("customerID").alias("customers"))
+
+
+add("s01d_line_breaks_over_tasks", split_cells, """
+SELECT Contract || ',' || chr(10) || '"' || Contract || '"' || chr(10) AS Contract, COUNT(*) AS rows, COUNT(*) AS places,
+  COUNT(DISTINCT customerID) AS customers FROM raw_feed GROUP BY Contract""")
+
+
+def file_heads(s: Source) -> DataFrame:
+    """Headers of the files of a feed, read from their first kilobytes."""
+    root, n = s.scratch("heads"), 3
+    writers.write_csv(s.m.raw.select(*K.RAW_COLUMNS).repartition(n), f"{root}/a")
+    writers.write_csv(s.m.raw.select(*reversed(K.RAW_COLUMNS)).coalesce(1), f"{root}/b")
+    found = readers.headers(s.spark, f"{root}/*")
+    known = {tuple(K.RAW_COLUMNS): "contract", tuple(reversed(K.RAW_COLUMNS)): "reversed"}
+    return literal_rows(s.spark, [{"header": F.lit(known[names]), "files": F.lit(len(files)).cast("bigint"),
+                                   "columns": F.lit(len(names)).cast("bigint")} for names, files in found.items()])
+
+
+add("s04b_file_heads", file_heads, f"""
+SELECT 'contract' AS header, CAST(3 AS BIGINT) AS files, CAST({len(K.RAW_COLUMNS)} AS BIGINT) AS columns
+WHERE EXISTS (SELECT 1 FROM raw_feed)
+UNION ALL SELECT 'reversed', 1, {len(K.RAW_COLUMNS)} WHERE EXISTS (SELECT 1 FROM raw_feed)""")
+
+
 def bad_file(s: Source) -> DataFrame:
     """One file without a required column among good ones: refused by name."""
     root = s.scratch("bad-file")

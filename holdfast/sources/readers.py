@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from holdfast import contract as K
 from holdfast.functions.columns import strip, to_number, to_whole
 from holdfast.session import literal_rows
+from holdfast.sources.quoted import records
 
 log = logging.getLogger(__name__)
 
@@ -36,37 +38,70 @@ def select_contract(df: DataFrame, expected: list[str], name: str) -> DataFrame:
     return df.select(*expected)
 
 
-def _csv(spark: SparkSession, multi_line: bool = False):
-    """Reader of quoted CSV: a doubled quote is a quote, a row with too many or too few cells fails. Cells with
-    line breaks need ``multi_line``, which keeps files from being split."""
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "FAILFAST").option("columnPruning", False))
+#: Quoted CSV: a doubled quote is a quote, a row with too many or too few cells fails.
+QUOTED = {"quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": "false"}
+HEAD = 1 << 13  # bytes of a file that are read for its header at first
+
+
+def _csv(spark: SparkSession):
+    """Reader of quoted CSV with a header, without line breaks in cells."""
+    return spark.read.option("header", True).options(**QUOTED)
+
+
+def _head(jvm, conf, file: str) -> tuple[str, str | None]:
+    """A file as Spark names it, and its first record, read through the store's own file system; None if it is empty."""
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    opened = path.getFileSystem(conf).open(path)
+    try:
+        stream = codec.createInputStream(opened) if codec else opened
+        data, size = b"", HEAD
+        while True:
+            more = bytes(stream.readNBytes(size))
+            data, size = data + more, 2 * size
+            at = data.find(b"\n")
+            while at >= 0 and data.count(b'"', 0, at) % 2:  # a line break inside a cell
+                at = data.find(b"\n", at + 1)
+            if at >= 0 or not more:
+                break
+        return path.toString(), data[:at if at >= 0 else None].decode("utf-8-sig").rstrip("\r") if data else None
+    finally:
+        opened.close()
 
 
 def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header, as column names. One row per file comes to the driver; empty files have none."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("n")).where("at = 0")
-    first = lines.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    """Files by their header, as column names; empty files have none. Only the first kilobytes of each file are read, many
+    files at a time, and no Spark job runs."""
+    files = spark.read.format("binaryFile").load(path).inputFiles()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        heads = list(pool.map(lambda file: _head(jvm, conf, unquote(file)), files))
     found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():
-        names = tuple(next(csv.reader([row["header"].removeprefix("\ufeff")]), ()))
-        found.setdefault(names, []).append(unquote(row["file"]))
+    for file, head in heads:
+        if head is not None:
+            found.setdefault(tuple(next(csv.reader([head]), ())), []).append(file)
     return {names: sorted(files) for names, files in sorted(found.items())}
 
 
 def _scans(spark: SparkSession, path: str, expected: list[str] | None,
            multi_line: bool = False) -> list[DataFrame]:
     """One scan per header, so that every file's cells are named by its own header; each header has to hold
-    the ``expected`` columns."""
+    the ``expected`` columns. ``_at`` is a row's place: file, offset of the block, row in the block."""
     scans = []
     for names, files in headers(spark, path).items():
         if expected is not None:
             check_columns(list(names), expected, f"{path} ({len(files)} files, first {files[0]})")
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        scans.append(_csv(spark, multi_line).schema(schema).option("enforceSchema", False)
-                     .option("nullValue", "\u0000").csv(files))
+        if multi_line:
+            rows = records(spark, files)
+            ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+            cells = F.from_csv("record", ddl, {**QUOTED, "nullValue": "\u0000", "multiLine": "true"})
+            scans.append(rows.select(cells.alias("_cells"), F.struct(
+                "file_path", F.col("at").alias("file_block_start"), "row").alias("_at")).select("_cells.*", "_at"))
+            continue
+        read = _csv(spark).schema(schema).option("enforceSchema", False).option("nullValue", "\u0000").csv(files)
+        scans.append(read.select("*", F.struct("_metadata.file_path", "_metadata.file_block_start",
+                                               F.monotonically_increasing_id().alias("row")).alias("_at")))
     return scans
 
 
@@ -85,18 +120,18 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str] | None = No
                   multi_line: bool = False) -> DataFrame:
     """Every cell as text, named by the header of its file; blank cells stay empty text.
 
-    With ``columns`` each file has to have them, in any order, and only they are returned.
+    With ``columns`` each file has to have them, in any order, and only they are returned. Cells with line breaks need
+    ``multi_line`` (``sources.quoted``), which also shares a file among tasks.
     """
     scans = _scans(spark, path, columns, multi_line)
-    return _together([d.select(*_text(columns or d.columns)) for d in scans], spark, columns or [])
+    return _together([d.select(*_text(columns or [c for c in d.columns if c != "_at"])) for d in scans], spark, columns or [])
 
 
 def read_customers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw customer feed plus ``feed_seq``, the arrival order: file, offset of the file
     block, row inside the block. It is the same however often a block is read again."""
     scans = _scans(spark, path, K.RAW_COLUMNS, multi_line)
-    seq = F.struct("_metadata.file_path", "_metadata.file_block_start",
-                   F.monotonically_increasing_id().alias("row")).alias("feed_seq")
+    seq = F.col("_at").alias("feed_seq")
     if not scans:
         empty = ", ".join(f"`{c}` string" for c in K.RAW_COLUMNS)
         return spark.createDataFrame(
