@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from holdfast.session import SMALL_ROWS, cut, fits_broadcast
+from holdfast.session import SMALL_ROWS, cut_measured, fits_broadcast
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, names: list[str],
@@ -31,8 +31,8 @@ def join_small(big: DataFrame, small: DataFrame, names: list[str], how: str = "i
     The small side is fixed once; it is broadcast only when its rows and bytes prove
     that it fits, and shuffled like any other table when it does not.
     """
-    fixed = cut(small)
-    if max_rows and fits_broadcast(fixed, max_rows):
+    fixed, few = cut_measured(small)
+    if max_rows and few and (max_rows >= SMALL_ROWS or fits_broadcast(fixed, max_rows)):
         fixed = F.broadcast(fixed)
     return null_safe_join(big, fixed, names, how)
 

@@ -115,42 +115,55 @@ def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
                     by: list[str] | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Exact linear-interpolated quantiles, one row per group, without one task per group.
+    """Exact linear-interpolated quantiles, one row per group, without one task per group and without a sort.
 
-    The rows shrink to a value histogram before the shuffle. A histogram of proven
-    small size goes to the built-in ``percentile``; a larger one gets running counts
-    over (group, value), and only the neighbours of each quantile survive.
+    Rows of proven small number go to the built-in ``percentile``. Of more, mergeable sketches per group give a
+    bracket for each quantile, at the sketch's error beside it. One scan counts the rows below the brackets and the
+    values inside them; these are few, and the neighbours of each quantile are picked from their running counts.
     """
     by = by or []
-    hist, rows = cut_counted(
-        df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_rows")))
+    fixed, rows = cut_counted(df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v")))
     if rows <= small_rows:
-        return hist.groupBy(*by).agg(*[
-            F.percentile(value, p, F.col("_rows")).alias(name) for name, p in probs.items()])
-    run = _sliced_totals(hist, [*by, value], {"_rows": "_upto"})
-    # the running count restarts per group: subtract the rows that sort before the group
-    bounds = run.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_rows")).alias("_start"),
-                                  F.max("_upto").alias("_end"))
+        return fixed.groupBy(*by).agg(*[F.percentile("_v", p).alias(name) for name, p in probs.items()])
+    accuracy = int(min(1_000_000, max(10_000, rows ** 0.5)))  # then about 8 * sqrt(rows) values are inside
+    slack = 2
+    while True:
+        picked = cut(_neighbours(fixed, list(probs.values()), by, accuracy, min(1.0, slack / accuracy)))
+        if slack >= accuracy or picked.where("_lo is null or _hi is null").isEmpty():
+            break
+        slack *= 64  # a bracket missed its quantile: wider ones, at last the whole range
+
+    at, lo, hi = F.col("_at"), F.col("_lo"), F.col("_hi")
+    between = F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).cast("double")
+    return picked.groupBy(*by).agg(*[F.max(F.when(F.col("_k") == k, between)).alias(name)
+                                     for k, name in enumerate(probs)])
+
+
+def _neighbours(fixed: DataFrame, probs: list[float], by: list[str], accuracy: int, slack: float) -> DataFrame:
+    """``by, _k, _at, _lo, _hi``: place of the k-th quantile (from 0) and the values on both sides of it; NULL where the
+    bracket did not hold them."""
+    sides = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
+    group = fixed.groupBy(*by).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", sides, accuracy).alias("_sides"))
+    brackets = group.select(*by, F.array(*[
+        F.struct(F.lit(k).alias("k"), ((F.col("_n") - 1) * p).alias("at"),
+                 (F.col("_min") if sides[2 * k] == 0 else F.get("_sides", F.lit(2 * k))).alias("lo"),
+                 (F.col("_max") if sides[2 * k + 1] == 1 else F.get("_sides", F.lit(2 * k + 1))).alias("hi"))
+        for k, p in enumerate(probs)]).alias("_brackets"))
     if by:
-        run = join_small(run, bounds, by, max_rows=min(small_rows, SMALL_ROWS))
+        met = join_small(fixed, brackets, by)
     else:
-        run = run.withColumn("_b", bounds.select(F.struct("*")).scalar()).select(
-            *run.columns, "_b.*")
-    first, last = F.col("_upto") - F.col("_rows") - F.col("_start"), F.col("_upto") - F.col("_start")
-    size = F.col("_end") - F.col("_start")
-
-    def neighbour(p: float, up: bool) -> Column:
-        at = F.ceil((size - 1) * p) if up else F.floor((size - 1) * p)
-        return F.max(F.when((first <= at) & (at < last), F.col(value)))
-
-    picked = run.groupBy(*by).agg(
-        F.max(size - 1).alias("_n"),
-        *[neighbour(p, False).alias(f"_lo_{name}") for name, p in probs.items()],
-        *[neighbour(p, True).alias(f"_hi_{name}") for name, p in probs.items()])
-
-    def between(name: str, p: float) -> Column:
-        at, lo, hi = F.col("_n") * p, F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi)
-
-    return picked.select(*by, *[between(name, p).cast("double").alias(name)
-                                for name, p in probs.items()])
+        met = fixed.withColumn("_brackets", brackets.scalar())
+    one = met.select(*by, "_v", F.explode(F.filter("_brackets", lambda b: F.col("_v") <= b["hi"])).alias("b"))
+    # rows below a bracket are one NULL value that sorts first
+    inside = F.when(F.col("_v") >= F.col("b.lo"), F.col("_v")).alias("_v")
+    hist = one.groupBy(*by, F.col("b.k").alias("_k"), F.col("b.at").alias("_at"), inside).agg(F.count("*").alias("_rows"))
+    upto = F.sum("_rows").over(W.partitionBy(*by, "_k").orderBy(F.asc_nulls_first("_v"))
+                               .rowsBetween(W.unboundedPreceding, 0))
+    run = hist.withColumn("_upto", upto)
+
+    def value(at: Column) -> Column:
+        return F.max(F.when((F.col("_upto") - F.col("_rows") <= at) & (at < F.col("_upto")), F.col("_v")))
+
+    return run.groupBy(*by, "_k", "_at").agg(value(F.floor("_at")).alias("_lo"), value(F.ceil("_at")).alias("_hi"))

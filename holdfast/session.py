@@ -9,8 +9,9 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 200_000  # proven row bound below which one task or a broadcast is fine
 SMALL_BYTES = 64 << 20  # and the bound on their text form for a broadcast
@@ -65,6 +66,21 @@ def cut_counted(df: DataFrame) -> tuple[DataFrame, int]:
     return fixed, fixed.count()
 
 
+def cut_measured(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``cut``, and whether the rows are few and short enough to be sent to every task, measured while they are written.
+    A task that ran twice counts twice, so the measure is never too small."""
+    wide = [F.octet_length(F.to_json(F.struct(c)) if isinstance(t, (T.ArrayType, T.MapType, T.StructType)) else F.col(c))
+            for c, t in ((f"`{f.name}`", f.dataType) for f in df.schema.fields)
+            if isinstance(t, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    size = F.sum(sum((F.coalesce(w, F.lit(0)) for w in wide), F.lit(16 * len(df.columns))).cast("bigint"))
+    seen = Observation()
+    fixed = cut(df.observe(seen, F.count(F.lit(1)).alias("rows"), size.alias("size")))
+    got = seen.get
+    if "rows" not in got:  # a plan known to be empty has nothing to observe
+        return fixed, fits_broadcast(fixed)
+    return fixed, got["rows"] <= SMALL_ROWS and (got["size"] or 0) <= SMALL_BYTES
+
+
 def fits_broadcast(fixed: DataFrame, most_rows: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> bool:
     """Whether stored rows are few and short enough to be sent to every task. No more than ``most_rows`` are read."""
     size = F.sum(F.length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})))

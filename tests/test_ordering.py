@@ -122,3 +122,42 @@ def test_large_path_equals_small_path(spark, sliced):
     small = results()
     sliced()
     assert results() == small
+
+
+def quantile_case(spark):
+    rows = [(g, v) for g in ("a", "b", None) for v in (
+        [0.5] * 700 + [((k * 7919) % 1000) / 7 for k in range(500)] + [None] * 5 + [-1e9, 1e9])] + [("c", 2.0), ("d", None)]
+    return spark.createDataFrame(rows, "g string, v double")
+
+
+def test_quantiles_by_narrowing_equal_percentile(spark):
+    probs = {"p0": 0.0, "p01": 0.01, "p25": 0.25, "p50": 0.5, "p77": 0.777, "p999": 0.999, "p100": 1.0}
+    df = quantile_case(spark)
+    for by in ([], ["g"]):
+        want = df.where("v is not null").groupBy(*by).agg(*[F.percentile("v", p).alias(n) for n, p in probs.items()])
+        got = O.exact_quantiles(df, "v", probs, by, small_rows=0)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    plain, slacks = O._neighbours, []
+
+    def narrow(fixed, probs, by, accuracy, slack):
+        slacks.append(slack)
+        return plain(fixed, [p for p in probs], by, accuracy, slack) if len(slacks) > 1 else plain(
+            fixed, probs, by, accuracy, slack).withColumn("_lo", F.lit(None).cast("double"))
+
+    monkeypatch.setattr(O, "_neighbours", narrow)
+    df = quantile_case(spark)
+    got = O.exact_quantiles(df, "v", {"m": 0.5}, small_rows=0).first()["m"]
+    assert got == df.agg(F.percentile("v", 0.5)).first()[0] and len(slacks) == 2 and slacks[1] > slacks[0]
+
+
+def test_narrowing_does_not_sort_the_table(spark):
+    df = spark.range(300_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("v"))
+    fixed = O.cut(df.withColumnRenamed("v", "_v"))
+    few = O._neighbours(fixed, [0.5], [], 10_000, 2 / 10_000)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    got = O.exact_quantiles(df, "v", {"m": 0.5, "q": 0.9}, small_rows=1000).first()
+    assert tuple(got) == tuple(df.agg(F.percentile("v", 0.5), F.percentile("v", 0.9)).first())
