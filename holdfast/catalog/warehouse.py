@@ -15,6 +15,8 @@ from holdfast.operators import upsert as U
 from holdfast.plans import bindings
 from holdfast.plans.measures import dq_measures, evaluate
 from holdfast.sources import readers, writers
+from holdfast.session import cut
+from holdfast.sources.versioned import Versioned, bucket_of
 from holdfast.streaming import score_refresh
 
 RUN_TS = "2001-08-01T00:00:00Z"
@@ -277,17 +279,30 @@ FROM (SELECT risk_band, COUNT(*) AS customers,
 def streamed_refresh(s: Source) -> DataFrame:
     """The same MERGE, fed by a file stream that runs until its input is used up."""
     root, feed = s.scratch("versions"), s.scratch("updates")
-    stale_target(s).select("customer_id", *U.SCORE_COLUMNS).write.parquet(
-        score_refresh.version_path(root, 0))
+    table = Versioned.create(stale_target(s).select("customer_id", *U.SCORE_COLUMNS), root, "customer_id", 8)
     updates(s).withColumn("scored_at", F.lit(1)).write.parquet(feed)
     stream = s.spark.readStream.schema(
         "customer_id string, churn_probability double, risk_band string, scored_at int").parquet(feed)
-    run = score_refresh.refresh(stream, root, s.scratch("progress")).start()
-    run.awaitTermination()
-    return s.spark.read.parquet(score_refresh.version_path(root, run.lastProgress["batchId"] + 1))
+    score_refresh.refresh(stream, root, s.scratch("progress")).start().awaitTermination()
+    return table.read()
 
 
 add("u01b_streamed_score_refresh", streamed_refresh,
     f"SELECT customer_id, churn_probability, risk_band FROM ({MERGED})")
+
+
+def touched_merge(s: Source) -> DataFrame:
+    """MERGE of one bucket's customers, twice, then removal of what no version needs: what each step wrote."""
+    table = Versioned.create(stale_target(s).select("customer_id", *U.SCORE_COLUMNS), s.scratch("touched"), "customer_id", 8)
+    one = cut(updates(s).where(bucket_of("customer_id", 8) == 3))
+    wrote = [len(table.merge(one, U.merge_scores)) for _ in range(2)]
+    removed = len(table.vacuum())
+    counts = {"first": wrote[0], "repeated": wrote[1], "removed": removed, "versions": len(table.versions())}
+    return table.read().agg(F.count("*").alias("rows"), *[F.lit(v).cast("bigint").alias(c) for c, v in counts.items()])
+
+
+add("u01c_merge_of_touched_buckets", touched_merge, """
+SELECT COUNT(*) AS rows, CAST(1 AS BIGINT) AS first, CAST(0 AS BIGINT) AS repeated, CAST(1 AS BIGINT) AS removed,
+  CAST(1 AS BIGINT) AS versions FROM scored""")
 add("telemetry_feed", lambda s: bindings.telemetry(s.tables), CTES["kpis"])
 add("monthly_history", lambda s: bindings.monthly(s.tables), CTES["monthly"])

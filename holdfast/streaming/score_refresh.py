@@ -1,4 +1,4 @@
-"""Score refresh fed by a stream: each micro-batch is one MERGE into a new version."""
+"""Score refresh fed by a stream: each micro-batch is one MERGE into the buckets it touches."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from holdfast.operators.upsert import SCORE_COLUMNS, merge_scores
+from holdfast.session import cut
+from holdfast.sources.versioned import Versioned
 
 
 def latest_scores(updates: DataFrame, key: str, order: str) -> DataFrame:
@@ -16,22 +18,17 @@ def latest_scores(updates: DataFrame, key: str, order: str) -> DataFrame:
         key, *[f"_s.{c}" for c in SCORE_COLUMNS])
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/v{version}"
+def refresh(stream: DataFrame, root: str, checkpoint: str, order: str = "scored_at") -> DataStreamWriter:
+    """Merge every micro-batch into the versioned table below ``root`` (``Versioned.create``).
 
-
-def refresh(stream: DataFrame, root: str, checkpoint: str, key: str = "customer_id",
-            order: str = "scored_at") -> DataStreamWriter:
-    """Merge every micro-batch n into version n and store the result as version n+1.
-
-    A repeated batch reads the same version and overwrites the same output, so a
-    restart neither loses nor doubles a change. Version 0 is the table before the stream.
+    Only buckets with a changed row are written. A batch that is repeated after a restart is known by its number and
+    changes nothing, so a restart neither loses nor doubles a change.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        target = batch.sparkSession.read.parquet(version_path(root, batch_id))
-        merged = merge_scores(target, latest_scores(batch, key, order), key).drop("changed")
-        merged.select(*target.columns).write.mode("overwrite").parquet(
-            version_path(root, batch_id + 1))
+        table = Versioned(batch.sparkSession, root)
+        key = table.manifest()["key"]
+        latest = cut(latest_scores(batch, key, order))
+        table.merge(latest, lambda rows, new: merge_scores(rows, new, key), checkpoint, batch_id)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True))

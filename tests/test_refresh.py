@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast.operators.upsert import band_monotonicity, change_counts, merge_scores
+from holdfast.sources.versioned import Conflict, Versioned, bucket_of
 from holdfast.streaming import score_refresh
 
 SCHEMA = "customer_id string, churn_probability double, risk_band string"
@@ -55,7 +56,7 @@ def test_equally_late_updates_have_one_winner(spark):
 
 def test_stream_merges_each_batch_once(spark, target, tmp_path):
     root, feed, progress = (str(tmp_path / n) for n in ("versions", "feed", "progress"))
-    target.write.parquet(score_refresh.version_path(root, 0))
+    table = Versioned.create(target, root, "customer_id", 3)
     schema = SCHEMA + ", scored_at int"
     spark.createDataFrame([("same", 0.6, "High", 1), ("same", 0.7, "High", 2)], schema).write.parquet(feed)
     stream = lambda: spark.readStream.schema(schema).parquet(feed)
@@ -68,8 +69,72 @@ def test_stream_merges_each_batch_once(spark, target, tmp_path):
     spark.createDataFrame([("moved", 0.2, "Medium", 3)], schema).write.mode("append").parquet(feed)
     run()
     run()  # nothing new: no further version
-    got = {r["customer_id"]: r["churn_probability"]
-           for r in spark.read.parquet(score_refresh.version_path(root, 2)).collect()}
+    got = {r["customer_id"]: r["churn_probability"] for r in table.read().collect()}
     assert got["same"] == 0.7 and got["moved"] == 0.2 and len(got) == 6
-    with pytest.raises(Exception):
-        spark.read.parquet(score_refresh.version_path(root, 3))
+    assert table.versions() == [0, 1, 2]
+    assert table.manifest()["applied"] == {progress: 1}
+
+
+def test_a_repeated_batch_changes_nothing(spark, target, updates, tmp_path):
+    table = Versioned.create(target, str(tmp_path / "t"), "customer_id", 4)
+    first = table.merge(updates, merge_scores, "feed", 0)
+    assert first and table.merge(updates, merge_scores, "feed", 0) == []
+    assert table.versions() == [0, 1]
+    assert table.merge(updates, merge_scores) == []  # known rows under no number: nothing differs
+    assert table.versions() == [0, 1]
+    want = {tuple(r) for r in merge_scores(target, updates).drop("changed").collect()}
+    assert {tuple(r) for r in table.read().collect()} == want
+
+
+def test_a_batch_that_touches_one_bucket_writes_one(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("cast(id as string) as customer_id", "0.1D as churn_probability", "'Low' as risk_band")
+    table = Versioned.create(rows, str(tmp_path / "t"), "customer_id", 16)
+    before = table.manifest()["folders"]
+    one = rows.where(bucket_of("customer_id", 16) == 5).withColumn("churn_probability", F.lit(0.9))
+    assert table.merge(one, merge_scores) == ["5"]
+    after = table.manifest()["folders"]
+    assert {b for b in after if after[b] != before[b]} == {"5"} and len(after) == 16
+    assert table.read().where("churn_probability = 0.9").count() == one.count()
+    assert table.read().count() == 2000
+
+
+def test_a_reader_keeps_its_version(spark, target, updates, tmp_path):
+    table = Versioned.create(target, str(tmp_path / "t"), "customer_id", 2)
+    old = {tuple(r) for r in target.collect()}
+    with table.reading() as seen:
+        changed = table.merge(updates, merge_scores)
+        assert changed and table.vacuum() == []  # the reader needs the old folders
+        assert {tuple(r) for r in seen.collect()} == old
+        assert {tuple(r) for r in table.read().collect()} != old
+    assert len(table.vacuum()) == len(changed) and table.versions() == [1]
+    assert table.vacuum() == [] and table.read().count() == 6
+
+
+def test_a_reader_that_never_ended_does_not_hold_for_ever(spark, target, updates, tmp_path):
+    table = Versioned.create(target, str(tmp_path / "t"), "customer_id", 2)
+    lost = table.reading()
+    lost.__enter__()
+    changed = table.merge(updates, merge_scores)
+    assert table.vacuum() == [] and len(table.vacuum(reader_hours=0)) == len(changed)
+
+
+def test_two_writers_cannot_both_store_a_version(spark, target, updates, tmp_path):
+    table = Versioned.create(target, str(tmp_path / "t"), "customer_id", 2)
+
+    def slow(rows, new):
+        if table.versions() == [0]:  # another writer is faster
+            Versioned(spark, table.root).merge(new, merge_scores)
+        return merge_scores(rows, new)
+
+    with pytest.raises(Conflict):
+        table.merge(updates.limit(6), lambda rows, new: slow(rows, new).withColumn("changed", F.lit(True)))
+    assert table.versions() == [0, 1]
+    with pytest.raises(Conflict):
+        Versioned.create(target, table.root, "customer_id")
+
+
+def test_empty_table_and_empty_updates(spark, target, updates, tmp_path):
+    table = Versioned.create(target.limit(0), str(tmp_path / "t"), "customer_id", 2)
+    assert table.merge(updates, merge_scores) == [] and table.read().count() == 0
+    table = Versioned.create(target, str(tmp_path / "u"), "customer_id", 2)
+    assert table.merge(updates.limit(0), merge_scores) == [] and table.versions() == [0]
