@@ -202,6 +202,38 @@ add("q14b_reconciliation_finds_orphans", lambda s: Q.load_reconciliation(
 
 add("d01_dim_customer", lambda s: S.surrogate_dim(s.m.scored, K.CUSTOMER_DIM, "customer_key"),
     CTES["dim_customer"])
+
+
+def second_load(s: Source) -> DataFrame:
+    """First load without the two-year contracts and with another gender; the second one holds every customer."""
+    first = S.surrogate_dim(s.m.scored.where("contract <> 'Two year'").withColumn("gender", F.lit("?")),
+                            K.CUSTOMER_DIM, "customer_key")
+    return S.lasting_dim(s.m.scored, K.CUSTOMER_DIM, "customer_key", cut(first), ["customer_id"])
+
+
+def numbered(columns: list[str], key: str, natural: str, condition: str) -> str:
+    """Two loads: the members of the first in order, then the others in order."""
+    order = ", ".join(f"{c} NULLS LAST" for c in columns)
+    cols = ", ".join(columns)
+    return f"""
+SELECT ROW_NUMBER() OVER (ORDER BY {natural} NOT IN (SELECT {natural} FROM scored WHERE {condition}),
+    {order}) AS {key}, {cols} FROM (SELECT DISTINCT {cols} FROM scored)"""
+
+
+add("d01d_lasting_customer_keys", second_load, numbered(
+    ["customer_id", *K.CUSTOMER_DIM[1:]], "customer_key", "customer_id", "contract <> 'Two year'"))
+
+
+def third_load(s: Source) -> DataFrame:
+    """Three loads of a dimension known by all its columns; members of the first two are not in the last one."""
+    load = lambda where, before: cut(S.lasting_dim(s.m.scored.where(where), K.CONTRACT_DIM, "contract_key", before))
+    return load("contract = 'Two year'", load("contract = 'One year'", load("contract = 'Month-to-month'", None)))
+
+
+add("d01e_lasting_contract_keys", third_load, f"""
+SELECT ROW_NUMBER() OVER (ORDER BY CASE contract WHEN 'Month-to-month' THEN 1 WHEN 'One year' THEN 2 ELSE 3 END,
+  {", ".join(f"{c} NULLS LAST" for c in K.CONTRACT_DIM)}) AS contract_key, {", ".join(K.CONTRACT_DIM)}
+FROM (SELECT DISTINCT {", ".join(K.CONTRACT_DIM)} FROM scored)""")
 add("d01b_dim_contract", lambda s: S.surrogate_dim(s.m.scored, K.CONTRACT_DIM, "contract_key"),
     CTES["dim_contract"])
 add("d01c_dim_services", lambda s: S.surrogate_dim(s.m.scored, K.SERVICES_DIM, "services_key"),

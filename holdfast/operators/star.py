@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import contract as K
-from holdfast.operators.joins import join_small
+from holdfast.operators.joins import join_small, null_safe_join
 from holdfast.operators.ordering import global_rank
 from holdfast.session import together
 
@@ -18,6 +18,28 @@ def surrogate_dim(df: DataFrame, columns: list[str], key: str) -> DataFrame:
     return global_rank(members, order, key).select(key, *columns)
 
 
+def lasting_dim(df: DataFrame, columns: list[str], key: str, stored: DataFrame | None,
+                natural: list[str] | None = None) -> DataFrame:
+    """The next load of a dimension: members that ``stored`` knows keep their keys, new ones are numbered behind its
+    greatest key in the order of all columns, and members that are gone stay.
+
+    Members are known by ``natural`` (all columns, if not given; unique in ``df``); their other columns are taken from
+    ``df``. Only new members are ordered; the rest is joins on the natural key, NULL equal to NULL.
+    """
+    if stored is None:
+        return surrogate_dim(df, columns, key)
+    natural = natural or columns
+    members = df.select(*columns).distinct()
+    keys = stored.select(key, *natural)
+    known = null_safe_join(members, keys, natural).select(key, *columns)
+    gone = null_safe_join(stored.select(key, *columns), members.select(*natural), natural, "left_anti")
+    new = null_safe_join(members, keys.drop(key), natural, "left_anti")
+    greatest = F.coalesce(stored.agg(F.max(key)).scalar(), F.lit(0))
+    numbered = global_rank(new, [F.col(c).asc_nulls_last() for c in columns], "_rank").select(
+        (greatest + F.col("_rank")).cast("bigint").alias(key), *columns)
+    return known.unionByName(gone.select(key, *columns)).unionByName(numbered)
+
+
 def date_dim(df: DataFrame, month: str = "month") -> DataFrame:
     """One row per observed 'YYYY-MM', with its position from either end of the window."""
     months = df.select(F.col(month).alias("month")).where(F.col(month).isNotNull()).distinct()
@@ -59,11 +81,15 @@ def monthly_fact(kpis: DataFrame, dim_customer: DataFrame, dim_date: DataFrame)
     return dated.select("customer_key", "month_key", *K.TELEMETRY_COLUMNS)
 
 
-def build_star(features: DataFrame, kpis: DataFrame | None = None) -> dict[str, DataFrame]:
+def build_star(features: DataFrame, kpis: DataFrame | None = None,
+               previous: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Dimensions and facts. With the dimensions of a ``previous`` load surrogate keys last; else they are numbered anew."""
+    before = previous or {}
     dims = {
-        "dim_customer": lambda: surrogate_dim(features, K.CUSTOMER_DIM, "customer_key"),
-        "dim_contract": lambda: surrogate_dim(features, K.CONTRACT_DIM, "contract_key"),
-        "dim_services": lambda: surrogate_dim(features, K.SERVICES_DIM, "services_key"),
+        "dim_customer": lambda: lasting_dim(features, K.CUSTOMER_DIM, "customer_key", before.get("dim_customer"),
+                                            ["customer_id"]),
+        "dim_contract": lambda: lasting_dim(features, K.CONTRACT_DIM, "contract_key", before.get("dim_contract")),
+        "dim_services": lambda: lasting_dim(features, K.SERVICES_DIM, "services_key", before.get("dim_services")),
     }
     if kpis is not None:
         dims["dim_date"] = lambda: date_dim(kpis)

@@ -104,3 +104,30 @@ def test_tree_follows_a_null_branch(spark):
     df = spark.createDataFrame([(None, "p", 1), (None, "q", 0), ("x", "p", 0)], "a string, b string, churn_flag int")
     got = [(r["level"], r["value"], r["customers"]) for r in R.decomposition_tree(df, ["a", "b"]).orderBy("level").collect()]
     assert got == [(1, None, 2), (2, "p", 1)]
+
+
+def test_keys_last_over_loads(spark):
+    schema = "id string, a string, b int"
+    one = spark.createDataFrame([("x", "p", 1), ("y", None, 2), (None, "q", 3)], schema)
+    first = S.lasting_dim(one, ["id", "a", "b"], "k", None, ["id"])
+    before = {r["id"]: r["k"] for r in first.collect()}
+    two = spark.createDataFrame([("x", "other", 1), (None, "q", 3), ("w", "p", 1), ("a", None, None), ("w", "p", 1)], schema)
+    second = S.lasting_dim(two, ["id", "a", "b"], "k", first, ["id"])
+    rows = {r["id"]: r for r in second.collect()}
+    assert {i: rows[i]["k"] for i in before} == before and rows["x"]["a"] == "other" and rows["y"]["b"] == 2
+    assert (rows["a"]["k"], rows["w"]["k"]) == (4, 5)
+    third = S.lasting_dim(two, ["id", "a", "b"], "k", second, ["id"])
+    assert sorted(map(str, third.collect())) == sorted(map(str, second.collect()))
+    assert S.lasting_dim(one, ["a"], "k", first.select("k", "a").limit(0)).count() == 3
+
+
+def test_star_over_two_loads(star, raw_frame, kpis):
+    from tests.conftest import NEW, PERSON, PHONE_ONLY
+
+    more = raw_frame([{"customerID": "A-1", "Contract": "Two year"}, NEW, {"gender": "Female"}, PHONE_ONLY])
+    again = S.build_star(telemetry_features(customer_features(conform(more)), kpis), kpis, star)
+    keys = {r["customer_id"]: r["customer_key"] for r in star["dim_customer"].collect()}
+    now = {r["customer_id"]: r for r in again["dim_customer"].collect()}
+    assert {c: now[c]["customer_key"] for c in keys} == keys and now["A-1"]["customer_key"] == 4
+    assert now[PERSON["customerID"]]["gender"] == "Female"
+    assert again["fact_customer"].count() == 4 and again["fact_customer"].select("customer_key").distinct().count() == 4
