@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.catalog.registry import Source, add
 from holdfast.catalog.sqlbase import number, rhe
 from holdfast.functions import columns as L
-from holdfast.operators.cleaning import unknown_values
+from holdfast.operators.cleaning import unknown_map, unknown_values
 
 
 def over_orders(name: str, spark: Callable[[], Column], sql: str) -> None:
@@ -124,15 +124,8 @@ SELECT o_orderstatus, string_agg(o_orderpriority, ', ' ORDER BY o_orderpriority)
 FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders) GROUP BY o_orderstatus""")
 
 
-def unknown_map(s: Source) -> DataFrame:
-    """column -> number of unknown values, as one map; the map has one entry per column."""
-    bad = unknown_values(s.m.customers).groupBy("column").agg(F.count("*").alias("n"))
-    return bad.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "n")))).alias(
-        "m")).select(F.to_json("m").alias("v"))
-
-
-add("x35_map_from_entries", unknown_map, """
-SELECT '{"payment_method":' || CAST(COUNT(DISTINCT payment_method) AS VARCHAR) || '}' AS v
-FROM clean WHERE payment_method NOT IN ('Bank transfer (automatic)', 'Credit card (automatic)',
-  'Electronic check', 'Mailed check')""")
+add("x35_map_from_entries", lambda s: unknown_map(unknown_values(s.m.customers)).select(F.to_json("unknown").alias("v")), """
+SELECT '{"payment_method":[' || string_agg('"' || v || '"', ',' ORDER BY v) || ']}' AS v
+FROM (SELECT DISTINCT payment_method AS v FROM clean WHERE payment_method NOT IN ('Bank transfer (automatic)',
+  'Credit card (automatic)', 'Electronic check', 'Mailed check'))""")
 over_orders("x36_literal_column", lambda: F.lit("By add-on count"), "'By add-on count'")

@@ -76,9 +76,24 @@ def unknown_values(df: DataFrame, domains: dict[str, tuple[str, ...]] = K.DOMAIN
     return (cells.groupBy("cell.column", "cell.value").agg(F.count("*").alias("rows")))
 
 
-def unknown_lists(unknown: DataFrame) -> DataFrame:
-    """(column, values): the sorted unknown values of each column, from ``unknown_values``."""
-    return unknown.groupBy("column").agg(F.array_sort(F.collect_set("value")).alias("values"))
+LISTED = 1000
+
+
+def unknown_lists(unknown: DataFrame, most: int = LISTED) -> DataFrame:
+    """(column, values, n_values): the first ``most`` unknown values of each column in their order, and how many there are,
+    from ``unknown_values``, which is the whole list as rows. Tasks pass on ``most`` values a column at most."""
+    first = F.row_number().over(W.partitionBy("column").orderBy("value"))
+    lists = (unknown.select("column", "value").withColumn("_at", first).where(F.col("_at") <= most)
+             .groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values")))
+    counts = unknown.groupBy("column").agg(F.count("*").alias("n_values"))
+    return lists.join(counts, "column")
+
+
+def unknown_map(unknown: DataFrame, most: int = LISTED) -> DataFrame:
+    """One row with one map: column -> its unknown values (``unknown_lists``)."""
+    entry = F.struct("column", "values")
+    return unknown_lists(unknown, most).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("unknown"))
 
 
 def cleaning_report(raw: DataFrame, arrival: str = "feed_seq",

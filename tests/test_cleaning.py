@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.functions.columns import to_number, to_whole
-from holdfast.operators.cleaning import (cleaning_report, conform, first_per_key, unknown_lists,
+from holdfast.operators.cleaning import (cleaning_report, conform, first_per_key, unknown_lists, unknown_map,
                                          unknown_values)
 
 
@@ -72,3 +72,12 @@ def test_numbers_from_text(spark):
 def test_all_whitespace_is_trimmed(raw_frame):
     clean = conform(raw_frame([{"customerID": "\t  a b  \n"}]))
     assert clean.first()["customer_id"] == "a b"
+
+
+def test_lists_are_bounded_and_say_how_many_there_are(spark):
+    rows = spark.range(3000).selectExpr("'contract' as column", "format_string('v%04d', id) as value", "1L as rows")
+    rows = rows.union(spark.sql("select 'gender', 'x', 5L"))
+    got = {r["column"]: r for r in unknown_lists(rows, 4).collect()}
+    assert got["contract"]["values"] == ["v0000", "v0001", "v0002", "v0003"] and got["contract"]["n_values"] == 3000
+    assert unknown_map(rows, 2).first()["unknown"] == {"contract": ["v0000", "v0001"], "gender": ["x"]}
+    assert unknown_map(rows.limit(0)).first()["unknown"] == {}
