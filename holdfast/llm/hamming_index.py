@@ -43,7 +43,7 @@ SAMPLE_BYTES = 64 << 20
 ROUNDS = 15
 BLOCK = 16_384
 PART = 16_384
-ENOUGH = 96
+ENOUGH = 320
 MOST_PROBED = 2
 
 
