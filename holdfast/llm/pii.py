@@ -29,8 +29,8 @@ BASE = KINDS[:4]
 #: Base score of a confirmed span, and words nearby that raise or lower it.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "ssn": 0.4, "aadhaar": 0.5}
 FOR = {
-    "email": ("mail", "contact", "write"), "ip": ("ip", "host", "server", "address"),
-    "card": ("card", "visa", "credit", "payment"), "phone": ("phone", "call", "tel", "mobile", "fax"),
+    "email": ("mail", "email", "contact", "write"), "ip": ("ip", "host", "server", "address"),
+    "card": ("card", "visa", "credit", "payment"), "phone": ("phone", "telephone", "call", "tel", "mobile", "fax"),
     "iban": ("iban", "account", "bank"), "ssn": ("ssn", "social", "security"),
     "aadhaar": ("aadhaar", "uid"),
 }
@@ -143,15 +143,38 @@ def _plain(kind: str, text: str) -> Iterator[tuple[int, int]]:
         yield from (m.span() for m in _AADHAAR.finditer(text) if verhoeff(m[0].replace(" ", "")))
 
 
+def _whole(words: Iterable[str]) -> re.Pattern | None:
+    """Any of the words, whole, also with an s."""
+    words = sorted(words, key=len, reverse=True)
+    return re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})s?(?!\w)") if words else None
+
+
+_FOR, _AGAINST = ({kind: _whole(words.get(kind, ())) for kind in KINDS} for words in (FOR, AGAINST))
+
+
+def _distance(words: re.Pattern | None, before: str, after: str, near: int) -> int | None:
+    """How far the nearest of the words begins or ends, within ``near``. Both texts have one character more than that, which
+    tells whether a word at their far end is whole."""
+    if words is None:
+        return None
+    found = [len(before) - m.end() for m in words.finditer(before) if len(before) - m.start() <= near]
+    found += [m.start() for m in words.finditer(after) if m.end() <= near]
+    return min(found, default=None)
+
+
 def find(text: str | None, near: int = 40, min_score: float = 0.5) -> list[tuple[str, int, int, float]]:
     """Spans (kind, start, end, score) by start, then kind as listed; offsets in code points."""
     text = text or ""
     found = []
     for kind in KINDS:
         for start, end in _plain(kind, text):
-            around = text[max(0, start - near):start].lower() + " " + text[end:end + near].lower()
-            score = SCORES[kind] + 0.2 * any(w in around for w in FOR[kind])
-            score = round(min(1.0, max(0.0, score - 0.3 * any(w in around for w in AGAINST[kind]))), 2)
+            before, after = text[max(0, start - near - 1):start].lower(), text[end:end + near + 1].lower()
+            good, bad = (_distance(words[kind], before, after, near) for words in (_FOR, _AGAINST))
+            if good is not None and (bad is None or good <= bad):  # the nearest word decides
+                score = SCORES[kind] + 0.2
+            else:
+                score = SCORES[kind] - 0.3 * (bad is not None)
+            score = round(min(1.0, max(0.0, score)), 2)
             if kind in BASE or score >= min_score:
                 found.append((kind, start, end, score))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))

@@ -88,3 +88,12 @@ def test_query_digests(spark, sf):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(
             sum(s[0] == k for s in want) for k in pii.BASE)
         assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_context_words_are_whole_and_the_nearest_decides():
+    kinds = lambda t: [k for k, *_ in pii.find(t)]
+    assert "ssn" in kinds("our partner: social 123-45-6789") and "ssn" in kinds("security border 123-45-6789")
+    score = {t: pii.find(t)[0][3] for t in ("hotel +49 170 1234567", "lobby +49 170 1234567", "tel +49 170 1234567")}
+    assert score["hotel +49 170 1234567"] == score["lobby +49 170 1234567"] < score["tel +49 170 1234567"]
+    cut = "hotel" + " " * 37 + "+49 170 1234567"  # the window begins inside the word
+    assert pii.find(cut)[0][3] == score["lobby +49 170 1234567"]
