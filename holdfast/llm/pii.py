@@ -4,7 +4,7 @@ The spans of the base kinds (email, ip, card, phone) are found leftmost and non-
 and are always part of the result. The method adds the kinds ``iban`` (mod 97), ``ssn`` and
 ``aadhaar`` (Verhoeff), which count only when confirmed and, for ``ssn``, when their score reaches
 ``min_score``. Every span carries a score: a base by kind, raised by a context word within
-``near`` characters and lowered by a word that speaks against it.
+``near`` characters or lowered by a word that speaks against it; words are whole, and the nearest one decides.
 
 Each text is scanned in linear time (possessive expressions and starts fixed at run beginnings), in
 Arrow batches inside the tasks; nothing is shuffled.
