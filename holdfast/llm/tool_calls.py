@@ -4,13 +4,16 @@
 * A call may use results of other calls of its conversation (``{"$ref": id}`` in its arguments). Order: a message
   stands at its turn; a call at its turn or behind the last result it uses; a result right behind its
   call. The order is a sort key (``anchor, step, kind, turn, pos``), so no conversation, however
-  long, is gathered in a task: calls whose references are settled settle others, round by round.
+  long, is gathered in a task. A wait for a call that itself waits for one other call skips to that one, with
+  the links in between added up, so that a chain halves in each round.
 * Arguments are parsed, checked against the schema of their tool and written with sorted keys and without blanks.
 
 Defined results: a call is ``linked`` or ``unanswered``; ``duplicate`` if its identifier is taken; ``cycle`` if it waits
-for itself (it keeps its own turn). A result is ``linked``, ``repeated`` (not the first) or ``orphan``. A NULL
-identifier links with nothing. References to unknown calls are a problem of the call, not of the order. NULL text
-is an empty one. Repeated rows are repeated. Empty tables give no rows. Other columns are ignored.
+for itself or for such a call (it keeps its own turn). A result is ``linked``, ``repeated`` (not the first, or
+without a turn) or ``orphan``. A NULL identifier or conversation links with nothing, and references from there are not
+looked up. A call without a turn owns no identifier: it is a ``duplicate`` if another call does, else ``unanswered``.
+References to unknown calls are a problem of the call, not of the order. NULL text is an empty one, a NULL position 0.
+Repeated rows are repeated. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -115,43 +118,49 @@ def checked(calls: DataFrame, schemas: dict) -> DataFrame:
                 names=["conv_id", "turn", "pos", "call_id", "name", "arguments", "refs", "problems"])
 
     plain = calls.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"),
-                         F.col("pos").cast("int"), F.col("call_id").cast("string"),
+                         F.coalesce(F.col("pos").cast("int"), F.lit(0)).alias("pos"), F.col("call_id").cast("string"),
                          F.col("name").cast("string"), F.col("arguments").cast("string"))
     return map_arrow(plain, run, "conv_id bigint, turn bigint, pos int, call_id string, name string, "
                                  "arguments string, refs array<string>, problems array<string>")
 
 
 def settled(owners: DataFrame) -> DataFrame:
-    """``conv_id, call_id, anchor, step`` of each owning call (``turn``, ``refs``) that waits for no cycle."""
-    waits = (owners.select("conv_id", "call_id", "turn", F.explode("refs").alias("ref"))
-             .join(owners.select("conv_id", F.col("call_id").alias("ref")), ["conv_id", "ref"], "left_semi"))
-    waits = stored(waits, "waits")
-    free = owners.join(waits, ["conv_id", "call_id"], "left_anti")
-    done = stored(free.select("conv_id", "call_id", F.col("turn").alias("anchor"),
-                              F.lit(0).alias("step")), "settled")
-    parts, new = [done], done
-    # an edge is met once, when the call that it waits for settles; what was met is kept as a maximum
-    met = None
-    needs = stored(waits.groupBy("conv_id", "call_id", "turn").agg(F.count("*").alias("need")), "needs")
-    while not new.isEmpty():
-        last = F.max(F.struct("anchor", "step")).alias("last")
-        hits = (waits.join(new.select("conv_id", F.col("call_id").alias("ref"), "anchor", "step"),
-                           ["conv_id", "ref"]).groupBy("conv_id", "call_id")
-                .agg(last, F.count("*").alias("n")))
-        if met is not None:
-            hits = hits.union(met).groupBy("conv_id", "call_id").agg(
-                F.max("last").alias("last"), F.sum("n").alias("n"))
-        state = stored(hits.join(needs, ["conv_id", "call_id"]), "met")
-        late = F.col("last.anchor") >= F.col("turn")
-        new = stored(state.filter("n = need").select(
-            "conv_id", "call_id", F.when(late, F.col("last.anchor")).otherwise(F.col("turn")).alias("anchor"),
-            F.when(late, F.col("last.step") + 1).otherwise(0).alias("step")), "settled")
-        met = state.filter("n < need").select("conv_id", "call_id", "last", "n")
-        parts.append(new)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    """``conv_id, call_id, anchor, step`` of each owning call (``turn``, ``refs``) that waits for no cycle.
+
+    A call's place is the greatest of (own turn, 0) and (anchor, step + links) of what it waits for. Each round
+    replaces a wait for a call by that call's only wait, drops waits for settled calls, and keeps the greatest place met.
+    A wait over as many links as a conversation has calls runs in a circle.
+    """
+    key = ["conv_id", "call_id"]
+    waits = (owners.select("conv_id", "call_id", F.explode("refs").alias("ref"))
+             .join(owners.select("conv_id", F.col("call_id").alias("ref")), ["conv_id", "ref"], "left_semi")
+             .groupBy(*key).agg(F.collect_list(F.struct("ref", F.lit(1).cast("bigint").alias("links"))).alias("waits")))
+    none = F.array().cast("array<struct<ref:string,links:bigint>>")
+    state = stored(owners.join(waits, key, "left").select(
+        *key, F.struct(F.col("turn").alias("anchor"), F.lit(0).cast("bigint").alias("step")).alias("place"),
+        F.coalesce("waits", none).alias("waits"), F.lit(False).alias("circle"), F.lit(True).alias("moved")), "order")
+    most = owners.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    waiting = (F.size("waits") > 0) & ~F.col("circle")
+    while state.agg(F.max(waiting) & F.max("moved")).first()[0]:
+        target = state.select("conv_id", F.col("call_id").alias("ref"), F.col("place").alias("t_place"),
+                              F.col("waits").alias("t_waits"), F.col("circle").alias("t_circle"))
+        links, onward = F.col("wait.links"), F.col("t_waits")
+        only = F.size(F.array_distinct(F.transform(onward, lambda w: w["ref"]))) == 1
+        skipped = F.struct(onward[0]["ref"].alias("ref"), (links + F.array_max(
+            F.transform(onward, lambda w: w["links"]))).alias("links"))
+        met = (state.filter(waiting).select(*key, "place", F.explode("waits").alias("wait"))
+               .withColumn("ref", F.col("wait.ref")).join(target, ["conv_id", "ref"])
+               .select(*key, "place", F.struct(F.col("t_place.anchor").alias("anchor"), (
+                   F.col("t_place.step") + links).alias("step")).alias("behind"),
+                   F.when(only, skipped).when(F.size(onward) > 0, F.col("wait")).alias("wait"),
+                   (only | (F.size(onward) == 0) | F.col("t_circle")).alias("moved"), "t_circle"))
+        next_state = met.groupBy(*key).agg(
+            F.greatest(F.max("place"), F.max("behind")).alias("place"), F.collect_list("wait").alias("waits"),
+            (F.max("t_circle") | F.coalesce(F.max(F.col("wait.links")) >= most, F.lit(False))).alias("circle"),
+            F.max("moved").alias("moved"))
+        state = stored(next_state.unionByName(state.filter(~waiting).withColumn("moved", F.lit(False))), "order")
+    return state.filter((F.size("waits") == 0) & ~F.col("circle")).select(
+        *key, "place.anchor", F.col("place.step").cast("int").alias("step"))
 
 
 FORMATTED = ("conv_id bigint, anchor bigint, step int, kind int, turn bigint, pos int, call_id string, "
@@ -169,7 +178,7 @@ def formatted(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas
     known = stored(checked(calls, schemas), "calls")
     results = results.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"),
                              F.col("call_id").cast("string"), F.col("content").cast("string"))
-    first = known.filter("call_id is not null").groupBy(*key).agg(
+    first = known.filter("conv_id is not null and call_id is not null and turn is not null").groupBy(*key).agg(
         F.min(F.struct("turn", "pos", "name", "refs")).alias("first"))
     owners = stored(first.select(*key, "first.turn", "first.pos", "first.refs"), "owners")
     order = stored(owners.select(*key, F.col("turn").alias("own"), F.col("pos").alias("own_pos"))
@@ -178,16 +187,16 @@ def formatted(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas
 
     owned = (F.col("own") == F.col("turn")) & (F.col("own_pos") == F.col("pos"))
     status = (F.when(~F.coalesce(owned, F.lit(False)),
-                     F.when(F.col("call_id").isNull() | F.col("conv_id").isNull(), "unanswered")
-                     .otherwise("duplicate"))
+                     F.when(F.col("own").isNull(), "unanswered").otherwise("duplicate"))
               .when(F.col("anchor").isNull(), "cycle")
               .when(F.col("answered").isNull(), "unanswered").otherwise("linked"))
-    refs = known.select(*key, "turn", "pos", F.explode("refs").alias("ref")).join(
+    place = [*key, "turn", "pos", "refs"]
+    refs = known.select(*place, F.explode("refs").alias("ref")).join(
         owners.select("conv_id", F.col("call_id").alias("ref")), ["conv_id", "ref"], "left_anti")
-    unknown = refs.groupBy(*key, "turn", "pos").agg(
+    unknown = refs.groupBy(*place).agg(
         F.array_sort(F.collect_set(F.concat(F.lit("$: unknown reference "), "ref"))).alias("unknown"))
     call_rows = (known.join(order, key, "left").join(answers, key, "left")
-                 .join(unknown, [*key, "turn", "pos"], "left")
+                 .join(unknown, place, "left")
                  .select("conv_id",
                          F.when(owned, F.coalesce("anchor", "turn")).otherwise(F.col("turn")).alias("anchor"),
                          F.when(owned, F.coalesce("step", F.lit(0))).otherwise(0).alias("step"),
@@ -244,8 +253,8 @@ TOOLS = {
 def derived(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Messages, calls and results from plain conversations, which hold no calls of their own.
 
-    An assistant's turn makes a call (tool, arguments and references follow from its text's length); what
-    follows a turn is the result for it; all other rows are messages, also those without role or turn.
+    An assistant's turn makes a call that carries its whole text (tool and references follow from the text's
+    length); what follows a turn is the result for it; all other rows are messages, also those without role or turn.
     """
     text, turn = F.coalesce("text", F.lit("")), F.col("turn")
     size = F.length(text)
@@ -259,8 +268,7 @@ def derived(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     calls = conversations.filter(is_call).select(
         "conv_id", "turn", F.lit(0).alias("pos"), F.concat(F.lit("c"), turn).alias("call_id"),
         name.alias("name"), F.to_json(F.struct(
-            use.alias("use"), F.substring_index(F.split(text, r"\s")[0], ".", 1).alias("query"),
-            size.alias("limit"))).alias("arguments"))
+            use.alias("use"), text.alias("query"), size.alias("limit"))).alias("arguments"))
     results = conversations.filter(is_result).select(
         "conv_id", "turn", F.concat(F.lit("c"), turn - 1).alias("call_id"), text.alias("content"))
     messages = conversations.filter(~is_call & ~is_result).select("conv_id", "turn", "role", "text")
@@ -274,40 +282,47 @@ def op1_tool_call_linking(spark, sf_dir) -> DataFrame:
 
 
 SQL = r"""
-with recursive rows as (select conv_id, turn, role, coalesce(text, '') as text, len(coalesce(text, '')) as size
-    from conversations),
+with recursive rows as (select conv_id, turn, role, coalesce(text, '') as text, len(coalesce(text, '')) as size,
+    coalesce(role = 'assistant' and turn is not null, false) as is_call,
+    coalesce(role <> 'assistant' and turn > 0, false) as is_result from conversations),
 calls as (select *, case when size % 7 = 0 then 'other' when size % 2 = 0 then 'count' else 'search' end as name,
-    case when size % 5 = 0 then turn + 2 when size % 5 < 3 then turn - 2 end as ref,
-    split_part(regexp_extract(text, '^[^\x20\x09-\x0D]*'), '.', 1) as query from rows where role = 'assistant'),
-edges as (select c.conv_id, c.turn, d.turn as ref from calls c
-    left join calls d on d.conv_id = c.conv_id and d.turn = c.ref),
-walk as (select conv_id, turn as start, 0 as k, turn, ref from edges
-    union all select w.conv_id, w.start, w.k + 1, e.turn, e.ref from walk w
-    join edges e on e.conv_id = w.conv_id and e.turn = w.ref where w.k < 40),
-placed as (select conv_id, start, max(k) >= 40 as cycle, max(turn) as far, arg_max(k, turn) as step
-    from walk group by all),
-answers as (select conv_id, turn - 1 as call, turn, text from rows where role <> 'assistant' and turn > 0),
-call_rows as (select c.conv_id, case when cycle then c.turn else far end as anchor,
-    case when cycle then 0 else step end as step, 1 as kind, c.turn, 'c' || c.turn as call_id,
-    case when cycle then 'cycle' when a.turn is null then 'unanswered' else 'linked' end as status,
+    case when size % 5 = 0 then turn + 2 when size % 5 < 3 then turn - 2 end as ref from rows where is_call),
+owners as (select conv_id, turn, min({'name': name, 'refs': case when ref is null then [] else ['c' || ref] end,
+    'ref': ref}).ref as ref from calls where conv_id is not null group by conv_id, turn),
+edges as (select o.conv_id, o.turn, d.turn as ref from owners o
+    left join owners d on d.conv_id = o.conv_id and d.turn = o.ref),
+reach as (select conv_id, turn as start, turn, ref from edges
+    union select r.conv_id, r.start, e.turn, e.ref from reach r
+    join edges e on e.conv_id = r.conv_id and e.turn = r.ref),
+placed as (select conv_id, start, count(*) as depth, not bool_or(ref is null) as cycle, max(turn) as far
+    from reach group by all),
+answered as (select distinct conv_id, turn - 1 as call from rows where is_result),
+spots as (select p.conv_id, p.start as turn, p.cycle, case when p.cycle then p.start else p.far end as anchor,
+    case when p.cycle then 0 else p.depth - f.depth end as step
+  from placed p join placed f on f.conv_id = p.conv_id and f.start = p.far),
+call_rows as (select c.conv_id, coalesce(s.anchor, c.turn) as anchor, coalesce(s.step, 0) as step, 1 as kind, c.turn,
+    'c' || c.turn as call_id, case when s.cycle then 'cycle' when a.call is null then 'unanswered' else 'linked' end
+    as status,
     concat_ws(';', case when name = 'other' then '$: unknown tool'
         when size < 1 or (name = 'search' and size > 800) then '$.limit: out of range' end,
-      case when name = 'search' and len(query) < 2 then '$.query: length' end,
-      case when c.ref is not null and e.ref is null then '$: unknown reference c' || c.ref end) as problems,
-    '{"arguments":{"limit":' || size || ',"query":' || cast(to_json(query) as varchar)
+      case when name = 'search' and size < 2 then '$.query: length' end,
+      case when c.ref is not null and c.conv_id is not null and o.turn is null
+        then '$: unknown reference c' || c.ref end) as problems,
+    '{"arguments":{"limit":' || size || ',"query":' || cast(to_json(text) as varchar)
       || case when c.ref is null then '' else ',"use":{"$ref":"c' || c.ref || '"}' end
       || '},"id":"c' || c.turn || '","name":"' || name || '","role":"assistant"}' as json
-  from calls c join placed p on p.conv_id = c.conv_id and p.start = c.turn
-  join edges e on e.conv_id = c.conv_id and e.turn = c.turn
-  left join answers a on a.conv_id = c.conv_id and a.call = c.turn),
-result_rows as (select a.conv_id, coalesce(c.anchor, a.turn) as anchor, coalesce(c.step, 0) as step, 2 as kind,
-    a.turn, 'c' || a.call as call_id, case when c.turn is null then 'orphan' else 'linked' end as status,
-    '' as problems, '{"content":' || cast(to_json(a.text) as varchar) || ',"role":"tool","tool_call_id":"c'
-      || a.call || '"}' as json
-  from answers a left join call_rows c on c.conv_id = a.conv_id and c.turn = a.call)
+  from calls c left join spots s on s.conv_id = c.conv_id and s.turn = c.turn
+  left join owners o on o.conv_id = c.conv_id and o.turn = c.ref
+  left join answered a on a.conv_id = c.conv_id and a.call = c.turn),
+result_rows as (select r.conv_id, coalesce(s.anchor, r.turn) as anchor, coalesce(s.step, 0) as step, 2 as kind,
+    r.turn, 'c' || (r.turn - 1) as call_id, case when s.turn is null then 'orphan' else 'linked' end as status,
+    '' as problems, '{"content":' || cast(to_json(text) as varchar) || ',"role":"tool","tool_call_id":"c'
+      || (r.turn - 1) || '"}' as json
+  from rows r left join spots s on s.conv_id = r.conv_id and s.turn = r.turn - 1 where r.is_result)
 select conv_id, turn as anchor, 0 as step, 0 as kind, turn, null as call_id, 'message' as status, '' as problems,
-  '{"content":' || cast(to_json(text) as varchar) || ',"role":' || cast(to_json(role) as varchar) || '}' as json
-from rows where role <> 'assistant' and turn = 0
+  '{"content":' || cast(to_json(text) as varchar) || ',"role":' || coalesce(cast(to_json(role) as varchar), 'null')
+    || '}' as json
+from rows where not is_call and not is_result
 union all select conv_id, anchor, cast(step as int), kind, turn, call_id, status, problems, json from call_rows
 union all select conv_id, anchor, cast(step as int), kind, turn, call_id, status, problems, json from result_rows
 """

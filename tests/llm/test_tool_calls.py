@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -68,6 +69,62 @@ def test_cycles_duplicates_and_repeats(spark):
     assert [r.problems for r in rows if r.turn == 7] == [["$: unknown reference gone"]]
 
 
+def test_branches_between_circles(spark):
+    # two circles that share no call with only one wait; "w" waits for a settled call and for a circle
+    rows = run(spark, [], [call(1, 1, "a", "b", "c"), call(1, 2, "b", "a", "c"), call(1, 3, "c", "a", "b"),
+                           call(1, 4, "ok"), call(1, 5, "w", "ok", "a"), call(1, 2, "d1", "ok"),
+                           call(1, 1, "d2", "d1", "ok", "e"), call(1, 6, "e", "d1"), call(1, 1, "d3", "d2", "d1"),
+                           call(1, None, "ok"), call(1, None, "alone")], [])
+    got = {(r.call_id, r.turn): (r.status, r.anchor, r.step) for r in rows}
+    assert {got[k][0] for k in (("a", 1), ("b", 2), ("c", 3), ("w", 5))} == {"cycle"}
+    assert got["d1", 2] == ("unanswered", 4, 1) and got["e", 6] == ("unanswered", 6, 0)
+    assert got["d2", 1] == ("unanswered", 6, 1) and got["d3", 1] == ("unanswered", 6, 2)
+    assert got["ok", None][0] == "duplicate" and got["alone", None][0] == "unanswered"
+
+
+def test_places_against_brute_force(spark):
+    rng = random.Random(7)
+    calls, owners = [], {}
+    for conv in range(40):
+        for i in range(rng.randint(1, 14)):
+            owners[conv, f"c{i}"] = (rng.randint(0, 9), rng.sample([f"c{k}" for k in range(14)], rng.choice([0, 1, 1, 2])))
+    calls = [call(conv, turn, c, *refs) for (conv, c), (turn, refs) in owners.items()]
+
+    def place(node, seen=()):
+        if node in seen:
+            return None
+        turn, refs = owners[node]
+        below = [place((node[0], r), (*seen, node)) for r in refs if (node[0], r) in owners]
+        return None if None in below else max([(turn, 0), *[(a, s + 1) for a, s in below]])
+
+    rows = run(spark, [], calls, [])
+    assert len(rows) == len(owners)
+    for r in rows:
+        want = place((r.conv_id, r.call_id))
+        assert (r.status == "cycle") == (want is None)
+        assert (r.anchor, r.step) == (want or (r.turn, 0))
+
+
+def test_chain_of_ten_thousand_links(spark, monkeypatch):
+    rounds, plain = [], C.stored
+    monkeypatch.setattr(C, "stored", lambda df, label, *rest: rounds.append(label) or plain(df, label, *rest))
+    owners = spark.range(10_000).selectExpr(
+        "1L as conv_id", "concat('c', id) as call_id", "if(id = 5000, 3L, 1L) as turn",
+        "if(id = 0, array(), array(concat('c', id - 1))) as refs")
+    got = {r.call_id: (r.anchor, r.step) for r in C.settled(owners).collect()}
+    assert len(got) == 10_000 and got["c4999"] == (1, 4999) and got["c9999"] == (3, 4999)
+    assert len(rounds) < 20
+
+
+def test_whole_texts_are_in_the_json(spark, sf):
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").collect()
+    found = {}
+    for r in C.op1_tool_call_linking(spark, sf).collect():
+        body = json.loads(r.json)
+        found[r.conv_id, r.turn] = body["arguments"]["query"] if r.kind == 1 else body["content"]
+    assert found == {(t.conv_id, t.turn): t.text or "" for t in turns}
+
+
 def test_long_chain_and_empty_tables(spark):
     calls = [call(1, 100 - i, f"c{i}", *([f"c{i - 1}"] if i else [])) for i in range(12)]
     rows = run(spark, [], calls, [])
