@@ -14,6 +14,7 @@ from holdfast.functions.columns import pct as pct_of
 from holdfast.operators import joins as J
 from holdfast.operators import profiling as P
 from holdfast.operators import quality as Q
+from holdfast.operators import sketches as SK
 from holdfast.operators.ordering import exact_quantiles
 from holdfast.plans.measures import slice_by
 
@@ -260,6 +261,26 @@ def _profile_sql(c: str) -> str:
 
 
 add("g16_column_profile", column_profile, " UNION ALL ".join(map(_profile_sql, EVERY)))
+
+
+def profile_by_sketches(s: Source) -> DataFrame:
+    """The customers as four files, sketched in two goes; the estimates beside the exact profile."""
+    path, store = s.scratch("profiled"), s.scratch("sketches")
+    customers = s.m.customers.select(*EVERY)
+    part = F.pmod(F.xxhash64("customer_id"), F.lit(2))
+    for k in (0, 1):
+        customers.where(part == k).repartition(2).write.mode("append").parquet(path)
+        SK.refresh(s.spark.read.parquet(path), store)
+    whole = s.spark.read.parquet(path)
+    return SK.within_bounds(whole, P.profile(whole), SK.stored_profile(whole, store))
+
+
+add("g16c_profile_sketches", profile_by_sketches, " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) AS rows, COUNT({c}) AS non_null, TRUE AS distinct_near, "
+    + ("TRUE AS quartiles_near, CAST(NULL AS BOOLEAN) AS top_near, "
+       f"MIN(CAST({c} AS DOUBLE)) AS min, MAX(CAST({c} AS DOUBLE)) AS max FROM clean" if c in NUMBERS else
+       "CAST(NULL AS BOOLEAN) AS quartiles_near, TRUE AS top_near, CAST(NULL AS DOUBLE) AS min, "
+       "CAST(NULL AS DOUBLE) AS max FROM clean") for c in EVERY))
 add("g16b_top_values", lambda s: P.top_values(s.m.customers, EVERY), " UNION ALL ".join(
     f"SELECT * FROM (SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS top, COUNT(*) AS freq FROM clean "
     f"WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY freq DESC, top LIMIT 1)" for c in EVERY))
