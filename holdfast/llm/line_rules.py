@@ -27,7 +27,8 @@ FURNITURE = (
     "subscribe to", "skip to content", "share this", "licensed under", "released under the",
     "this work is licensed",
 )
-SENTENCE_MARK = "[.!?;:…]"  # a line of prose has one
+#: Sentence marks of the scripts in use: Latin, CJK, Arabic, Devanagari, Armenian, Ethiopic, Burmese, Khmer, Tibetan.
+SENTENCE_MARK = "[.!?;:…。！？；：．｡؛؟۔।॥։።፧၊။។༎]"  # a line of prose has one
 
 
 @dataclass(frozen=True)
@@ -153,8 +154,11 @@ def verdict(text: Column, rules: LineRules = LineRules()) -> Column:
 
 def judge(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -> DataFrame:
     """``docs`` with the ``FIELDS`` of each text's verdict."""
-    return (docs.withColumn("_verdict", verdict(F.col(text), rules))
-            .withColumns({f: F.col(f"_verdict.{f}") for f in FIELDS}).drop("_verdict"))
+    own = "_verdict"
+    while own in docs.columns:
+        own += "_"
+    return (docs.withColumn(own, verdict(F.col(text), rules))
+            .withColumns({f: F.col(f"{own}.{f}") for f in FIELDS}).drop(own))
 
 
 def cleaned(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

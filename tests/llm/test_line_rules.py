@@ -50,3 +50,14 @@ def test_cleaned_keeps_columns_and_survives_edges(spark):
     assert sorted((r.doc_id or 0) for r in rows) == [0, 1, 6, 6]
     assert all(r.n_chars == len(r.text) and r.n_words == 1 for r in rows)
     assert line_rules.cleaned(edge_frame(spark, [])).count() == 0
+
+
+def test_sentences_of_other_scripts_stay(spark):
+    lines = ["这 是 一 个 完整 的 句子。", "他 明天 还 会 来 吗？",
+             "यह एक वाक्य है।", "هل هذا صحيح ؟",
+             "և այսպես եղավ։"]
+    bare = "这 是 没有 句号 的 行"
+    frame = spark.createDataFrame([(1, "\n".join([*lines, bare]), "mine")], "doc_id bigint, text string, _verdict string")
+    row = line_rules.judge(frame).first()
+    assert row.clean_text == "\n".join(lines) and row.n_bad_lines == 1 and row.kept
+    assert row["_verdict"] == "mine"
