@@ -258,7 +258,8 @@ def sample(docs: DataFrame, labels: DataFrame, how: Training = Training()):
     """Labelled rows to learn from, at most ``most_toxic + most_clean``, and how many labels each stands for.
 
     The rows are chosen from the labels alone; their ids are few by that bound and are broadcast, so texts are
-    neither shuffled nor gathered beyond the sample. Chosen texts over ``most_words`` are left out.
+    neither shuffled nor gathered beyond the sample. Chosen texts over ``most_words`` are left out. Of several rows with
+    one id, however many, the first text (then language) is taken.
     """
     marked = marked_labels(labels)
     chosen = [marked.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -267,7 +268,8 @@ def sample(docs: DataFrame, labels: DataFrame, how: Training = Training()):
     rows = (docs.select("doc_id", "text", "lang").filter("text is not null")
             .join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
             .filter(F.size(F.split("text", " ")) <= how.most_words)
-            .select("doc_id", "text", "toxic", "lang").collect())
+            .groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("row"), F.min("toxic").alias("toxic"))
+            .select("doc_id", "row.text", "toxic", "row.lang").collect())
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     share = tuple(counts.get(y, 0) / max(1, sum(r["toxic"] == y for r in rows)) for y in (0, 1))
     return [(r["text"], int(r["toxic"]), r["lang"]) for r in rows], share

@@ -35,3 +35,13 @@ def test_flags_use_the_language_threshold(spark):
                                    "doc_id bigint, lang string, held_out boolean, score double")
     got = {r.doc_id: (r.predicted, r.threshold, r.flagged) for r in T.judged(scores, model).collect()}
     assert got == {1: (0, 0.2, True), 2: (0, 0.6, False), 3: (1, 0.6, True)}
+
+
+def test_copies_of_a_chosen_id_are_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(3, f"text {i % 7}", "en") for i in range(500)] + [(4, "other", None), (4, None, "en")],
+                                 "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(3, 1), (3, 1), (4, 0)], "doc_id bigint, toxic int")
+    ids = {i for i in (3, 4) if zlib.crc32(str(i).encode()) % 5}
+    rows, share = T.sample(docs, labels)
+    assert sorted(rows) == sorted(r for i, r in ((3, ("text 0", 1, "en")), (4, ("other", 0, None))) if i in ids)
+    assert len(ids) and all(s <= 1 for s in share)
