@@ -9,6 +9,7 @@ from holdfast import contract as K
 from holdfast.catalog.registry import Source, add
 from holdfast.catalog.sqlbase import CTES, big, checks_sql, div, pct, xavg
 from holdfast.functions.columns import round_even
+from holdfast.operators import membership
 from holdfast.operators import quality as Q
 from holdfast.operators import star as S
 from holdfast.operators import upsert as U
@@ -57,6 +58,24 @@ add("q02b_unique_key_fails", lineitem_unique, """
 SELECT 'unique_l_orderkey_l_linenumber' AS check_name, 'FAIL' AS status,
   CAST(CAST(SUM(c - 1) AS BIGINT) AS VARCHAR) || ' duplicates' AS observed
 FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+
+
+def orders_of_lines(s: Source) -> DataFrame:
+    """Line items without their order: urgent orders are left out of the parent."""
+    return membership.orphan_keys(s.t("lineitem").withColumnRenamed("l_orderkey", "o_orderkey"),
+                                  s.t("orders").where("o_orderpriority <> '1-URGENT'"), ["o_orderkey"], "lines")
+
+
+add("q02c_repeated_keys", lambda s: membership.repeated_keys(s.t("lineitem"), ["l_orderkey", "l_linenumber"], "lines"), """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS lines FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+add("q02d_key_of_one_day", lambda s: membership.repeated_keys(s.t("events").select(
+    F.unix_date(F.to_date("ts")).alias("day"), "user_id"), ["day", "user_id"], "events"), """
+SELECT date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) :: INTEGER AS day, user_id, COUNT(*) AS events
+FROM events GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+add("q06b_orphan_keys", orders_of_lines, """
+SELECT l_orderkey AS o_orderkey, COUNT(*) AS lines FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')
+GROUP BY 1""")
 add("q03_not_null", lambda s: checks(s, of_kind(Q.NotNull)), named("not_null%"))
 
 

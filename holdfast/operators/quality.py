@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from holdfast import contract as K
 from holdfast.functions.columns import flag, percent_text, to_number
+from holdfast.operators import membership
 from holdfast.operators.cleaning import unknown_values
 from holdfast.operators.joins import orphan_count
 from holdfast.session import cut, literal_rows
@@ -232,7 +233,9 @@ def domain_checks(df: DataFrame, rules: list[tuple[int, OneOf]]) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, key: list[str], name: str = "duplicates") -> DataFrame:
-    """Rows beyond the first of each key."""
+    """Rows beyond the first of each key; keys of whole numbers are counted as bit sets."""
+    if membership.whole_key(df, key):
+        return membership.duplicate_rows(df, key, name)
     return (df.groupBy(*key).agg((F.count("*") - 1).alias("_extra"))
             .agg(F.coalesce(F.sum("_extra"), F.lit(0)).cast("bigint").alias(name)))
 
@@ -245,8 +248,10 @@ def unique_check(df: DataFrame, seq: int, rule: UniqueKey) -> DataFrame:
 
 
 def foreign_key_check(df: DataFrame, parent: DataFrame, seq: int, rule: ForeignKey) -> DataFrame:
-    n = F.col("n")
-    return orphan_count(df, parent, rule.key, "n").select(F.inline(F.array(_row(
+    n, key = F.col("n"), [rule.key]
+    whole = membership.whole_key(df, key) and membership.whole_key(parent, key)
+    orphans = membership.orphan_rows(df, parent, key, "n") if whole else orphan_count(df, parent, rule.key, "n")
+    return orphans.select(F.inline(F.array(_row(
         rule, seq, _status(n == 0, FAIL), F.format_string("%d orphan rows", n), "0 orphans",
         F.lit(rule.note)))))
 
