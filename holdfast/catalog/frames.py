@@ -10,6 +10,7 @@ from holdfast.catalog.registry import Source, add
 from holdfast.catalog.sqlbase import _late_avg, _late_sum, ravg, rhe
 from holdfast.functions.columns import minmax_score, round_even
 from holdfast.operators import customer_features as CF
+from holdfast.operators import rolling
 from holdfast.operators import telemetry as T
 
 services = ["num_addon_services", "has_internet", "has_phone", "has_streaming",
@@ -109,6 +110,43 @@ add("f09c_fractional_readings", lambda s: T.raw_aggregates(fractional(s)).select
 SELECT customer_id, {rhe('AVG(d)', 6)} AS avg_dropped_call_pct, {rhe('SUM(o)', 6)} AS total_outage_minutes,
   {rhe('AVG(d) FILTER (month_index > 9)', 6)} AS l3m_dropped_call_pct,
   {rhe('SUM(o) FILTER (month_index > 9)', 6)} AS l3m_outage_minutes FROM {_FRACTIONS} GROUP BY customer_id""")
+
+
+def month_by_month(s: Source) -> DataFrame:
+    """Twelve monthly loads, the last one twice and one month sent first with wrong readings."""
+    month = F.col("month_index")
+    wrong = s.m.kpis.where(month == 7).withColumn("avg_latency_ms", F.lit(1.0))
+    state = rolling.RollingTelemetry.create(s.m.kpis.where(month == 1), s.scratch("rolling"), buckets=4)
+    state.load(wrong)
+    for i in [*range(2, 13), 12]:
+        state.load(s.m.kpis.where(month == i))
+    return state.read()
+
+
+add("f09d_window_month_by_month", month_by_month,
+    f"SELECT customer_id, {', '.join(whole + recent)} FROM kpi_raw")
+
+
+def last_six(s: Source) -> DataFrame:
+    """A state of six months after twelve months came in: the window is the last six, two of them recent."""
+    state = rolling.RollingTelemetry.create(s.m.kpis.where("month_index <= 7"), s.scratch("rolling"), 6, buckets=4)
+    state.load(s.m.kpis.where("month_index between 8 and 10"))
+    state.load(s.m.kpis.where("month_index > 10"))
+    return state.read(recent=2).select("customer_id", "kpi_months", "avg_latency_ms", "total_outage_minutes", *recent)
+
+
+def _last_six_sql() -> str:
+    out = f"""SELECT customer_id, COUNT(month_index) AS kpi_months, {ravg('avg_latency_ms')} AS avg_latency_ms,
+  CAST(COALESCE(SUM(outage_minutes), 0) AS BIGINT) AS total_outage_minutes,
+  {_late_avg('dropped_call_pct')} AS l3m_dropped_call_pct,
+  {_late_avg('avg_download_mbps')} AS l3m_download_mbps,
+  {_late_avg('avg_latency_ms')} AS l3m_latency_ms,
+  {_late_sum('outage_minutes')} AS l3m_outage_minutes, {_late_sum('complaints')} AS l3m_complaints
+FROM kpis WHERE month_index > 6 GROUP BY customer_id"""
+    return out.replace("month_index > 9", "month_index > 10")
+
+
+add("f10c_months_leave_the_window", last_six, _last_six_sql())
 add("f10b_recent_aggregates_other_window", shorter_window, _parametric_sql())
 
 add("f12_trend_points", lambda s: T.telemetry_aggregates(s.m.kpis).select(

@@ -133,11 +133,12 @@ class Versioned:
             self.files.drop(name)
 
     def merge(self, updates: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame],
-              source: str | None = None, batch: int | None = None) -> list[str]:
+              source: str | None = None, batch: int | None = None, inserts: bool = False) -> list[str]:
         """Store the next version with ``change(rows, updates)`` in the buckets where it says ``changed``; returns these.
 
         ``change`` gives the rows of the touched buckets and a boolean column ``changed``. A ``batch`` of a ``source`` that is
-        stored already, and one that changes nothing, write no folder.
+        stored already, and one that changes nothing, write no folder. With ``inserts``, ``change`` may add rows for updates
+        whose key is new; it gets only the updates of the buckets it reads, and buckets without rows are touched too.
         """
         now = self.manifest()
         if batch is not None and now["applied"].get(source or "", -1) >= batch:
@@ -145,13 +146,14 @@ class Versioned:
         key, buckets = now["key"], now["buckets"]
         at = bucket_of(key, buckets)
         touched = [str(r[0]) for r in updates.select(at.alias("b")).distinct().collect()]  # one row per bucket at most
-        touched = [b for b in touched if b in now["folders"]]
+        touched = [b for b in touched if inserts or b in now["folders"]]
         differ, folders = [], {}
         if touched:
             rows = change(self._read(now, touched), updates)
             differ = sorted(str(r[0]) for r in rows.where("changed").select(at.alias("b")).distinct().collect())
         if differ:
-            rows = change(self._read(now, differ), updates).drop("changed")
+            some = updates.where(at.isin([int(b) for b in differ])) if inserts else updates
+            rows = change(self._read(now, differ), some).drop("changed")
             folders = self._write(rows.withColumn(BUCKET, at), buckets)
         if not differ and batch is None:
             return []
