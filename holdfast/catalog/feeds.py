@@ -298,6 +298,22 @@ add("s14_run_manifest", run_manifest, " UNION ALL ".join(
     + ("'8'" if step == "analytics" else "CAST(NULL AS VARCHAR)") + " AS questions"
     for step, (rows, gone) in _manifest.items()))
 
+
+def resumed_batch(s: Source) -> DataFrame:
+    """The batch without model twice over the same feed: the second run reads every step of the first one."""
+    out = s.scratch("resumed")
+    for _ in range(2):
+        run = batch.run(s.spark, s.m.raw, s.m.kpis, out, with_model=False, fail_on_dq=False, resume=True)
+    rows = run.star["fact_network_monthly"].agg(F.count("*")).scalar()
+    return run.manifest.select("step", F.element_at("info", "rows").alias("rows"),
+                               F.element_at("info", "resumed").alias("resumed"), rows.alias("monthly_rows"))
+
+
+add("s14b_resumed_batch", resumed_batch, " UNION ALL ".join(
+    f"SELECT '{step}' AS step, CAST({rows} AS VARCHAR) AS rows, 'true' AS resumed, "
+    "(SELECT COUNT(*) FROM fact_network_monthly) AS monthly_rows"
+    for step, (rows, _) in _manifest.items() if step != "model"))
+
 # -- cleaning --------------------------------------------------------------------
 
 names = list(K.RAW_TO_CONFORMED.values())
