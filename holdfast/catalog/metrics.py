@@ -9,6 +9,7 @@ from holdfast.catalog.registry import Source, add
 from holdfast.catalog.sqlbase import big, div, ravg, units, xavg, xsum
 from holdfast.operators import quality as Q
 from holdfast.operators import star as S
+from holdfast.plans import cube as C
 from holdfast.plans import measures as M
 from holdfast.plans import report as R
 
@@ -71,6 +72,44 @@ for key, (name, text) in MONTHLY.items():
         s.star["fact_network_monthly"], M.monthly_measures(), [name], ["month"]),
         f"SELECT month, {text} AS {name} FROM fact_network_monthly GROUP BY month")
 
+
+# -- the same measures from a stored cube ---------------------------------------------------
+
+SLICERS = ["contract", "internet_service", "payment_method", "tenure_bucket", "risk_band", "revenue_band"]
+
+
+def customer_cube(s: Source) -> C.Cube:
+    return C.Cube.build(s.m.scored, SLICERS, s.scratch("cube"), C.customer_layer(), [BY, ["risk_band", "contract"]])
+
+
+def sliced_cube(s: Source) -> DataFrame:
+    """The slicer panel over all customer measures."""
+    return customer_cube(s).answer(list(M.customer_measures()), ["risk_band"], {
+        "contract": ["Month-to-month", "Two year"], "internet_service": "DSL", "payment_method": None})
+
+
+def extended_cube(s: Source) -> DataFrame:
+    """Monthly measures of a cube of the first nine months to which the last three were added."""
+    rows, at = S.network_monthly(s.star), ["month", "internet_service"]
+    first = C.Cube.build(rows.where("month_index <= 9"), at, s.scratch("cube"), C.monthly_layer(), [["internet_service"]])
+    whole = first.extended(rows.where("month_index > 9"), s.scratch("cube"))
+    return whole.answer(["customer_months", *M.monthly_measures(), *M.labelled_monthly_measures()], ["internet_service"])
+
+
+_all_customer = ", ".join(f"{text} AS {name}" for name, text in CUSTOMER.values())
+add("m16b_measures_from_cube", lambda s: customer_cube(s).answer(list(M.customer_measures()), BY),
+    f"SELECT {BY_SQL}, {_all_customer} FROM scored GROUP BY {BY_SQL}")
+add("p10b_slicer_panel_from_cube", sliced_cube, f"""
+SELECT risk_band, {_all_customer} FROM scored
+WHERE contract IN ('Month-to-month', 'Two year') AND internet_service = 'DSL' GROUP BY risk_band""")
+add("m25b_monthly_measures_from_cube", extended_cube, f"""
+SELECT internet_service, COUNT(*) AS customer_months, {", ".join(f"{text} AS {name}" for name, text in MONTHLY.values())},
+  {ravg('CASE WHEN churn_flag = 1 THEN avg_latency_ms END')} AS avg_latency_churned,
+  {ravg('CASE WHEN churn_flag = 0 THEN avg_latency_ms END')} AS avg_latency_retained
+FROM (SELECT n.*, f.churn_flag, s.internet_service FROM fact_network_monthly n
+      JOIN fact_customer f ON f.customer_key = n.customer_key JOIN dim_services s ON s.services_key = f.services_key)
+GROUP BY internet_service""")
+
 LABELLED = ("(SELECT n.*, f.churn_flag, d.months_before_snapshot FROM fact_network_monthly n "
             "JOIN fact_customer f ON f.customer_key = n.customer_key "
             "JOIN dim_date d ON d.month_key = n.month_key)")
