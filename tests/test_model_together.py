@@ -62,3 +62,10 @@ def test_one_local_folder_however_many_ask(spark, monkeypatch):
     monkeypatch.setattr(session.tempfile, "TemporaryDirectory", make)
     found = session.together(spark, {str(i): lambda: session.scratch_root(spark) for i in range(4)})
     assert len(set(found.values())) == 1
+
+
+def test_the_model_can_be_sent_to_tasks_after_an_observation(spark, people):
+    session.cut_measured(spark.range(3).toDF("n"))
+    run, d = P.train(people, boosted_rounds=0), P.design(people)
+    assert not run.model.hasSummary
+    assert run.model.transform(P.with_vector(d.rows, d.inputs)).where("prediction in (0, 1)").count() == 240
