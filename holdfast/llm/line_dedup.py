@@ -25,6 +25,9 @@ Rows without a doc_id come last in the order. An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,22 +44,30 @@ RECALL = 0.9995
 MOST_HASHES = 100
 BANDS, ROWS = banding(PCT / 100, RECALL, MOST_HASHES)
 BLOCK = 400_000
+DEALT = 2_000_000  # buckets and ids (16 bytes a pair) that a task sorts, and that are held before they are dealt
+PAIRS = 1 << 16  # pairs of lines of a block that are compared by columns at once
 FEW = 16  # lines of a bucket whose pairs are compared by a join on columns
 HUBS = 4  # orders of the lines by which a bucket's chosen line is the first
 MOST_SENT = 2_000_000  # ids or places (8 bytes each) that are broadcast at most, counted before
 PLANES = 4  # bits of each smallest value that are compared before texts are
 
 
+def has_word(line: Column) -> Column:
+    """Whether the line has a word; reads no further than to its first letter."""
+    return F.ltrim(line, F.lit(BLANK)) != ""
+
+
 def normal(line: Column) -> Column:
-    """The line as it is compared."""
-    return F.lower(F.btrim(line, F.lit(BLANK)))
+    """The line as it is compared. Most have no blanks at their ends, and trimming reads a whole line."""
+    blank = reduce(or_, [end for c in BLANK for end in (line.startswith(c), line.endswith(c))])
+    return F.lower(F.when(blank, F.btrim(line, F.lit(BLANK))).otherwise(line))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """``doc_id, text_id, place, line, id, other`` of each line with a word; two hashes of the line."""
     return (docs.select("doc_id", F.xxhash64("text").alias("text_id"),
                         F.posexplode(F.split("text", "\n")).alias("place", "raw"))
-            .filter(F.btrim("raw", F.lit(BLANK)) != "")
+            .filter(has_word(F.col("raw")))
             .select("doc_id", "text_id", "place", normal(F.col("raw")).alias("line"))
             .withColumns({"id": F.xxhash64("line"), "other": F.xxhash64(F.lit(1), "line")}))
 
@@ -88,12 +99,14 @@ def _mixed32(x: np.ndarray) -> np.ndarray:
 def grams(lines: list[str], n: int = SHINGLE) -> list[np.ndarray]:
     """Sorted hashes of the different shingles of each line."""
     found, at = rolling(lines, n)
-    made = []
     for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
-        one = np.sort(found[i:j])
-        new = one[1:] != one[:-1]
-        made.append(one if new.all() else np.concatenate([one[:1], one[1:][new]]))
-    return made
+        found[i:j].sort()
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    new[at[:-1]] = True
+    ends = np.cumsum(new)[at[1:] - 1].tolist()
+    found = found[new]
+    return [found[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def similar(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
@@ -101,8 +114,9 @@ def similar(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
     m, n = len(a), len(b)
     if m * 100 < n * pct or n * 100 < m * pct:
         return False
-    both = np.sort(np.concatenate([a, b]))
-    return int((both[1:] == both[:-1]).sum()) * (100 + pct) >= (m + n) * pct
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")  # merges the two runs
+    return int(np.count_nonzero(both[1:] == both[:-1])) * (100 + pct) >= (m + n) * pct
 
 
 def lowest(lines: list[str], count: int) -> np.ndarray:
@@ -165,10 +179,8 @@ def agree(a: str, b: str, count: int, pct: int) -> Column:
 
 
 def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``id, bands, times, low, high``: one row per line hash with a hash for each band, how often the line stands (in
-    batches), and the least and greatest of its second hashes."""
-    names = [f"b{k}" for k in range(bands)]
-
+    """``id, other, times, bands``: both hashes of a line, how often it stands in a batch, and a hash for each band. A line
+    has a row for each batch that holds it, so that the hashes need no shuffle of their own."""
     def run(batches):
         for batch in batches:
             ids, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "other"))
@@ -178,14 +190,19 @@ def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
             first, times = order[new], np.diff(np.append(np.flatnonzero(new), len(order)))
             texts = batch.column("line").take(pa.array(first)).to_pylist()
             made = band_hashes(lowest(texts, bands * rows), bands, rows)
+            made = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * bands),
+                                            pa.array(made.T.reshape(-1)))
             yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(other[first]), pa.array(times, pa.int64()),
-                                              *map(pa.array, made)], names=["id", "other", "times", *names])
+                                              made], names=["id", "other", "times", "bands"])
+
+    return map_arrow(lines.select("id", "other", "line"), run, "id bigint, other bigint, times bigint, bands array<bigint>")
+
 
-    found = map_arrow(lines.select("id", "other", "line"), run,
-                      "id bigint, other bigint, times bigint, " + ", ".join(f"{c} bigint" for c in names))
-    one = found.groupBy("id").agg(F.sum("times").alias("times"), F.min("other").alias("low"), F.max("other").alias("high"),
-                                  *[F.min(c).alias(c) for c in names])  # equal lines have equal hashes
-    return one.select("id", F.array(*names).alias("bands"), "times", "low", "high")
+def several(signed: DataFrame) -> DataFrame:
+    """``id, times, low, high`` of the lines that stand several times, and of the hashes that different lines have; stored."""
+    return stored(signed.groupBy("id").agg(F.sum("times").alias("times"), F.min("other").alias("low"),
+                                           F.max("other").alias("high"))
+                  .filter("times > 1 or low != high"), "line-several")
 
 
 def apart(lines: DataFrame, clashes: DataFrame) -> DataFrame:
@@ -194,17 +211,87 @@ def apart(lines: DataFrame, clashes: DataFrame) -> DataFrame:
             .withColumn("id", F.when(F.col("clash"), F.xxhash64("other", "id")).otherwise(F.col("id"))).drop("clash"))
 
 
-def signed_lines(docs: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
-    """Lines, and ``id, bands, times`` of each different line, stored."""
+def signed_lines(docs: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines, ``id, bands`` of each line and batch, and ``id`` of the lines that stand several times."""
     lines = lines_of(docs)
     signed = stored(signatures(lines, bands, rows), "line-signatures")
-    clashes = signed.filter("low != high").select("id")
+    often = several(signed)
+    clashes = often.filter("low != high").select("id")
     if clashes.isEmpty():
-        return lines, signed.drop("low", "high")
+        return lines, signed.select("id", "bands"), often.select("id")
     clashes = stored(clashes, "line-clashes")
-    anew = signatures(apart(lines.join(small(clashes), "id", "left_semi"), clashes), bands, rows)
-    return apart(lines, clashes), stored(signed.join(small(clashes), "id", "left_anti").union(anew).drop("low", "high"),
-                                         "line-signatures")
+    anew = stored(signatures(apart(lines.join(small(clashes), "id", "left_semi"), clashes), bands, rows), "line-signatures")
+    return (apart(lines, clashes), signed.join(small(clashes), "id", "left_anti").union(anew).select("id", "bands"),
+            often.filter("low = high").union(several(anew)).select("id"))
+
+
+def met(buckets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``buckets, ids, least, m`` of the buckets with several ids, in order; each id once. A bucket's chosen line is the one
+    whose id is the smallest after an XOR with one of ``HUBS`` numbers."""
+    def with_others(buckets, ids):
+        if len(ids) < 2:
+            return buckets[:0], ids[:0]
+        same = buckets[1:] == buckets[:-1]
+        shared = np.concatenate([same[:1], same[1:] | same[:-1], same[-1:]])
+        return buckets[shared], ids[shared]
+
+    order = np.argsort(buckets)
+    buckets, ids = with_others(buckets[order], ids[order])
+    order = np.lexsort((ids, buckets))
+    buckets, ids = buckets[order], ids[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (buckets[1:] != buckets[:-1]) | (ids[1:] != ids[:-1])
+    buckets, ids = with_others(buckets[new], ids[new])
+    first = np.flatnonzero(np.append(len(ids) > 0, buckets[1:] != buckets[:-1])[:len(ids)])
+    m = np.diff(np.append(first, len(ids)))
+    turn = _odd(HUBS, 47).view(np.int64)[buckets % HUBS]
+    least = np.minimum.reduceat(ids ^ turn, first) ^ turn[first] if len(ids) else ids
+    return buckets, ids, np.repeat(least, m), np.repeat(m, m)
+
+
+def dealt(signed: DataFrame, slots: int) -> DataFrame:
+    """``slot, bucket, id``: lines under the hashes of their bands, those of one slot side by side in two arrays, so that
+    the shuffle moves few rows. A bucket is in one slot."""
+    def pack(buckets, ids):
+        slot = ((buckets.view(np.uint64) >> np.uint64(32)) % np.uint64(slots)).astype(np.int32)
+        order = np.argsort(slot, kind="stable")
+        counts = np.bincount(slot, minlength=slots)
+        used = np.flatnonzero(counts)
+        offsets = pa.array(np.append(0, np.cumsum(counts[used])), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), *[pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (buckets, ids)]],
+            names=["slot", "bucket", "id"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            made = batch.column("bands").flatten().to_numpy(zero_copy_only=False)
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            held.append((made, np.repeat(ids, len(made) // max(1, len(ids)))))
+            size += len(made)
+            if size >= DEALT:
+                yield pack(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if size:
+            yield pack(*map(np.concatenate, zip(*held)))
+
+    return map_arrow(signed.select("id", "bands"), run, "slot int, bucket array<bigint>, id array<bigint>")
+
+
+def bucket_members(signed: DataFrame, bands: int) -> DataFrame:
+    """``bucket, id, least, m`` of the lines in buckets with several lines, stored: the bucket's chosen line and its size.
+
+    Nearly every bucket has one line, so a task sorts its buckets as numbers, about ``DEALT`` of them.
+    """
+    def run(batches):
+        parts = [[batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("bucket", "id")] for batch in batches]
+        if parts:
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, met(*map(np.concatenate, zip(*parts))))),
+                                             names=["bucket", "id", "least", "m"])
+
+    tasks = max(8, -(-signed.count() * bands // DEALT))
+    return stored(map_arrow(dealt(signed, 16 * tasks).repartition(tasks, "slot").select("bucket", "id"), run,
+                            "bucket bigint, id bigint, least bigint, m bigint"), "line-members")
 
 
 def measured(texts: DataFrame, count: int) -> DataFrame:
@@ -253,27 +340,45 @@ def _joining(pct: int, count: int):
         n = n.astype(np.int64)
         one_block = group.column("low")[0].as_py() == group.column("high")[0].as_py()
         words = np.stack([group.column(c).to_numpy() for c in names]).view(np.uint64).reshape(PLANES, per, -1)
-        texts = group.column("line").to_pylist()
-        sets = [g for start, end in in_parts([len(x) for x in texts], 1 << 18) for g in grams(texts[start:end])]
-        _, code = np.unique(np.concatenate(sets), return_inverse=True)
-        codes = np.split(code.reshape(-1), np.cumsum(n)[:-1])
-        flag = np.zeros(int(code.max()) + 1, np.int32)
+        m = len(ids)
         _, label = np.unique(label, return_inverse=True)
-        links = []
-        for i in range(len(ids) - 1):
-            rest = slice(i + 1, None)
-            can = (label[rest] != label[i]) & (n[rest] * 100 >= n[i] * pct) & (n[i] * 100 >= n[rest] * pct)
+        near = []  # by the columns, many lines at once: for each line the later ones that can be similar
+        step = max(1, PAIRS // m)
+        for start in range(0, m, step):
+            i = np.arange(start, min(m, start + step))[:, None]
+            can = (np.arange(m) > i) & (label != label[i]) & (n * 100 >= n[i] * pct) & (n[i] * 100 >= n * pct)
             if not one_block:
-                can &= block[rest] != block[i]
-            at = i + 1 + np.flatnonzero(can)
-            if len(at):
-                differ = np.bitwise_count(np.bitwise_or.reduce(words[:, :, at] ^ words[:, :, i, None], axis=0)).sum(axis=0)
-                at = at[differ <= count - least]
+                can &= block != block[i]
+            x, y = np.nonzero(can)
+            x += start
+            differ = np.zeros(len(x), np.int64)
+            for w in range(per):
+                bits = words[0, w, x] ^ words[0, w, y]
+                for p in range(1, PLANES):
+                    bits |= words[p, w, x] ^ words[p, w, y]
+                differ += np.bitwise_count(bits)
+            left = differ <= count - least
+            x, y = x[left], y[left]
+            cut = np.flatnonzero(np.diff(x, prepend=-1))
+            near += [(int(x[a]), at) for a, at in zip(cut, np.split(y, cut[1:]))]
+        if not near:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        used = np.unique(np.concatenate([np.array([i for i, _ in near]), *[at for _, at in near]]))
+        texts = group.column("line").take(pa.array(used)).to_pylist()
+        sets = [g for start, end in in_parts([len(x) for x in texts], 1 << 18) for g in grams(texts[start:end])]
+        every = np.concatenate(sets)
+        kinds = np.sort(every)
+        kinds = kinds[np.append(True, kinds[1:] != kinds[:-1])]
+        codes = dict(zip(used.tolist(), np.split(np.searchsorted(kinds, every), np.cumsum(n[used])[:-1])))
+        flag = np.zeros(len(kinds), np.int32)
+        links = []
+        for i, at in near:
+            at = at[label[at] != label[i]]
             if not len(at):
                 continue
             flag[codes[i]] = 1
             starts = np.cumsum(n[at]) - n[at]
-            shared = np.add.reduceat(flag[np.concatenate([codes[k] for k in at])], starts)
+            shared = np.add.reduceat(flag[np.concatenate([codes[k] for k in at.tolist()])], starts)
             flag[codes[i]] = 0
             for k in at[shared * (100 + pct) >= (n[at] + n[i]) * pct]:
                 if label[k] != label[i]:
@@ -284,22 +389,13 @@ def _joining(pct: int, count: int):
     return run
 
 
-def _least(bucket: Column) -> Column:
-    """A line of each bucket: the one whose id is the smallest after an XOR with one of ``HUBS`` numbers."""
-    turn = F.xxhash64(F.pmod(bucket, F.lit(HUBS)))
-    return F.min(F.col("id").bitwiseXOR(turn)).bitwiseXOR(turn)
-
-
 def occurrences(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Members of the buckets with several lines (``bucket, id, least, m``), these lines measured, and where all lines stand
     that are members or stand several times (``doc_id, text_id, place, id``)."""
-    lines, signed = signed_lines(docs, bands, rows)
-    dealt = signed.select("id", F.explode("bands").alias("bucket"))
-    shared = stored(dealt.groupBy("bucket").agg(_least(F.col("bucket")).alias("least"), F.count("*").alias("m"))
-                    .filter("m > 1"), "line-buckets")
-    members = stored(dealt.join(small(shared), "bucket"), "line-members", 8 * shared.count())
+    lines, signed, often = signed_lines(docs, bands, rows)
+    members = bucket_members(signed, bands)
     wanted = (members.select("id", F.lit(True).alias("member"))
-              .union(signed.filter("times > 1").select("id", F.lit(False)))
+              .union(often.select("id", F.lit(False)))
               .groupBy("id").agg(F.max("member").alias("member")))
     wanted = stored(wanted, "line-wanted")
     found = stored(lines.join(small(wanted, MOST_SENT), "id").select(
@@ -401,7 +497,7 @@ def op9_line_dedup(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     gone = few_places(repeats(docs).withColumnRenamed("doc_id", "d"))
     sizes = docs.select("doc_id", F.xxhash64("text").alias("t"), F.size(F.filter(
-        F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(WORD))).cast("long").alias("n_lines"))
+        F.split(F.coalesce("text", F.lit("")), "\n"), has_word)).cast("long").alias("n_lines"))
     return (sizes.join(gone, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t") == F.col("text_id")), "left")
             .select("doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("long")
                     .alias("n_removed"), F.coalesce("removed", F.array().cast("array<int>"))
