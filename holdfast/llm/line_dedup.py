@@ -14,9 +14,9 @@
    back links that join components, never pairs.
 5. Of each component the first line (by doc_id, then place) stays.
 
-Shingles are rolling hashes in Arrow batches inside the tasks, for the signatures and for the comparison; all else is
-DataFrame expressions. Equal lines are combined into one row of band hashes before the first shuffle. Joins are on keys that
-are unique on one side. A bucket of m lines costs at most m rows a pair of blocks and m * m comparisons of some bytes.
+Shingles are rolling hashes in Arrow batches inside the tasks, for the signatures and for the comparison, and the buckets of
+a task are sorted there as numbers; all else is DataFrame expressions. Equal lines of a batch have one row of band hashes; the
+shuffle by bucket moves arrays of them, and equal lines meet there. Joins are on keys that are unique on one side. A bucket of m lines costs at most m rows a pair of blocks and m * m comparisons of some bytes.
 
 Defined results: a NULL or empty text has no lines. Lines without a word are no duplicates and stay. Rows with one
 doc_id and one text (known by its 64-bit hash) are one document and lose the same lines; other rows lose their own.
@@ -30,6 +30,7 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,11 +77,15 @@ def rolling(lines: list[str], n: int = SHINGLE, kind=np.uint64) -> tuple[np.ndar
     """Hashes of the shingles of all lines, one behind the other, and where each line's begin (and the last end)."""
     full = [x if len(x) >= n else x + PAD * (n - len(x)) for x in lines]
     chars = np.frombuffer("".join(full).encode("utf-32-le", "surrogatepass"), np.uint32).astype(kind, copy=False)
-    total = np.zeros(max(0, len(chars) - n + 1), kind)
-    factor = kind(0x9E3779B97F4A7C15 & int(np.iinfo(kind).max))
-    for k in range(n):
-        total *= factor
-        total += chars[k:k + len(total)]
+    top = int(np.iinfo(kind).max)
+    factor = 0x9E3779B97F4A7C15 & top
+    total, size = chars, 1
+    for bit in bin(n)[3:]:  # runs of twice as many characters, or one more
+        total = total[:-size] * kind(pow(factor, size, top + 1)) + total[size:]
+        size *= 2
+        if bit == "1":
+            total = total[:-1] * kind(factor) + chars[size:]
+            size += 1
     sizes = np.array([len(x) for x in full], np.int64)
     ends = np.cumsum(sizes)
     own = np.ones(len(total), bool)  # not those that run into the next line
@@ -124,7 +129,7 @@ def lowest(lines: list[str], count: int) -> np.ndarray:
     low = np.empty((count, len(lines)), np.uint32)
     others, odds = ((_odd(count, seed) >> np.uint64(16)).astype(np.uint32) for seed in (13, 29))
     odds |= np.uint32(1)
-    for start, end in in_parts([len(x) for x in lines], 1 << 16):
+    for start, end in in_parts([len(x) for x in lines], 1 << 17):
         found, at = rolling(lines[start:end], kind=np.uint32)
         turned = np.empty_like(found)
         for k in range(count):
@@ -179,8 +184,8 @@ def agree(a: str, b: str, count: int, pct: int) -> Column:
 
 
 def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``id, other, times, bands``: both hashes of a line, how often it stands in a batch, and a hash for each band. A line
-    has a row for each batch that holds it, so that the hashes need no shuffle of their own."""
+    """``id, other, times, bands``: both hashes of a line, how often it stands in a batch, and the 64-bit hashes of its
+    bands, one behind the other. A line has a row for each batch that holds it: the hashes need no shuffle of their own."""
     def run(batches):
         for batch in batches:
             ids, other = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "other"))
@@ -190,12 +195,12 @@ def signatures(lines: DataFrame, bands: int, rows: int) -> DataFrame:
             first, times = order[new], np.diff(np.append(np.flatnonzero(new), len(order)))
             texts = batch.column("line").take(pa.array(first)).to_pylist()
             made = band_hashes(lowest(texts, bands * rows), bands, rows)
-            made = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * bands),
-                                            pa.array(made.T.reshape(-1)))
+            made, width = made.T.tobytes(), 8 * bands
+            made = pa.array([made[i:i + width] for i in range(0, len(made), width)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array(other[first]), pa.array(times, pa.int64()),
                                               made], names=["id", "other", "times", "bands"])
 
-    return map_arrow(lines.select("id", "other", "line"), run, "id bigint, other bigint, times bigint, bands array<bigint>")
+    return map_arrow(lines.select("id", "other", "line"), run, "id bigint, other bigint, times bigint, bands binary")
 
 
 def several(signed: DataFrame) -> DataFrame:
@@ -265,7 +270,7 @@ def dealt(signed: DataFrame, slots: int) -> DataFrame:
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            made = batch.column("bands").flatten().to_numpy(zero_copy_only=False)
+            made = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             held.append((made, np.repeat(ids, len(made) // max(1, len(ids)))))
             size += len(made)
@@ -317,7 +322,7 @@ def similar_pairs(pairs: DataFrame, pct: int) -> DataFrame:
             a, b = (batch.column(c).to_numpy(zero_copy_only=False) for c in "ab")
             x, y = batch.column("x"), batch.column("y")
             keep = np.zeros(len(a), bool)
-            sizes = [len(t) + len(u) for t, u in zip(x.to_pylist(), y.to_pylist())]
+            sizes = pc.add(pc.utf8_length(x), pc.utf8_length(y)).to_pylist()
             for start, end in in_parts(sizes, 1 << 20):
                 ids = np.concatenate([a[start:end], b[start:end]])
                 _, first, at = np.unique(ids, return_index=True, return_inverse=True)

@@ -34,7 +34,8 @@ def test_members_of_lines_with_several_rows(spark):
     for a, b in zip(ids[::3], ids[1::3]):
         lines[b][0] = lines[a][0]
     rows = [(i, lines[i]) for i in ids + ids[::2] + ids[::5]]
-    signed = spark.createDataFrame(rows, "id bigint, bands array<bigint>").repartition(5)
+    signed = spark.createDataFrame([(i, np.array(bands, np.int64).tobytes()) for i, bands in rows],
+                                   "id bigint, bands binary").repartition(5)
     got = line_dedup.bucket_members(signed, 3)
     want = shared((b, i) for i, bands in rows for b in bands)
     assert {r.bucket: set(r.ids) for r in got.groupBy("bucket").agg(F.collect_list("id").alias("ids")).collect()} == want
@@ -46,7 +47,8 @@ def test_members_of_lines_with_several_rows(spark):
 
 def test_slots_keep_a_bucket_together(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "DEALT", 8)
-    signed = spark.range(40).select("id", F.array(F.col("id") % 7, F.lit(-5), F.col("id") - 20).alias("bands"))
+    signed = spark.createDataFrame([(i, np.array([i % 7, -5, i - 20], np.int64).tobytes()) for i in range(40)],
+                                   "id bigint, bands binary")
     rows = line_dedup.dealt(signed, 4).collect()
     pairs = [(b, i, r.slot) for r in rows for b, i in zip(r.bucket, r.id, strict=True)]
     assert len(pairs) == 120 and len({(b, s) for b, _, s in pairs}) == len({b for b, _, _ in pairs})
