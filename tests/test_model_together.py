@@ -1,6 +1,7 @@
 """The models of a run are fitted at the same time, with the results they have alone."""
 
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +47,34 @@ def test_together_gives_what_each_set_gives_alone(people):
         assert run.scores.exceptAll(alone.scores).count() == 0 == alone.scores.exceptAll(run.scores).count()
 
 
+def test_large_sets_are_fitted_in_turn(people, monkeypatch):
+    """Where a tree level has a task for every core, no two fits hold their rows at the same time."""
+    running, most, lock = [], [], threading.Lock()
+
+    def alone(fit):
+        def fitted(*args, **kwargs):
+            with lock:
+                running.append(fit)
+                most.append(len(running))
+            time.sleep(0.5)
+            try:
+                return fit(*args, **kwargs)
+            finally:
+                running.remove(fit)
+        return fitted
+
+    want = P.train_all(people, True, 2)
+    monkeypatch.setattr(P, "ROWS_PER_TREE_TASK", 20)
+    for name in ("linear_run", "boosted_metrics"):
+        monkeypatch.setattr(P, name, alone(getattr(P, name)))
+    got = P.train_all(people, True, 2)
+    assert most == [1] * 4
+    for name, run in want.items():
+        assert got[name].metrics.collect() == run.metrics.collect()
+        assert got[name].boosted.count() == 1
+        assert got[name].scores.exceptAll(run.scores).count() == 0 == run.scores.exceptAll(got[name].scores).count()
+
+
 def test_a_failing_set_is_not_lost(people):
     with pytest.raises(ValueError, match="contract"):
         P.train_all(people.withColumn("contract", F.concat(F.lit("x"), "customer_id")), True, 1)

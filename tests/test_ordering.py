@@ -58,6 +58,20 @@ def test_hot_value_is_spread_over_slices(rows):
     assert laid.where("v = 7").select("_slice").distinct().count() > 1
 
 
+def test_slices_follow_the_rows_and_not_the_shuffle_partitions(spark, rows):
+    """The driver samples sort keys for each slice: with many shuffle partitions, few rows still make few slices."""
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        laid = O._sliced(rows, ["v", "id"])
+        assert 1 < laid.select("_slice").distinct().count() <= 8
+        got = O.global_rank(rows, [F.col("v").desc(), "id"], "r", small_rows=0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    want = rows.withColumn("w", F.row_number().over(W.orderBy(F.col("v").desc(), "id")))
+    assert got.join(want, "id").where("r = w").count() == 3001
+
+
 @pytest.mark.parametrize("n,k", [(15, 10), (10, 10), (3, 10), (101, 7), (1, 4)])
 def test_ntile_and_position_tiles(spark, n, k):
     df = spark.range(1, n + 1).select(F.col("id").alias("r"), F.lit(n).cast("bigint").alias("n"))

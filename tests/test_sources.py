@@ -161,3 +161,10 @@ def test_stored_steps_go_with_drop_scratch(spark, tmp_path):
     drop_scratch(other)
     assert not root.exists()
     kept.rename(root)
+
+
+def test_batch_releases_the_driver_before_each_step(spark, tmp_path, raw_frame, kpi_frame, monkeypatch):
+    calls, real = [], batch.release
+    monkeypatch.setattr(batch, "release", lambda s: (calls.append(s), real(s)))
+    run = batch.run(spark, raw_frame(), kpi_frame(["K-17"]), str(tmp_path / "out"), with_model=False, fail_on_dq=False)
+    assert len(calls) == len(run.steps) == 6
